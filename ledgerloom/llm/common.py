@@ -96,3 +96,21 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         seen = now
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
+
+
+#: Bytes of text that a Python worker handles at a time, but for a single longer text.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batches, size_of):
+    """Arrow batches cut into runs of rows of about SLICE_BYTES of the column that size_of picks."""
+    import numpy as np
+
+    for batch in batches:
+        n = batch.num_rows
+        lengths = np.asarray([len(b) if b is not None else 0 for b in size_of(batch)], dtype=np.int64)
+        part = np.cumsum(lengths) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if b > a:
+                yield batch.slice(a, b - a)

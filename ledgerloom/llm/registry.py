@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sharding
+from . import embedding_dedup, exact_dedup, language_id, mixing, packing, sharding, simhash_dedup
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op3_mixing": mixing.op3_mixing,
+    "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
     "op5_sharding": sharding.op5_sharding,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_packing": packing.op7_packing,
+    "op10_simhash_dedup": simhash_dedup.op10_simhash_dedup,
 }
 
 ORACLE_SQL = {
+    "op4_embedding_dedup": embedding_dedup.ORACLE,
     "op5_sharding": sharding.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
 }
