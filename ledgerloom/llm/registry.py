@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, language_id, mixing, packing, sharding, simhash_dedup
+from . import embedding_dedup, exact_dedup, language_id, license_scan, mixing, packing, sharding, simhash_dedup, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
+    "op2_license_scan": license_scan.op2_license_scan,
     "op3_mixing": mixing.op3_mixing,
     "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
     "op5_sharding": sharding.op5_sharding,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_packing": packing.op7_packing,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_simhash_dedup": simhash_dedup.op10_simhash_dedup,
 }
 
 ORACLE_SQL = {
+    "op2_license_scan": license_scan.ORACLE,
     "op4_embedding_dedup": embedding_dedup.ORACLE,
     "op5_sharding": sharding.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op9_substring_dedup": substring_dedup.ORACLE,
 }
