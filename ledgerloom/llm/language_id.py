@@ -182,3 +182,30 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
+
+
+#: A text that shares next to no n-grams with any profile is in none of the languages.
+LEAST_SCORE = 0.1
+
+
+def _keep(profiles: list[tuple], size: int, orders: int, text_at: int, least: float):
+    judge = _predict(profiles, size, orders)
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            blank = pa.nulls(batch.num_rows, pa.bool_())
+            asked = pa.RecordBatch.from_arrays([blank, pc.fill_null(batch.column(text_at), ""), blank], names=["doc_id", "text", "held_out"])
+            (told,) = judge([asked])
+            yield batch.filter(pc.and_(pc.not_equal(told.column(2), UNKNOWN), pc.greater_equal(told.column(3), least)))
+
+    return run
+
+
+def keep_identified(docs: DataFrame, least: float = LEAST_SCORE, sample: int = SAMPLE_PER_LANGUAGE, size: int = PROFILE, orders: int = ORDERS) -> DataFrame:
+    """The rows of docs whose text is in a learned language: not `und`, and scored at least `least`. Columns stay."""
+    rows = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"), held_out(F.col("doc_id")).alias("held_out"), F.col("lang").cast("string").alias("lang"))
+    profiles = learn_profiles(rows.where("not held_out and lang is not null and text <> ''"), sample, size, orders)
+    return docs.mapInArrow(_keep(profiles, size, orders, docs.columns.index("text"), least), docs.schema)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import embedding_dedup, exact_dedup, language_id, license_scan, mixing, packing, sharding, simhash_dedup, substring_dedup, suffix_dedup
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_language_id": language_id.op1_language_id,
     "op2_license_scan": license_scan.op2_license_scan,
     "op3_mixing": mixing.op3_mixing,
@@ -24,3 +27,6 @@ ORACLE_SQL = {
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -224,3 +224,182 @@ def near_components(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(read_table(spark, sf_dir, "documents"), Scratch(spark, "simhash"))
+
+
+# Near copies by shingle similarity: fingerprints compared bit-sliced at a wide radius, then the shingle sets themselves.
+
+COPY_SHINGLE = 5
+SIMILARITY = 0.8
+#: Bits by which the fingerprints of texts at SIMILARITY may differ: 10 on average with a deviation of 3.
+COPY_RADIUS = 20
+#: Documents meet under each of so many least shingle hashes; two at SIMILARITY miss each other with 0.2^8 or less.
+MEETINGS = 8
+#: Documents of a meeting beyond which it is cut into chunks, whose pairs are dealt out.
+MEETING = 1000
+#: The same where the shingle sets come along.
+MEETING_WITH_SETS = 250
+
+
+def shingle_set(text: str | None, shingle: int = COPY_SHINGLE):
+    """Sorted distinct shingle hashes of a text (uint64)."""
+    import numpy as np
+    import xxhash
+
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    grams = (digest(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1)))
+    return np.unique(np.fromiter(grams, dtype=np.uint64))
+
+
+def _set_fingerprint(shingles) -> int:
+    """The SimHash of a set of shingle hashes."""
+    import numpy as np
+
+    ones = np.zeros(BITS, dtype=np.int64)
+    for a in range(0, len(shingles), 1 << 16):
+        ones += np.unpackbits(shingles[a : a + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(shingles), bitorder="little").view(np.int64)[0])
+
+
+def _sketches(shingle: int):
+    """(doc, text) to (doc, fp, least): the fingerprint and the least shingle hashes; texts without words give no row."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            docs, prints, least = [], [], []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                s = shingle_set(text.as_py(), shingle)
+                if len(s):
+                    docs.append(doc)
+                    prints.append(_set_fingerprint(s))
+                    least.append(s[:MEETINGS].view(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(prints, pa.int64()), pa.array(least, pa.list_(pa.int64()))], names=["doc", "fp", "least"])
+
+    return run
+
+
+def _tiles(table, radius: int):
+    """Close pairs (i, j) of a tile that share no earlier meeting than this one; i < j if it is one chunk."""
+    import numpy as np
+
+    prints = np.ascontiguousarray(table.column("fp").to_numpy()).view(np.uint64)
+    side = table.column("side").to_numpy()
+    least = [np.array(x, dtype=np.int64).view(np.uint64) for x in table.column("least").to_pylist()]
+    here = np.array(table.column("meeting")[0].as_py(), dtype=np.int64).view(np.uint64)
+    before = [frozenset(x[x < here].tolist()) for x in least]
+    left = np.flatnonzero(side <= 0)
+    right = np.flatnonzero(side > 0) if (side > 0).any() else left
+    for a in range(0, len(left), BLOCK):
+        for b in range(0, len(right), BLOCK):
+            x, y = left[a : a + BLOCK], right[b : b + BLOCK]
+            i, j = close_pairs(prints[x], prints[y], radius)
+            i, j = x[i], y[j]
+            if right is left:
+                some = i < j
+                i, j = i[some], j[some]
+            yield from ((p, q) for p, q in zip(i.tolist(), j.tolist(), strict=True) if before[p].isdisjoint(before[q]))
+
+
+def _partners(radius: int):
+    """The documents of a tile that have a close one in it."""
+
+    def run(table):
+        import pyarrow as pa
+
+        docs = table.column("doc").to_pylist()
+        found = {x for pair in _tiles(table, radius) for x in pair}
+        return pa.table({"doc": pa.array([docs[i] for i in sorted(found)], pa.int64()), "meeting": pa.array([table.column("meeting")[0].as_py()] * len(found), pa.int64())})
+
+    return run
+
+
+def _similar(radius: int, similarity: float):
+    """Links that join the components of a tile's pairs at the similarity; pairs already joined are not compared."""
+
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+
+        docs = table.column("doc").to_pylist()
+        sets = [np.frombuffer(s, dtype=np.uint64) for s in table.column("shingles").to_pylist()]
+        up = list(range(len(docs)))
+
+        def top(i):
+            while up[i] != i:
+                up[i] = up[up[i]]
+                i = up[i]
+            return i
+
+        a, b = [], []
+        for i, j in _tiles(table, radius):
+            x, y = top(i), top(j)
+            if x == y or min(len(sets[i]), len(sets[j])) < similarity * max(len(sets[i]), len(sets[j])):
+                continue
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if common >= similarity * (len(sets[i]) + len(sets[j]) - common):
+                up[y] = x
+                a.append(docs[i])
+                b.append(docs[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _fetch_sets(shingle: int, wanted):
+    """(doc, text) to (doc, shingles) for the documents that the broadcast filter may hold."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        from .anchors import in_filter
+
+        for batch in batches:
+            docs = batch.column(0).to_numpy()
+            at = np.flatnonzero(in_filter(wanted.value, docs))
+            sets = [shingle_set(batch.column(1)[int(i)].as_py(), shingle).tobytes() for i in at]
+            yield pa.RecordBatch.from_arrays([pa.array(docs[at]), pa.array(sets, pa.binary())], names=["doc", "shingles"])
+
+    return run
+
+
+def _meet(rows: DataFrame, size: int):
+    """Deals (doc, fp, least, meeting, ...) into tiles: a small meeting is one, a large one all pairs of its chunks."""
+    counts = rows.groupBy("meeting").agg(F.count("*").alias("n")).where("n > 1")
+    rows = rows.join(counts, "meeting").withColumn("chunks", F.ceil(F.col("n") / size).cast("int"))
+    rows = rows.withColumn("c", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    side = F.when(F.col("c") == F.col("other"), -1).when(F.col("c") < F.col("other"), 0).otherwise(1)
+    return rows.select("*", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"), side.alias("side")).groupBy("meeting", "x", "y")
+
+
+def similar_components(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY, radius: int = COPY_RADIUS) -> DataFrame:
+    """(doc_id, component_id) of the documents that have near copies: the smallest id reachable over similar pairs.
+
+    A pair is similar if its sets of `shingle`-word shingles have a Jaccard similarity of at least `similarity`. Ids must be
+    integers; rows with a null id or no words are never linked. Documents meet under their least shingle hashes;
+    fingerprints are compared bit-sliced; what is close is fetched and compared by its sets, a pair in its first meeting only.
+    """
+    from .anchors import filter_bits
+
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), text_or_empty(F.col(text_col)).alias("text"))
+    sketches = scratch.write(texts.mapInArrow(_sketches(shingle), "doc long, fp long, least array<long>"))
+    meetings = sketches.withColumn("meeting", F.explode("least"))
+    partners = scratch.write(_meet(meetings, MEETING).applyInArrow(_partners(radius), "doc long, meeting long").distinct())
+    wanted = scratch.spark.sparkContext.broadcast(filter_bits(partners, F.col("doc")))
+    sets = texts.mapInArrow(_fetch_sets(shingle, wanted), "doc long, shingles binary").groupBy("doc").agg(F.min("shingles").alias("shingles"))
+    rows = partners.join(sketches.dropDuplicates(["doc"]), "doc").join(sets, "doc")
+    links = _meet(rows, MEETING_WITH_SETS).applyInArrow(_similar(radius, similarity), "a long, b long")
+    roots = connected_components(links, scratch)
+    return roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, scratch: Scratch, **how) -> DataFrame:
+    """docs without all but the smallest id of each group of near copies; rows keep their columns."""
+    lost = similar_components(docs, scratch, **how).where("doc_id <> component_id").select(F.col("doc_id").alias("_lost"))
+    return docs.join(lost, F.col("doc_id") == F.col("_lost"), "left_anti")
