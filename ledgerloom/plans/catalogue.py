@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import q_history, q_ledger
+
+MODULES = [q_ledger, q_history]
+
+QUERIES: dict = {name: f for m in MODULES for name, f in m.Q.items()}
+ORACLE_SQL: dict = {name: sql for m in MODULES for name, sql in m.SQL.items()}
