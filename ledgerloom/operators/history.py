@@ -113,3 +113,18 @@ def content_stats(obs: DataFrame) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "n")))).alias("labels"),
     )
     return out.select("content", "count", "distinct_labels", F.col("_t.label").alias("top_label"), F.round(-F.col("_t.m") / F.col("count"), 4).alias("top_ratio"), F.col("_l.label").alias("latest_label"), F.col("_l.last.day").alias("latest_day"), "labels")
+
+
+def label_counts_at(keyed: DataFrame, asked: DataFrame) -> DataFrame:
+    """(match, day, mode, hist_n, mode_n, last_day, labels) for each distinct (match, day) of asked: the past of a key as of
+    any day, not only days on which the key itself occurs. keyed is obs with its key; labels: the three most used, 'label:n'.
+    """
+    q = asked.select("match", "day").distinct()
+    daily = keyed.groupBy(F.col("key").alias("match"), "label", F.col("day").alias("_d")).agg(F.count("*").alias("c"), F.min("id").alias("_a"), F.max("id").alias("_z"))
+    past = q.join(daily, "match").where(F.col("_d") < F.col("day")).groupBy("match", "day", "label").agg(
+        F.sum("c").alias("n"), F.min(F.struct("_d", "_a")).alias("first"), F.max(F.struct("_d", "_z")).alias("last")
+    )
+    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "first", "label"))), 1, 3)
+    out = past.groupBy("match", "day").agg(F.max_by("label", F.struct("n", "last")).alias("mode"), F.sum("n").alias("hist_n"), F.max("n").alias("mode_n"), F.max("last").alias("_l"), top.alias("_t"))
+    labels = F.array_join(F.transform("_t", lambda x: F.concat(x["label"], F.lit(":"), (-x["m"]).cast("string"))), ",")
+    return out.select("match", "day", "mode", "hist_n", "mode_n", F.col("_l._d").alias("last_day"), labels.alias("labels"))
