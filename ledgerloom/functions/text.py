@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,17 +37,23 @@ def rate(a: Column, b: Column) -> Column:
     return F.round(F.try_divide(a.cast("double"), b.cast("double")), 4)
 
 
-@F.pandas_udf("string")
-def nfkc_casefold(s):
-    """NFKC and case folding, which Spark has no function for; one Arrow batch at a time."""
+def _nfkc_casefold(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x).casefold(), na_action="ignore")
 
 
-@F.pandas_udf("string")
-def nfkc(s):
+def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 
 
+def nfkc_casefold(c: Column) -> Column:
+    """NFKC and case folding, which Spark has no function for; one Arrow batch at a time."""
+    return F.pandas_udf(_nfkc_casefold, "string")(c)
+
+
+def nfkc(c: Column) -> Column:
+    return F.pandas_udf(_nfkc, "string")(c)
+
+
 def _squeeze(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))
 
@@ -159,9 +166,11 @@ def lcs_length(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf("double")
-def indel_ratio_arrow(a, b):
-    """indel_ratio for many pairs: one Arrow batch, bit-parallel."""
-    import pandas as pd
+def _indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    pairs = zip(a, b, strict=True)
+    return pd.Series([None if x is None or y is None else 100.0 if not x and not y else 200.0 * lcs_length(x, y) / (len(x) + len(y)) for x, y in pairs], dtype="float64")
 
-    return pd.Series([None if x is None or y is None else 100.0 if not x and not y else 200.0 * lcs_length(x, y) / (len(x) + len(y)) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+def indel_ratio_arrow(a: Column, b: Column) -> Column:
+    """indel_ratio for many pairs: one Arrow batch, bit-parallel."""
+    return F.pandas_udf(_indel_ratio, "double")(a, b)

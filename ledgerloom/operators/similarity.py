@@ -60,7 +60,8 @@ def staged_predictions(obs: DataFrame, level: str = "n4", ascii_only: bool = Fal
     t = o.withColumn("block", F.unix_date("day")).join(as_of("raw"), ["raw", "block"], "left").join(as_of("key"), ["key", "block"], "left")
     if fuzzy:
         seen = o.groupBy("key").agg(F.min(F.struct("day", "id")).alias("seen"))
-        open_ = t.where("_raw is null and _key is null")
+        # A raw text's past is part of its key's: rows without either are those of the key's first day.
+        open_ = o.join(seen, "key").where(F.col("day") <= F.col("seen.day")).select("key", "day")
         best = fuzzy_before(open_, seen, 3)
         # The matched key's past as of the day: its counts up to the last use before it.
         uses = H.label_counts_at(o, best)
