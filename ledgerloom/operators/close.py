@@ -34,8 +34,8 @@ def review_groups(rows: DataFrame) -> DataFrame:
         F.count("*").alias("size"), F.sum("amount").alias("total"), value_range(F.min("amount"), F.max("amount")).alias("amount_range"),
         value_range(F.min("date"), F.max("date")).alias("date_range"), F.max("confidence").alias("max_confidence"), F.min(best).alias("_b"),
     )
-    sizes = g.groupBy("account").agg(F.sum("size").alias("account_size"))
-    g = g.join(sizes, F.col("account").eqNullSafe(sizes["account"])).drop(sizes["account"])
+    sizes = g.groupBy(F.col("account").alias("_account")).agg(F.sum("size").alias("account_size"))
+    g = g.join(sizes, F.col("account").eqNullSafe(F.col("_account")))
     order = W.orderBy("routing", F.desc("account_size"), "account", F.desc("max_confidence"), "merchant")
     return g.withColumn("rank", F.row_number().over(order)).select("rank", "routing", "merchant", "account", "size", "total", "amount_range", "date_range", F.col("_b.transaction_id").alias("representative"), "account_size")
 
