@@ -53,7 +53,8 @@ def ngram_counts(text: str, orders: int = ORDERS):
         near[1:] |= letter[:-1]  # of a run of other characters one blank stays
         near[0] = True
         codes, letter = codes[near], letter[near]
-        found, h, inner = [codes[letter]], codes, None
+        h = codes + np.uint64(1)  # a blank counts too, or a leading one would vanish
+        found, inner = [h[letter]], None
         with np.errstate(over="ignore"):
             for n in range(2, orders + 1):
                 h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :] + np.uint64(1)
