@@ -237,7 +237,7 @@ MEETINGS = 8
 #: Documents of a meeting beyond which it is cut into chunks, whose pairs are dealt out.
 MEETING = 1000
 #: The same where the shingle sets come along.
-MEETING_WITH_SETS = 250
+MEETING_WITH_SETS = 1000
 
 
 def shingle_set(text: str | None, shingle: int = COPY_SHINGLE):
