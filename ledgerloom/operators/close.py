@@ -165,3 +165,24 @@ def catalog_codes(accounts: DataFrame) -> DataFrame:
     """Available accounts coded A001, A002, ... by group, category and name; missing parts sort as empty."""
     w = W.orderBy(*(F.coalesce(c, F.lit("")) for c in ("account_group", "category", "name")), "account_id")
     return accounts.where("available").withColumn("code", F.format_string("A%03d", F.row_number().over(w)))
+
+
+OVERRIDE_ACTIONS = ("exclude", "set_account", "set_counter_sub_account", "confirm_refund", "merged_into")
+
+
+def check_overrides(overrides: DataFrame, tx: DataFrame, accounts: DataFrame) -> DataFrame:
+    """(transaction_id, action, problem) of overrides that must stop a close: repeated, unknown line item, action, account or
+    merge target, or a merge into an excluded one."""
+    ids = tx.select("transaction_id").distinct()
+    o = overrides.join(ids.withColumn("_known", F.lit(True)), "transaction_id", "left")
+    o = o.join(overrides.groupBy("transaction_id").agg(F.count("*").alias("_n")), "transaction_id", "left")
+    o = o.join(accounts.select(F.col("name").alias("account"), F.lit(True).alias("_account")).distinct(), "account", "left")
+    o = o.join(ids.select(F.col("transaction_id").alias("target_transaction_id"), F.lit(True).alias("_target")), "target_transaction_id", "left")
+    gone = overrides.where("action = 'exclude'").select(F.col("transaction_id").alias("target_transaction_id"), F.lit(True).alias("_gone")).distinct()
+    o = o.join(gone, "target_transaction_id", "left")
+    merge, needs = F.col("action") == "merged_into", F.col("action").isin("set_account", "set_counter_sub_account")
+    problem = (
+        F.when(F.col("_n") > 1, "repeated").when(F.col("_known").isNull(), "unknown line item").when(~F.coalesce(F.col("action").isin(*OVERRIDE_ACTIONS), F.lit(False)), "unknown action")
+        .when(needs & F.col("_account").isNull(), "unknown account").when(merge & F.col("_target").isNull(), "unknown target").when(merge & F.col("_gone").isNotNull(), "target is excluded")
+    )
+    return o.select("transaction_id", "action", problem.alias("problem")).where("problem is not null")

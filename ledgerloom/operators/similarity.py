@@ -112,3 +112,31 @@ def candidates_before(obs: DataFrame, level: str = "n4", limit: int = 8, ascii_o
     all_ = all_.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
     uses = H.label_counts_at(o, all_)
     return all_.join(uses, ["match", "day"]).select("key", "day", "rank", "match", F.bround("score").cast("long").alias("similarity"), F.col("hist_n").alias("occurrences"), F.col("last_day").alias("last_used"), "labels")
+
+
+def _modes(keyed: DataFrame, by: str) -> DataFrame:
+    use = keyed.groupBy(by, "label").agg(F.count("*").alias("n"), F.max(F.struct("day", "id")).alias("last"))
+    return use.groupBy(by).agg(F.struct(F.max_by("label", F.struct("n", "last")).alias("mode"), F.sum("n").alias("hist_n"), F.max("n").alias("mode_n"), F.max("last.day").alias("last_day")).alias(f"_{by}"))
+
+
+def static_predictions(history: DataFrame, targets: DataFrame, level: str = "n4", ascii_only: bool = False) -> DataFrame:
+    """Targets against a fixed history: raw, then normalized, then the most similar key; targets do not join it.
+
+    Adds stage, pred, score, hist_n, agreement, and account_seen: whether the exact history has the target's account, null
+    without an exact history.
+    """
+    h = _keyed(history, level, ascii_only)
+    t = targets.withColumn("raw", strip(F.col("content"))).withColumn("key", normalize(F.col("content"), level, ascii_only))
+    t = t.join(_modes(h, "raw"), "raw", "left").join(_modes(h, "key"), "key", "left")
+    for by in ("raw", "key"):
+        t = t.join(h.select(by, "account").distinct().withColumn(f"_seen_{by}", F.lit(True)), [by, "account"], "left")
+    seen = h.where("key <> ''").groupBy("key").agg(F.min(F.struct("day", "id")).alias("seen"))
+    open_ = targets.select(normalize(F.col("content"), level, ascii_only).alias("a")).where("a <> ''").distinct().join(seen.withColumnRenamed("key", "a"), "a", "left_anti")
+    near = pair_scores(open_, seen.select(F.col("key").alias("b")), arrow=True).join(seen.withColumnRenamed("key", "b"), "b")
+    best = near.groupBy("a").agg(F.min(F.struct((-F.col("score")).alias("m"), "seen", "b")).alias("_n")).select(F.col("a").alias("key"), F.col("_n.b").alias("_match"), (-F.col("_n.m")).alias("_score"))
+    best = best.join(_modes(h, "key").withColumnsRenamed({"key": "_match", "_key": "_fuzzy"}), "_match")
+    t = t.join(best, "key", "left")
+    stage = F.when(F.col("_raw").isNotNull(), "raw_exact").when(F.col("_key").isNotNull(), "norm_exact").when(F.col("_fuzzy").isNotNull(), "fuzzy").otherwise("none")
+    pick = lambda f: F.when(stage == "raw_exact", F.col(f"_raw.{f}")).when(stage == "norm_exact", F.col(f"_key.{f}")).otherwise(F.col(f"_fuzzy.{f}"))
+    known = F.when(stage == "raw_exact", F.coalesce("_seen_raw", F.lit(False))).when(stage == "norm_exact", F.coalesce("_seen_key", F.lit(False)))
+    return t.select(*targets.columns, stage.alias("stage"), pick("mode").alias("pred"), F.when(stage == "fuzzy", F.col("_score")).when(stage != "none", 100.0).alias("score"), pick("hist_n").alias("hist_n"), rate(pick("mode_n"), pick("hist_n")).alias("agreement"), known.alias("account_seen"))

@@ -334,3 +334,23 @@ def resume_anti(spark, d):
   SELECT (SELECT count(*) FROM (SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem)) + (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem EXCEPT SELECT o_orderkey FROM orders)) AS count)""")
 def set_diff(spark, d):
     return K.same_rows(table(spark, d, "orders").select("o_orderkey"), table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct(), "ids")
+
+
+ACTIONS = ["exclude", "set_account", "merged_into", "confirm_refund", "drop"]
+
+
+@query("q_overrides_checked", f"""WITH {TX_SQL}, o AS (
+  SELECT transaction_id + CASE WHEN transaction_id % 97 = 0 THEN 100000000 ELSE 0 END AS transaction_id, {ACTIONS}[transaction_id % 5 + 1] AS action, CASE WHEN transaction_id % 4 = 0 THEN 'nowhere' ELSE 'acct' || connected_account_id END AS account, transaction_id - 2 AS target FROM tx
+  UNION ALL SELECT transaction_id, 'exclude', NULL, NULL FROM tx WHERE transaction_id % 101 = 0),
+n AS (SELECT transaction_id, count(*) AS n FROM o GROUP BY 1), gone AS (SELECT DISTINCT transaction_id FROM o WHERE action = 'exclude'),
+p AS (SELECT o.transaction_id, action, CASE WHEN n > 1 THEN 'repeated' WHEN o.transaction_id NOT IN (SELECT transaction_id FROM tx) THEN 'unknown line item' WHEN action = 'drop' THEN 'unknown action'
+  WHEN action = 'set_account' AND account NOT IN ('acct0', 'acct1', 'acct2', 'acct3', 'acct4') THEN 'unknown account' WHEN action = 'merged_into' AND target NOT IN (SELECT transaction_id FROM tx) THEN 'unknown target'
+  WHEN action = 'merged_into' AND target IN (SELECT transaction_id FROM gone) THEN 'target is excluded' END AS problem FROM o JOIN n USING (transaction_id))
+SELECT transaction_id, action, problem FROM p WHERE problem IS NOT NULL""")
+def overrides_checked(spark, d):
+    t = tx(spark, d)
+    i = F.col("transaction_id")
+    o = t.select((i + F.when(i % 97 == 0, 100000000).otherwise(0)).alias("transaction_id"), F.element_at(F.array(*map(F.lit, ACTIONS)), (i % 5 + 1).cast("int")).alias("action"), F.when(i % 4 == 0, "nowhere").otherwise(F.concat(F.lit("acct"), F.col("connected_account_id").cast("string"))).alias("account"), (i - 2).alias("target_transaction_id"))
+    o = o.unionByName(t.where(i % 101 == 0).select("transaction_id", F.lit("exclude").alias("action"), F.lit(None).cast("string").alias("account"), F.lit(None).cast("long").alias("target_transaction_id")))
+    accounts = spark.range(5).select(F.concat(F.lit("acct"), F.col("id").cast("string")).alias("name"))
+    return C.check_overrides(o, t, accounts)
