@@ -10,6 +10,7 @@ from .common import Scratch, read_table, text_or_empty
 #: Characters under the prefix hash.
 PREFIX = 64
 
+
 def exact_groups(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -17,7 +18,7 @@ def exact_groups(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text
     has a null keep_id and keeps one row. Of repeated rows with the largest id one is kept. An empty table gives an empty one.
     """
     rows = scratch.write(_hashed(docs, id_col, text_col))
-    out = _decide(rows)
+    out = _decide(rows, scratch)
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -26,7 +27,7 @@ def drop_exact_copies(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
 
     Texts move once, in the join that removes the losers.
     """
-    decided = _decide(scratch.write(_hashed(docs, id_col, text_col)))
+    decided = _decide(scratch.write(_hashed(docs, id_col, text_col)), scratch)
     key = [F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("_key_id"), F.sha2(text_or_empty(F.col(text_col)).cast("binary"), 256).alias("_key_text")]
     keyed = docs.select("*", *key)
     names = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_key_id"), F.col("text_sha256").alias("_key_text")]
@@ -44,12 +45,15 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.groupBy("length", "prefix", "text_sha256", "doc_id").agg(F.count("*").alias("copies"))
 
 
-def _decide(rows: DataFrame) -> DataFrame:
-    # Length, then prefix: what is alone at either is never compared in full.
-    lengths = rows.groupBy("length").agg(F.sum("copies").alias("n")).where("n > 1").select("length")
-    prefixes = rows.join(lengths, "length", "left_semi").groupBy("length", "prefix").agg(F.sum("copies").alias("n")).where("n > 1").select("length", "prefix")
+def _decide(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    # Length, then prefix: what is alone at either is never compared in full. Each stage's keys are written, so that a
+    # join with them can split the partition of a common length or text, which it can't beside an aggregate of its key.
+    lengths = scratch.write(rows.groupBy("length").agg(F.sum("copies").alias("n")).where("n > 1").select("length"))
+    prefixes = rows.join(lengths, "length", "left_semi").groupBy("length", "prefix").agg(F.sum("copies").alias("n")).where("n > 1")
+    prefixes = scratch.write(prefixes.select("length", "prefix"))
     survivors = rows.join(prefixes, ["length", "prefix"], "left_semi")
     groups = survivors.groupBy("length", "text_sha256").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")).where("group_size > 1")
+    groups = scratch.write(groups)
     out = rows.join(groups, ["length", "text_sha256"], "left")
     alone = F.col("group_size").isNull()
     out = out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "text_sha256", "copies")
