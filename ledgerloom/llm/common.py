@@ -64,7 +64,8 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for every node of edges (a long, b long); root is the smallest node of its component.
 
     Alternates large-star and small-star steps, each an aggregation and an equi-join, until the edges form stars.
-    A node with very many links is pre-aggregated by the partial min and its join partition split by the skew join.
+    A node with very many links is pre-aggregated by the partial min. The minima are written before they are joined: beside
+    an aggregate of its own key the skew join could not split a hub's links.
     An edge table without rows gives a table without rows; self-links and repeated links are ignored.
     """
 
@@ -80,16 +81,17 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     seen = mark(current)
     while seen[0]:
         both = current.select("a", "b").union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = scratch.write(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = star(both, least).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = scratch.write(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        scratch.drop(least)
+        least = scratch.write(large.groupBy("a").agg(F.min("b").alias("m")))
         small = star(large, least).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("a", F.col("m").alias("b"))).distinct()
         following = scratch.write(small)
         now = mark(following)
-        scratch.drop(large)
-        scratch.drop(current)
+        for done in (least, large, current):
+            scratch.drop(done)
         current = following
         if now == seen:
             break
