@@ -8,6 +8,7 @@ planes of many pairs at once, and a block's rows are abandoned once all their pa
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -234,7 +235,7 @@ SIMILARITY = 0.8
 COPY_RADIUS = 20
 #: Documents meet under each of so many least shingle hashes; two at SIMILARITY miss each other with 0.2^8 or less.
 MEETINGS = 8
-#: Documents of a meeting beyond which it is cut into chunks, whose pairs are dealt out.
+#: Documents of a meeting beyond which it is cut into chunks.
 MEETING = 1000
 #: The same where the shingle sets come along.
 MEETING_WITH_SETS = 1000
@@ -284,7 +285,10 @@ def _sketches(shingle: int):
 
 
 def _tiles(table, radius: int):
-    """Close pairs (i, j) of a tile that share no earlier meeting than this one; i < j if it is one chunk."""
+    """Close pairs (i, j) of a tile that share no earlier meeting than this one; i < j if it is one chunk.
+
+    Pairs with one label are left out: they are known to be in one component.
+    """
     import numpy as np
 
     prints = np.ascontiguousarray(table.column("fp").to_numpy()).view(np.uint64)
@@ -292,6 +296,7 @@ def _tiles(table, radius: int):
     least = [np.array(x, dtype=np.int64).view(np.uint64) for x in table.column("least").to_pylist()]
     here = np.array(table.column("meeting")[0].as_py(), dtype=np.int64).view(np.uint64)
     before = [frozenset(x[x < here].tolist()) for x in least]
+    label = table.column("label").to_numpy()
     left = np.flatnonzero(side <= 0)
     right = np.flatnonzero(side > 0) if (side > 0).any() else left
     for a in range(0, len(left), BLOCK):
@@ -299,9 +304,10 @@ def _tiles(table, radius: int):
             x, y = left[a : a + BLOCK], right[b : b + BLOCK]
             i, j = close_pairs(prints[x], prints[y], radius)
             i, j = x[i], y[j]
+            some = label[i] != label[j]
             if right is left:
-                some = i < j
-                i, j = i[some], j[some]
+                some &= i < j
+            i, j = i[some], j[some]
             yield from ((p, q) for p, q in zip(i.tolist(), j.tolist(), strict=True) if before[p].isdisjoint(before[q]))
 
 
@@ -368,34 +374,73 @@ def _fetch_sets(shingle: int, wanted):
     return run
 
 
-def _meet(rows: DataFrame, size: int):
-    """Deals (doc, fp, least, meeting, ...) into tiles: a small meeting is one, a large one all pairs of its chunks."""
-    counts = rows.groupBy("meeting").agg(F.count("*").alias("n")).where("n > 1")
-    rows = rows.join(counts, "meeting").withColumn("chunks", F.ceil(F.col("n") / size).cast("int"))
-    rows = rows.withColumn("c", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+def _tiled(rows: DataFrame):
+    """Groups rows of chunk c into tiles (x, y) with each chunk of `others`; a chunk's tile with itself is (c, c)."""
+    rows = rows.withColumn("other", F.explode("others")).drop("others")
     side = F.when(F.col("c") == F.col("other"), -1).when(F.col("c") < F.col("other"), 0).otherwise(1)
     return rows.select("*", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"), side.alias("side")).groupBy("meeting", "x", "y")
 
 
+def _meet(rows: DataFrame, scratch: Scratch, size: int):
+    """Deals (doc, fp, least, meeting, ...) into tiles. A small meeting is one; of a large one each chunk meets itself and
+    the first chunk, so that rows grow with the meeting and not with its square. What that misses is left to _across."""
+    counts = scratch.write(rows.groupBy("meeting").agg(F.count("*").alias("n")).where("n > 1"))
+    rows = rows.join(counts, "meeting").withColumn("chunks", F.ceil(F.col("n") / size).cast("int"))
+    rows = rows.withColumn("c", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
+    others = F.when(F.col("c") == 0, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.lit(0), F.col("c")))
+    return _tiled(rows.withColumn("others", others).withColumn("label", F.col("doc")))
+
+
+def _across(rows: DataFrame, scratch: Scratch, size: int):
+    """Deals (doc, fp, least, meeting, label, ...) into tiles that hold every pair of different labels of a meeting.
+
+    A meeting's most frequent label is its core. Whatever has another label is chunked and meets all chunks; two of the
+    core never meet, so that a tight group of near copies costs rows in proportion to its size.
+    """
+    labels = rows.groupBy("meeting", "label").agg(F.count("*").alias("n"))
+    cores = labels.groupBy("meeting").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
+    cores = cores.select("meeting", F.col("top.label").alias("core"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("strays"))
+    rows = rows.join(scratch.write(cores.where("strays > 0")), "meeting")
+    stray, deal = F.col("label") != F.col("core"), F.xxhash64("doc")
+    first, rest = (F.ceil(F.col(c) / size).cast("int") for c in ("strays", "inside"))
+    c = F.when(stray, F.pmod(deal, first)).otherwise(first + F.pmod(deal, rest)).cast("int")
+    others = F.sequence(F.lit(0), F.when(stray, first + rest).otherwise(first) - 1)
+    return _tiled(rows.withColumn("c", c).withColumn("others", others))
+
+
 def similar_components(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY, radius: int = COPY_RADIUS) -> DataFrame:
     """(doc_id, component_id) of the documents that have near copies: the smallest id reachable over similar pairs.
 
     A pair is similar if its sets of `shingle`-word shingles have a Jaccard similarity of at least `similarity`. Ids must be
     integers; rows with a null id or no words are never linked. Documents meet under their least shingle hashes;
     fingerprints are compared bit-sliced; what is close is fetched and compared by its sets, a pair in its first meeting only.
+    A meeting of more than MEETING documents is compared in part first, then every pair that is not yet in one component.
     """
     from .anchors import filter_bits
 
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), text_or_empty(F.col(text_col)).alias("text"))
     sketches = scratch.write(texts.mapInArrow(_sketches(shingle), "doc long, fp long, least array<long>"))
     meetings = sketches.withColumn("meeting", F.explode("least"))
-    partners = scratch.write(_meet(meetings, MEETING).applyInArrow(_partners(radius), "doc long, meeting long").distinct())
-    wanted = scratch.spark.sparkContext.broadcast(filter_bits(partners, F.col("doc")))
-    sets = texts.mapInArrow(_fetch_sets(shingle, wanted), "doc long, shingles binary").groupBy("doc").agg(F.min("shingles").alias("shingles"))
-    rows = partners.join(sketches.dropDuplicates(["doc"]), "doc").join(sets, "doc")
-    links = _meet(rows, MEETING_WITH_SETS).applyInArrow(_similar(radius, similarity), "a long, b long")
-    roots = connected_components(links, scratch)
+    known = sketches.dropDuplicates(["doc"])
+
+    def compare(tiles, deal, more: list) -> DataFrame:
+        """Links of the tiles' close pairs; deal puts the documents that have one, with their sets, into tiles again."""
+        partners = scratch.write(tiles.applyInArrow(_partners(radius), "doc long, meeting long").distinct())
+        wanted = scratch.spark.sparkContext.broadcast(filter_bits(partners, F.col("doc")))
+        sets = texts.mapInArrow(_fetch_sets(shingle, wanted), "doc long, shingles binary").groupBy("doc").agg(F.min("shingles").alias("shingles"))
+        rows = scratch.write(reduce(lambda d, t: d.join(t, "doc"), [known, *more, sets], partners))
+        return scratch.write(deal(rows, scratch, MEETING_WITH_SETS).applyInArrow(_similar(radius, similarity), "a long, b long"))
+
+    links = compare(_meet(meetings, scratch, MEETING), _meet, [])
+    roots = scratch.write(connected_components(links, scratch))
+    large = scratch.write(meetings.groupBy("meeting").agg(F.count("*").alias("n")).where(F.col("n") > min(MEETING, MEETING_WITH_SETS)).select("meeting"))
+    if not large.isEmpty():  # the pairs that the first pass left out, but for those it has joined
+        labels = known.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("doc", F.coalesce("root", "doc").alias("label"))
+        labels = scratch.write(labels)
+        rows = scratch.write(meetings.join(large, "meeting", "left_semi").join(labels, "doc"))
+        across = compare(_across(rows, scratch, MEETING), _across, [labels])
+        if not across.isEmpty():
+            roots = connected_components(links.union(across), scratch)
     return roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
 
 

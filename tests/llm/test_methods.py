@@ -119,8 +119,10 @@ def test_simhash_large_bucket_is_cut(spark, monkeypatch):
     assert got == components(len(prints), zip(i.tolist(), j.tolist(), strict=True))
 
 
-def test_near_copies(spark, monkeypatch):
+@pytest.mark.parametrize("meeting", [1000, 8])
+def test_near_copies(spark, monkeypatch, meeting):
     monkeypatch.setattr(simhash_dedup, "MEETING_WITH_SETS", 8)
+    monkeypatch.setattr(simhash_dedup, "MEETING", meeting)
     rnd = random.Random(9)
     vocab = [f"w{i}" for i in range(4000)]
     rows = []
