@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -56,6 +57,10 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of a scratch file of connected_components.
+FILE_ROWS = 250_000
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
@@ -66,6 +71,7 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     Alternates large-star and small-star steps, each an aggregation and an equi-join, until the edges form stars.
     A node with very many links is pre-aggregated by the partial min. The minima are written before they are joined: beside
     an aggregate of its own key the skew join could not split a hub's links.
+    Tables are written in files of about FILE_ROWS rows, so that few edges don't make as many files as there are partitions.
     An edge table without rows gives a table without rows; self-links and repeated links are ignored.
     """
 
@@ -80,15 +86,16 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     )
     seen = mark(current)
     while seen[0]:
+        files = math.ceil(seen[0] / FILE_ROWS)
         both = current.select("a", "b").union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = scratch.write(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+        least = scratch.write(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).coalesce(files))
         large = star(both, least).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = scratch.write(large)
+        large = scratch.write(large.coalesce(files))
         scratch.drop(least)
-        least = scratch.write(large.groupBy("a").agg(F.min("b").alias("m")))
+        least = scratch.write(large.groupBy("a").agg(F.min("b").alias("m")).coalesce(files))
         small = star(large, least).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("a", F.col("m").alias("b"))).distinct()
-        following = scratch.write(small)
+        following = scratch.write(small.coalesce(files))
         now = mark(following)
         for done in (least, large, current):
             scratch.drop(done)

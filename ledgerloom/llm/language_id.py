@@ -16,6 +16,8 @@ PROFILE = 400
 SAMPLE_PER_LANGUAGE = 3000
 #: Characters that are counted at a time; longer texts are counted in parts and summed.
 PART = 1 << 20
+#: Keys that a learning task holds before it sums them up and hands them on.
+HELD = 1 << 21
 UNKNOWN = "und"
 
 _letters = None
@@ -90,22 +92,30 @@ def top_ngrams(text: str, size: int = PROFILE, orders: int = ORDERS):
 
 
 def _count_batches(orders: int):
-    """(lang, text) to (lang, key, n), counted over runs of rows."""
+    """(lang, text) to (lang, key, n), counted over runs of rows of about HELD keys."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            sums: dict[str, list] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                k, c = ngram_counts(text, orders)
-                sums.setdefault(lang, []).append((k, c))
+        def summed(sums):
             for lang, found in sums.items():
                 k, inverse = np.unique(np.concatenate([x[0] for x in found]), return_inverse=True)
                 n = np.bincount(inverse, weights=np.concatenate([x[1] for x in found])).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k.view(np.int64)), pa.array(n)], names=["lang", "key", "n"])
 
+        sums: dict[str, list] = {}
+        held = 0
+        for batch in batches:
+            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+                k, c = ngram_counts(text.as_py(), orders)
+                sums.setdefault(lang.as_py(), []).append((k, c))
+                held += len(k)
+                if held >= HELD:
+                    yield from summed(sums)
+                    sums, held = {}, 0
+        yield from summed(sums)
+
     return run
 
 

@@ -8,6 +8,7 @@ planes of many pairs at once, and a block's rows are abandoned once all their pa
 from __future__ import annotations
 
 import math
+import re
 from functools import reduce
 from itertools import combinations
 
@@ -239,6 +240,11 @@ MEETINGS = 8
 MEETING = 1000
 #: The same where the shingle sets come along.
 MEETING_WITH_SETS = 1000
+#: Bytes of a text whose words are split at a time.
+PART = 1 << 18
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+#: Close pairs that are handed on at a time.
+PAIRS = 1 << 14
 
 
 def shingle_set(text: str | None, shingle: int = COPY_SHINGLE):
@@ -246,12 +252,20 @@ def shingle_set(text: str | None, shingle: int = COPY_SHINGLE):
     import numpy as np
     import xxhash
 
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    digest = xxhash.xxh64_intdigest
-    grams = (digest(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1)))
-    return np.unique(np.fromiter(grams, dtype=np.uint64))
+    raw = (text or "").encode("utf-8", "replace").lower()
+    digest, found, tail, at = xxhash.xxh64_intdigest, [], [], 0
+    while at < len(raw):  # in parts that end in white space; the last words of a part begin the next
+        end = min(len(raw), at + PART)
+        space = SPACE.search(raw, end)
+        end = space.start() if space else len(raw)
+        words = tail + raw[at:end].split()
+        at = end
+        if len(words) >= shingle:
+            found.append(np.fromiter((digest(b" ".join(words[i : i + shingle]), SEED) for i in range(len(words) - shingle + 1)), dtype=np.uint64))
+        tail = words[max(0, len(words) - shingle + 1) :]
+    if not found:  # fewer words than a shingle: the whole sequence, if there is one
+        found = [np.array([digest(b" ".join(tail), SEED)] if tail else [], dtype=np.uint64)]
+    return np.unique(np.concatenate(found))
 
 
 def _set_fingerprint(shingles) -> int:
@@ -308,7 +322,9 @@ def _tiles(table, radius: int):
             if right is left:
                 some &= i < j
             i, j = i[some], j[some]
-            yield from ((p, q) for p, q in zip(i.tolist(), j.tolist(), strict=True) if before[p].isdisjoint(before[q]))
+            for s in range(0, len(i), PAIRS):
+                some = zip(i[s : s + PAIRS].tolist(), j[s : s + PAIRS].tolist(), strict=True)
+                yield from ((p, q) for p, q in some if before[p].isdisjoint(before[q]))
 
 
 def _partners(radius: int):
@@ -332,7 +348,7 @@ def _similar(radius: int, similarity: float):
         import pyarrow as pa
 
         docs = table.column("doc").to_pylist()
-        sets = [np.frombuffer(s, dtype=np.uint64) for s in table.column("shingles").to_pylist()]
+        sets = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in table.column("shingles")]
         up = list(range(len(docs)))
 
         def top(i):
@@ -429,6 +445,7 @@ def similar_components(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id"
         wanted = scratch.spark.sparkContext.broadcast(filter_bits(partners, F.col("doc")))
         sets = texts.mapInArrow(_fetch_sets(shingle, wanted), "doc long, shingles binary").groupBy("doc").agg(F.min("shingles").alias("shingles"))
         rows = scratch.write(reduce(lambda d, t: d.join(t, "doc"), [known, *more, sets], partners))
+        wanted.destroy()  # the written rows need it no more
         return scratch.write(deal(rows, scratch, MEETING_WITH_SETS).applyInArrow(_similar(radius, similarity), "a long, b long"))
 
     links = compare(_meet(meetings, scratch, MEETING), _meet, [])
