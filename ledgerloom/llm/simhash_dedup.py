@@ -15,7 +15,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, read_table, text_or_empty
+from .common import Scratch, connected_components, read_table, slices, text_or_empty
 
 BITS = 64
 SHINGLE = 3
@@ -228,13 +228,19 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(read_table(spark, sf_dir, "documents"), Scratch(spark, "simhash"))
 
 
-# Near copies by shingle similarity: fingerprints compared bit-sliced at a wide radius, then the shingle sets themselves.
+# Near copies by shingle similarity: parity bitmaps rule pairs out without loss, then the shingle sets themselves are compared.
 
 COPY_SHINGLE = 5
 SIMILARITY = 0.8
-#: Bits by which the fingerprints of texts at SIMILARITY may differ: 10 on average with a deviation of 3.
-COPY_RADIUS = 20
-#: Documents meet under each of so many least shingle hashes; two at SIMILARITY miss each other with 0.2^8 or less.
+#: Bits of a parity bitmap: of every text, and of those with more than LONG shingles. They only decide what is ruled out early.
+NARROW, WIDE, LONG = 1 << 10, 1 << 13, 1000
+#: Up to so many shingles a bitmap folded to a quarter is compared first.
+SHORT = 400
+#: Documents of a meeting up to which its pairs are looked through before sketches are fetched for them.
+FEW = 32
+#: Rows of a tile that are compared with a block at a time.
+STRIP = 64
+#: Documents meet under so many least shingle hashes first; then under the rest of their prefixes, which misses no pair.
 MEETINGS = 8
 #: Documents of a meeting beyond which it is cut into chunks.
 MEETING = 1000
@@ -243,8 +249,6 @@ MEETING_WITH_SETS = 1000
 #: Bytes of a text whose words are split at a time.
 PART = 1 << 18
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
-#: Close pairs that are handed on at a time.
-PAIRS = 1 << 14
 
 
 def shingle_set(text: str | None, shingle: int = COPY_SHINGLE):
@@ -268,79 +272,107 @@ def shingle_set(text: str | None, shingle: int = COPY_SHINGLE):
     return np.unique(np.concatenate(found))
 
 
-def _set_fingerprint(shingles) -> int:
-    """The SimHash of a set of shingle hashes."""
+def parity(shingles):
+    """Bitmap of a set of shingle hashes: bit k tells whether an odd number of them falls into class k.
+
+    Two bitmaps differ in no more bits than their sets have elements that are in one only.
+    """
     import numpy as np
 
-    ones = np.zeros(BITS, dtype=np.int64)
-    for a in range(0, len(shingles), 1 << 16):
-        ones += np.unpackbits(shingles[a : a + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(shingles), bitorder="little").view(np.int64)[0])
+    width = WIDE if len(shingles) > LONG else NARROW
+    odd = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(bool), bitorder="little")
+
+
+def prefix(size: int, similarity: float) -> int:
+    """So many least elements of a set hold the least one that it shares with any set at the similarity."""
+    return size - math.ceil(similarity * size - 1e-9) + 1
 
 
-def _sketches(shingle: int):
-    """(doc, text) to (doc, fp, least): the fingerprint and the least shingle hashes; texts without words give no row."""
+def _sketches(shingle: int, similarity: float):
+    """(doc, text) to (doc, n, bits, least, more): the number of shingles, their parity bitmap, the least MEETINGS hashes and
+    the rest of the prefix; texts without words give no row."""
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            docs, prints, least = [], [], []
+        hashes = pa.list_(pa.int64())
+        for batch in slices(batches, lambda b: b.column(1).to_pylist()):
+            docs, sizes, bits, least, more = [], [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 s = shingle_set(text.as_py(), shingle)
                 if len(s):
                     docs.append(doc)
-                    prints.append(_set_fingerprint(s))
-                    least.append(s[:MEETINGS].view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(prints, pa.int64()), pa.array(least, pa.list_(pa.int64()))], names=["doc", "fp", "least"])
+                    sizes.append(len(s))
+                    bits.append(parity(s).tobytes())
+                    first = s[: max(MEETINGS, prefix(len(s), similarity))].view("int64").tolist()
+                    least.append(first[:MEETINGS])
+                    more.append(first[MEETINGS:])
+            columns = [pa.array(docs, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), pa.array(least, hashes), pa.array(more, hashes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "n", "bits", "least", "more"])
 
     return run
 
 
-def _tiles(table, radius: int):
-    """Close pairs (i, j) of a tile that share no earlier meeting than this one; i < j if it is one chunk.
+def _tiles(table, similarity: float):
+    """Pairs (i, j) of a tile that may be at the similarity and share no earlier least hash than this meeting.
 
-    Pairs with one label are left out: they are known to be in one component.
+    Only pairs are left out whose sizes or bitmaps rule the similarity out, and pairs with one label: they are known to be
+    in one component. At the similarity s, sets of a and b elements have at most (a + b)(1 - s) / (1 + s) in one only.
     """
     import numpy as np
 
-    prints = np.ascontiguousarray(table.column("fp").to_numpy()).view(np.uint64)
-    side = table.column("side").to_numpy()
+    size, side = table.column("n").to_numpy(), table.column("side").to_numpy()
+    bits = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table.column("bits")]
+    narrow = np.stack([np.bitwise_xor.reduce(x.reshape(-1, NARROW // 64), axis=0) for x in bits], axis=1)
+    folded = np.bitwise_xor.reduce(narrow.reshape(4, -1, len(size)), axis=0)
     least = [np.array(x, dtype=np.int64).view(np.uint64) for x in table.column("least").to_pylist()]
     here = np.array(table.column("meeting")[0].as_py(), dtype=np.int64).view(np.uint64)
     before = [frozenset(x[x < here].tolist()) for x in least]
     label = table.column("label").to_numpy()
-    left = np.flatnonzero(side <= 0)
-    right = np.flatnonzero(side > 0) if (side > 0).any() else left
-    for a in range(0, len(left), BLOCK):
-        for b in range(0, len(right), BLOCK):
-            x, y = left[a : a + BLOCK], right[b : b + BLOCK]
-            i, j = close_pairs(prints[x], prints[y], radius)
-            i, j = x[i], y[j]
-            some = label[i] != label[j]
+    apart = (1 - similarity) / (1 + similarity)
+    order = np.argsort(size, kind="stable")
+    left = order[side[order] <= 0]
+    right = order[side[order] > 0] if (side > 0).any() else left
+    for a in range(0, len(left), STRIP):
+        x = left[a : a + STRIP]
+        low = np.searchsorted(size[right], size[x[0]] * similarity - 1e-6)
+        high = np.searchsorted(size[right], size[x[-1]] / similarity + 1e-6, side="right")
+        for b in range(max(low, a) if right is left else low, high, BLOCK):
+            y = right[b : min(b + BLOCK, high)]
+            differ = np.zeros((len(x), len(y)), dtype=np.uint16)
+            for plane in folded if size[x[-1]] <= SHORT else narrow:
+                differ += np.bitwise_count(plane[x][:, None] ^ plane[y][None, :])
+            may = (differ <= (size[x][:, None] + size[y][None, :]) * apart + 1e-6) & (label[x][:, None] != label[y][None, :])
             if right is left:
-                some &= i < j
-            i, j = i[some], j[some]
-            for s in range(0, len(i), PAIRS):
-                some = zip(i[s : s + PAIRS].tolist(), j[s : s + PAIRS].tolist(), strict=True)
-                yield from ((p, q) for p, q in some if before[p].isdisjoint(before[q]))
+                may &= np.arange(a, a + len(x))[:, None] < np.arange(b, b + len(y))[None, :]
+            i, j = np.nonzero(may)
+            i, j = x[i], y[j]
+            if size[x[-1]] <= SHORT and len(i):
+                some = np.bitwise_count(narrow[:, i] ^ narrow[:, j]).sum(axis=0, dtype=np.int64) <= (size[i] + size[j]) * apart + 1e-6
+                i, j = i[some], j[some]
+            for p, q in zip(i.tolist(), j.tolist(), strict=True):
+                if not before[p].isdisjoint(before[q]):
+                    continue
+                if len(bits[p]) == len(bits[q]) > NARROW // 64 and np.bitwise_count(bits[p] ^ bits[q]).sum(dtype=np.int64) > (size[p] + size[q]) * apart + 1e-6:
+                    continue
+                yield p, q
 
 
-def _partners(radius: int):
-    """The documents of a tile that have a close one in it."""
+def _partners(similarity: float):
+    """The documents of a tile that may have a similar one in it."""
 
     def run(table):
         import pyarrow as pa
 
         docs = table.column("doc").to_pylist()
-        found = {x for pair in _tiles(table, radius) for x in pair}
+        found = {x for pair in _tiles(table, similarity) for x in pair}
         return pa.table({"doc": pa.array([docs[i] for i in sorted(found)], pa.int64()), "meeting": pa.array([table.column("meeting")[0].as_py()] * len(found), pa.int64())})
 
     return run
 
 
-def _similar(radius: int, similarity: float):
+def _similar(similarity: float):
     """Links that join the components of a tile's pairs at the similarity; pairs already joined are not compared."""
 
     def run(table):
@@ -358,7 +390,7 @@ def _similar(radius: int, similarity: float):
             return i
 
         a, b = [], []
-        for i, j in _tiles(table, radius):
+        for i, j in _tiles(table, similarity):
             x, y = top(i), top(j)
             if x == y or min(len(sets[i]), len(sets[j])) < similarity * max(len(sets[i]), len(sets[j])):
                 continue
@@ -390,72 +422,131 @@ def _fetch_sets(shingle: int, wanted):
     return run
 
 
-def _tiled(rows: DataFrame):
-    """Groups rows of chunk c into tiles (x, y) with each chunk of `others`; a chunk's tile with itself is (c, c)."""
+def _tiled(rows: DataFrame, sketches: DataFrame | None):
+    """Groups rows of chunk c into tiles (x, y) with each chunk of `others`; a chunk's tile with itself is (c, c).
+
+    Sketches, if given, are joined by doc last, so that they are shuffled to the tiles only.
+    """
     rows = rows.withColumn("other", F.explode("others")).drop("others")
+    rows = rows if sketches is None else rows.join(sketches, "doc")
     side = F.when(F.col("c") == F.col("other"), -1).when(F.col("c") < F.col("other"), 0).otherwise(1)
     return rows.select("*", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"), side.alias("side")).groupBy("meeting", "x", "y")
 
 
-def _meet(rows: DataFrame, scratch: Scratch, size: int):
-    """Deals (doc, fp, least, meeting, ...) into tiles. A small meeting is one; of a large one each chunk meets itself and
+def _meet(rows: DataFrame, scratch: Scratch, size: int, sketches: DataFrame | None = None):
+    """Deals (doc, meeting, ...) into tiles. A small meeting is one; of a large one each chunk meets itself and
     the first chunk, so that rows grow with the meeting and not with its square. What that misses is left to _across."""
-    counts = scratch.write(rows.groupBy("meeting").agg(F.count("*").alias("n")).where("n > 1"))
-    rows = rows.join(counts, "meeting").withColumn("chunks", F.ceil(F.col("n") / size).cast("int"))
+    counts = scratch.write(rows.groupBy("meeting").agg(F.count("*").alias("met")).where("met > 1"))
+    rows = rows.join(counts, "meeting").withColumn("chunks", F.ceil(F.col("met") / size).cast("int"))
     rows = rows.withColumn("c", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
     others = F.when(F.col("c") == 0, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.lit(0), F.col("c")))
-    return _tiled(rows.withColumn("others", others).withColumn("label", F.col("doc")))
+    return _tiled(rows.withColumn("others", others).withColumn("label", F.col("doc")), sketches)
 
 
-def _across(rows: DataFrame, scratch: Scratch, size: int):
-    """Deals (doc, fp, least, meeting, label, ...) into tiles that hold every pair of different labels of a meeting.
+def _across(rows: DataFrame, scratch: Scratch, size: int, sketches: DataFrame | None = None):
+    """Deals (doc, meeting, label, ...) into tiles that hold every pair of different labels of a meeting.
 
     A meeting's most frequent label is its core. Whatever has another label is chunked and meets all chunks; two of the
     core never meet, so that a tight group of near copies costs rows in proportion to its size.
     """
     labels = rows.groupBy("meeting", "label").agg(F.count("*").alias("n"))
-    cores = labels.groupBy("meeting").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
-    cores = cores.select("meeting", F.col("top.label").alias("core"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("strays"))
+    cores = labels.groupBy("meeting").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("met"))
+    cores = cores.select("meeting", F.col("top.label").alias("core"), F.col("top.n").alias("inside"), (F.col("met") - F.col("top.n")).alias("strays"))
     rows = rows.join(scratch.write(cores.where("strays > 0")), "meeting")
     stray, deal = F.col("label") != F.col("core"), F.xxhash64("doc")
     first, rest = (F.ceil(F.col(c) / size).cast("int") for c in ("strays", "inside"))
     c = F.when(stray, F.pmod(deal, first)).otherwise(first + F.pmod(deal, rest)).cast("int")
     others = F.sequence(F.lit(0), F.when(stray, first + rest).otherwise(first) - 1)
-    return _tiled(rows.withColumn("c", c).withColumn("others", others))
+    return _tiled(rows.withColumn("c", c).withColumn("others", others), sketches)
+
+
+def _shared(wanted):
+    """(doc, label, meetings) to (doc, label, meetings): those that the broadcast filter may hold."""
 
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
 
-def similar_components(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY, radius: int = COPY_RADIUS) -> DataFrame:
+        from .anchors import in_filter
+
+        for batch in batches:
+            lists = batch.column(2)
+            kept = in_filter(wanted.value, lists.flatten().to_numpy())
+            ends = np.concatenate(([0], np.cumsum(kept)))[np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))]
+            some = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lists.flatten().filter(pa.array(kept)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), some], names=["doc", "label", "meetings"])
+
+    return run
+
+
+def _open(similarity: float):
+    """(meeting, docs) to (doc, label, meeting): the documents of small meetings with another one in it that has another
+    label, a size that allows the similarity, and no least hash in common, under which the two have met already."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            docs, labels, meetings = [], [], []
+            for meeting, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                least, found = [frozenset(m["least"]) for m in members], set()
+                for (i, a), (j, b) in combinations(enumerate(members), 2):
+                    if a["label"] != b["label"] and min(a["n"], b["n"]) >= similarity * max(a["n"], b["n"]) and least[i].isdisjoint(least[j]):
+                        found |= {i, j}
+                docs += [members[i]["doc"] for i in found]
+                labels += [members[i]["label"] for i in found]
+                meetings += [meeting] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (docs, labels, meetings)], names=["doc", "label", "meeting"])
+
+    return run
+
+
+def similar_components(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, component_id) of the documents that have near copies: the smallest id reachable over similar pairs.
 
     A pair is similar if its sets of `shingle`-word shingles have a Jaccard similarity of at least `similarity`. Ids must be
-    integers; rows with a null id or no words are never linked. Documents meet under their least shingle hashes;
-    fingerprints are compared bit-sliced; what is close is fetched and compared by its sets, a pair in its first meeting only.
-    A meeting of more than MEETING documents is compared in part first, then every pair that is not yet in one component.
+    integers; rows with a null id or no words are never linked. Documents meet under their least shingle hashes; what sizes
+    and parity bitmaps don't rule out is fetched and compared by its sets. The first pass takes the MEETINGS least hashes,
+    and of a meeting of more than MEETING documents a part. The second takes whole prefixes, in which every similar pair
+    meets, and compares all pairs that are not yet in one component. No similar pair is lost, but for equal 64-bit hashes.
     """
     from .anchors import filter_bits
 
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), text_or_empty(F.col(text_col)).alias("text"))
-    sketches = scratch.write(texts.mapInArrow(_sketches(shingle), "doc long, fp long, least array<long>"))
-    meetings = sketches.withColumn("meeting", F.explode("least"))
-    known = sketches.dropDuplicates(["doc"])
+    sketches = scratch.write(texts.mapInArrow(_sketches(shingle, similarity), "doc long, n long, bits binary, least array<long>, more array<long>"))
+    meetings = sketches.select("doc", F.explode("least").alias("meeting"))
+    known = sketches.drop("more").dropDuplicates(["doc"])
 
     def compare(tiles, deal, more: list) -> DataFrame:
-        """Links of the tiles' close pairs; deal puts the documents that have one, with their sets, into tiles again."""
-        partners = scratch.write(tiles.applyInArrow(_partners(radius), "doc long, meeting long").distinct())
+        """Links of the tiles' similar pairs; deal puts the documents that may have one, with their sets, into tiles again."""
+        partners = scratch.write(tiles.applyInArrow(_partners(similarity), "doc long, meeting long").distinct())
         wanted = scratch.spark.sparkContext.broadcast(filter_bits(partners, F.col("doc")))
         sets = texts.mapInArrow(_fetch_sets(shingle, wanted), "doc long, shingles binary").groupBy("doc").agg(F.min("shingles").alias("shingles"))
         rows = scratch.write(reduce(lambda d, t: d.join(t, "doc"), [known, *more, sets], partners))
         wanted.destroy()  # the written rows need it no more
-        return scratch.write(deal(rows, scratch, MEETING_WITH_SETS).applyInArrow(_similar(radius, similarity), "a long, b long"))
+        return scratch.write(deal(rows, scratch, MEETING_WITH_SETS).applyInArrow(_similar(similarity), "a long, b long"))
 
-    links = compare(_meet(meetings, scratch, MEETING), _meet, [])
+    links = compare(_meet(meetings, scratch, MEETING, known), _meet, [])
     roots = scratch.write(connected_components(links, scratch))
-    large = scratch.write(meetings.groupBy("meeting").agg(F.count("*").alias("n")).where(F.col("n") > min(MEETING, MEETING_WITH_SETS)).select("meeting"))
-    if not large.isEmpty():  # the pairs that the first pass left out, but for those it has joined
-        labels = known.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("doc", F.coalesce("root", "doc").alias("label"))
-        labels = scratch.write(labels)
-        rows = scratch.write(meetings.join(large, "meeting", "left_semi").join(labels, "doc"))
-        across = compare(_across(rows, scratch, MEETING), _across, [labels])
+    labels = known.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("doc", F.coalesce("root", "doc").alias("label"))
+    labels = scratch.write(labels)
+    # Meetings of several labels that the first pass has not compared whole: large ones and those beyond the least hashes.
+    named = sketches.select("doc", "least", "more").join(labels, "doc")
+    deep = named.select("label", F.explode(F.concat(F.transform("least", lambda h: F.struct(h.alias("meeting"), F.lit(0).alias("deep"))), F.transform("more", lambda h: F.struct(h.alias("meeting"), F.lit(1).alias("deep"))))).alias("k"))
+    mixed = deep.groupBy("k.meeting").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("k.deep").alias("deep"), F.count("*").alias("met"))
+    mixed = scratch.write(mixed.where((F.col("low") < F.col("high")) & ((F.col("deep") > 0) | (F.col("met") > min(MEETING, MEETING_WITH_SETS)))).select("meeting", "met"))
+    if not mixed.isEmpty():
+        wanted = scratch.spark.sparkContext.broadcast(filter_bits(mixed, F.col("meeting")))
+        some = named.select("doc", "label", F.concat("least", "more").alias("meetings")).mapInArrow(_shared(wanted), "doc long, label long, meetings array<long>")
+        some = scratch.write(some.select("doc", "label", F.explode("meetings").alias("meeting")).join(mixed, "meeting"))
+        few = F.col("met") <= min(FEW, MEETING, MEETING_WITH_SETS)
+        small = some.where(few).join(known.select("doc", "n", "least"), "doc").groupBy("meeting").agg(F.collect_list(F.struct("doc", "label", "n", "least")).alias("docs"))
+        small = small.mapInArrow(_open(similarity), "doc long, label long, meeting long")
+        rows = scratch.write(small.unionByName(some.where(~few).select("doc", "label", "meeting")))
+        wanted.destroy()  # the written rows need it no more
+        for done in (mixed, some):
+            scratch.drop(done)
+        across = compare(_across(rows, scratch, MEETING, known), _across, [labels])
         if not across.isEmpty():
             roots = connected_components(links.union(across), scratch)
     return roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))

@@ -200,6 +200,41 @@ def test_ngrams_of_parts_equal_the_whole(monkeypatch):
     assert sorted(grams.values()) == sorted(whole[1].tolist())
 
 
+def jaccard_components(rows):
+    """The smallest id of each component of (id, text) rows by plain sets of five-word shingles."""
+    sets = []
+    for _, t in rows:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    return components(len(rows), pairs)
+
+
+def test_near_copies_of_short_texts_are_all_found(spark):
+    """Pairs at 4 of 5 shingles, some of whose majority fingerprints lie more than 20 bits apart."""
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(1500):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(9)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:8]))]
+    kept = {r.doc_id for r in simhash_dedup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect()}
+    assert kept == set(range(0, len(rows), 2))
+
+
+def test_near_copies_without_a_common_least_hash(spark, monkeypatch):
+    """With one least hash only, every fifth pair at 0.8 meets in the rest of its prefix alone; long and short texts."""
+    monkeypatch.setattr(simhash_dedup, "MEETINGS", 1)
+    monkeypatch.setattr(simhash_dedup, "LONG", 150)
+    rnd = random.Random(12)
+    rows = []
+    for n in [60, 104, 154, 204, 304] * 12:
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+        for cut in (0, (n - 4) // 5, (n - 4) // 5 + 1):
+            rows.append((len(rows), " ".join(words[cut:])))
+    kept = {r.doc_id for r in simhash_dedup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect()}
+    assert kept == set(jaccard_components(rows))
+
+
 def test_license_rules(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files. The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED"
     rows = [(1, mit), (2, "x\nReleased under the MIT License.\nLicensed under the Apache License, Version 2.0."), (3, "You may obtain a copy of the License at"), (4, "nothing")]
