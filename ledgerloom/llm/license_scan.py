@@ -52,12 +52,15 @@ SENTENCES = {
     "spdx-gpl-2": "spdx license identifier gpl 2 0",
     "spdx-gpl-3": "spdx license identifier gpl 3 0",
     "spdx-bsd-3": "spdx license identifier bsd 3 clause",
+    "all-rights": "all rights reserved",
 }
 #: In order: the first rule that matches takes its identifiers. Runs of identifiers, each at least once in this order.
 RULES = [
     ("MIT", ["mit-grant", "mit-notice", "mit-as-is"]),
     ("MIT", ["mit-grant", "mit-notice"]),
     ("ISC", ["isc-grant", "isc-as-is"]),
+    ("BSD-3-Clause", ["all-rights", "bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is"]),
+    ("BSD-2-Clause", ["all-rights", "bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is"]),
     ("Apache-2.0", ["apache-named", "apache-comply", "apache-copy", "apache-as-is"]),
@@ -85,9 +88,10 @@ RULES = [
     ("GPL-2.0", ["spdx-gpl-2"]),
     ("GPL-3.0", ["spdx-gpl-3"]),
     ("BSD-3-Clause", ["spdx-bsd-3"]),
+    ("LicenseRef-Proprietary", ["all-rights"]),
 ]
 #: Every known sentence holds one of these, so that other texts need no normalising.
-TRIGGERS = ["licens", "permi", "warrant", "copyright", "redistribut", "as is"]
+TRIGGERS = ["licens", "permi", "warrant", "copyright", "redistribut", "as is", "reserved"]
 
 
 def _pattern() -> str:

@@ -242,3 +242,25 @@ def test_license_rules(spark):
     assert r == {1: ("MIT", "known"), 2: ("Apache-2.0,MIT", "known"), 3: ("", "partial"), 4: ("", "none")}
     assert all(re.search(license_scan._trigger(), s) for s in license_scan.SENTENCES.values())
     assert {i for _, run in license_scan.RULES for i in run} <= set(license_scan.SENTENCES)
+
+
+def test_every_license_line_of_the_documents(spark):
+    want = {
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "All rights reserved.": "LicenseRef-Proprietary", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    }
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    r = {x.doc_id: set(x.licenses.split(",")) for x in license_scan.scan(docs).collect()}
+    held = {line: [d.doc_id for d in docs.collect() if d.text and line in d.text] for line in want}
+    assert all(held.values()) and all(want[line] in r[i] for line, ids in held.items() for i in ids)
+    known = set().union(*map(set, held.values()))
+    lines = [x for d in docs.collect() for x in (d.text or "").split("\n") if re.search(r"licen[sc]e|rights reserved", x, re.I) and d.doc_id not in known]
+    assert not lines
+
+
+def test_all_rights_reserved_belongs_to_the_license_that_follows(spark):
+    bsd = ["bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is"]
+    text = "Copyright (c) X. All rights reserved. " + ". ".join(license_scan.SENTENCES[i] for i in bsd)
+    rows = [(1, text), (2, "all\n# RIGHTS reserved"), (3, "overall rights reserved")]
+    r = {x.doc_id: (x.licenses, x.status) for x in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert r == {1: ("BSD-2-Clause", "known"), 2: ("LicenseRef-Proprietary", "known"), 3: ("", "none")}
