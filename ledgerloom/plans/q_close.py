@@ -191,6 +191,21 @@ def internal_duplicates(spark, d):
     return C.internal_duplicates(coarse(spark, d)).withColumn("date", F.col("date").cast("string"))
 
 
+#: Amounts of three sizes and years on every branch, so that equal journals of several branches exist.
+WHOLE_SQL = f"""WITH {LINES_SQL.replace('lines AS (', 'all_lines AS (')}, lines AS (SELECT * REPLACE (value // 5000000 * 100 + 1 AS value, date_trunc('year', date)::DATE AS date) FROM all_lines), {LEGS_SQL}"""
+
+
+def coarse_whole(spark, d):
+    return lines(spark, d).withColumns({"value": (F.expr("value div 5000000") * 100 + 1), "date": F.trunc("date", "year"), "remark": F.col("part") % 3})
+
+
+@query("q_internal_duplicates_whole", f"""{WHOLE_SQL}
+SELECT date::VARCHAR AS date, legs, remark, count(*) AS n, min(journal_id) AS first, max(journal_id) AS last FROM legs JOIN heads USING (journal_id) GROUP BY ALL HAVING count(*) > 1""")
+def internal_duplicates_whole(spark, d):
+    """q_internal_duplicates over all branches of a journal; that one and its SQL look at the first branch only."""
+    return C.internal_duplicates(coarse_whole(spark, d)).withColumn("date", F.col("date").cast("string"))
+
+
 @query("q_duplicate_levels", f"""WITH {LINES_SQL.replace('lines AS (', 'all_lines AS (')}, lines AS (SELECT * REPLACE (value // 10000 AS value) FROM all_lines), {LEGS_SQL}, k AS (SELECT DISTINCT journal_id, account, value, date FROM sided JOIN heads USING (journal_id) WHERE value <> 0),
 p AS (SELECT DISTINCT a.journal_id AS new_id, b.journal_id AS old_id, a.date AS nd, b.date AS od FROM k a JOIN k b ON a.account = b.account AND a.value = b.value AND a.journal_id % 2 = 0 AND b.journal_id % 2 = 1 AND abs(date_diff('day', a.date, b.date)) <= 3)
 SELECT new_id, old_id, CASE WHEN nd = od AND a.legs = b.legs THEN 'high' WHEN nd = od THEN 'medium' ELSE 'low' END AS level FROM p JOIN legs a ON a.journal_id = new_id JOIN legs b ON b.journal_id = old_id""")

@@ -83,3 +83,26 @@ def test_profile_hides_values(spark):
     p = {r.field: r for r in U.profile(df).collect()}
     assert (p["t"].non_empty, p["t"].email, p["m.x"].non_empty) == (1, 1, 1)
     assert U.flatten(df).columns == ["t", "m.x"]
+
+
+def test_internal_duplicates_over_all_branches(spark):
+    """The registered query against plain Python over every line; some groups have several branches a journal."""
+    from collections import Counter, defaultdict
+
+    from ledgerloom.plans import catalogue
+    from ledgerloom.plans.adapters import lines
+
+    d = "/root/testdata/sf0.01"
+    journals = defaultdict(list)
+    for r in lines(spark, d).collect():
+        journals[r.journal_id].append(r)
+    groups = defaultdict(list)
+    for j, rows in journals.items():
+        head = min(rows, key=lambda r: r.branch_index)
+        legs = Counter()
+        for r in rows:
+            legs += Counter({(s, a, b, r.value // 5000000): 1 for s, a, b in (("D", r.debit_account, r.debit_sub), ("C", r.credit_account, r.credit_sub))})
+        groups[(f"{head.date.year}-01-01", head.part % 3, frozenset(legs.items()))].append(j)
+    want = {(k[0], k[1], len(v), min(v), max(v)) for k, v in groups.items() if len(v) > 1}
+    got = {(r.date, r.remark, r.n, r["first"], r["last"]) for r in catalogue.QUERIES["q_internal_duplicates_whole"](spark, d).collect()}
+    assert got == want and any(len(journals[r[3]]) > 1 for r in got)
