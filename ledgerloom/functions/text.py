@@ -91,6 +91,17 @@ def merchant_key(c: Column, noise: tuple[str, ...] = ()) -> Column:
     return normalize(t, "n4")
 
 
+def is_truncated(c: Column, marker: str, ascii_only: bool = False) -> Column:
+    """Whether the text, after NFKC, matches a pattern that tells that its name was cut off."""
+    t = F.coalesce(c, F.lit(""))
+    return (t if ascii_only else nfkc(t)).rlike(marker)
+
+
+def percent(c: Column, none: str = "-") -> Column:
+    """A share as per cent text with one place."""
+    return F.coalesce(F.concat(F.format_number(c * 100, 1), F.lit("%")), F.lit(none))
+
+
 def sanitize(c: Column) -> Column:
     """E-mails, phones, card-like numbers and 7 or more digits masked, in this order; null gives ''."""
     t = F.regexp_replace(F.coalesce(c, F.lit("")), "(?U)" + EMAIL, "<EMAIL>")
@@ -121,6 +132,44 @@ def confidence_band(v: Column) -> Column:
     return band(v, CONFIDENCE, "<0.50", "none")
 
 
+SCORE_BANDS = [(95, "95-99"), (90, "90-94"), (85, "85-89"), (80, "80-84"), (70, "70-79")]
+USE_BANDS = [(10, "10+"), (5, "5-9"), (3, "3-4"), (2, "2")]
+AGREEMENT_BANDS = [(1.0, "100%"), (0.8, "80-99%")]
+SHARE_BANDS = [(1.0, "100%"), (0.9, "90-99%"), (0.7, "70-89%"), (0.5, "50-69%")]
+COUNT_BANDS = [(10, "10+"), (5, "5-9"), (2, "2-4")]
+
+
+def stage_band(stage: Column, score: Column) -> Column:
+    """The stage of an exact prediction, the score's band of a fuzzy one."""
+    return F.when(stage.isin("raw_exact", "norm_exact"), stage).otherwise(F.concat(F.lit("fuzzy "), band(score, SCORE_BANDS, "<70", "none")))
+
+
+def use_band(n: Column) -> Column:
+    return band(n, USE_BANDS, "1")
+
+
+def agreement_band(v: Column) -> Column:
+    return band(v, AGREEMENT_BANDS, "<80%")
+
+
+def share_band(v: Column) -> Column:
+    return band(v, SHARE_BANDS, "<50%")
+
+
+def count_band(n: Column) -> Column:
+    return band(n, COUNT_BANDS, "1")
+
+
+def age_band(days: Column) -> Column:
+    """Days since the last use: up to a month, a quarter, a year, and more."""
+    return F.when(days.isNull(), None).when(days <= 31, "<=31").when(days <= 90, "32-90").when(days <= 365, "91-365").otherwise(">365")
+
+
+def leak_counts(c: Column) -> dict[str, Column]:
+    """Per kind, how often an outbound text still holds what masking should have removed."""
+    return {n: F.regexp_count(F.coalesce(c, F.lit("")), F.lit("(?U)" + p)) for n, p in (("email", EMAIL), ("phone", PHONE), ("digits", LONG_DIGITS))}
+
+
 def estimate_tokens(c: Column) -> Column:
     """3.5 ASCII characters or one other character a token, rounded down, and one more."""
     ascii_ = F.length(F.regexp_replace(c, r"[^\x00-\x7F]", ""))

@@ -48,3 +48,47 @@ def require(checks: DataFrame) -> None:
     failed = [f"{r.check}: {r['count']}" for r in checks.where("level = 'error' and result = 'fail'").collect()]
     if failed:
         raise ValueError("checks failed: " + "; ".join(sorted(failed)))
+
+
+def declared_totals(df: DataFrame, totals: DataFrame, name: str) -> DataFrame:
+    """The count against a manifest's (total_count), one row; a missing total fails."""
+    n = df.agg(F.count("*").alias("_n")).unionByName(totals.agg(F.max("total_count").alias("_t")), allowMissingColumns=True).agg(F.max("_n").alias("_n"), F.max("_t").alias("_t"))
+    bad = ~F.coalesce(F.col("_n") == F.col("_t"), F.lit(False))
+    return n.select(F.lit(name).alias("check"), F.lit("error").alias("level"), F.when(bad, "fail").otherwise("pass").alias("result"), F.coalesce(F.abs(F.col("_n") - F.col("_t")), F.lit(0)).cast("long").alias("count"))
+
+
+def _dated(column: str, start: str, end: str) -> Column:
+    """Whether the first ten characters are a date within [start, end]; what is no date is not."""
+    return F.coalesce(F.try_to_date(F.substring(F.col(column).cast("string"), 1, 10)).between(F.lit(start), F.lit(end)), F.lit(False))
+
+
+def journal_checks(journals: DataFrame, totals: DataFrame, start: str, end: str) -> DataFrame:
+    """Load checks of nested journals (id, transaction_date, branches, ...), one row each: count, ids, dates, branches, sides, values.
+
+    Values are taken as texts or numbers, whole numbers only; a side that is missing is not judged.
+    """
+    b = F.coalesce("branches", F.array().cast(journals.schema["branches"].dataType))
+    whole = lambda side: F.forall(b, lambda x: x[side].isNull() | F.coalesce(x[side]["value"].cast("string").rlike(r"^-?\d+$"), F.lit(False)))
+    tests = {
+        "journals: id is there": F.coalesce(F.col("id").cast("string"), F.lit("")) != "", "journals: date within the range": _dated("transaction_date", start, end),
+        "journals: branches are there": F.size(b) > 0, "journals: every branch has a side": F.forall(b, lambda x: x["debitor"].isNotNull() | x["creditor"].isNotNull()),
+        "journals: values are whole numbers": whole("debitor") & whole("creditor"),
+    }
+    return report(declared_totals(journals, totals, "journals: count is the declared total"), unique_ids(journals, ["id"], "journals: ids are unique"), row_checks(journals, tests))
+
+
+def text_typed(schema, column: str) -> DataFrame | None:
+    """Raises if a landed column is not of text, as a link id must be; nothing is read."""
+    kind = schema[column].dataType.typeName()
+    if kind not in ("string", "void"):
+        raise TypeError(f"{column} is {kind}, not text")
+
+
+def line_item_checks(tx: DataFrame, totals: DataFrame, start: str, end: str, statuses: list[str], sides: tuple[str, ...] = SIDES) -> DataFrame:
+    """Load checks of line items (id, date, value, side, journalizing_status, connected_sub_account_id), one row each."""
+    tests = {
+        "line items: id is there": F.coalesce(F.col("id").cast("string"), F.lit("")) != "", "line items: date within the range": _dated("date", start, end),
+        "line items: value is a whole number": F.col("value").cast("string").rlike(r"^-?\d+$"), "line items: known side": F.col("side").isin(*sides),
+        "line items: known status": F.col("journalizing_status").isin(*statuses), "line items: sub-account is there": F.coalesce(F.col("connected_sub_account_id").cast("string"), F.lit("")) != "",
+    }
+    return report(declared_totals(tx, totals, "line items: count is the declared total"), unique_ids(tx, ["id"], "line items: ids are unique"), row_checks(tx, tests))

@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions.text import value_range
+from .ordering import dense_numbers, numbered
 
 
 def prefix_repair(keys: DataFrame, truncated: Column, least: int = 4) -> DataFrame:
     """(key, merchant): a truncated key takes the one full key that begins with it; others and ambiguous ones stay.
 
-    Prefixes of the full keys at the lengths that truncated ones have make it an equi-join.
+    The prefixes of the full keys, from `least` characters on, make it an equi-join.
     """
     k = keys.select("key", truncated.alias("cut")).groupBy("key").agg(F.bool_and("cut").alias("cut"))
-    cut = k.where(F.col("cut") & (F.length("key") >= least)).select("key", F.length("key").alias("len"))
+    cut = k.where(F.col("cut") & (F.length("key") >= least)).select("key")
     full = k.where("not cut").select(F.col("key").alias("full"))
-    lens = cut.select("len").distinct()  # at most the longest key's length
-    pre = full.join(F.broadcast(lens), F.length("full") >= F.col("len")).select("full", F.expr("substring(full, 1, len)").alias("key"))
+    long = full.where(F.length("full") >= least)
+    pre = long.select("full", F.explode(F.sequence(F.lit(least), F.length("full"))).alias("len")).select("full", F.expr("substring(full, 1, len)").alias("key"))
     hit = cut.join(pre, "key").groupBy("key").agg(F.min("full").alias("full"), F.count("*").alias("n")).where("n = 1")
     return k.select("key").join(hit.select("key", "full"), "key", "left").select("key", F.coalesce("full", "key").alias("merchant"))
 
@@ -28,6 +28,7 @@ def review_groups(rows: DataFrame) -> DataFrame:
 
     rows: (transaction_id, routing, merchant, account, amount, date, confidence). The representative is the row of the
     highest confidence, then the earliest (date, id); the order is by routing, account size descending, account, highest confidence, merchant.
+    Ranks are counted within an account, and only accounts meet in one task.
     """
     best = F.struct(F.coalesce(-F.col("confidence"), F.lit(1.0)).alias("c"), "date", "transaction_id")
     g = rows.groupBy("routing", "merchant", "account").agg(
@@ -36,8 +37,8 @@ def review_groups(rows: DataFrame) -> DataFrame:
     )
     sizes = g.groupBy(F.col("account").alias("_account")).agg(F.sum("size").alias("account_size"))
     g = g.join(sizes, F.col("account").eqNullSafe(F.col("_account")))
-    order = W.orderBy("routing", F.desc("account_size"), "account", F.desc("max_confidence"), "merchant")
-    return g.withColumn("rank", F.row_number().over(order)).select("rank", "routing", "merchant", "account", "size", "total", "amount_range", "date_range", F.col("_b.transaction_id").alias("representative"), "account_size")
+    g = numbered(g.withColumn("_size", -F.col("account_size")), ["routing", "_size", "account"], [F.desc("max_confidence"), "merchant"], "rank")
+    return g.select("rank", "routing", "merchant", "account", "size", "total", "amount_range", "date_range", F.col("_b.transaction_id").alias("representative"), "account_size")
 
 
 def expand_decisions(members: DataFrame, groups: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -113,14 +114,17 @@ def internal_duplicates(lines: DataFrame) -> DataFrame:
 
 def duplicate_candidates(new: DataFrame, old: DataFrame, days: int = 3) -> DataFrame:
     """(new_id, old_id, level): high for the same day and legs, medium for the same day and a shared (account, amount), low
-    for up to `days` apart and a shared one. The shared pair is the join key; dates only filter."""
+    for up to `days` apart and a shared one. The shared pair and a span of days + 1 days are the join key: an old journal is in its
+    own span, a new one looks there and in the two beside it, so that a common amount meets a few days of it."""
     def keyed(df, tag):
         one = lambda s: F.struct(F.col(f"{s}_account").alias("account"), F.col("value").alias("amount"))
         heads = df.groupBy("journal_id").agg(F.min(F.struct("branch_index", "date")).alias("h"))
         k = df.select("journal_id", F.explode(F.array(one("debit"), one("credit"))).alias("_k")).where("_k.account is not null and _k.account <> '' and _k.amount <> 0")
         return k.select("journal_id", "_k.account", "_k.amount").distinct().join(heads.select("journal_id", F.col("h.date").alias("date")), "journal_id").select("account", "amount", F.col("journal_id").alias(f"{tag}_id"), F.col("date").alias(f"{tag}_date"))
 
-    pairs = keyed(new, "new").join(keyed(old, "old"), ["account", "amount"]).where(F.abs(F.datediff("new_date", "old_date")) <= days)
+    span = lambda c: F.expr(f"floor(unix_date({c}) / {days + 1})")
+    look = keyed(new, "new").withColumn("span", F.explode(F.array(*(span("new_date") + i for i in (-1, 0, 1)))))
+    pairs = look.join(keyed(old, "old").withColumn("span", span("old_date")), ["account", "amount", "span"]).where(F.abs(F.datediff("new_date", "old_date")) <= days)
     pairs = pairs.select("new_id", "old_id", "new_date", "old_date").distinct()
     a, b = (legs(df).select(F.col("journal_id").alias(f"{t}_id"), F.col("legs").alias(f"{t}_legs")) for df, t in ((new, "new"), (old, "old")))
     p = pairs.join(a, "new_id").join(b, "old_id")
@@ -139,16 +143,17 @@ def near_amounts(left: DataFrame, right: DataFrame, days: int) -> DataFrame:
 
 def transfer_pairs(tx: DataFrame, days: int = 3) -> DataFrame:
     """Line items (id, amount, date, side, account) that have one of equal amount, other side and other account nearby."""
-    other = tx.select("amount", F.col("side").alias("_s"), F.col("account").alias("_a"), F.col("date").alias("_d")).distinct()
-    cond = (tx["amount"] == other["amount"]) & (F.col("side") != F.col("_s")) & (F.col("account") != F.col("_a")) & (F.abs(F.datediff("date", "_d")) <= days)
-    return tx.join(other, cond, "left_semi")
+    # By day and side, the least and largest other account: two of them tell whether one is not the line item's own.
+    daily = tx.groupBy("amount", F.col("side").alias("_s"), F.col("date").alias("_d")).agg(F.min("account").alias("_low"), F.max("account").alias("_high"))
+    at = tx.select("amount", "side", "account", "date").distinct()
+    hit = at.join(daily, "amount").where((F.col("side") != F.col("_s")) & (F.abs(F.datediff("date", "_d")) <= days) & ((F.col("account") != F.col("_low")) | (F.col("account") != F.col("_high"))))
+    return tx.join(hit.select("amount", "side", "account", "date").distinct(), ["amount", "side", "account", "date"], "left_semi").select(*tx.columns)
 
 
 def import_layout(lines: DataFrame) -> DataFrame:
     """Journals renumbered from 1 by their numbers, branches in order, dates with slashes. Numbers are dense over the journals,
-    counted once per journal, so that only ids meet in one window."""
-    order = lines.select("journal_id").distinct().withColumn("no", F.row_number().over(W.orderBy("journal_id")))
-    return lines.join(order, "journal_id").select("no", "branch_index", F.date_format("date", "yyyy/MM/dd").alias("date"), "debit_account", "debit_sub", "credit_account", "credit_sub", "value", "tax_value")
+    counted in ranges of ids (see ordering)."""
+    return lines.join(dense_numbers(lines, "journal_id"), "journal_id").select("no", "branch_index", F.date_format("date", "yyyy/MM/dd").alias("date"), "debit_account", "debit_sub", "credit_account", "credit_sub", "value", "tax_value")
 
 
 def line_diff(a: DataFrame, b: DataFrame, key: list[str], fields: list[str]) -> DataFrame:
@@ -163,8 +168,8 @@ def line_diff(a: DataFrame, b: DataFrame, key: list[str], fields: list[str]) ->
 
 def catalog_codes(accounts: DataFrame) -> DataFrame:
     """Available accounts coded A001, A002, ... by group, category and name; missing parts sort as empty."""
-    w = W.orderBy(*(F.coalesce(c, F.lit("")) for c in ("account_group", "category", "name")), "account_id")
-    return accounts.where("available").withColumn("code", F.format_string("A%03d", F.row_number().over(w)))
+    a = accounts.where("available").withColumns({f"_{c}": F.coalesce(c, F.lit("")) for c in ("account_group", "category", "name")})
+    return numbered(a, ["_account_group", "_category"], ["_name", "account_id"], "_no").withColumn("code", F.format_string("A%03d", "_no")).drop("_no", "_account_group", "_category", "_name")
 
 
 OVERRIDE_ACTIONS = ("exclude", "set_account", "set_counter_sub_account", "confirm_refund", "merged_into")

@@ -60,7 +60,8 @@ def snapshots_before(obs: DataFrame, block: str = "day") -> DataFrame:
 
     n, last_*, run (length of the last stretch of one label), previous (the label before it), change_day, since_complex
     (observations since the last complex one, n if none), any_complex, all_complex, distinct_labels, tail (last five labels),
-    first_day, fy_count, bands, sides and accounts seen.
+    first_day; bands and accounts seen where obs has value and account, sides seen where it has side. See year_modes_before for
+    the years of a history.
     """
     b = obs.withColumn("block", _block(block))
     seq = W.partitionBy("content").orderBy("day", "id")
@@ -85,12 +86,30 @@ def snapshots_before(obs: DataFrame, block: str = "day") -> DataFrame:
             "last_account": F.col("account"), "accounts": F.collect_set("account").over(upto),
             "last_band": amount_band(F.col("value")), "bands": F.collect_set(amount_band(F.col("value"))).over(upto),
         }
+    if "side" in obs.columns:
+        state |= {"last_side": F.col("side"), "sides": F.collect_set("side").over(upto)}
     s = s.select("content", "block", "day", "id", F.struct(*(c.alias(k) for k, c in state.items())).alias("state"))
     ends = s.groupBy("content", "block").agg(F.max_by("state", F.struct("day", "id")).alias("state"))
     blocks = W.partitionBy("content").orderBy("block")
     return ends.select("content", "block", F.lag("state").over(blocks).alias("state")).where("state is not null").select("content", "block", "state.*")
 
 
+def year_modes_before(obs: DataFrame, block: str = "day") -> DataFrame:
+    """(content, block, fy_count, fy_label_change): in how many years a content occurs before each of its blocks, and whether
+    the most used label (ties to the one used first) is not the same in all of them.
+
+    Counts are made per block and year first; a content's blocks times its (year, label) pairs are what the windows run over.
+    """
+    b = obs.withColumn("block", _block(block))
+    use = b.groupBy("content", "fy", "label", "block").agg(F.count("*").alias("c"), F.min(F.struct("day", "id")).alias("first"))
+    grid = use.select("content", "block").distinct().join(use.select("content", "fy", "label").distinct(), "content")
+    grid = grid.join(use, ["content", "fy", "label", "block"], "left")
+    past = W.partitionBy("content", "fy", "label").orderBy("block").rangeBetween(W.unboundedPreceding, -1)
+    seen = grid.select("content", "block", "fy", "label", F.sum("c").over(past).alias("n"), F.min("first").over(past).alias("first")).where("n is not null")
+    top = seen.groupBy("content", "block", "fy").agg(F.min(F.struct((-F.col("n")).alias("m"), "first", "label")).alias("top"))
+    return top.groupBy("content", "block").agg(F.count("*").alias("fy_count"), (F.count_distinct("top.label") > 1).alias("fy_label_change"))
+
+
 def tail_mode(tail, k: int):
     """Most frequent of the last k of a tail, ties to the latest."""
     t = F.slice(tail, F.greatest(F.size(tail) - k + 1, F.lit(1)), k)
@@ -128,3 +147,58 @@ def label_counts_at(keyed: DataFrame, asked: DataFrame) -> DataFrame:
     out = past.groupBy("match", "day").agg(F.max_by("label", F.struct("n", "last")).alias("mode"), F.sum("n").alias("hist_n"), F.max("n").alias("mode_n"), F.max("last").alias("_l"), top.alias("_t"))
     labels = F.array_join(F.transform("_t", lambda x: F.concat(x["label"], F.lit(":"), (-x["m"]).cast("string"))), ",")
     return out.select("match", "day", "mode", "hist_n", "mode_n", F.col("_l._d").alias("last_day"), labels.alias("labels"))
+
+
+def content_years(obs: DataFrame) -> DataFrame:
+    """(content, count, years, fy_label_change): in how many years each content occurs, and whether its most used label (ties to
+    the one used first) changes between them."""
+    use = obs.groupBy("content", "fy", "label").agg(F.count("*").alias("n"), F.min(F.struct("day", "id")).alias("first"))
+    top = use.groupBy("content", "fy").agg(F.min(F.struct((-F.col("n")).alias("m"), "first", "label")).alias("top"), F.sum("n").alias("n"))
+    return top.groupBy("content").agg(F.sum("n").alias("count"), F.count("*").alias("years"), (F.count_distinct("top.label") > 1).alias("fy_label_change"))
+
+
+def labels_by_year(obs: DataFrame) -> DataFrame:
+    """(content, fy, labels): each year's histogram of a content's labels, as 'label:n' texts, most used first, ties to the first used."""
+    use = obs.groupBy("content", "fy", "label").agg(F.count("*").alias("n"), F.min(F.struct("day", "id")).alias("first"))
+    order = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "first", "label")))
+    return use.groupBy("content", "fy").agg(F.array_join(F.transform(order, lambda x: F.concat(x["label"], F.lit(":"), (-x["m"]).cast("string"))), ",").alias("labels"))
+
+
+def window_stats(obs: DataFrame, sizes: tuple = (None, 10, 5, 3, 2)) -> DataFrame:
+    """(content, window, n, mode, agreement, changed) of each content's last k observations by (day, id); window 0 is all of them.
+
+    mode is the most used label, ties to the one used last; changed tells whether the window has several labels. A content's
+    last observations are ranked; at most the largest k of them are kept for the windows, all of them only as counts.
+    """
+    most = max(k for k in sizes if k)
+    rank = F.row_number().over(W.partitionBy("content").orderBy(F.desc("day"), F.desc("id")))
+    last = obs.select("content", "label", "day", "id", rank.alias("_r")).where(F.col("_r") <= most)
+    windows = F.explode(F.array(*(F.lit(k) for k in sizes if k)))
+    part = last.withColumn("window", windows).where("_r <= window").groupBy("content", "window", "label").agg(F.count("*").alias("n"), F.max(F.struct("day", "id")).alias("last"))
+    if None in sizes:
+        whole = obs.groupBy("content", F.lit(0).alias("window"), "label").agg(F.count("*").alias("n"), F.max(F.struct("day", "id")).alias("last"))
+        part = part.unionByName(whole)
+    g = part.groupBy("content", "window").agg(F.sum("n").alias("n"), F.max(F.struct("n", "last", "label")).alias("top"), F.count("*").alias("labels"))
+    return g.select("content", "window", "n", F.col("top.label").alias("mode"), F.round(F.col("top.n") / F.col("n"), 4).alias("agreement"), (F.col("labels") > 1).alias("changed"))
+
+
+def window_report(stats: DataFrame) -> DataFrame:
+    """By window: contents with several observations, their mean agreement, how many agree in full, have changed, or have another
+    mode than over all observations."""
+    whole = stats.where("window = 0").select("content", F.col("n").alias("_n"), F.col("mode").alias("_mode")).where("_n >= 2")
+    s = stats.join(whole, "content")
+    return s.groupBy("window").agg(
+        F.count("*").alias("contents"), F.round(F.avg("agreement"), 4).alias("agreement"), F.count_if(F.col("agreement") == 1).alias("unanimous"),
+        F.count_if("changed").alias("changed"), F.count_if(F.col("mode") != F.col("_mode")).alias("other_mode"),
+    )
+
+
+def mode_changes(obs: DataFrame, year: int) -> DataFrame:
+    """One row: contents of a year with a past, and how many have another most used label in it (ties to the first used) than in
+    their past (ties to the last used)."""
+    past = obs.where(F.col("fy") < year).groupBy("content", "label").agg(F.count("*").alias("n"), F.max(F.struct("day", "id")).alias("last"))
+    past = past.groupBy("content").agg(F.max(F.struct("n", "last", "label")).alias("p"))
+    now = obs.where(F.col("fy") == year).groupBy("content", "label").agg(F.count("*").alias("n"), F.min(F.struct("day", "id")).alias("first"))
+    now = now.groupBy("content").agg(F.min(F.struct((-F.col("n")).alias("m"), "first", "label")).alias("q"))
+    both = now.join(past, "content")
+    return both.agg(F.count("*").alias("contents"), F.count_if(F.col("p.label") != F.col("q.label")).alias("changed"))

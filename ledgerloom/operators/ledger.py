@@ -105,9 +105,11 @@ def resolve_bank(linked: DataFrame, nets: DataFrame, master: DataFrame | None =
         out = out.join(master.select("connected_sub_account_id", F.struct(F.col("account"), F.col("sub")).alias("_m")), "connected_sub_account_id", "left")
     else:
         out = out.withColumn("_m", F.lit(None).cast("struct<account:string,sub:bigint>"))
-    keys = nets.groupBy("journal_id").agg(F.collect_set(F.struct("account", "sub")).alias("_keys"))  # a journal's accounts
-    out = out.join(keys, "journal_id", "left")
-    has = lambda c: F.col(c).isNotNull() & F.array_contains("_keys", F.col(c))
+    # One join with the journals' nets tells which of the three keys a journal has.
+    here = lambda c: F.bool_or(F.coalesce(F.col("account").eqNullSafe(F.col(f"{c}.account")) & F.col("sub").eqNullSafe(F.col(f"{c}.sub")) & F.col(c).isNotNull(), F.lit(False))).alias(f"_has{c}")
+    asked = out.select("transaction_id", "journal_id", "_a", "_b", "_m").join(nets.select("journal_id", "account", "sub"), "journal_id")
+    out = out.join(asked.groupBy("transaction_id").agg(*map(here, ("_a", "_b", "_m"))), "transaction_id", "left")
+    has = lambda c: F.coalesce(F.col(f"_has{c}"), F.lit(False))
     method = F.when(has("_a"), "fy_sub_account_map").when(has("_b"), "fy_service_map").when(F.col("_n") == 1, "journal_amount").when(has("_m"), "current_master").otherwise("unresolved")
     key = F.when(has("_a"), F.col("_a")).when(has("_b"), F.col("_b")).when(F.col("_n") == 1, F.col("_c")).when(has("_m"), F.col("_m"))
     return out.select(*linked.columns, method.alias("bank_method"), key["account"].alias("bank_account"), key["sub"].alias("bank_sub"))
@@ -169,3 +171,16 @@ def pair_stats(tx: DataFrame, pairs: DataFrame) -> DataFrame:
     s = j.agg(F.countDistinct("transaction_id").alias("transactions_linked"), F.count("*").alias("journals_linked"), F.count_if(F.col("b") > 1).alias("multi_branch_journals"), F.count_if("m").alias("amount_matches_tx"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
     t = tx.agg(F.count("*").alias("transactions"))  # two single rows
     return t.join(s, F.lit(True)).withColumn("link_rate", rate(F.col("transactions_linked"), F.col("transactions")))
+
+
+def enrich_line_items(tx: DataFrame, connected: DataFrame, journals: DataFrame, terms: DataFrame) -> DataFrame:
+    """tx (transaction_id, date, connected_sub_account_id, ...) with the names of its connected account, its term, and
+    linked_journal_count, 0 if none.
+
+    connected: (connected_sub_account_id, ...), of equal ids the last by all its columns; journals: (transaction_id, journal_id).
+    """
+    names = [c for c in connected.columns if c != "connected_sub_account_id"]
+    dim = connected.groupBy("connected_sub_account_id").agg(F.max(F.struct(*names)).alias("_c")).select("connected_sub_account_id", *(F.col(f"_c.{c}").alias(c) for c in names))
+    links = journals.where("transaction_id is not null").groupBy("transaction_id").agg(F.count_distinct("journal_id").alias("_n"))
+    out = tx.join(dim, "connected_sub_account_id", "left").join(links, "transaction_id", "left").withColumn("linked_journal_count", F.coalesce("_n", F.lit(0))).drop("_n")
+    return with_term(out, terms)

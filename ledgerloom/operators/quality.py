@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +32,103 @@ def line_item_quality(tx: DataFrame) -> DataFrame:
     return n.withColumns({"linked_rate": rate(F.col("linked"), F.col("transactions")), "amount_match_rate": rate(F.col("amount_match"), F.col("linked")), "content_rate": rate(F.col("content_present"), F.col("transactions"))})
 
 
+OPENING = "JOURNAL_TYPE_OPENING"
+JOURNALIZED = ("registered", "modified", "new_voucher_attached")
+
+
+def has_partner(branches: Column) -> Column:
+    """Whether any side of any branch names a trade partner, by code or name."""
+    named = lambda side: (F.coalesce(side["trade_partner_code"], F.lit("")) != "") | (F.coalesce(side["trade_partner_name"], F.lit("")) != "")
+    none = F.lit(False)
+    return F.coalesce(F.exists(branches, lambda b: F.coalesce(named(b["debitor"]), none) | F.coalesce(named(b["creditor"]), none)), none)
+
+
+def bank_side_net(journals: DataFrame, tx: DataFrame) -> DataFrame:
+    """(transaction_id, net): what all journals of a line item move on its bank side, null-safe in the sub-account.
+
+    journals: (transaction_id, branches); tx: (transaction_id, side, bank_sub). Spending counts credit less debit, income the other way.
+    """
+    b = journals.where("transaction_id is not null").select("transaction_id", F.explode("branches").alias("b"))
+    side = lambda s, sign: F.struct(F.col(f"b.{s}.sub_account_id").alias("sub"), (F.lit(sign) * F.coalesce(F.col(f"b.{s}.value"), F.lit(0))).alias("v"))
+    legs = b.select("transaction_id", F.explode(F.array(side("debitor", 1), side("creditor", -1))).alias("l")).groupBy("transaction_id", "l.sub").agg(F.sum("l.v").alias("v"))
+    t = tx.select("transaction_id", "side", "bank_sub").join(legs, "transaction_id")
+    signed = F.when(F.col("side") == "EXPENSE", -F.col("v")).otherwise(F.col("v"))
+    return t.groupBy("transaction_id").agg(F.sum(F.when(F.col("sub").eqNullSafe(F.col("bank_sub")), signed).otherwise(0)).alias("net"))
+
+
+def journal_quality(journals: DataFrame, tx: DataFrame) -> DataFrame:
+    """Metrics of journals by fiscal year and in total. journals: (journal_id, fiscal_year, entered_by, transaction_id, branches);
+    opening entries count only in journals_total."""
+    known = tx.select("transaction_id").distinct().withColumn("_known", F.lit(True))
+    j = journals.join(known, "transaction_id", "left")
+    normal = ~F.coalesce(F.col("entered_by") == OPENING, F.lit(False))
+    linked = normal & (F.coalesce(F.col("transaction_id").cast("string"), F.lit("")) != "")
+    remark = normal & F.coalesce(F.exists("branches", lambda b: F.coalesce(b["remark"], F.lit("")) != ""), F.lit(False))
+    partner = normal & has_partner(F.col("branches"))
+    n = with_total(
+        j, "fiscal_year", F.count("*").alias("journals_total"), F.count_if(normal).alias("journals_normal"), F.count_if(linked).alias("journals_with_transaction_id"),
+        F.count_if(linked & F.col("_known")).alias("journals_with_transaction_id_matched"), F.count_if(normal & (F.size(F.coalesce("branches", F.array().cast(journals.schema["branches"].dataType))) > 1)).alias("journals_multi_branch"),
+        F.count_if(remark).alias("journals_with_remark"), F.count_if(partner).alias("journals_with_trade_partner"),
+    )
+    return n.withColumns({"journals_with_remark_rate": rate(F.col("journals_with_remark"), F.col("journals_normal")), "journals_with_trade_partner_rate": rate(F.col("journals_with_trade_partner"), F.col("journals_normal"))})
+
+
+def transaction_quality(journals: DataFrame, tx: DataFrame) -> DataFrame:
+    """Metrics of line items by fiscal year and in total. tx: (transaction_id, fiscal_year, content, side, value, status, bank_sub);
+    how often a content occurs is counted over all years, a repeated one once per year in content_repeated_distinct."""
+    c = F.trim(F.coalesce("content", F.lit("")))
+    seen = tx.where(c != "").groupBy(c.alias("_c")).agg(F.count("*").alias("_n"))
+    links = journals.where("transaction_id is not null").groupBy("transaction_id").agg(F.count("*").alias("_journals"))
+    t = tx.withColumn("_c", c).join(seen, "_c", "left").join(links, "transaction_id", "left").join(bank_side_net(journals, tx), "transaction_id", "left")
+    linked, made = F.col("_journals").isNotNull(), F.coalesce(F.col("status").isin(*JOURNALIZED), F.lit(False))
+    filled = F.col("_c") != ""
+    n = with_total(
+        t, "fiscal_year", F.count("*").alias("transactions"), F.count_if(made).alias("transactions_journalized"), F.count_if(linked).alias("transactions_linked"),
+        F.count_if(made & linked).alias("_made_linked"), F.count_if(F.col("_journals") > 1).alias("transactions_multi_journal"),
+        F.count_if(linked & F.coalesce(F.col("net") == F.col("value"), F.lit(False))).alias("transactions_amount_match"), F.count_if(filled).alias("content_present"), F.count_if(~filled).alias("content_empty"),
+        F.count_if(F.col("_n") > 1).alias("content_repeated_rows"), F.count_distinct(F.when(F.col("_n") > 1, F.col("_c"))).alias("content_repeated_distinct"), F.count_if(F.col("_n") == 1).alias("content_unique_rows"),
+    )
+    return n.withColumns({
+        "transactions_linked_rate": rate(F.col("transactions_linked"), F.col("transactions")), "transactions_linked_rate_of_journalized": rate(F.col("_made_linked"), F.col("transactions_journalized")),
+        "transactions_amount_match_rate": rate(F.col("transactions_amount_match"), F.col("transactions_linked")), "content_present_rate": rate(F.col("content_present"), F.col("transactions")),
+    }).drop("_made_linked")
+
+
+def year_counts(df: DataFrame, column: str, metric: str) -> DataFrame:
+    """(fiscal_year, metric, value, n): a histogram by year and in total, a missing value as the text None."""
+    d = df.where("fiscal_year is not null").withColumn("_v", F.coalesce(F.col(column).cast("string"), F.lit("None")))
+    total = d.groupBy("_v").agg(F.count("*").alias("n")).withColumn("fiscal_year", F.lit("total"))
+    years = d.groupBy(F.col("fiscal_year").cast("string").alias("fiscal_year"), "_v").agg(F.count("*").alias("n"))
+    return years.unionByName(total).select("fiscal_year", F.lit(metric).alias("metric"), F.col("_v").alias("value"), "n")
+
+
+def quality_metrics(journals: DataFrame, tx: DataFrame) -> DataFrame:
+    """All metrics, one row a year and the total: those of journals beside those of line items."""
+    return journal_quality(journals, tx).join(transaction_quality(journals, tx), "fiscal_year", "full")
+
+
+def pivot_report(metrics: DataFrame, rows: list[tuple[str, str | None, str | None]], years: list[str]) -> DataFrame:
+    """(row, label, <year>...): metrics (fiscal_year, ...) with the years across, as texts: counts with thousands separators, a rate
+    in per cent beside its count, "-" for neither. rows: (label, metric, rate), in order; years as fiscal_year has them."""
+    count = lambda m: F.format_number(F.col(m).cast("long"), 0)
+    share = lambda m: F.concat(F.format_number(F.col(m) * 100, 1), F.lit("%"))
+    cells = []
+    for i, (label, metric, ratio) in enumerate(rows):
+        if metric and ratio:
+            text = F.when(F.col(ratio).isNull(), count(metric)).otherwise(F.concat(count(metric), F.lit(" ("), share(ratio), F.lit(")")))
+        else:
+            text = count(metric) if metric else share(ratio)
+        cells.append(F.struct(F.lit(i).alias("row"), F.lit(label).alias("label"), F.coalesce(text, F.lit("-")).alias("text")))
+    long = metrics.select("fiscal_year", F.explode(F.array(*cells)).alias("_c")).select("fiscal_year", "_c.*")
+    return long.groupBy("row", "label").pivot("fiscal_year", years).agg(F.first("text")).fillna("-")
+
+
+def markdown(report: DataFrame, years: list[str]) -> str:
+    """A pivoted report, some dozen rows, as a markdown table."""
+    head = "| metric | " + " | ".join(years) + " |\n|---|" + "---:|" * len(years)
+    return "\n".join([head, *("| " + " | ".join([r.label, *(r[y] for y in years)]) + " |" for r in report.orderBy("row").collect())])
+
+
 def long_form(df: DataFrame, by: str, metrics: list[str]) -> DataFrame:
     return df.select(by, F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics))).alias("_m")).select(by, "_m.*")
 
@@ -47,22 +146,67 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(".".join(f"`{p}`" for p in path.split("."))).alias(path) for path, _ in _paths(df.schema)))
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """By leaf field: type, present, non_empty, and how many texts hold an e-mail, a phone number or 7 digits. One pass."""
-    leaves = list(_paths(df.schema))
-    ref = lambda p: F.col(".".join(f"`{x}`" for x in p.split(".")))
+def _leaves(schema: T.StructType, prefix: str = "", lists: tuple = ()):
+    """(path, type, arrays to enter on the way): arrays are entered, their elements' fields follow after []."""
+    for f in schema.fields:
+        yield from _leaf(f.dataType, prefix + f.name, lists)
+
+
+def _leaf(kind: T.DataType, path: str, lists: tuple):
+    if isinstance(kind, T.ArrayType):
+        yield path, kind, lists
+        yield from _leaf(kind.elementType, path + "[]", (*lists, path))
+    elif isinstance(kind, T.StructType):
+        yield from _leaves(kind, path + ".", lists)
+    else:
+        yield path, kind, lists
+
+
+def profile(df: DataFrame, date_field: str | None = None) -> DataFrame:
+    """By field: type, present, non_empty, how many texts hold an e-mail, a phone number or 7 digits, and for date_field the
+    first and last date. Objects and arrays are entered; an array counts itself, and its elements under "[]". Each level of
+    arrays is one pass."""
+    leaves = list(_leaves(df.schema))
+    parts: dict[tuple, list] = {}
+    for leaf in leaves:
+        parts.setdefault(leaf[2], []).append(leaf)
+    out = []
+    for lists, fields in parts.items():
+        rows, names = df, {}
+        for i, array in enumerate(lists):
+            rows = rows.withColumn(f"_in{i}", F.explode(_field(array, names)))
+            names[array + "[]"] = f"_in{i}"
+        out.append(_profile_level(rows, [(p, t, _field(p, names)) for p, t, _ in fields], date_field))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _field(path: str, names: dict[str, str]) -> Column:
+    """The column of a path whose arrays are exploded into the named columns."""
+    base = max((a for a in names if path.startswith(a)), key=len, default="")
+    rest = path[len(base) :].lstrip(".")
+    quoted = [f"`{p}`" for p in ([names[base]] if base else []) + (rest.split(".") if rest else [])]
+    return F.col(".".join(quoted))
+
+
+def _profile_level(df: DataFrame, leaves: list, date_field: str | None) -> DataFrame:
     aggs = []
-    for i, (p, t) in enumerate(leaves):
-        c = ref(p)
+    for i, (p, t, c) in enumerate(leaves):
         empty = c.isNull() | ((c == "") if isinstance(t, T.StringType) else (F.size(c) == 0) if isinstance(t, T.ArrayType) else F.lit(False))
         text = c if isinstance(t, T.StringType) else F.lit(None).cast("string")
-        hits = [F.count_if(text.rlike("(?U)" + r)).alias(n) for n, r in (("email", EMAIL), ("phone", PHONE_LOOSE), ("digits", LONG_DIGITS))]
-        aggs += [F.count("*").alias(f"{i}_present"), F.count_if(~empty).alias(f"{i}_non_empty"), *(h.alias(f"{i}_{n}") for h, n in zip(hits, ("email", "phone", "digits"), strict=True))]
+        hits = [F.count_if(text.rlike("(?U)" + r)).alias(f"{i}_{n}") for n, r in (("email", EMAIL), ("phone", PHONE_LOOSE), ("digits", LONG_DIGITS))]
+        day = F.substring(c.cast("string"), 1, 10) if p == date_field else F.lit(None).cast("string")
+        aggs += [F.count("*").alias(f"{i}_present"), F.count_if(~empty).alias(f"{i}_non_empty"), *hits, F.min(day).alias(f"{i}_first"), F.max(day).alias(f"{i}_last")]
     one = df.agg(*aggs)
-    rows = [F.struct(F.lit(p).alias("field"), F.lit(t.simpleString()).alias("type"), *(F.col(f"{i}_{n}").alias(n) for n in ("present", "non_empty", "email", "phone", "digits"))) for i, (p, t) in enumerate(leaves)]
+    columns = ("present", "non_empty", "email", "phone", "digits", "first", "last")
+    rows = [F.struct(F.lit(p).alias("field"), F.lit(t.simpleString()).alias("type"), *(F.col(f"{i}_{n}").alias(n) for n in columns)) for i, (p, t, _) in enumerate(leaves)]
     return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
+def summary_text(profiled: DataFrame) -> str:
+    """A profile, one line a field, as text; it holds counts and dates only."""
+    return "\n".join(f"{r.field}: {r.type}, {r.non_empty}/{r.present}" + (f", {r['first']} to {r['last']}" if r["first"] else "") for r in profiled.orderBy("field").collect())
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Histogram of an enumeration, a missing value as the text None."""
     return df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit("None")).alias("value")).agg(F.count("*").alias("n"))

@@ -18,8 +18,10 @@ MODEL_LAYERS = ("A", "B", "C", "C+D", "D")
 
 def history_features(obs: DataFrame) -> DataFrame:
     """As-of features of each observation's content; only hist_n and the band without a history."""
-    h = H.snapshots_before(H.usable(obs))
+    o = H.usable(obs)
+    h = H.snapshots_before(o).join(H.year_modes_before(o), ["content", "block"], "left")
     t = obs.withColumn("block", F.unix_date("day")).join(h, ["content", "block"], "left")
+    sides = [F.array_contains("sides", F.col("side")).alias("side_seen")] if "side" in obs.columns else []
     band = amount_band(F.col("value"))
     tail = lambda k: F.when(F.col("n") >= k, F.col("run") >= k).alias(f"tail{k}_same")
     return t.select(
@@ -27,7 +29,7 @@ def history_features(obs: DataFrame) -> DataFrame:
         F.datediff("last_day", "first_day").alias("hist_span_days"), "distinct_labels", "last_label", tail(2), tail(3), tail(5),
         F.array_contains("bands", band).alias("band_seen"), (band == F.col("last_band")).alias("band_same_as_last"),
         F.array_contains("accounts", F.col("account")).alias("account_seen"), (F.col("account") == F.col("last_account")).alias("account_same_as_last"),
-        F.col("any_complex").alias("past_complex"),
+        F.col("any_complex").alias("past_complex"), *sides, "fy_label_change", F.col("fy_count").alias("hist_fy_count"),
     )
 
 
@@ -85,3 +87,68 @@ def stratified_sample(df: DataFrame, strata: list[str], n: int, key: Column) ->
 
     ranked = df.withColumn("_k", key).withColumn("_r", F.row_number().over(W.partitionBy(*strata).orderBy("_k")))
     return ranked.where(F.col("_r") <= n).orderBy("_r", *strata).limit(n).drop("_k", "_r")
+
+
+def compare_models(items: DataFrame) -> DataFrame:
+    """One row a (a_right, b_right, same) with n; items: (a, b, label), the choices of two models and the answer. A choice that is
+    missing is not right and not the same as anything."""
+    right = lambda c: F.coalesce(F.col(c) == F.col("label"), F.lit(False))
+    return items.groupBy(right("a").alias("a_right"), right("b").alias("b_right"), F.coalesce(F.col("a") == F.col("b"), F.lit(False)).alias("same")).agg(F.count("*").alias("n"))
+
+
+def join_answers(a: DataFrame, b: DataFrame, answers: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """(key, a, a_confidence, b, b_confidence, label) of the items that both models and the answers have; a, b: (key, choice, confidence)."""
+    left = a.select(key, F.col("choice").alias("a"), F.col("confidence").alias("a_confidence"))
+    right = b.select(key, F.col("choice").alias("b"), F.col("confidence").alias("b_confidence"))
+    return left.join(right, key).join(answers.select(key, "label"), key)
+
+
+def ensembles(items: DataFrame, least: float = 0.7) -> DataFrame:
+    """By ensemble (both agree, only a, only b): n, coverage and accuracy at a least confidence; items as join_answers gives them."""
+    sure = lambda c: F.coalesce(F.col(f"{c}_confidence") >= least, F.lit(False))
+    right = lambda c: F.coalesce(F.col(c) == F.col("label"), F.lit(False))
+    parts = {"both": (sure("a") & sure("b") & F.coalesce(F.col("a") == F.col("b"), F.lit(False)), right("a")), "a": (sure("a"), right("a")), "b": (sure("b"), right("b"))}
+    one = F.explode(F.array(*(F.struct(F.lit(k).alias("ensemble"), took.alias("took"), (took & ok).alias("ok")) for k, (took, ok) in parts.items())))
+    g = items.select(one.alias("_e")).groupBy("_e.ensemble").agg(F.count("*").alias("_all"), F.count_if("_e.took").alias("n"), F.count_if("_e.ok").alias("_ok"))
+    return g.select("ensemble", "n", rate(F.col("n"), F.col("_all")).alias("coverage"), rate(F.col("_ok"), F.col("n")).alias("accuracy"))
+
+
+def category_report(items: DataFrame) -> DataFrame:
+    """Accuracy by category, which overlap, and by layer, which don't: (kind, value, n, accuracy); items: categories, layer, ok."""
+    by_category = items.select(F.lit("category").alias("kind"), F.explode("categories").alias("value"), "ok")
+    both = by_category.unionByName(items.select(F.lit("layer").alias("kind"), F.col("layer").alias("value"), "ok"))
+    return both.groupBy("kind", "value").agg(F.count("*").alias("n"), rate(F.count_if("ok"), F.count("*")).alias("accuracy"))
+
+
+def simulate(items: DataFrame, thresholds: list[float]) -> DataFrame:
+    """Automation by threshold and mode: (least, mode, auto, coverage, accuracy, errors).
+
+    items: (high_confidence, rule_ok, model_label, conf, needs_review, agree, model_ok). Modes: model (rules where sure, else the
+    model at the threshold), unflagged (and without its review flag), agreed (and only where it agrees with the rules).
+    """
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    at = items.withColumn("least", F.explode(F.array(*map(F.lit, thresholds))))
+    sure = F.col("model_label").isNotNull() & (F.col("conf") >= F.col("least"))
+    modes = {"model": sure, "unflagged": sure & F.col("needs_review").eqNullSafe(F.lit(False)), "agreed": sure & yes("agree")}
+    at = at.withColumn("_m", F.explode(F.array(*(F.struct(F.lit(k).alias("mode"), F.coalesce(c, F.lit(False)).alias("took")) for k, c in modes.items()))))
+    rule = yes("high_confidence")
+    auto = rule | F.col("_m.took")
+    ok = F.when(rule, yes("rule_ok")).otherwise(F.col("_m.took") & yes("model_ok"))
+    g = at.groupBy("least", "_m.mode").agg(F.count("*").alias("_n"), F.count_if(auto).alias("auto"), F.count_if(ok).alias("_ok"))
+    return g.select("least", "mode", "auto", rate(F.col("auto"), F.col("_n")).alias("coverage"), rate(F.col("_ok"), F.col("auto")).alias("accuracy"), (F.col("auto") - F.col("_ok")).alias("errors"))
+
+
+def build_items(preds: DataFrame, features: DataFrame, results: DataFrame, key: str = "id") -> DataFrame:
+    """Predictions (classified, with their label) beside as-of features and model results, judged: model_label, conf,
+    needs_review, insufficient, account_seen, rule_valid, rule_ok, model_ok, agree.
+
+    Every prediction stays; without a feature or a result its columns are null. A rule is valid where it predicts and the row
+    isn't in the category without candidates.
+    """
+    no = lambda c: F.coalesce(c, F.lit(False))
+    p = preds.join(features.select(key, "account_seen"), key, "left").join(results.select(key, "model_label", "conf", "needs_review", "insufficient"), key, "left")
+    p = p.withColumn("high_confidence", no(F.col("high_confidence"))).withColumn("rule_valid", F.col("pred").isNotNull() & ~F.array_contains("categories", CATEGORIES["A"]))
+    return p.withColumns({
+        "rule_ok": no(F.col("rule_valid") & (F.col("pred") == F.col("label"))), "model_ok": no(F.col("model_label") == F.col("label")),
+        "agree": no(F.col("rule_valid") & (F.col("pred") == F.col("model_label"))),
+    })

@@ -122,7 +122,7 @@ def _modes(keyed: DataFrame, by: str) -> DataFrame:
 def static_predictions(history: DataFrame, targets: DataFrame, level: str = "n4", ascii_only: bool = False) -> DataFrame:
     """Targets against a fixed history: raw, then normalized, then the most similar key; targets do not join it.
 
-    Adds stage, pred, score, hist_n, agreement, and account_seen: whether the exact history has the target's account, null
+    Adds stage, pred, score, hist_n, agreement, days_since_last (if targets have a day), and account_seen: whether the exact history has the target's account, null
     without an exact history.
     """
     h = _keyed(history, level, ascii_only)
@@ -139,4 +139,4 @@ def static_predictions(history: DataFrame, targets: DataFrame, level: str = "n4"
     stage = F.when(F.col("_raw").isNotNull(), "raw_exact").when(F.col("_key").isNotNull(), "norm_exact").when(F.col("_fuzzy").isNotNull(), "fuzzy").otherwise("none")
     pick = lambda f: F.when(stage == "raw_exact", F.col(f"_raw.{f}")).when(stage == "norm_exact", F.col(f"_key.{f}")).otherwise(F.col(f"_fuzzy.{f}"))
     known = F.when(stage == "raw_exact", F.coalesce("_seen_raw", F.lit(False))).when(stage == "norm_exact", F.coalesce("_seen_key", F.lit(False)))
-    return t.select(*targets.columns, stage.alias("stage"), pick("mode").alias("pred"), F.when(stage == "fuzzy", F.col("_score")).when(stage != "none", 100.0).alias("score"), pick("hist_n").alias("hist_n"), rate(pick("mode_n"), pick("hist_n")).alias("agreement"), known.alias("account_seen"))
+    return t.select(*targets.columns, stage.alias("stage"), pick("mode").alias("pred"), F.when(stage == "fuzzy", F.col("_score")).when(stage != "none", 100.0).alias("score"), pick("hist_n").alias("hist_n"), rate(pick("mode_n"), pick("hist_n")).alias("agreement"), *([F.datediff("day", pick("last_day")).alias("days_since_last")] if "day" in targets.columns else []), known.alias("account_seen"))

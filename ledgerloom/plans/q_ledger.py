@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..operators import ledger as L
+from ..operators import reports as P
 from .adapters import LINES_SQL, TERMS_SQL, TX_SQL, lines, table, terms, tx
 
 Q, SQL = {}, {}
@@ -89,12 +90,13 @@ FROM tx JOIN orders ON o_orderkey = transaction_id LEFT JOIN customer ON c_custk
 LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = transaction_id
 LEFT JOIN terms ON date BETWEEN start_date AND end_date""")
 def tx_enriched(spark, d):
-    counts = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("transaction_id")).agg(F.count("*").alias("n"))
-    owner = table(spark, d, "orders").select(F.col("o_orderkey").alias("transaction_id"), "o_custkey")
     c, n = table(spark, d, "customer"), table(spark, d, "nation")
-    out = tx(spark, d).join(owner, "transaction_id").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    out = L.with_term(out.join(counts, "transaction_id", "left"), terms(spark))
-    return out.select("transaction_id", F.col("date").cast("string"), "value", "side", F.col("c_name").alias("connected_name"), F.col("n_name").alias("nation"), F.coalesce("n", F.lit(0)).alias("linked_journal_count"), "fiscal_year")
+    dim = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(F.col("c_custkey").alias("connected_sub_account_id"), F.col("c_name").alias("connected_name"), F.col("n_name").alias("nation"))
+    t = tx(spark, d).drop("connected_sub_account_id").join(table(spark, d, "orders").select(F.col("o_orderkey").alias("transaction_id"), F.col("o_custkey").alias("connected_sub_account_id")), "transaction_id")
+    # Every line of an order stands for a journal of its own here.
+    journals = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("transaction_id"), F.monotonically_increasing_id().alias("journal_id"))
+    out = L.enrich_line_items(t, dim, journals, terms(spark))
+    return out.select("transaction_id", F.col("date").cast("string"), "value", "side", "connected_name", "nation", "linked_journal_count", "fiscal_year")
 
 
 NETS_SQL = """sides AS (
@@ -172,7 +174,10 @@ LINKED_SQL = """linked AS (
   SELECT p.*, p.transaction_id AS journal_id, fiscal_year FROM paid p LEFT JOIN terms ON date BETWEEN start_date AND end_date
   WHERE transaction_id IN (SELECT transaction_id FROM lines)),
 candidates AS (SELECT l.*, account, sub FROM linked l JOIN nets USING (journal_id) WHERE CASE WHEN side = 'EXPENSE' THEN -net ELSE net END = value)"""
+#: Materialized, as DuckDB would otherwise make the nets again wherever they are named.
 CHAIN = f"WITH {TX_SQL}, {LINES_SQL}, {PAID_SQL}, {TERMS_SQL}, {NETS_SQL}, {LINKED_SQL}"
+for _name in ("lines", "nets", "linked", "candidates"):
+    CHAIN = CHAIN.replace(f"{_name} AS (", f"{_name} AS MATERIALIZED (", 1)
 
 
 def linked(spark, d):
@@ -224,6 +229,10 @@ resolved AS (
   LEFT JOIN single ON single.journal_id = l.journal_id)"""
 
 
+for _name in ("ms", "mv", "single", "resolved"):
+    RESOLVED_SQL = RESOLVED_SQL.replace(f"{_name} AS (", f"{_name} AS MATERIALIZED (", 1)
+
+
 def resolved(spark, d):
     ln, ls = linked(spark, d)
     master = spark.range(20).select(F.col("id").alias("connected_sub_account_id"), F.lit("A").alias("account"), (F.col("id") % 3).alias("sub"))
@@ -265,5 +274,4 @@ def primary_account(spark, d):
 @query("q_link_stats", f"""
 WITH {TX_SQL} SELECT status, count(*) AS n, count(*) FILTER (transaction_id IN (SELECT l_orderkey FROM lineitem)) AS linked FROM tx GROUP BY 1""")
 def link_stats(spark, d):
-    ids = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("transaction_id")).distinct().withColumn("hit", F.lit(1))
-    return tx(spark, d).join(ids, "transaction_id", "left").groupBy("status").agg(F.count("*").alias("n"), F.count("hit").alias("linked"))
+    return P.link_report(tx(spark, d), lines(spark, d))

@@ -66,18 +66,13 @@ judged AS (SELECT *, rule_valid AND pred = label AS rule_ok, model_label IS NOT
 
 def items(spark, d):
     p = R.classify(staged(spark, d))
-    h = R.history_features(p.select("id", "day", "content", "label", "account", "value", "complex", "fy")).select("id", "account_seen")
-    p = p.join(h, "id")
+    h = R.history_features(p.select("id", "day", "content", "label", "account", "value", "complex", "fy"))
     i = F.col("id")
-    p = p.withColumns({
-        "model_label": F.when(i % 17 != 0, F.when(i % 10 < 8, F.col("label")).otherwise("other")), "conf": (i * 7919 % 1000) / 1000.0,
-        "needs_review": F.when(i % 13 != 0, i % 11 == 0), "insufficient": i % 19 == 0, "high_confidence": F.coalesce("high_confidence", F.lit(False)),
-        "rule_valid": F.col("pred").isNotNull() & ~F.array_contains("categories", R.CATEGORIES["A"]),
-    })
-    return p.withColumns({
-        "rule_ok": F.coalesce(F.col("rule_valid") & (F.col("pred") == F.col("label")), F.lit(False)), "model_ok": F.coalesce(F.col("model_label") == F.col("label"), F.lit(False)),
-        "agree": F.coalesce(F.col("rule_valid") & (F.col("pred") == F.col("model_label")), F.lit(False)),
-    })
+    results = obs(spark, d).select(
+        i, F.when(i % 17 != 0, F.when(i % 10 < 8, F.col("label")).otherwise("other")).alias("model_label"), (i * 7919 % 1000 / 1000.0).alias("conf"),
+        F.when(i % 13 != 0, i % 11 == 0).alias("needs_review"), (i % 19 == 0).alias("insufficient"),
+    )
+    return R.build_items(p, h, results)
 
 
 PLAN_SQL = """plans(plan, least) AS (VALUES ('Aggressive', 0.80), ('Balanced', 0.90), ('Conservative', 0.95)),
@@ -129,8 +124,9 @@ def conf_band(spark, d):
 
 @query("q_model_compare", f"WITH {SCORES_SQL} SELECT a = label AS a_right, b = label AS b_right, a = b AS same, count(*) AS n FROM scored GROUP BY ALL")
 def model_compare(spark, d):
-    s = scored(spark, d)
-    return s.groupBy((F.col("a") == F.col("label")).alias("a_right"), (F.col("b") == F.col("label")).alias("b_right"), (F.col("a") == F.col("b")).alias("same")).agg(F.count("*").alias("n"))
+    i, s = F.col("id"), scored(spark, d)
+    one = lambda c: s.select(i, F.col(c).alias("choice"), F.col("conf").alias("confidence"))
+    return R.compare_models(R.join_answers(one("a"), one("b"), s.select("id", "label"), "id"))
 
 
 @query("q_simulation_grid", f"""WITH {SCORES_SQL}, e AS (SELECT unnest([0.6, 0.7, 0.8, 0.9])::DOUBLE AS least), m AS (SELECT unnest([0, 1, 2]) AS mode),

@@ -3,8 +3,9 @@
     spark.dataSource.register(LedgerPages)
     spark.read.format("ledger_pages").schema(JOURNAL).options(base="https://...", path="journals", key="journals", token=...).load()
 
-One partition a page; the page count comes from the first page. Requests are throttled and retried, and only https GETs under
-the base path are ever made, redirects included. `max_items` is a limit that is pushed down to pages.
+The page count comes from the first page; `readers` partitions share the others, and the pace that a token allows. Requests are
+retried, and only https GETs under the base path are ever made, redirects included. `max_items` is a limit that is pushed
+down to pages, `param.<name>` goes into the query of every request.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ SPACING_S = 0.4
 ATTEMPTS = 5
 IDS_PER_REQUEST = 50
 LONGEST_SPAN_DAYS = 366
+REFRESH_MARGIN_S = 300
+TOKEN_LIFE_S = 3600
+EXCHANGES = 3
+EXCHANGE_WAIT_S = 60
 # End of fixed values.
 
 
@@ -69,35 +74,126 @@ def wait_after(status: int | None, attempt: int, headers: dict) -> float | None:
     return float(2 ** (attempt + 1)) if status >= 500 else None
 
 
+class RequestFailed(RuntimeError):
+    """A request that was answered with an error, or not at all (status None). The message names no values."""
+
+    def __init__(self, path: str, status: int | None):
+        super().__init__(f"GET {path}: status {status}")
+        self.status = status
+
+
+class TokenProvider:
+    """Short-lived tokens for a key: kept in memory, renewed REFRESH_MARGIN_S before they end, three attempts.
+
+    exchange(key) gives (status, body); the key and the tokens are never shown.
+    """
+
+    def __init__(self, key: str, exchange, sleep=time.sleep, clock=time.monotonic):
+        self._key, self._exchange, self._sleep, self._clock = key, exchange, sleep, clock
+        self._token, self._ends = None, 0.0
+
+    def __repr__(self) -> str:
+        return "TokenProvider(...)"
+
+    def get(self) -> str:
+        if self._token is None or self._clock() >= self._ends - REFRESH_MARGIN_S:
+            self._token, life = self._renew()
+            self._ends = self._clock() + life
+        return self._token
+
+    def forget(self) -> None:
+        self._token = None
+
+    def _renew(self) -> tuple[str, float]:
+        status = None
+        for attempt in range(EXCHANGES):
+            try:
+                status, body = self._exchange(self._key)
+            except OSError:
+                status, body = None, {}
+            if status == 200:
+                return body["access_token"], float(body.get("expires_in", TOKEN_LIFE_S))
+            if status is not None and status != 429 and status < 500:
+                raise PermissionError(f"no token: status {status}")
+            self._sleep(EXCHANGE_WAIT_S if status == 429 else 2.0**attempt)
+        raise PermissionError(f"no token after {EXCHANGES} attempts: status {status}")
+
+
 class Client:
-    """GETs pages; transport(url, headers, base) and sleep can be replaced."""
+    """GETs pages; transport(url, headers, base) and sleep can be replaced. token: a text or a TokenProvider, which is asked for
+    another token once if one is refused. spacing: seconds between two requests of this client."""
 
-    def __init__(self, base: str, token: str = "", transport=http, sleep=time.sleep, clock=time.monotonic):
-        self.base, self.token, self.transport, self.sleep, self.clock = base.rstrip("/"), token, transport, sleep, clock
+    def __init__(self, base: str, token: str | TokenProvider = "", transport=http, sleep=time.sleep, clock=time.monotonic, spacing: float = SPACING_S):
+        self.base, self.token, self.transport, self.sleep, self.clock, self.spacing = base.rstrip("/"), token, transport, sleep, clock, spacing
         self.last = None
 
     def get(self, path: str, params: dict) -> dict:
         url = allowed("GET", f"{self.base}/{path}?{urllib.parse.urlencode(params, doseq=True)}", self.base)
+        renewed = False
         for attempt in range(ATTEMPTS):
-            if self.last is not None and (rest := SPACING_S - (self.clock() - self.last)) > 0:
+            if self.last is not None and (rest := self.spacing - (self.clock() - self.last)) > 0:
                 self.sleep(rest)
             self.last = self.clock()
+            token = self.token.get() if isinstance(self.token, TokenProvider) else self.token
             try:
-                status, headers, body = self.transport(url, {"Authorization": f"Bearer {self.token}", "Accept": "application/json"}, self.base)
+                status, headers, body = self.transport(url, {"Authorization": f"Bearer {token}", "Accept": "application/json"}, self.base)
             except OSError:
                 status, headers, body = None, {}, b""
             if status == 200:
                 return json.loads(body)
+            if status == 401 and not renewed and isinstance(self.token, TokenProvider):
+                self.token.forget()
+                renewed = True
+                continue
             wait = wait_after(status, attempt, headers)
             if wait is None or attempt == ATTEMPTS - 1:
-                raise RuntimeError(f"GET {path}: status {status}")
+                raise RequestFailed(path, status)
             self.sleep(wait)
-        raise AssertionError
+        raise RequestFailed(path, 401)
+
+    def pages(self, path: str, key: str, params: dict | None = None, per_page: int = 500, max_items: int | None = None) -> tuple[list, dict]:
+        """(items, meta) of all pages, or of as many as max_items needs; meta has total_count, total_pages, pages_fetched,
+        fetched_count and truncated."""
+        items, page, meta = [], 0, {}
+        while True:
+            page += 1
+            body = self.get(path, (params or {}) | {"page": page, "per_page": per_page})
+            got, meta = body.get(key) or [], body.get("metadata") or {}
+            items += got
+            if max_items is not None and len(items) >= max_items:
+                items = items[:max_items]
+                break
+            if not got or page >= int(meta.get("total_pages") or 0):
+                break
+        total = meta.get("total_count")
+        return items, {"total_count": total, "total_pages": meta.get("total_pages"), "pages_fetched": page, "fetched_count": len(items), "truncated": total is not None and len(items) < int(total)}
+
+
+def masters(client: Client, endpoints: list[tuple[str, str]]) -> tuple[dict, dict]:
+    """(bodies, outcome) by name of master endpoints (name, path): what is forbidden or not there is noted and passed over, any
+    other failure raises."""
+    bodies, outcome = {}, {}
+    for name, path in endpoints:
+        try:
+            bodies[name] = client.get(path, {})
+            outcome[name] = "read"
+        except RequestFailed as e:
+            if e.status not in (403, 404):
+                raise
+            outcome[name] = str(e.status)
+    return bodies, outcome
+
+
+def counts(client: Client, path: str, key: str, periods: list[dict]) -> list[dict]:
+    """Per period (start_date, end_date, ...) its total_count, from the metadata of a page of one item."""
+    return [p | {"total_count": client.pages(path, key, {"start_date": p["start_date"], "end_date": p["end_date"]}, 1, 1)[1]["total_count"]} for p in periods]
 
 
 class Page(InputPartition):
-    def __init__(self, number: int, keep: int | None):
-        self.number, self.keep = number, keep
+    """Pages number, number + slots, ... to last, or the items of a page that is here already."""
+
+    def __init__(self, number: int, last: int = 0, slots: int = 1, items: list | None = None):
+        self.number, self.last, self.slots, self.items = number, last, slots, items
 
 
 class _Reader(DataSourceReader):
@@ -107,28 +203,39 @@ class _Reader(DataSourceReader):
         self.base, self.path, self.key, self.token = o["base"], o["path"], o["key"], o.get("token", "")
         self.per_page, self.most = int(o.get("per_page", 500)), int(o["max_items"]) if "max_items" in o else None
         self.params = {k.removeprefix("param."): v for k, v in o.items() if k.startswith("param.")}
-        self.transport = o.get("transport")
+        self.transport, self.readers = o.get("transport"), max(1, int(o.get("readers", 8)))
 
-    def _client(self) -> Client:
+    def _client(self, slots: int = 1) -> Client:
+        transport = http
         if self.transport:
             module, _, name = self.transport.partition(":")
-            return Client(self.base, self.token, getattr(importlib.import_module(module), name))
-        return Client(self.base, self.token)
+            transport = getattr(importlib.import_module(module), name)
+        return Client(self.base, self.token, transport, spacing=SPACING_S * slots)
 
     def partitions(self):
+        """Pages, dealt to at most `readers` partitions, each of which waits so many times longer between its requests: the
+        token's pace holds for all of them together. What the first page brought is not asked for again."""
         first = self._client().get(self.path, self.params | {"page": 1, "per_page": self.per_page})
-        pages = int(first.get("metadata", {}).get("total_pages") or (1 if first.get(self.key) else 0))
-        if self.most is None:
-            return [Page(n, None) for n in range(1, pages + 1)] or [Page(0, 0)]
-        need = min(pages, -(-self.most // self.per_page))
-        return [Page(n, min(self.per_page, self.most - (n - 1) * self.per_page)) for n in range(1, need + 1)] or [Page(0, 0)]
+        got = first.get(self.key) or []
+        pages = int(first.get("metadata", {}).get("total_pages") or (1 if got else 0))
+        if self.most is not None:
+            pages = min(pages, -(-self.most // self.per_page))
+        if not pages:
+            return [Page(0)]
+        slots = min(self.readers, max(1, pages - 1))
+        return [Page(1, items=got[: self.most]), *(Page(n, pages, slots) for n in range(2, 2 + min(slots, pages - 1)))]
 
     def read(self, partition):
         if not partition.number:
             return
-        got = self._client().get(self.path, self.params | {"page": partition.number, "per_page": self.per_page})
-        for item in (got.get(self.key) or [])[: partition.keep]:
-            yield tuple(_cast(item.get(n), t) for n, t in self.columns)
+        if partition.items is not None:
+            yield from (tuple(_cast(item.get(n), t) for n, t in self.columns) for item in partition.items)
+            return
+        client = self._client(partition.slots)
+        for page in range(partition.number, partition.last + 1, partition.slots):
+            got = client.get(self.path, self.params | {"page": page, "per_page": self.per_page}).get(self.key) or []
+            left = None if self.most is None else max(0, self.most - (page - 1) * self.per_page)
+            yield from (tuple(_cast(item.get(n), t) for n, t in self.columns) for item in got[:left])
 
 
 def _cast(value, kind):
@@ -159,3 +266,19 @@ def id_batches(ids: list[str], size: int = IDS_PER_REQUEST) -> list[list[str]]:
     """IN-lists for one request each; ids come URL-encoded and are sent decoded."""
     plain = [urllib.parse.unquote(i) for i in ids]
     return [plain[a : a + size] for a in range(0, len(plain), size)]
+
+
+def range_params(start: str, end: str, ids: list[str] | None = None) -> dict:
+    """The query of a scan by date, at most LONGEST_SPAN_DAYS long, and of at most IDS_PER_REQUEST link ids, sent decoded."""
+    import datetime
+
+    if (datetime.date.fromisoformat(end) - datetime.date.fromisoformat(start)).days > LONGEST_SPAN_DAYS:
+        raise ValueError("a scan spans at most a year")
+    if ids and len(ids) > IDS_PER_REQUEST:
+        raise ValueError(f"a request takes at most {IDS_PER_REQUEST} ids")
+    return {"start_date": start, "end_date": end} | ({"transaction_ids": ",".join(urllib.parse.unquote(i) for i in ids)} if ids else {})
+
+
+def scan_options(start: str, end: str, ids: list[str] | None = None) -> dict:
+    """range_params as options of the data source."""
+    return {f"param.{k}": v for k, v in range_params(start, end, ids).items()}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,3 +63,64 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, key:
 def as_dates(df: DataFrame, *columns: str) -> DataFrame:
     """ISO texts to dates by their first ten characters; what is no date becomes null."""
     return df.withColumns({c: F.try_to_date(F.substring(c, 1, 10)) for c in columns})
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def new_run(spark: SparkSession, root: str, sample: bool = False, now: datetime.datetime | None = None) -> str:
+    """A new run folder named by the time, which must not be there yet."""
+    run = f"{root}/{(now or datetime.datetime.now()):%Y%m%d-%H%M%S}" + "-sample" * sample
+    path, fs = _fs(spark, run)
+    if fs.exists(path):
+        raise FileExistsError(run)
+    fs.mkdirs(path)
+    return run
+
+
+def save_json(spark: SparkSession, path: str, data) -> None:
+    """A small JSON document, written beside its place and then moved there, so that no reader sees half of it."""
+    target, fs = _fs(spark, path)
+    part, _ = _fs(spark, path + ".tmp")
+    out = fs.create(part, True)
+    out.write(bytearray(json.dumps(data, ensure_ascii=False, indent=2, default=str).encode()))
+    out.close()
+    fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise OSError(f"cannot write {path}")
+
+
+def write_manifest(spark: SparkSession, run: str, now: datetime.datetime | None = None, **fields) -> None:
+    """The run's manifest: when it was fetched, and what the caller says of it. Without one a run doesn't count."""
+    save_json(spark, f"{run}/manifest.json", {"fetched_at": (now or datetime.datetime.now()).isoformat(timespec="seconds")} | fields)
+
+
+def load_json(spark: SparkSession, path: str):
+    """A small JSON document."""
+    return json.loads("".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
+
+
+def run_or_latest(spark: SparkSession, root: str, run: str | None = None) -> str | None:
+    """The named run, else the latest one that counts."""
+    return run or latest_run(spark, root)
+
+
+def term_range(terms: DataFrame, today: str, start: str | None = None, end: str | None = None) -> tuple:
+    """(start, end) as dates: both as given, or the newest term begun by today, cut off there."""
+    if start or end:
+        if not (start and end):
+            raise ValueError("both ends of a range must be given")
+        return datetime.date.fromisoformat(start), datetime.date.fromisoformat(end)
+    day = F.lit(today).cast("date")
+    t = terms.select(F.col("start_date").cast("date").alias("s"), F.col("end_date").cast("date").alias("e")).where(F.col("s") <= day)
+    row = t.agg(F.max("s").alias("s"), F.max_by(F.least("e", day), "s").alias("e")).first()
+    if row.s is None:
+        raise ValueError("no term has begun")
+    return row.s, row.e
+
+
+def land(spark: SparkSession, run: str, key: str, name: str, items: list[dict], meta: dict, period: dict) -> None:
+    """One file of fetched records, <key>_<name>.json, with its period and metadata."""
+    save_json(spark, f"{run}/{key}_{name}.json", {"period": period, "metadata": meta, key: items})

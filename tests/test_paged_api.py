@@ -58,3 +58,77 @@ def test_retries_and_spacing():
 
 def test_id_batches():
     assert P.id_batches([f"a%2F{i}" for i in range(51)])[1] == ["a/50"] and len(P.id_batches([f"{i}" for i in range(100)])) == 2
+
+
+def test_refused_token_is_renewed_once():
+    tokens = iter(["one", "two", "three"])
+    provider = P.TokenProvider("key", lambda k: (200, {"access_token": next(tokens), "expires_in": 3600}), clock=lambda: 0.0)
+    seen = []
+
+    def transport(url, headers, base):
+        seen.append(headers["Authorization"])
+        return (200, {}, b"{}") if headers["Authorization"].endswith("two") else (401, {}, b"")
+
+    c = P.Client(BASE, provider, transport, sleep=lambda s: None, clock=lambda: 0.0)
+    assert c.get("x", {}) == {} and seen == ["Bearer one", "Bearer two"] and "key" not in repr(provider)
+    c.transport = lambda *_: (401, {}, b"")
+    with pytest.raises(P.RequestFailed):
+        c.get("x", {})
+
+
+def test_tokens_are_kept_and_renewed_early():
+    now, slept, answers = [0.0], [], iter([(429, {}), OSError(), (200, {"access_token": "a", "expires_in": 1000}), (200, {"access_token": "b"}), (401, {})])
+
+    def exchange(key):
+        a = next(answers)
+        if isinstance(a, OSError):
+            raise a
+        return a
+
+    p = P.TokenProvider("k", exchange, sleep=slept.append, clock=lambda: now[0])
+    assert p.get() == "a" and slept == [60, 2.0]
+    now[0] = 699.0
+    assert p.get() == "a"
+    now[0] = 700.0
+    assert p.get() == "b"
+    p.forget()
+    with pytest.raises(PermissionError):
+        p.get()
+
+
+def test_pages_and_what_they_say():
+    asked = []
+
+    def transport(url, headers, base):
+        asked.append(url)
+        s, h, b = pages(url, headers, base)
+        body = json.loads(b)
+        body["metadata"]["total_count"] = len(DATA)
+        return s, h, json.dumps(body).encode()
+
+    c = P.Client(BASE, transport=transport, sleep=lambda s: None)
+    items, meta = c.pages("transactions", "transactions", per_page=3)
+    assert len(items) == 7 and meta == {"total_count": 7, "total_pages": 3, "pages_fetched": 3, "fetched_count": 7, "truncated": False}
+    items, meta = c.pages("transactions", "transactions", per_page=3, max_items=4)
+    assert len(items) == 4 and meta["pages_fetched"] == 2 and meta["truncated"]
+    assert P.counts(c, "transactions", "transactions", [{"start_date": "2024-01-01", "end_date": "2024-12-31"}])[0]["total_count"] == 7
+
+
+def test_masters_pass_over_what_is_forbidden():
+    def transport(url, headers, base):
+        return (403, {}, b"") if "secret" in url else (404, {}, b"") if "gone" in url else (200, {}, b'{"a": 1}')
+
+    c = P.Client(BASE, transport=transport, sleep=lambda s: None)
+    bodies, outcome = P.masters(c, [("a", "a"), ("b", "secret"), ("c", "gone")])
+    assert bodies == {"a": {"a": 1}} and outcome == {"a": "read", "b": "403", "c": "404"}
+    c.transport = lambda *_: (418, {}, b"")
+    with pytest.raises(P.RequestFailed):
+        P.masters(c, [("a", "a")])
+
+
+def test_scan_parameters():
+    assert P.range_params("2024-01-01", "2024-12-31", ["a%2Fb"]) == {"start_date": "2024-01-01", "end_date": "2024-12-31", "transaction_ids": "a/b"}
+    assert P.scan_options("2024-01-01", "2024-01-02") == {"param.start_date": "2024-01-01", "param.end_date": "2024-01-02"}
+    for bad in (("2024-01-01", "2025-02-01"), ("2024-01-01", "2024-01-02", ["x"] * 51)):
+        with pytest.raises(ValueError):
+            P.range_params(*bad)
