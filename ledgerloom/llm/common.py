@@ -33,10 +33,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Rows that go to a Python worker at a time. Spark's own number is meant for rows of numbers: of long texts it makes batches whose
+#: buffers, in the executor and in the worker, are many times as large.
+TEXT_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lets no batch of the session have more than TEXT_ROWS rows; results don't depend on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= TEXT_ROWS:
+        spark.conf.set(name, TEXT_ROWS)
+
+
 class Scratch:
     """Tables written to the shared folder: they cut lineage and outlive any executor."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bound_batches(spark)
         self.spark = spark
         self.root = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
@@ -50,17 +63,51 @@ class Scratch:
         table._scratch_path = path
         return table
 
+    def part(self) -> Scratch:
+        """A folder below this one, to be closed on its own."""
+        out = Scratch.__new__(Scratch)
+        self.parts = getattr(self, "parts", 0) + 1
+        out.spark, out.root, out.count = self.spark, f"{self.root}/part-{self.parts}", 0
+        return out
+
+    def _delete(self, path: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def drop(self, table: DataFrame) -> None:
         """Remove a table that nothing will read again."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table._scratch_path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self._delete(table._scratch_path)
+
+    def close(self) -> None:
+        """Remove all its tables, when nothing will read them again."""
+        self._delete(self.root)
 
 
 #: Rows of a scratch file of connected_components.
 FILE_ROWS = 250_000
 
 
+def settled(spark: SparkSession, name: str, build) -> DataFrame:
+    """What build(scratch) gives, written; the scratch tables that it was made of are gone."""
+    scratch = Scratch(spark, name)
+    work = scratch.part()
+    out = scratch.write(build(work))
+    work.close()
+    return out
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until df has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
@@ -111,15 +158,46 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 SLICE_BYTES = 4 << 20
 
 
-def slices(batches, size_of):
-    """Arrow batches cut into runs of rows of about SLICE_BYTES of the column that size_of picks."""
+def _trim() -> None:
+    """Hands freed memory back to the system: workers are used again, and would keep the most that any task ever took."""
+    import ctypes
+
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def slices(batches, column: int):
+    """Arrow batches cut into runs of rows of about SLICE_BYTES of a column of texts, string or binary."""
     import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         n = batch.num_rows
-        lengths = np.asarray([len(b) if b is not None else 0 for b in size_of(batch)], dtype=np.int64)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         part = np.cumsum(lengths) // SLICE_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n]
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
+        del batch, lengths, part
+        _trim()
+
+
+def whole_group(run):
+    """A function of a group's table, for applyInArrow, after which its memory is handed back."""
+
+    def wrapped(table):
+        import pyarrow as pa
+
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            return run(table)
+        finally:
+            if table.nbytes > SLICE_BYTES // 4:
+                _trim()
+
+    return wrapped

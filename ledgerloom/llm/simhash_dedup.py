@@ -8,14 +8,13 @@ planes of many pairs at once, and a block's rows are abandoned once all their pa
 from __future__ import annotations
 
 import math
-import re
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, read_table, slices, text_or_empty
+from .common import Scratch, connected_components, read_table, settled, slices, text_or_empty, whole_group
 
 BITS = 64
 SHINGLE = 3
@@ -23,7 +22,7 @@ RADIUS = 3
 SEED = 42
 #: Fingerprints that are compared with each other at a time.
 BLOCK = 1024
-#: Fingerprints of a bucket beyond which it is cut into chunks whose pairs are dealt out, and about the size of a group.
+#: Fingerprints of a bucket beyond which it is dealt again by more bits, and about the size of a group.
 BUCKET = 4096
 
 
@@ -54,7 +53,7 @@ def _fingerprints(shingle: int):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches, 1):
             prints = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fp"])
 
@@ -62,53 +61,99 @@ def _fingerprints(shingle: int):
 
 
 def planes(prints):
-    """The fingerprints' bits as BITS rows of 64-bit words, one bit a fingerprint."""
+    """The bits of fingerprints, (n,) or (n, words) of uint64, as rows of 64-bit words: a row a bit, in it one bit a fingerprint."""
     import numpy as np
 
     n = len(prints)
-    bits = np.zeros((BITS, -(-n // 64) * 64), dtype=np.uint8)
-    bits[:, :n] = np.unpackbits(prints.view(np.uint8).reshape(n, 8), axis=1, bitorder="little").T
+    raw = np.ascontiguousarray(prints).view(np.uint8).reshape(n, -1)
+    bits = np.zeros((raw.shape[1] * 8, -(-n // 64) * 64), dtype=np.uint8)
+    bits[:, :n] = np.unpackbits(raw, axis=1, bitorder="little").T
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
 
 
+class _Counters:
+    """Carry-save counters in bit planes; one overflows, for good, once more than `radius` bits have been added to it."""
+
+    def __init__(self, shape: tuple, radius: int):
+        import numpy as np
+
+        full, width = np.uint64(0xFFFFFFFFFFFFFFFF), max(1, radius.bit_length())
+        first = (1 << width) - 1 - radius  # they start so that they overflow just past the radius
+        self.planes = [np.full(shape, full if first >> k & 1 else 0, dtype=np.uint64) for k in range(width)]
+        self.over = np.zeros(shape, dtype=np.uint64)
+
+    def add(self, x, y) -> None:
+        """A carry-save adder takes two planes and the lowest counter plane; the carry ripples through the rest."""
+        c = self.planes
+        u = c[0] ^ x
+        carry = (c[0] & x) | (u & y)
+        c[0] = u ^ y
+        for k in range(1, len(c)):
+            c[k], carry = c[k] ^ carry, c[k] & carry
+        self.over |= carry
+
+    def keep(self, some) -> None:
+        self.planes, self.over = [c[some] for c in self.planes], self.over[some]
+
+
+def _spare(n: int, words: int):
+    """Past the n-th bit of a row of words, all ones."""
+    import numpy as np
+
+    out = np.zeros(words, dtype=np.uint64)
+    if n % 64:
+        out[-1] = np.uint64(0xFFFFFFFFFFFFFFFF) << np.uint64(n % 64)
+    return out
+
+
 def close_pairs(a, b, radius: int):
-    """(i, j) of all pairs of a (n,) and b (m,) of unsigned 64-bit fingerprints that differ in at most radius bits."""
+    """(i, j) of all pairs of a and b, (n,) or (n, words) of uint64 fingerprints, that differ in at most radius bits."""
     import numpy as np
 
     full, sliced = np.uint64(0xFFFFFFFFFFFFFFFF), planes(b)
-    words, width = sliced.shape[1], max(1, radius.bit_length())
     row = np.arange(len(a))
-    masks = np.where(np.unpackbits(a.view(np.uint8).reshape(len(a), 8), axis=1, bitorder="little").astype(bool), full, np.uint64(0)).T
-    # Counters of `width` bit planes start so that they overflow just past the radius.
-    first = (1 << width) - 1 - radius
-    count = [np.full((len(a), words), full if first >> k & 1 else 0, dtype=np.uint64) for k in range(width)]
-    over = np.zeros((len(a), words), dtype=np.uint64)
-    spare = np.zeros(words, dtype=np.uint64)
-    if len(b) % 64:
-        spare[-1] = full << np.uint64(len(b) % 64)
-    over |= spare
-    for k in range(0, BITS, 2):
-        x = sliced[k] ^ masks[k][row][:, None]
-        y = sliced[k + 1] ^ masks[k + 1][row][:, None]
-        # A carry-save adder takes two planes and the lowest counter plane; the carry ripples through the rest.
-        u = count[0] ^ x
-        carry = (count[0] & x) | (u & y)
-        count[0] = u ^ y
-        for c in range(1, width):
-            count[c], carry = count[c] ^ carry, count[c] & carry
-        over |= carry
+    raw = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1)
+    masks = np.where(np.unpackbits(raw, axis=1, bitorder="little").astype(bool), full, np.uint64(0)).T
+    count = _Counters((len(a), sliced.shape[1]), radius)
+    count.over |= _spare(len(b), sliced.shape[1])
+    for k in range(0, len(sliced), 2):
+        count.add(sliced[k] ^ masks[k][row][:, None], sliced[k + 1] ^ masks[k + 1][row][:, None])
         if k % 8 == 6:
-            alive = (over != full).any(axis=1)
+            alive = (count.over != full).any(axis=1)
             if not alive.all() and alive.sum() * 4 <= 3 * len(row):
-                row, over, count = row[alive], over[alive], [c[alive] for c in count]
+                row = row[alive]
+                count.keep(alive)
                 if not len(row):
                     break
     if not len(row):
         return row, row
-    i, j = np.nonzero(np.unpackbits((~over).view(np.uint8).reshape(len(row), -1), axis=1, bitorder="little"))
+    i, j = np.nonzero(np.unpackbits((~count.over).view(np.uint8).reshape(len(row), -1), axis=1, bitorder="little"))
     return row[i], j
 
 
+def close_rows(a, b, radius: int):
+    """The rows k of which a[k] and b[k], (n, words) of uint64, differ in at most radius bits: 64 pairs a word, a plane at a time."""
+    import numpy as np
+
+    if not len(a):
+        return np.zeros(0, dtype=np.int64)
+    full, sliced = np.uint64(0xFFFFFFFFFFFFFFFF), planes(a ^ b)
+    word = np.arange(sliced.shape[1])
+    count = _Counters(word.shape, radius)
+    count.over |= _spare(len(a), len(word))
+    for k in range(0, len(sliced), 2):
+        count.add(sliced[k], sliced[k + 1])
+        if k % 16 == 14:  # blocks of 64 pairs that are all past the radius are abandoned
+            alive = count.over != full
+            if alive.sum() * 2 <= len(word):
+                word, sliced = word[alive], sliced[:, alive]
+                count.keep(alive)
+                if not len(word):
+                    return word
+    near = np.flatnonzero(np.unpackbits((~count.over).view(np.uint8), bitorder="little"))
+    return word[near >> 6] * 64 + (near & 63)
+
+
 def forest(i, j, n: int):
     """(member, root) links that join the components of the pairs (i, j) among n things."""
     import numpy as np
@@ -128,16 +173,15 @@ def forest(i, j, n: int):
 
 
 def _links(radius: int):
-    """The distinct fingerprints of one group to links that join its close pairs' components."""
+    """Some buckets of distinct fingerprints to links that join their close pairs' components."""
 
     def run(table):
         import numpy as np
         import pyarrow as pa
 
-        prints = np.ascontiguousarray(table.column("fp").to_numpy()).view(np.uint64)
-        side = table.column("side").to_numpy()
-        order = np.lexsort((prints, table.column("bucket").to_numpy()))
-        prints, side, bucket = prints[order], side[order], table.column("bucket").to_numpy()[order]
+        prints, bucket, mask = (table.column(c).to_numpy() for c in ("fp", "bucket", "mask"))
+        order = np.lexsort((prints, bucket, mask))
+        prints, bucket, mask = np.ascontiguousarray(prints[order]).view(np.uint64), bucket[order], mask[order]
         found = []
 
         def add(x, y):
@@ -146,24 +190,16 @@ def _links(radius: int):
             both = np.concatenate((x, y))
             found.append(np.stack((both[m], both[r])))
 
-        if len(prints) and side.max() >= 0:  # two chunks of one large bucket; side -1: one chunk
-            x, y = prints[side == 0], prints[side == 1]
-            for a in range(0, len(x), BLOCK):
-                for b in range(0, len(y), BLOCK):
-                    add(x[a : a + BLOCK], y[b : b + BLOCK])
-        else:
-            starts = [*np.flatnonzero(np.r_[True, np.diff(bucket) != 0]).tolist(), len(prints)]
-            a = 0
-            while a < len(prints):  # whole buckets together up to a block; a larger bucket block by block
-                k = next(k for k, s in enumerate(starts) if s > a)
-                while k + 1 < len(starts) and starts[k + 1] - a <= BLOCK:
-                    k += 1
-                end = starts[k]
-                starts = starts[k:]
-                for p in range(a, end, BLOCK):
-                    for q in range(p, end, BLOCK):
-                        add(prints[p : min(p + BLOCK, end)], prints[q : min(q + BLOCK, end)])
-                a = end
+        starts = [*np.flatnonzero(np.r_[True, (np.diff(bucket) != 0) | (np.diff(mask) != 0)]).tolist(), len(prints)] if len(prints) else [0]
+        at = 0
+        while at + 1 < len(starts):  # whole buckets together up to a block; a larger bucket block by block
+            to = at + 1
+            while to + 1 < len(starts) and starts[to + 1] - starts[at] <= BLOCK:
+                to += 1
+            a, end, at = starts[at], starts[to], to
+            for p in range(a, end, BLOCK):
+                for q in range(p, end, BLOCK):
+                    add(prints[p : min(p + BLOCK, end)], prints[q : min(q + BLOCK, end)])
         e = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.uint64)
         e = np.unique(np.sort(e[:, e[0] != e[1]].view(np.int64), axis=0), axis=1)
         return pa.table({"a": pa.array(e[0]), "b": pa.array(e[1])})
@@ -171,37 +207,50 @@ def _links(radius: int):
     return run
 
 
+def _split(mask: int, parts: int) -> list[int]:
+    """Masks that hold one of `parts` parts of the bits that `mask` leaves free, besides its own."""
+    free = [k for k in range(BITS) if not mask >> k & 1]
+    cuts = [round(k * len(free) / parts) for k in range(parts + 1)]
+    return [mask | sum(1 << k for k in free[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _signed(mask: int) -> int:
+    return mask - ((mask >> 63) << 64)
+
+
 def close_links(prints: DataFrame, scratch: Scratch, radius: int = RADIUS, total: int | None = None) -> DataFrame:
     """Links (a, b) that join the components of the distinct fingerprints in prints (fp long) at `radius` bits or fewer.
 
     The 64 bits fall into m parts; a close pair agrees in at least m - radius of them, so that pairs meet under one of the
     combinations of parts. m grows with the number of fingerprints, which keeps buckets small; no pair is lost at any m.
-    A bucket of more than BUCKET fingerprints is cut into chunks, and each pair of chunks is a task of its own.
+    A bucket of more than BUCKET fingerprints is dealt again by radius + 1 parts of the bits that it leaves free, one of
+    which a close pair shares, until every bucket is small: a row is copied radius + 1 times a level, whatever its bucket's size.
     """
     total = prints.count() if total is None else total
     parts = radius + 1
     while parts < BITS // 2 and 2.0 ** (BITS // parts * (parts - radius)) * BUCKET < total:
         parts += 1
     cuts = [round(k * BITS / parts) for k in range(parts + 1)]
-    keys = []
-    for n, kept in enumerate(combinations(range(parts), parts - radius)):
-        mask = sum(((1 << cuts[k + 1]) - 1) ^ ((1 << cuts[k]) - 1) for k in kept)
-        mask -= (mask >> 63) << 64
-        keys.append(F.struct(F.lit(n).alias("band"), F.col("fp").bitwiseAND(F.lit(mask)).alias("bucket")))
-    rows = prints.select("fp", F.explode(F.array(*keys)).alias("key")).select("fp", "key.band", "key.bucket")
-    sizes = rows.groupBy("band", "bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    rows = rows.join(sizes, ["band", "bucket"])  # a fingerprint alone in its bucket has no partner there
+    masks = [sum(((1 << cuts[k + 1]) - 1) ^ ((1 << cuts[k]) - 1) for k in kept) for kept in combinations(range(parts), parts - radius)]
+
+    def dealt(rows: DataFrame, keys: Column) -> DataFrame:
+        rows = rows.select("fp", F.explode(keys).alias("mask"))
+        return rows.withColumn("bucket", F.col("fp").bitwiseAND(F.col("mask")))
+
+    rows = dealt(prints, F.array(*(F.lit(_signed(m)) for m in masks)))
+    small = []
+    while True:
+        sizes = scratch.write(rows.groupBy("mask", "bucket").agg(F.count("*").alias("n")).where("n > 1"))  # alone there: no partner
+        rows = rows.join(sizes, ["mask", "bucket"])
+        small.append(rows.where(F.col("n") <= BUCKET).select("fp", "mask", "bucket"))
+        large = [r["mask"] for r in sizes.where(F.col("n") > BUCKET).select("mask").distinct().collect()]  # at most the masks
+        if not large:
+            break
+        finer = F.create_map(*(x for m in large for x in (F.lit(m), F.array(*(F.lit(_signed(f)) for f in _split(m & (1 << BITS) - 1, radius + 1))))))
+        rows = scratch.write(dealt(scratch.write(rows.where(F.col("n") > BUCKET).select("fp", "mask")), finer[F.col("mask")]).select("fp", "mask", "bucket").distinct())
     groups = max(1, math.ceil(total / BUCKET))
-    small = rows.where(F.col("n") <= BUCKET).select("fp", "bucket", "band", F.pmod(F.xxhash64("bucket", "band"), F.lit(groups)).alias("group"), F.lit(-1).alias("x"), F.lit(-1).alias("y"), F.lit(-1).alias("side"))
-    # A large bucket: chunk c meets every chunk; the pair (x, y) with x < y holds both, (x, x) one.
-    large = rows.where(F.col("n") > BUCKET).withColumn("chunks", F.ceil(F.col("n") / (BUCKET // 2)).cast("int"))
-    large = large.withColumn("c", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    side = F.when(F.col("c") == F.col("other"), -1).when(F.col("c") < F.col("other"), 0).otherwise(1)
-    large = large.select("fp", "bucket", "band", F.col("bucket").alias("group"), F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"), side.alias("side"))
-    dealt = small.unionByName(large)
-    links = dealt.groupBy("band", "group", "x", "y").applyInArrow(_links(radius), "a long, b long")
-    return links.distinct()
+    links = [rows.withColumn("group", F.pmod(F.xxhash64("mask", "bucket"), F.lit(groups * len(masks)))).groupBy("group").applyInArrow(whole_group(_links(radius)), "a long, b long") for rows in small]
+    return reduce(DataFrame.union, links).distinct()
 
 
 def near_components(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -225,334 +274,4 @@ def near_components(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_components(read_table(spark, sf_dir, "documents"), Scratch(spark, "simhash"))
-
-
-# Near copies by shingle similarity: parity bitmaps rule pairs out without loss, then the shingle sets themselves are compared.
-
-COPY_SHINGLE = 5
-SIMILARITY = 0.8
-#: Bits of a parity bitmap: of every text, and of those with more than LONG shingles. They only decide what is ruled out early.
-NARROW, WIDE, LONG = 1 << 10, 1 << 13, 1000
-#: Up to so many shingles a bitmap folded to a quarter is compared first.
-SHORT = 400
-#: Documents of a meeting up to which its pairs are looked through before sketches are fetched for them.
-FEW = 32
-#: Rows of a tile that are compared with a block at a time.
-STRIP = 64
-#: Documents meet under so many least shingle hashes first; then under the rest of their prefixes, which misses no pair.
-MEETINGS = 8
-#: Documents of a meeting beyond which it is cut into chunks.
-MEETING = 1000
-#: The same where the shingle sets come along.
-MEETING_WITH_SETS = 1000
-#: Bytes of a text whose words are split at a time.
-PART = 1 << 18
-SPACE = re.compile(rb"[\x20\x09-\x0D]")
-
-
-def shingle_set(text: str | None, shingle: int = COPY_SHINGLE):
-    """Sorted distinct shingle hashes of a text (uint64)."""
-    import numpy as np
-    import xxhash
-
-    raw = (text or "").encode("utf-8", "replace").lower()
-    digest, found, tail, at = xxhash.xxh64_intdigest, [], [], 0
-    while at < len(raw):  # in parts that end in white space; the last words of a part begin the next
-        end = min(len(raw), at + PART)
-        space = SPACE.search(raw, end)
-        end = space.start() if space else len(raw)
-        words = tail + raw[at:end].split()
-        at = end
-        if len(words) >= shingle:
-            found.append(np.fromiter((digest(b" ".join(words[i : i + shingle]), SEED) for i in range(len(words) - shingle + 1)), dtype=np.uint64))
-        tail = words[max(0, len(words) - shingle + 1) :]
-    if not found:  # fewer words than a shingle: the whole sequence, if there is one
-        found = [np.array([digest(b" ".join(tail), SEED)] if tail else [], dtype=np.uint64)]
-    return np.unique(np.concatenate(found))
-
-
-def parity(shingles):
-    """Bitmap of a set of shingle hashes: bit k tells whether an odd number of them falls into class k.
-
-    Two bitmaps differ in no more bits than their sets have elements that are in one only.
-    """
-    import numpy as np
-
-    width = WIDE if len(shingles) > LONG else NARROW
-    odd = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
-    return np.packbits(odd.astype(bool), bitorder="little")
-
-
-def prefix(size: int, similarity: float) -> int:
-    """So many least elements of a set hold the least one that it shares with any set at the similarity."""
-    return size - math.ceil(similarity * size - 1e-9) + 1
-
-
-def _sketches(shingle: int, similarity: float):
-    """(doc, text) to (doc, n, bits, least, more): the number of shingles, their parity bitmap, the least MEETINGS hashes and
-    the rest of the prefix; texts without words give no row."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        hashes = pa.list_(pa.int64())
-        for batch in slices(batches, lambda b: b.column(1).to_pylist()):
-            docs, sizes, bits, least, more = [], [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = shingle_set(text.as_py(), shingle)
-                if len(s):
-                    docs.append(doc)
-                    sizes.append(len(s))
-                    bits.append(parity(s).tobytes())
-                    first = s[: max(MEETINGS, prefix(len(s), similarity))].view("int64").tolist()
-                    least.append(first[:MEETINGS])
-                    more.append(first[MEETINGS:])
-            columns = [pa.array(docs, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), pa.array(least, hashes), pa.array(more, hashes)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "n", "bits", "least", "more"])
-
-    return run
-
-
-def _tiles(table, similarity: float):
-    """Pairs (i, j) of a tile that may be at the similarity and share no earlier least hash than this meeting.
-
-    Only pairs are left out whose sizes or bitmaps rule the similarity out, and pairs with one label: they are known to be
-    in one component. At the similarity s, sets of a and b elements have at most (a + b)(1 - s) / (1 + s) in one only.
-    """
-    import numpy as np
-
-    size, side = table.column("n").to_numpy(), table.column("side").to_numpy()
-    bits = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table.column("bits")]
-    narrow = np.stack([np.bitwise_xor.reduce(x.reshape(-1, NARROW // 64), axis=0) for x in bits], axis=1)
-    folded = np.bitwise_xor.reduce(narrow.reshape(4, -1, len(size)), axis=0)
-    least = [np.array(x, dtype=np.int64).view(np.uint64) for x in table.column("least").to_pylist()]
-    here = np.array(table.column("meeting")[0].as_py(), dtype=np.int64).view(np.uint64)
-    before = [frozenset(x[x < here].tolist()) for x in least]
-    label = table.column("label").to_numpy()
-    apart = (1 - similarity) / (1 + similarity)
-    order = np.argsort(size, kind="stable")
-    left = order[side[order] <= 0]
-    right = order[side[order] > 0] if (side > 0).any() else left
-    for a in range(0, len(left), STRIP):
-        x = left[a : a + STRIP]
-        low = np.searchsorted(size[right], size[x[0]] * similarity - 1e-6)
-        high = np.searchsorted(size[right], size[x[-1]] / similarity + 1e-6, side="right")
-        for b in range(max(low, a) if right is left else low, high, BLOCK):
-            y = right[b : min(b + BLOCK, high)]
-            differ = np.zeros((len(x), len(y)), dtype=np.uint16)
-            for plane in folded if size[x[-1]] <= SHORT else narrow:
-                differ += np.bitwise_count(plane[x][:, None] ^ plane[y][None, :])
-            may = (differ <= (size[x][:, None] + size[y][None, :]) * apart + 1e-6) & (label[x][:, None] != label[y][None, :])
-            if right is left:
-                may &= np.arange(a, a + len(x))[:, None] < np.arange(b, b + len(y))[None, :]
-            i, j = np.nonzero(may)
-            i, j = x[i], y[j]
-            if size[x[-1]] <= SHORT and len(i):
-                some = np.bitwise_count(narrow[:, i] ^ narrow[:, j]).sum(axis=0, dtype=np.int64) <= (size[i] + size[j]) * apart + 1e-6
-                i, j = i[some], j[some]
-            for p, q in zip(i.tolist(), j.tolist(), strict=True):
-                if not before[p].isdisjoint(before[q]):
-                    continue
-                if len(bits[p]) == len(bits[q]) > NARROW // 64 and np.bitwise_count(bits[p] ^ bits[q]).sum(dtype=np.int64) > (size[p] + size[q]) * apart + 1e-6:
-                    continue
-                yield p, q
-
-
-def _partners(similarity: float):
-    """The documents of a tile that may have a similar one in it."""
-
-    def run(table):
-        import pyarrow as pa
-
-        docs = table.column("doc").to_pylist()
-        found = {x for pair in _tiles(table, similarity) for x in pair}
-        return pa.table({"doc": pa.array([docs[i] for i in sorted(found)], pa.int64()), "meeting": pa.array([table.column("meeting")[0].as_py()] * len(found), pa.int64())})
-
-    return run
-
-
-def _similar(similarity: float):
-    """Links that join the components of a tile's pairs at the similarity; pairs already joined are not compared."""
-
-    def run(table):
-        import numpy as np
-        import pyarrow as pa
-
-        docs = table.column("doc").to_pylist()
-        sets = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in table.column("shingles")]
-        up = list(range(len(docs)))
-
-        def top(i):
-            while up[i] != i:
-                up[i] = up[up[i]]
-                i = up[i]
-            return i
-
-        a, b = [], []
-        for i, j in _tiles(table, similarity):
-            x, y = top(i), top(j)
-            if x == y or min(len(sets[i]), len(sets[j])) < similarity * max(len(sets[i]), len(sets[j])):
-                continue
-            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if common >= similarity * (len(sets[i]) + len(sets[j]) - common):
-                up[y] = x
-                a.append(docs[i])
-                b.append(docs[j])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return run
-
-
-def _fetch_sets(shingle: int, wanted):
-    """(doc, text) to (doc, shingles) for the documents that the broadcast filter may hold."""
-
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        from .anchors import in_filter
-
-        for batch in batches:
-            docs = batch.column(0).to_numpy()
-            at = np.flatnonzero(in_filter(wanted.value, docs))
-            sets = [shingle_set(batch.column(1)[int(i)].as_py(), shingle).tobytes() for i in at]
-            yield pa.RecordBatch.from_arrays([pa.array(docs[at]), pa.array(sets, pa.binary())], names=["doc", "shingles"])
-
-    return run
-
-
-def _tiled(rows: DataFrame, sketches: DataFrame | None):
-    """Groups rows of chunk c into tiles (x, y) with each chunk of `others`; a chunk's tile with itself is (c, c).
-
-    Sketches, if given, are joined by doc last, so that they are shuffled to the tiles only.
-    """
-    rows = rows.withColumn("other", F.explode("others")).drop("others")
-    rows = rows if sketches is None else rows.join(sketches, "doc")
-    side = F.when(F.col("c") == F.col("other"), -1).when(F.col("c") < F.col("other"), 0).otherwise(1)
-    return rows.select("*", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"), side.alias("side")).groupBy("meeting", "x", "y")
-
-
-def _meet(rows: DataFrame, scratch: Scratch, size: int, sketches: DataFrame | None = None):
-    """Deals (doc, meeting, ...) into tiles. A small meeting is one; of a large one each chunk meets itself and
-    the first chunk, so that rows grow with the meeting and not with its square. What that misses is left to _across."""
-    counts = scratch.write(rows.groupBy("meeting").agg(F.count("*").alias("met")).where("met > 1"))
-    rows = rows.join(counts, "meeting").withColumn("chunks", F.ceil(F.col("met") / size).cast("int"))
-    rows = rows.withColumn("c", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
-    others = F.when(F.col("c") == 0, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.lit(0), F.col("c")))
-    return _tiled(rows.withColumn("others", others).withColumn("label", F.col("doc")), sketches)
-
-
-def _across(rows: DataFrame, scratch: Scratch, size: int, sketches: DataFrame | None = None):
-    """Deals (doc, meeting, label, ...) into tiles that hold every pair of different labels of a meeting.
-
-    A meeting's most frequent label is its core. Whatever has another label is chunked and meets all chunks; two of the
-    core never meet, so that a tight group of near copies costs rows in proportion to its size.
-    """
-    labels = rows.groupBy("meeting", "label").agg(F.count("*").alias("n"))
-    cores = labels.groupBy("meeting").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("met"))
-    cores = cores.select("meeting", F.col("top.label").alias("core"), F.col("top.n").alias("inside"), (F.col("met") - F.col("top.n")).alias("strays"))
-    rows = rows.join(scratch.write(cores.where("strays > 0")), "meeting")
-    stray, deal = F.col("label") != F.col("core"), F.xxhash64("doc")
-    first, rest = (F.ceil(F.col(c) / size).cast("int") for c in ("strays", "inside"))
-    c = F.when(stray, F.pmod(deal, first)).otherwise(first + F.pmod(deal, rest)).cast("int")
-    others = F.sequence(F.lit(0), F.when(stray, first + rest).otherwise(first) - 1)
-    return _tiled(rows.withColumn("c", c).withColumn("others", others), sketches)
-
-
-def _shared(wanted):
-    """(doc, label, meetings) to (doc, label, meetings): those that the broadcast filter may hold."""
-
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        from .anchors import in_filter
-
-        for batch in batches:
-            lists = batch.column(2)
-            kept = in_filter(wanted.value, lists.flatten().to_numpy())
-            ends = np.concatenate(([0], np.cumsum(kept)))[np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))]
-            some = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lists.flatten().filter(pa.array(kept)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), some], names=["doc", "label", "meetings"])
-
-    return run
-
-
-def _open(similarity: float):
-    """(meeting, docs) to (doc, label, meeting): the documents of small meetings with another one in it that has another
-    label, a size that allows the similarity, and no least hash in common, under which the two have met already."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            docs, labels, meetings = [], [], []
-            for meeting, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                least, found = [frozenset(m["least"]) for m in members], set()
-                for (i, a), (j, b) in combinations(enumerate(members), 2):
-                    if a["label"] != b["label"] and min(a["n"], b["n"]) >= similarity * max(a["n"], b["n"]) and least[i].isdisjoint(least[j]):
-                        found |= {i, j}
-                docs += [members[i]["doc"] for i in found]
-                labels += [members[i]["label"] for i in found]
-                meetings += [meeting] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (docs, labels, meetings)], names=["doc", "label", "meeting"])
-
-    return run
-
-
-def similar_components(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, component_id) of the documents that have near copies: the smallest id reachable over similar pairs.
-
-    A pair is similar if its sets of `shingle`-word shingles have a Jaccard similarity of at least `similarity`. Ids must be
-    integers; rows with a null id or no words are never linked. Documents meet under their least shingle hashes; what sizes
-    and parity bitmaps don't rule out is fetched and compared by its sets. The first pass takes the MEETINGS least hashes,
-    and of a meeting of more than MEETING documents a part. The second takes whole prefixes, in which every similar pair
-    meets, and compares all pairs that are not yet in one component. No similar pair is lost, but for equal 64-bit hashes.
-    """
-    from .anchors import filter_bits
-
-    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), text_or_empty(F.col(text_col)).alias("text"))
-    sketches = scratch.write(texts.mapInArrow(_sketches(shingle, similarity), "doc long, n long, bits binary, least array<long>, more array<long>"))
-    meetings = sketches.select("doc", F.explode("least").alias("meeting"))
-    known = sketches.drop("more").dropDuplicates(["doc"])
-
-    def compare(tiles, deal, more: list) -> DataFrame:
-        """Links of the tiles' similar pairs; deal puts the documents that may have one, with their sets, into tiles again."""
-        partners = scratch.write(tiles.applyInArrow(_partners(similarity), "doc long, meeting long").distinct())
-        wanted = scratch.spark.sparkContext.broadcast(filter_bits(partners, F.col("doc")))
-        sets = texts.mapInArrow(_fetch_sets(shingle, wanted), "doc long, shingles binary").groupBy("doc").agg(F.min("shingles").alias("shingles"))
-        rows = scratch.write(reduce(lambda d, t: d.join(t, "doc"), [known, *more, sets], partners))
-        wanted.destroy()  # the written rows need it no more
-        return scratch.write(deal(rows, scratch, MEETING_WITH_SETS).applyInArrow(_similar(similarity), "a long, b long"))
-
-    links = compare(_meet(meetings, scratch, MEETING, known), _meet, [])
-    roots = scratch.write(connected_components(links, scratch))
-    labels = known.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("doc", F.coalesce("root", "doc").alias("label"))
-    labels = scratch.write(labels)
-    # Meetings of several labels that the first pass has not compared whole: large ones and those beyond the least hashes.
-    named = sketches.select("doc", "least", "more").join(labels, "doc")
-    deep = named.select("label", F.explode(F.concat(F.transform("least", lambda h: F.struct(h.alias("meeting"), F.lit(0).alias("deep"))), F.transform("more", lambda h: F.struct(h.alias("meeting"), F.lit(1).alias("deep"))))).alias("k"))
-    mixed = deep.groupBy("k.meeting").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("k.deep").alias("deep"), F.count("*").alias("met"))
-    mixed = scratch.write(mixed.where((F.col("low") < F.col("high")) & ((F.col("deep") > 0) | (F.col("met") > min(MEETING, MEETING_WITH_SETS)))).select("meeting", "met"))
-    if not mixed.isEmpty():
-        wanted = scratch.spark.sparkContext.broadcast(filter_bits(mixed, F.col("meeting")))
-        some = named.select("doc", "label", F.concat("least", "more").alias("meetings")).mapInArrow(_shared(wanted), "doc long, label long, meetings array<long>")
-        some = scratch.write(some.select("doc", "label", F.explode("meetings").alias("meeting")).join(mixed, "meeting"))
-        few = F.col("met") <= min(FEW, MEETING, MEETING_WITH_SETS)
-        small = some.where(few).join(known.select("doc", "n", "least"), "doc").groupBy("meeting").agg(F.collect_list(F.struct("doc", "label", "n", "least")).alias("docs"))
-        small = small.mapInArrow(_open(similarity), "doc long, label long, meeting long")
-        rows = scratch.write(small.unionByName(some.where(~few).select("doc", "label", "meeting")))
-        wanted.destroy()  # the written rows need it no more
-        for done in (mixed, some):
-            scratch.drop(done)
-        across = compare(_across(rows, scratch, MEETING, known), _across, [labels])
-        if not across.isEmpty():
-            roots = connected_components(links.union(across), scratch)
-    return roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
-
-
-def drop_near_copies(docs: DataFrame, scratch: Scratch, **how) -> DataFrame:
-    """docs without all but the smallest id of each group of near copies; rows keep their columns."""
-    lost = similar_components(docs, scratch, **how).where("doc_id <> component_id").select(F.col("doc_id").alias("_lost"))
-    return docs.join(lost, F.col("doc_id") == F.col("_lost"), "left_anti")
+    return settled(spark, "simhash", lambda scratch: near_components(read_table(spark, sf_dir, "documents"), scratch))
