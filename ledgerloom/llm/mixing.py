@@ -2,8 +2,8 @@
 
 Every document starts at rate 1. The rates that meet each source's token constraint and stay closest to 1 in relative
 entropy are exp(tilt x size), held to [0, 3]; the tilts solve a convex dual by Newton's method. Sources are disjoint, so
-the Hessian is diagonal; each iteration is one aggregation over a table of (source, size, count). The rates are then
-rounded to whole copies.
+the Hessian is diagonal; each iteration joins the written table of sources, one row each, with the sums of a table of (source,
+size, count). The rates are then rounded to whole copies. Only sums over all sources reach the driver.
 """
 
 from __future__ import annotations
@@ -14,168 +14,187 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import WORD, Scratch, read_table, text_or_empty
+from .common import Scratch, WORD, fresh, read_table, settled, text_or_empty
 
 #: No document, and so no source, is taken more often than this.
 MOST = 3
-#: Newton steps at most; a source stops once its words are within TOLERANCE of its target.
+#: Weights of the sources in their order, repeating.
+WEIGHTS = (1, 2, 3)
+#: Newton steps; a source that has not stopped by then, within TOLERANCE of its target, is finished by bisection of its bracket.
 STEPS = 60
 TOLERANCE = 1e-7
+#: Passes that make up what rounding left; they end once no source comes closer.
+PASSES = 8
 #: Rows of one source and size that are ranked together, so many on average.
 RANKED = 2000
 
 
-def targets(sizes: list[tuple], most: int = MOST, weights: tuple = (1, 2, 3)) -> dict:
-    """Target words by source, from (source, size) pairs: one pair a source, so the list has the sources' number.
-
-    Sources by code point, null last, weigh 1, 2, 3 and so on in turn, and share all words; a target stops at `most` times
-    its source's size and the rest is shared again by weight until none is above.
-    """
-    order = sorted((s, n) for s, n in sizes if s is not None) + [(s, n) for s, n in sizes if s is None]
-    weight = {s: weights[i % len(weights)] for i, (s, _) in enumerate(order)}
-    size = dict(order)
-    left, open_, out = float(sum(size.values())), [s for s, _ in order], {}
-    while open_:
-        total = sum(weight[s] for s in open_)
-        over = [s for s in open_ if left * weight[s] / total > most * size[s]]
-        if not over:
-            return out | {s: left * weight[s] / total for s in open_}
-        out |= {s: float(most * size[s]) for s in over}
-        left -= sum(out[s] for s in over)
-        open_ = [s for s in open_ if s not in out]
-    return out
-
-
 def _rate(tilt: Column, x: Column, most: int) -> Column:
     """Rate of a document of scaled size x; without words the rate has no effect and stays 1."""
     return F.when(x == 0, F.lit(1.0)).otherwise(F.least(F.exp(F.least(tilt * x, F.lit(50.0))), F.lit(float(most))))
 
 
-def _rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
-    """A small table of literals, one row a source."""
-    structs = [F.struct(*(F.lit(v).alias(n) for v, n in zip(r, names, strict=True))) for r in rows]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+def targets(sources: DataFrame, scratch: Scratch, most: int = MOST, weights: tuple = WEIGHTS) -> DataFrame:
+    """sources (source_key, source_size, ...) with a column target, a double.
 
-
-def _solve(histogram: DataFrame, goal: dict, size: dict, most: int) -> DataFrame:
-    """(source_key, source_size, target, tilt, unit): the dual's solution; one row a source reaches the driver a step."""
-    spark = histogram.sparkSession
-    # Sizes are measured in their source's mean size per word, so that tilts are near 1 at any scale.
+    Sources by code point, null ("n") last, weigh 1, 2, 3 and so on in turn, and share all words; a target stops at `most` times
+    its source's size and the rest is shared again by weight until none is above. No sources give none.
+    """
+    order = W.orderBy(F.col("source_key") == "n", "source_key")  # one row a source
+    weight = F.element_at(F.array(*(F.lit(w) for w in weights)), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
+    table = scratch.write(sources.withColumn("weight", weight).withColumn("target", F.lit(None).cast("double")))
+    left = float(table.agg(F.sum("source_size")).first()[0] or 0)
+    while True:
+        open_ = table.where("target is null")
+        total = open_.agg(F.sum("weight")).first()[0]
+        if not total:
+            return table.drop("weight")
+        share = F.lit(left) * F.col("weight") / F.lit(float(total))
+        limit = F.lit(float(most)) * F.col("source_size")
+        closed = open_.where(share > limit).agg(F.sum(limit)).first()[0]
+        now = share if closed is None else F.when(share > limit, limit)
+        following = scratch.write(table.withColumn("target", F.coalesce("target", now)))
+        scratch.drop(table)
+        table, left = following, left - (closed or 0.0)
+
+
+def _solve(histogram: DataFrame, sources: DataFrame, scratch: Scratch, most: int = MOST) -> DataFrame:
+    """(source_key, source_size, target, tilt, unit): the dual's solution.
+
+    histogram: (source_key, size, n); sources: (source_key, source_size, target). Sizes are measured in their source's mean size
+    per word, unit, so that tilts are near 1 at any scale. At the limit a source has one feasible solution, an infinite tilt.
+    """
     moments = histogram.groupBy("source_key").agg(F.sum(F.col("n") * F.pow("size", F.lit(2.0))).alias("square"))
-    unit = {r.source_key: r.square / max(size[r.source_key], 1) or 1.0 for r in moments.collect()}
-    tilt = dict.fromkeys(goal, 0.0)
-    low, high = dict.fromkeys(goal, -math.inf), dict.fromkeys(goal, math.inf)
-    running = {s for s in goal if size[s] and goal[s] < most * size[s] * (1 - TOLERANCE)}
-
-    def table(names) -> DataFrame:
-        rows = [(s, size[s], float(goal[s]), tilt[s], float(unit[s])) for s in sorted(names)]
-        return _rows(spark, rows, ["source_key", "source_size", "target", "tilt", "unit"])
-
-    for _ in range(STEPS):
-        if not running:
-            break
+    unit = F.col("square") / F.greatest("source_size", F.lit(1))
+    full = (F.col("source_size") > 0) & (F.col("target") >= F.lit(most * (1 - TOLERANCE)) * F.col("source_size"))
+    state = sources.join(moments, "source_key").select(
+        "source_key", "source_size", "target", F.when(full, F.lit(math.inf)).otherwise(0.0).alias("tilt"), F.when(unit > 0, unit).otherwise(1.0).alias("unit"),
+        F.lit(-math.inf).alias("low"), F.lit(math.inf).alias("high"), (~full & (F.col("source_size") > 0)).alias("open"),
+    )
+    state = scratch.write(state)
+    step = 0
+    while not state.where("open").isEmpty():
         x = F.col("size") / F.col("unit")
         rate = _rate(F.col("tilt"), x, most)
-        at = histogram.join(table(running), "source_key").groupBy("source_key")
-        at = at.agg(
+        sums = histogram.join(state.where("open"), "source_key").groupBy("source_key").agg(
             F.sum(F.col("n") * F.col("size") * rate).alias("words"),
             F.sum(F.when(rate < most, F.col("n") * F.col("size") * x * rate).otherwise(0.0)).alias("slope"),
-        )
-        for r in at.collect():
-            s, gap = r.source_key, goal[r.source_key] - r.words
-            if abs(gap) <= TOLERANCE * max(goal[s], 1.0):
-                running.discard(s)
-                continue
-            # The gradient's sign brackets the tilt; a Newton step that leaves the bracket is replaced by its middle.
-            (low if gap > 0 else high)[s] = tilt[s]
-            step = tilt[s] + (gap / r.slope if r.slope > 0 else math.copysign(1.0, gap))
-            if not low[s] < step < high[s]:
-                ends = [e for e in (low[s], high[s]) if math.isfinite(e)]
-                step = sum(ends) / 2 if len(ends) == 2 else tilt[s] + math.copysign(1.0 + abs(tilt[s]), gap)
-            if step == tilt[s]:
-                running.discard(s)
-            tilt[s] = step
-    for s in goal:  # at the limit a source has one feasible solution
-        if size[s] and goal[s] >= most * size[s] * (1 - TOLERANCE):
-            tilt[s] = math.inf
-    return table(goal)
-
-
-def _round(histogram: DataFrame, most: int) -> DataFrame:
+        )
+        gap, tilt = F.col("target") - F.col("words"), F.col("tilt")
+        done = F.abs(gap) <= F.lit(TOLERANCE) * F.greatest("target", F.lit(1.0))
+        # The gradient's sign brackets the tilt; a Newton step that leaves the bracket is replaced by its middle.
+        low, high = F.when(gap > 0, tilt).otherwise(F.col("low")), F.when(gap > 0, F.col("high")).otherwise(tilt)
+        newton = tilt + F.when(F.col("slope") > 0, F.try_divide(gap, F.col("slope"))).otherwise(F.signum(gap))
+        both = (F.col("low") > -math.inf) & (F.col("high") < math.inf)
+        middle = F.when(both, (F.col("low") + F.col("high")) / 2).otherwise(tilt + F.signum(gap) * (1.0 + F.abs(tilt)))
+        going = F.col("open") & ~done
+        at = state.join(sums, "source_key", "left").withColumn("going", F.coalesce(going, F.lit(False)))
+        at = at.withColumn("low", F.when(F.col("going"), low).otherwise(F.col("low"))).withColumn("high", F.when(F.col("going"), high).otherwise(F.col("high")))
+        inside = (F.col("low") < newton) & (newton < F.col("high")) & F.lit(step < STEPS)
+        at = at.withColumn("next", F.when(F.col("going"), F.when(inside, newton).otherwise(middle)).otherwise(tilt))
+        following = scratch.write(at.select("source_key", "source_size", "target", F.col("next").alias("tilt"), "unit", "low", "high", (F.col("going") & (F.col("next") != tilt)).alias("open")))
+        scratch.drop(state)
+        state, step = following, step + 1
+    return state.drop("low", "high", "open")
+
+
+def _round(histogram: DataFrame, scratch: Scratch, most: int) -> DataFrame:
     """Adds copies, the whole number that the n documents of a (source, size) get together.
 
     Rates are accumulated from the longest size down and rounded, so that errors of neighbouring sizes cancel; what a
-    source still lacks, or has too much, is then made up at the one size that fits it best, twice.
+    source still lacks, or has too much, is then made up at the one size that fits it best, again and again, until no
+    source comes closer or PASSES are made. What remains is less than what any one more or fewer copy could mend.
     """
     wanted = F.col("n") * _rate(F.col("tilt"), F.col("size") / F.col("unit"), most)
     down = W.partitionBy("source_key").orderBy(F.desc("size"))
     h = histogram.withColumn("sum", F.floor(F.sum(wanted).over(down) + 0.5))
     h = h.withColumn("copies", F.col("sum") - F.coalesce(F.lag("sum").over(down), F.lit(0)))
-    h = h.withColumn("copies", F.least(F.greatest("copies", F.lit(0)), F.col("n") * most).cast("long")).drop("sum")
-    for _ in range(2):
+    h = scratch.write(h.withColumn("copies", F.least(F.greatest("copies", F.lit(0)), F.col("n") * most).cast("long")).drop("sum"))
+    for _ in range(PASSES):
         lacks = h.groupBy("source_key").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("lack"))
         fit = h.where("size > 0").join(lacks, "source_key")
         more = F.least(F.greatest(F.round(F.col("lack") / F.col("size")), -F.col("copies")), F.col("n") * most - F.col("copies")).cast("long")
-        fit = fit.select("source_key", F.struct(F.abs(F.col("lack") - more * F.col("size")).alias("off"), F.col("size").alias("at"), more.alias("more")).alias("fit"))
-        best = fit.groupBy("source_key").agg(F.min("fit").alias("fit")).select("source_key", "fit.at", "fit.more")
-        h = h.join(best, "source_key", "left")
-        h = h.withColumn("copies", F.col("copies") + F.when(F.col("size") == F.col("at"), F.col("more")).otherwise(0)).drop("at", "more")
+        fit = fit.where(more != 0).select("source_key", F.struct(F.abs(F.col("lack") - more * F.col("size")).alias("off"), F.col("size").alias("at"), more.alias("more")).alias("fit"), F.abs("lack").alias("was"))
+        best = scratch.write(fit.groupBy("source_key").agg(F.min("fit").alias("fit"), F.first("was").alias("was")).where("fit.off < was").select("source_key", "fit.at", "fit.more"))
+        if best.isEmpty():
+            break
+        following = h.join(best, "source_key", "left")
+        following = following.withColumn("copies", F.col("copies") + F.when(F.col("size") == F.col("at"), F.col("more")).otherwise(0)).drop("at", "more")
+        following = scratch.write(following)
+        scratch.drop(h)
+        h = following
     return h
 
 
+def _copies(rows: DataFrame, plan: DataFrame, widest: int, key: str, size: str, order: list[str], out: str) -> DataFrame:
+    """rows with the column `out`: how many copies each row gets. plan: (source_key, size, n, copies).
+
+    The copies of a (source, size) are dealt evenly over its rows; the odd ones go by rank within salted parts, so that no
+    part is large. Rows that agree in all of `order` are ranked as they come, and each has a rank of its own.
+    """
+    salt, rank = fresh(rows, "salt", "rank")
+    salts = max(1, math.ceil(widest / max(RANKED, math.sqrt(widest))))
+    rows = rows.withColumn(salt, F.pmod(F.shiftright(order[0], 8), F.lit(salts)))
+    parts = rows.groupBy(F.col(key).alias("source_key"), F.col(size).alias("size"), F.col(salt).alias("salt")).agg(F.count("*").alias("part"))
+    up = W.partitionBy("source_key", "size").orderBy("salt")
+    parts = parts.withColumn("until", F.sum("part").over(up)).join(plan.select("source_key", "size", "n", "copies"), ["source_key", "size"])
+    share = lambda until: F.floor(F.col("copies") % F.col("n") * until / F.col("n"))
+    names = fresh(rows, "to_source", "to_size", "to_salt", "base", "odd")
+    parts = parts.select("source_key", "size", "salt", F.expr("copies div n"), share(F.col("until")) - share(F.col("until") - F.col("part"))).toDF(*names)
+    rows = rows.withColumn(rank, F.row_number().over(W.partitionBy(key, size, salt).orderBy(*order)))
+    a, b, c, base, odd = names
+    found = rows.join(parts, (F.col(key) == F.col(a)) & (F.col(size) == F.col(b)) & (F.col(salt) == F.col(c)))
+    return found.withColumn(out, (F.col(base) + (F.col(rank) <= F.col(odd)).cast("long")).cast("long")).drop(salt, rank, *names)
+
+
+def _keyed(docs: DataFrame, text_col: str, source_col: str, key: str, size: str) -> DataFrame:
+    text = text_or_empty(F.col(f"`{text_col}`"))
+    named = F.coalesce(F.concat(F.lit("s"), F.col(f"`{source_col}`").cast("string")), F.lit("n"))
+    return docs.select("*", named.alias(key), F.regexp_count(text, F.lit(WORD)).cast("long").alias(size))
+
+
+def _plan(sized: DataFrame, scratch: Scratch, most: int) -> tuple[DataFrame, int]:
+    """(source_key, size, n, source_size, target, copies) from rows (source_key, size), and the most rows of one such pair."""
+    histogram = scratch.write(sized.groupBy("source_key", "size").agg(F.count("*").alias("n")))
+    widest = histogram.agg(F.max("n")).first()[0] or 0
+    sources = histogram.groupBy("source_key").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
+    solved = _solve(histogram, targets(sources, scratch, most), scratch, most)
+    return _round(histogram.join(solved, "source_key"), scratch, most), widest
+
+
 def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", most: int = MOST) -> DataFrame:
     """Per row of docs: doc_id, source, size, source_size, target, copies, taken (copies x size).
 
     Size is the number of words; a null text has none, and such rows get one copy of nothing. A null source is a source.
     Sources of equal weight and documents of equal size tie by the hash of the id, so that reruns agree; rows that agree
-    in id, source and size are alike and may differ by one copy. An empty table gives an empty one.
+    in id, source and size are alike and may differ by one copy. Other columns are not read. An empty table gives an empty one.
     """
-    text = text_or_empty(F.col(text_col))
-    key = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), key.alias("source_key"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"))
-    rows = scratch.write(rows)
-    histogram = scratch.write(rows.groupBy("source_key", "size").agg(F.count("*").alias("n")))
-    sizes = histogram.groupBy("source_key").agg(F.sum(F.col("n") * F.col("size")).alias("size"), F.max("n").alias("most")).collect()
-    if not sizes:
-        return rows.select("doc_id", "source", "size", F.col("size").alias("source_size"), F.lit(0.0).alias("target"), F.col("size").alias("copies"), F.col("size").alias("taken"))
-    size = {r.source_key: r["size"] for r in sizes}
-    named = targets([(None if s == "n" else s[1:], n) for s, n in size.items()], most)
-    goal = {"n" if s is None else "s" + s: t for s, t in named.items()}
-    histogram = scratch.write(_round(histogram.join(_solve(histogram, goal, size, most), "source_key"), most))
-
-    # Which documents of a (source, size) get the odd copies: by rank within salted parts, so that no part is large.
-    widest = max(r.most for r in sizes)
-    salts = math.ceil(widest / max(RANKED, math.sqrt(widest)))
-    rows = rows.withColumn("order", F.xxhash64("doc_id")).withColumn("salt", F.pmod(F.shiftright("order", 8), F.lit(salts)))
-    parts = rows.groupBy("source_key", "size", "salt").agg(F.count("*").alias("part"))
-    up = W.partitionBy("source_key", "size").orderBy("salt")
-    parts = parts.withColumn("until", F.sum("part").over(up)).join(histogram, ["source_key", "size"])
-    odd = F.col("copies") % F.col("n")
-    share = lambda until: F.floor(odd * until / F.col("n"))
-    parts = parts.select(
-        "source_key", "size", "salt", "source_size", "target", F.expr("copies div n").alias("base"),
-        (share(F.col("until")) - share(F.col("until") - F.col("part"))).alias("odd"),
-    )
-    ranked = rows.withColumn("rank", F.row_number().over(W.partitionBy("source_key", "size", "salt").orderBy("order", "doc_id")))
-    out = ranked.join(parts, ["source_key", "size", "salt"])
-    copies = F.col("base") + (F.col("rank") <= F.col("odd")).cast("long")
-    out = out.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    rows = scratch.write(_keyed(rows, "text", "source", "source_key", "size").drop("text").withColumn("order", F.xxhash64("doc_id")))
+    plan, widest = _plan(rows.select("source_key", "size"), scratch, most)
+    out = _copies(rows, plan, widest, "source_key", "size", ["order", "doc_id"], "copies")
+    sources = plan.groupBy("source_key").agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"))
+    out = out.join(sources, "source_key").select("doc_id", "source", "size", "source_size", "target", "copies")
     return out.withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def repeat_documents(docs: DataFrame, scratch: Scratch, most: int = MOST) -> DataFrame:
-    """docs with each row repeated as often as the mix takes it; rows without a copy go. Columns stay as they are."""
-    copies = mix(docs, scratch, most=most).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    name = lambda c, s: F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")).alias(s)
-    copies = copies.select(name("doc_id", "_id"), name("source", "_source"), F.col("size").alias("_size"), "_copies", "_rows")
-    keyed = docs.select("*", name("doc_id", "_id"), name("source", "_source"), F.regexp_count(text_or_empty(F.col("text")), F.lit(WORD)).cast("long").alias("_size"))
-    out = keyed.join(copies, ["_id", "_source", "_size"])
-    odd = F.pmod(F.xxhash64("text"), F.col("_rows")) < F.col("_copies") % F.col("_rows")
-    times = F.expr("_copies div _rows") + odd.cast("long")
-    out = out.withColumn("_times", times).where("_times > 0")
-    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+def repeat_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", most: int = MOST) -> DataFrame:
+    """docs with each row repeated as often as the mix takes it; rows without a copy go. Columns stay as they are.
+
+    Every row counts for itself, also where rows repeat: those that agree in id, source and text are ranked one after the other, so
+    that together they get the copies that the mix has for them. Null and empty texts have no words and stay once; a null id or
+    source is a value like any other. An empty table gives an empty one.
+    """
+    key, size, order, content, copies, copy = fresh(docs, "source_key", "size", "order", "content", "copies", "copy")
+    keyed = _keyed(docs, text_col, source_col, key, size)
+    sized = scratch.write(keyed.select(F.col(key).alias("source_key"), F.col(size).alias("size")))
+    plan, widest = _plan(sized, scratch, most)
+    doc = F.col(f"`{id_col}`")
+    keyed = keyed.withColumn(order, F.xxhash64(doc)).withColumn(content, F.xxhash64(F.col(f"`{text_col}`")))
+    out = _copies(keyed, plan, widest, key, size, [order, f"`{id_col}`", content], copies).where(F.col(copies) > 0)
+    out = out.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
     return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read_table(spark, sf_dir, "documents"), Scratch(spark, "mix"))
+    return settled(spark, "mix", lambda scratch: mix(read_table(spark, sf_dir, "documents"), scratch))
