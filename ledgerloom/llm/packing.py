@@ -10,7 +10,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, read_table, text_or_empty
+from .common import Scratch, read_table, settled, slices, text_or_empty
 
 WINDOW = 2048
 #: Follows each document's ids.
@@ -39,9 +39,7 @@ def byte_bpe(path: str):
     if path in _loaded:
         return _loaded[path]
     import tiktoken
-    from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     special = [t["content"] for t in spec.get("added_tokens", [])]
@@ -52,11 +50,21 @@ def byte_bpe(path: str):
     ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
     full = tiktoken.Encoding("full", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     single = tiktoken.Encoding("single", pat_str=SPLIT_SINGLE, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    del ranks, spec
+    whole = []
+
+    def exact(text: str) -> list[int]:
+        if not whole:  # the library's own copy of the vocabulary, if ever a text needs it
+            from tokenizers import Tokenizer
+
+            whole.append(Tokenizer.from_file(path))
+        return whole[0].encode(text, add_special_tokens=False).ids
+
     double_space = re.compile(r"\s\s").search
 
     def encode(text: str) -> list[int]:
         if any(t in text for t in special):
-            return exact.encode(text, add_special_tokens=False).ids
+            return exact(text)
         return full(text) if double_space(text) else single(text)
 
     _loaded[path] = encode
@@ -71,7 +79,7 @@ def _pieces(path: str | None, window: int):
         import pyarrow as pa
 
         encode = byte_bpe(path or default_vocabulary())
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids, texts = batch.column(0), batch.column(1)
             row, start, length, crc, total = [], [], [], [], []
             for i in range(batch.num_rows):
@@ -160,4 +168,4 @@ def pack(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: st
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read_table(spark, sf_dir, "documents"), Scratch(spark, "pack"))
+    return settled(spark, "pack", lambda scratch: pack(read_table(spark, sf_dir, "documents"), scratch))
