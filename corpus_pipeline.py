@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact_dedup, language_id, mixing, packing, simhash_dedup
+from ledgerloom.llm import exact_dedup, language_id, mixing, near_copies, packing
 from ledgerloom.llm.common import Scratch, read_table
 
 
@@ -23,7 +23,7 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are alike in 0.8 of their five-word shingles, one after the other, the smallest id stays."""
-    return simhash_dedup.drop_near_copies(docs, Scratch(spark, "pipeline-near"))
+    return near_copies.drop_near_copies(docs, Scratch(spark, "pipeline-near"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,6 +50,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, scratch = read_table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
-    for _, stage in STAGES[:-1]:
-        docs = scratch.write(stage(spark, docs, sf_dir))
-    return scratch.write(STAGES[-1][1](spark, docs, sf_dir))
+    for n, (_, stage) in enumerate(STAGES):
+        after = scratch.write(stage(spark, docs, sf_dir))
+        if n:
+            scratch.drop(docs)
+        docs = after
+    return docs
