@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, read_table
+from .common import Scratch, connected_components, read_table, settled, whole_group
 from .simhash_dedup import forest
 
 COSINE = 0.93
@@ -56,7 +56,7 @@ def _blocks(dim: int, cosine: float):
 
 
 def _deal(cosine: float, grid: int):
-    """Each vector once for its home cell in every block, and for the smaller neighbour cells that it is in reach of."""
+    """Each vector's coordinates in every block, once for its home cell there and once for each smaller neighbour in its reach."""
 
     def run(batches):
         import itertools
@@ -65,17 +65,18 @@ def _deal(cosine: float, grid: int):
         import pyarrow as pa
 
         for batch in batches:
-            dims = np.diff(batch.column(3).offsets.to_numpy())
+            dims = np.diff(batch.column(2).offsets.to_numpy())
             for dim in np.unique(dims):
-                rows = np.flatnonzero(dims == dim)
-                part = batch.take(pa.array(rows))
-                y = np.einsum("ij,jk->ik", _prepare(part.column(3)), _rotation(int(dim)))
+                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
+                y = np.einsum("ij,jk->ik", _prepare(part.column(2)), _rotation(int(dim)))
                 cuts, budgets = _blocks(int(dim), cosine)
                 for k, budget in enumerate(budgets):
                     reach = math.sqrt(budget)
+                    z = y[:, cuts[k] : cuts[k + 1]].astype(np.float32)
                     at = y[:, cuts[k] : min(cuts[k] + grid, cuts[k + 1])] / (2 * reach)
                     home = np.floor(at).astype(np.int64)
                     frac = at - home
+                    coordinates = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * z.shape[1]), len(z), [None, pa.py_buffer(np.ascontiguousarray(z))]).cast(pa.binary())
                     for move in itertools.product((-1, 0, 1), repeat=at.shape[1]):
                         if move > (0,) * at.shape[1]:
                             continue
@@ -84,20 +85,44 @@ def _deal(cosine: float, grid: int):
                             near &= (frac[:, c] <= 0.5 + 1e-9) if m < 0 else (frac[:, c] >= 0.5 - 1e-9) if m > 0 else True
                         if not near.any():
                             continue
-                        cell = home[near] + np.array(move)
-                        code = np.zeros(len(cell), dtype=np.int64)
-                        for c in range(cell.shape[1]):
-                            code = code * 65536 + (cell[:, c] + 32768)
-                        out = part.take(pa.array(np.flatnonzero(near)))
-                        n = out.num_rows
+                        cell = np.ascontiguousarray((home[near] + np.array(move)).astype(np.int32))
+                        code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * cell.shape[1]), len(cell), [None, pa.py_buffer(cell)]).cast(pa.binary())
+                        rows = pa.array(np.flatnonzero(near))
+                        n = len(rows)
                         yield pa.RecordBatch.from_arrays(
-                            [*out.columns, pa.array([k] * n, pa.int32()), pa.array([dim] * n, pa.int32()), pa.array(code), pa.array([any(move)] * n)],
-                            names=["cls", "label", "copies", "embedding", "block", "dim", "cell", "guest"],
+                            [part.column(0).take(rows), part.column(1).take(rows), pa.array([k] * n, pa.int32()), pa.array([dim] * n, pa.int32()), code, pa.array([any(move)] * n), coordinates.take(rows)],
+                            names=["cls", "label", "block", "dim", "cell", "guest", "z"],
                         )
 
     return run
 
 
+def _partners(cosine: float):
+    """The rows of a tile that have another one within the block's budget. Coordinates are rounded, the budget has room for it."""
+
+    def run(table):
+        import numpy as np
+
+        _, budgets = _blocks(table.column("dim")[0].as_py(), cosine)
+        budget = budgets[table.column("block")[0].as_py()] + 1e-5
+        z = np.frombuffer(b"".join(table.column("z").to_pylist()), dtype=np.float32).reshape(table.num_rows, -1).astype(np.float64)
+        square, side = (z * z).sum(axis=1), table.column("side").to_numpy()
+        left = np.flatnonzero(side <= 0)
+        right = left if not (side > 0).any() else np.flatnonzero(side > 0)
+        found = np.zeros(len(z), dtype=bool)
+        step = max(1, 4_000_000 // max(1, len(right)))
+        for s in range(0, len(left), step):
+            rows = left[s : s + step]
+            close = square[rows][:, None] + square[right][None, :] - 2 * (z[rows] @ z[right].T) <= budget
+            if right is left:
+                close[np.arange(len(rows)), np.arange(s, s + len(rows))] = False
+            found[rows] |= close.any(axis=1)
+            found[right] |= close.any(axis=0)
+        return table.drop_columns(["z"]).take(np.flatnonzero(found))
+
+    return run
+
+
 def _verify(cosine: float):
     """One tile to link counts (cls, null, n) and links (cls, cls, null) that join its components."""
 
@@ -158,8 +183,9 @@ def near_vectors(vectors: DataFrame, scratch: Scratch, cosine: float = COSINE, i
     class with its number of copies: copies link with each other and share the class's links. component_id is the smallest
     id reachable. Rows of equal id are rows each. An empty table gives an empty one.
 
-    A cell with more than CELL vectors is cut into chunks, and each pair of chunks is one tile. Tiles hand on counts of
-    links and spanning links, never their pairs.
+    Blocks deal their own coordinates only; whole vectors follow for those that have a partner in a block. A cell with more than
+    CELL vectors is cut into chunks, and each pair of chunks is one tile. Tiles hand on counts of links and spanning links,
+    never their pairs. With g coordinates in the grid, a vector has up to (2^g + 1) / 2 rows a block.
     """
     v = F.col(vector_col)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
@@ -169,17 +195,14 @@ def near_vectors(vectors: DataFrame, scratch: Scratch, cosine: float = COSINE, i
     classes = good.groupBy("label", "embedding").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))
     classes = scratch.write(classes.withColumn("cls", F.monotonically_increasing_id()))
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    grid = min(4, max(1, math.ceil(math.log(max(most, 2) / CELL, 3)) + 1))
-    kind = dict(classes.dtypes)
-    dealt = classes.select("cls", "label", "copies", "embedding").mapInArrow(
-        _deal(cosine, grid), f"cls long, label {kind['label']}, copies long, embedding {kind['embedding']}, block int, dim int, cell long, guest boolean"
-    )
-    dealt = scratch.write(dealt)
+    grid = min(BLOCK, max(1, math.ceil(math.log(max(most, 2) / CELL, 3)) + 1))
+    kind = dict(classes.dtypes)["label"]
+    dealt = scratch.write(classes.select("cls", "label", "embedding").mapInArrow(_deal(cosine, grid), f"cls long, label {kind}, block int, dim int, cell binary, guest boolean, z binary"))
     cell = ["label", "dim", "block", "cell"]
     sizes = dealt.groupBy(*cell).agg(F.count_if(~F.col("guest")).alias("homes"), F.count_if("guest").alias("guests"))
     # Without a home vector, or with one vector alone, a cell has no pair of its own.
     sizes = sizes.where("homes > 0 and homes + guests > 1").select(*cell, F.ceil(F.col("homes") / CELL).cast("int").alias("p"), F.ceil(F.col("guests") / CELL).cast("int").alias("q"))
-    tiles = dealt.join(sizes, cell)
+    tiles = dealt.join(scratch.write(sizes), cell)
     chunk = F.pmod(F.xxhash64("cls"), F.when(F.col("guest"), F.col("q")).otherwise(F.col("p"))).cast("int")
     tiles = tiles.withColumn("chunk", chunk)
     # Tile (x, y, false): home chunks x <= y; (x, y, true): home chunk x and guest chunk y.
@@ -189,15 +212,19 @@ def near_vectors(vectors: DataFrame, scratch: Scratch, cosine: float = COSINE, i
     home_guest = F.transform(F.sequence(F.lit(0), F.greatest(F.col("q"), F.lit(1)) - 1), lambda o: one(c, o, True, F.lit(0)))
     guest_home = F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda o: one(o, c, True, F.lit(1)))
     to = F.when(F.col("guest"), guest_home).when(F.col("q") > 0, F.concat(home_home, home_guest)).otherwise(home_home)
-    tiles = tiles.withColumn("to", F.explode(to)).select("cls", "copies", "embedding", *cell, "to.x", "to.y", "to.mixed", "to.side")
-    found = tiles.groupBy(*cell, "x", "y", "mixed").applyInArrow(_verify(cosine), "a long, b long, n long")
-    found = scratch.write(found)
+    tile = [*cell, "x", "y", "mixed"]
+    tiles = tiles.withColumn("to", F.explode(to)).select("cls", "z", *cell, "to.x", "to.y", "to.mixed", "to.side")
+    near = tiles.groupBy(*tile).applyInArrow(whole_group(_partners(cosine)), f"cls long, label {kind}, dim int, block int, cell binary, x int, y int, mixed boolean, side int")
+    near = scratch.write(near)
     scratch.drop(dealt)
+    # Whole vectors go only where a block has let a pair through.
+    found = scratch.write(near.join(classes.drop("label"), "cls").groupBy(*tile).applyInArrow(whole_group(_verify(cosine)), "a long, b long, n long"))
+    scratch.drop(near)
     counts = found.where("b is null").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("links"))
     roots = connected_components(found.where("b is not null").select("a", "b"), scratch).withColumnRenamed("node", "cls")
     named = classes.join(counts, "cls", "left").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     named = scratch.write(named)
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = scratch.write(named.groupBy("root").agg(F.min("least").alias("component_id")))
     named = named.join(least, "root").select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     linked = good.join(named, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not useful").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
@@ -205,7 +232,7 @@ def near_vectors(vectors: DataFrame, scratch: Scratch, cosine: float = COSINE, i
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_vectors(read_table(spark, sf_dir, "embeddings"), Scratch(spark, "vectors"))
+    return settled(spark, "vectors", lambda scratch: near_vectors(read_table(spark, sf_dir, "embeddings"), scratch))
 
 
 ORACLE = f"""
