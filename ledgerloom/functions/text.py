@@ -20,6 +20,14 @@ AMOUNT_BANDS = [
     (100_000, "5万〜10万円"), (500_000, "10万〜50万円"), (1_000_000, "50万〜100万円"),
 ]
 AMOUNT_TOP, AMOUNT_NONE = "100万円以上", "不明"
+REASON_WORDS = [
+    ("情報不足", ("不足", "不明", "判断できない", "特定できない", "判別できない", "情報が少な")),
+    ("過去履歴を根拠", ("過去", "履歴", "これまで", "一貫", "従来", "前回")),
+    ("類似取引を根拠", ("類似", "似た", "同様", "近い", "同種")),
+    ("金額/入出金方向を根拠", ("金額", "入金", "出金", "少額", "高額")),
+    ("contentの意味から判断", ("摘要", "内容", "名称", "サービス", "店", "利用", "手数料", "から判断", "と考え", "と推定")),
+]
+REASON_NONE = "その他"
 # End of fixed values.
 
 #: Reason keywords of this engine's own reports: (category, keywords), several may hold.
@@ -184,6 +192,11 @@ def reason_categories(c: Column, reasons=REASONS, default: str = "other") -> Col
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(default)))
 
 
+def reason_categories_fixed(c: Column) -> Column:
+    """reason_categories by the fixed words of reasons in Japanese."""
+    return reason_categories(c, REASON_WORDS, REASON_NONE)
+
+
 def value_range(low: Column, high: Column) -> Column:
     """'' if there are no values, the value if all are equal, else low-high."""
     return F.when(low.isNull(), "").when(low == high, low.cast("string")).otherwise(F.concat(low.cast("string"), F.lit("-"), high.cast("string")))
@@ -223,3 +236,50 @@ def _indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 def indel_ratio_arrow(a: Column, b: Column) -> Column:
     """indel_ratio for many pairs: one Arrow batch, bit-parallel."""
     return F.pandas_udf(_indel_ratio, "double")(a, b)
+
+
+def _ratio(a: str, b: str) -> float:
+    return 100.0 if not a and not b else 200.0 * lcs_length(a, b) / (len(a) + len(b))
+
+
+def _partial_ratio(a: str, b: str) -> float:
+    """The best ratio of the shorter text with any stretch of the longer one of its length, or cut off at either end."""
+    short, long = sorted((a, b), key=len)
+    if not short:
+        return 0.0 if long else 100.0
+    n = len(short)
+    return max(_ratio(short, long[max(0, i) : i + n]) for i in range(1 - n, len(long)))
+
+
+def _token_ratio(a: str, b: str, of) -> float:
+    """The best of sorted words, and of what is common to both sets of words with the rest of either."""
+    x, y = set(a.split()), set(b.split())
+    both, left, right = " ".join(sorted(x & y)), " ".join(sorted(x - y)), " ".join(sorted(y - x))
+    best = of(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
+    if both:
+        if not left or not right:
+            return 100.0
+        one, other = f"{both} {left}", f"{both} {right}"
+        best = max(best, of(one, other), of(both, one), of(both, other))
+    return best
+
+
+def weighted_ratio(a: str, b: str) -> float:
+    """A blend of whole, partial and word-wise ratios: word orders count 0.95, and texts of unlike lengths (half as long again and
+    more) are compared in parts, at 0.9, or 0.6 if one is more than eight times as long."""
+    if not a or not b:
+        return 0.0
+    best, unlike = _ratio(a, b), max(len(a), len(b)) / min(len(a), len(b))
+    if unlike < 1.5:
+        return max(best, 0.95 * _token_ratio(a, b, _ratio))
+    scale = 0.9 if unlike <= 8 else 0.6
+    return max(best, scale * _partial_ratio(a, b), 0.95 * scale * _token_ratio(a, b, _partial_ratio))
+
+
+def _weighted_ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else weighted_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+def weighted_ratio_arrow(a: Column, b: Column) -> Column:
+    """weighted_ratio, one Arrow batch at a time; for comparison with indel_ratio only."""
+    return F.pandas_udf(_weighted_ratios, "double")(a, b)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.text import rate
 from .history import FY_WEIGHTS, before, tail_mode, usable
 
+#: Rules of a grid; they are sent to every task.
+MOST_RULES = 10_000
 #: Agreement thresholds of the unanimous-history report.
 UNANIMOUS = (10, 5, 3, 2, 1)
 
@@ -63,7 +65,9 @@ def evaluate_rules(obs: DataFrame, block: str = "day", rules: list[tuple] | None
     r = spark.sql(f"SELECT * FROM VALUES {rows} AS r(rule, last_k, min_total, recency, simple_only, unanimous)")
     hit = (F.col("n") >= F.col("min_total")) & (F.col("run") >= F.col("last_k")) & (~F.col("unanimous") | F.col("same")) & (~F.col("simple_only") | (F.col("plain") >= F.col("last_k"))) & ((F.col("recency") < 0) | (F.col("gap") <= F.col("recency")))
     hit = F.coalesce(hit, F.lit(False))
-    both = counts.join(F.broadcast(r), F.lit(True))  # rules are literals, counts a few facts
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"at most {MOST_RULES} rules are compared at a time")
+    both = counts.join(F.broadcast(r), F.lit(True))  # rules are literals, checked above
     out = both.groupBy("fy", "rule", "last_k", "min_total", "recency", "simple_only", "unanimous").agg(
         F.sum("rows").alias("test"), F.sum(F.when(hit, F.col("rows")).otherwise(0)).alias("n"), F.sum(F.when(hit, F.col("ok")).otherwise(0)).alias("correct")
     )
@@ -105,3 +109,11 @@ def unanimous_backtest(obs: DataFrame, thresholds: tuple = UNANIMOUS) -> DataFra
     hit = F.coalesce((F.col("pred_n") == F.col("total")) & (F.col("total") >= F.col("threshold")), F.lit(False))
     out = at.groupBy("fy", "threshold").agg(F.count("*").alias("test"), F.count_if(hit).alias("n"), F.count_if(hit & (F.col("pred") == F.col("label"))).alias("ok"))
     return out.select("fy", "threshold", "n", rate(F.col("n"), F.col("test")).alias("share_of_test"), rate(F.col("ok"), F.col("n")).alias("accuracy"))
+
+
+def unanimous_compound(obs: DataFrame) -> DataFrame:
+    """By target year: rows whose past is unanimous in a compound label (several accounts, joined by "|"), and its accuracy."""
+    m = _first_modes(usable(obs))
+    hit = F.coalesce((F.col("pred_n") == F.col("total")) & F.contains(F.col("pred"), F.lit("|")), F.lit(False))
+    out = m.groupBy("fy").agg(F.count_if("complex").alias("test_complex"), F.count_if(hit).alias("n"), F.count_if(hit & (F.col("pred") == F.col("label"))).alias("_ok"))
+    return out.select("fy", "test_complex", "n", rate(F.col("_ok"), F.col("n")).alias("accuracy"))

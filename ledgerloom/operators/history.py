@@ -20,6 +20,16 @@ def usable(obs: DataFrame) -> DataFrame:
     return obs.where("content is not null and content <> '' and label is not null and label <> '' and fy is not null")
 
 
+def in_years(df: DataFrame, first: int, last: int, column: str = "fy") -> DataFrame:
+    """Rows of the years first to last, both included; rows without a year are out."""
+    return df.where(F.col(column).between(first, last))
+
+
+def target_rows(obs: DataFrame, year: int) -> DataFrame:
+    """The rows that a year's predictions are judged on: usable ones of that year."""
+    return usable(obs).where(F.col("fy") == year)
+
+
 def _block(block: str):
     return F.unix_date("day") if block == "day" else F.col("fy").cast("long")
 
@@ -60,8 +70,8 @@ def snapshots_before(obs: DataFrame, block: str = "day") -> DataFrame:
 
     n, last_*, run (length of the last stretch of one label), previous (the label before it), change_day, since_complex
     (observations since the last complex one, n if none), any_complex, all_complex, distinct_labels, tail (last five labels),
-    first_day; bands and accounts seen where obs has value and account, sides seen where it has side. See year_modes_before for
-    the years of a history.
+    first_day, last_account and last_band where obs has account and value. See year_modes_before for the years of a history, and
+    seen_before for what it has seen.
     """
     b = obs.withColumn("block", _block(block))
     seq = W.partitionBy("content").orderBy("day", "id")
@@ -77,21 +87,31 @@ def snapshots_before(obs: DataFrame, block: str = "day") -> DataFrame:
         "previous": F.col("_start.before"), "change_day": F.when(F.col("_island") > 0, F.col("_start.day")),
         "since_complex": (F.col("n") - F.coalesce(F.max(F.when(F.col("complex"), F.col("n"))).over(upto), F.lit(0))).cast("long"),
         "any_complex": F.bool_or("complex").over(upto), "all_complex": F.bool_and("complex").over(upto),
-        "distinct_labels": F.size(F.collect_set("label").over(upto)), "tail": tail, "first_day": F.min("day").over(upto),
+        "tail": tail, "first_day": F.min("day").over(upto),
     }
     if {"account", "value"} <= set(obs.columns):
         from ..functions.text import amount_band
 
-        state |= {
-            "last_account": F.col("account"), "accounts": F.collect_set("account").over(upto),
-            "last_band": amount_band(F.col("value")), "bands": F.collect_set(amount_band(F.col("value"))).over(upto),
-        }
-    if "side" in obs.columns:
-        state |= {"last_side": F.col("side"), "sides": F.collect_set("side").over(upto)}
+        state |= {"last_account": F.col("account"), "last_band": amount_band(F.col("value"))}
     s = s.select("content", "block", "day", "id", F.struct(*(c.alias(k) for k, c in state.items())).alias("state"))
     ends = s.groupBy("content", "block").agg(F.max_by("state", F.struct("day", "id")).alias("state"))
+    # Labels that a content has by a block: how many began before it.
+    began = b.groupBy("content", "label").agg(F.min("block").alias("block")).groupBy("content", "block").agg(F.count("*").alias("_began"))
     blocks = W.partitionBy("content").orderBy("block")
-    return ends.select("content", "block", F.lag("state").over(blocks).alias("state")).where("state is not null").select("content", "block", "state.*")
+    known = F.sum("_began").over(blocks.rowsBetween(W.unboundedPreceding, -1)).cast("int")
+    out = ends.join(began, ["content", "block"], "left").select("content", "block", F.lag("state").over(blocks).alias("state"), known.alias("distinct_labels"))
+    return out.where("state is not null").select("content", "block", "distinct_labels", "state.*")
+
+
+def seen_before(rows: DataFrame, obs: DataFrame, columns: dict, block: str = "day") -> DataFrame:
+    """rows (content, block, ...) with a column a name: whether an observation of the content before the block has the value of
+    the row's column expression; null where a value is missing. One first block a (content, value) is joined, no list is built."""
+    b = obs.withColumn("block", _block(block))
+    for name, value in columns.items():
+        first = b.groupBy("content", value.alias("_value")).agg(F.min("block").alias("_since"))
+        rows = rows.withColumn("_value", value).join(first, ["content", "_value"], "left")
+        rows = rows.withColumn(name, F.when(F.col("_value").isNotNull(), F.coalesce(F.col("_since") < F.col("block"), F.lit(False)))).drop("_value", "_since")
+    return rows
 
 
 def year_modes_before(obs: DataFrame, block: str = "day") -> DataFrame:
@@ -139,10 +159,13 @@ def label_counts_at(keyed: DataFrame, asked: DataFrame) -> DataFrame:
     any day, not only days on which the key itself occurs. keyed is obs with its key; labels: the three most used, 'label:n'.
     """
     q = asked.select("match", "day").distinct()
-    daily = keyed.groupBy(F.col("key").alias("match"), "label", F.col("day").alias("_d")).agg(F.count("*").alias("c"), F.min("id").alias("_a"), F.max("id").alias("_z"))
-    past = q.join(daily, "match").where(F.col("_d") < F.col("day")).groupBy("match", "day", "label").agg(
-        F.sum("c").alias("n"), F.min(F.struct("_d", "_a")).alias("first"), F.max(F.struct("_d", "_z")).alias("last")
-    )
+    daily = keyed.groupBy(F.col("key").alias("match"), "label", "day").agg(F.count("*").alias("c"), F.min("id").alias("_a"), F.max("id").alias("_z"))
+    daily = daily.select("match", "label", "day", "c", F.struct(F.col("day").alias("_d"), "_a").alias("f"), F.struct(F.col("day").alias("_d"), "_z").alias("l"), F.lit(False).alias("asked"))
+    # The asked days join the timeline of each of the key's labels; counts run along it, and never meet day by day.
+    grid = q.join(daily.select("match", "label").distinct(), "match").withColumn("asked", F.lit(True))
+    line = daily.unionByName(grid, allowMissingColumns=True)
+    past = W.partitionBy("match", "label").orderBy(F.unix_date("day")).rangeBetween(W.unboundedPreceding, -1)
+    past = line.select("match", "label", "day", "asked", F.sum("c").over(past).alias("n"), F.min("f").over(past).alias("first"), F.max("l").over(past).alias("last")).where("asked and n is not null")
     top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "first", "label"))), 1, 3)
     out = past.groupBy("match", "day").agg(F.max_by("label", F.struct("n", "last")).alias("mode"), F.sum("n").alias("hist_n"), F.max("n").alias("mode_n"), F.max("last").alias("_l"), top.alias("_t"))
     labels = F.array_join(F.transform("_t", lambda x: F.concat(x["label"], F.lit(":"), (-x["m"]).cast("string"))), ",")

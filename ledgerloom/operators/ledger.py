@@ -184,3 +184,9 @@ def enrich_line_items(tx: DataFrame, connected: DataFrame, journals: DataFrame,
     links = journals.where("transaction_id is not null").groupBy("transaction_id").agg(F.count_distinct("journal_id").alias("_n"))
     out = tx.join(dim, "connected_sub_account_id", "left").join(links, "transaction_id", "left").withColumn("linked_journal_count", F.coalesce("_n", F.lit(0))).drop("_n")
     return with_term(out, terms)
+
+
+def without_openings(journals: DataFrame, most: int | None = None) -> DataFrame:
+    """Journals that are no opening entries, by entered_by; at most so many, the first by date and id, if a sample is asked for."""
+    out = journals.where(~F.coalesce(F.col("entered_by") == "JOURNAL_TYPE_OPENING", F.lit(False)))
+    return out if most is None else out.orderBy("date", "journal_id").limit(most)

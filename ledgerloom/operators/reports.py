@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import count_band, rate, share_band
+from ..functions.text import band, count_band, rate, share_band
 from .quality import with_total
 
 
@@ -97,3 +97,22 @@ def link_report(tx: DataFrame, journals: DataFrame) -> DataFrame:
     linked = journals.where("transaction_id is not null").select("transaction_id").distinct().withColumn("_linked", F.lit(True))
     t = tx.join(linked, "transaction_id", "left")
     return t.groupBy(F.coalesce(F.col("status").cast("string"), F.lit("None")).alias("status")).agg(F.count("*").alias("n"), F.count_if("_linked").alias("linked"))
+
+
+def answer_report(items: DataFrame) -> DataFrame:
+    """(field, value, n, model_right, rule_right, mean_confidence, needs_review, insufficient) of answered items by layer, complexity,
+    confidence band and flags, and over all. items: (layer, complex, conf, needs_review, insufficient, model_ok, rule_ok)."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("None"))
+    yes = lambda c: F.count_if(F.coalesce(F.col(c), F.lit(False)))
+    sure = band(F.col("conf"), [(0.9, "0.90+"), (0.8, "0.80-0.89"), (0.7, "0.70-0.79")], "<0.70", "None")
+    fields = {"all": F.lit("all"), "layer": text("layer"), "complex": text("complex"), "confidence": sure, "needs_review": text("needs_review"), "insufficient": text("insufficient")}
+    one = F.explode(F.array(*(F.struct(F.lit(k).alias("field"), v.alias("value")) for k, v in fields.items())))
+    g = items.select("conf", "needs_review", "insufficient", "model_ok", "rule_ok", one.alias("_f")).groupBy("_f.field", "_f.value")
+    return g.agg(F.count("*").alias("n"), yes("model_ok").alias("model_right"), yes("rule_ok").alias("rule_right"), F.round(F.avg("conf"), 4).alias("mean_confidence"), yes("needs_review").alias("needs_review"), yes("insufficient").alias("insufficient"))
+
+
+def rule_against_model(items: DataFrame) -> DataFrame:
+    """(layer, both, model_only, rule_only, neither), and a row for all layers."""
+    ok, rule = (F.coalesce(c, F.lit(False)) for c in (F.col("model_ok"), F.col("rule_ok")))
+    cells = (F.count_if(ok & rule).alias("both"), F.count_if(ok & ~rule).alias("model_only"), F.count_if(~ok & rule).alias("rule_only"), F.count_if(~ok & ~rule).alias("neither"))
+    return with_total(items, "layer", *cells)

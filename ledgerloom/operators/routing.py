@@ -21,15 +21,16 @@ def history_features(obs: DataFrame) -> DataFrame:
     o = H.usable(obs)
     h = H.snapshots_before(o).join(H.year_modes_before(o), ["content", "block"], "left")
     t = obs.withColumn("block", F.unix_date("day")).join(h, ["content", "block"], "left")
-    sides = [F.array_contains("sides", F.col("side")).alias("side_seen")] if "side" in obs.columns else []
     band = amount_band(F.col("value"))
+    sides = {"side_seen": F.col("side")} if "side" in obs.columns else {}
+    t = H.seen_before(t, o, {"band_seen": band, "account_seen": F.col("account")} | sides)
+    known = lambda c: F.when(F.col("n").isNotNull(), F.col(c)).alias(c)
     tail = lambda k: F.when(F.col("n") >= k, F.col("run") >= k).alias(f"tail{k}_same")
     return t.select(
         *obs.columns, F.coalesce("n", F.lit(0)).alias("hist_n"), band.alias("tx_band"), F.datediff("day", "last_day").alias("days_since_last"),
         F.datediff("last_day", "first_day").alias("hist_span_days"), "distinct_labels", "last_label", tail(2), tail(3), tail(5),
-        F.array_contains("bands", band).alias("band_seen"), (band == F.col("last_band")).alias("band_same_as_last"),
-        F.array_contains("accounts", F.col("account")).alias("account_seen"), (F.col("account") == F.col("last_account")).alias("account_same_as_last"),
-        F.col("any_complex").alias("past_complex"), *sides, "fy_label_change", F.col("fy_count").alias("hist_fy_count"),
+        known("band_seen"), (band == F.col("last_band")).alias("band_same_as_last"), known("account_seen"), (F.col("account") == F.col("last_account")).alias("account_same_as_last"),
+        F.col("any_complex").alias("past_complex"), *map(known, sides), "fy_label_change", F.col("fy_count").alias("hist_fy_count"),
     )
 
 

@@ -6,22 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.text import indel_ratio, indel_ratio_arrow, normalize, rate, strip
+from ..functions.text import indel_ratio, indel_ratio_arrow, normalize, rate, sanitize, strip
 from . import history as H
 
 #: A fuzzy best match below this is no candidate.
 FUZZY_FLOOR = 70.0
 
 
-def pair_scores(left: DataFrame, right: DataFrame, blocks: int = 8, arrow: bool = False) -> DataFrame:
-    """(a, b, score) of every key a of left with every key b of right: keys are scored once, not rows.
+#: Keys of the right side that a left key meets in one task, about.
+KEYS_PER_BLOCK = 2000
 
-    left meets right block by block over an equi-join, so that no task holds all of either.
+
+def pair_scores(left: DataFrame, right: DataFrame, arrow: bool = False, floor: float = 0.0) -> DataFrame:
+    """(a, b, score) of every key a of left with every key b of right, or those that reach `floor`: keys are scored once, not rows.
+
+    left meets right block by block over an equi-join; blocks are as many as right's keys ask for, so that tasks grow in
+    number and not in size. A floor f leaves lengths within f / (200 - f) of each other only: they join on the length.
     """
+    r = right.select("b").distinct()
+    blocks = max(1, -(-r.count() // KEYS_PER_BLOCK))
     l = left.select("a").distinct().withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    r = right.select("b").distinct().withColumn("_b", F.pmod(F.hash("b"), F.lit(blocks)))
+    r = r.withColumn("_b", F.pmod(F.hash("b"), F.lit(blocks)))
+    keys = ["_b"]
+    if floor > 0:
+        near, size = floor / (200 - floor), F.length("a")
+        lengths = F.sequence(F.ceil(size * near - 1e-9), F.floor(size / near + 1e-9))
+        l, r, keys = l.withColumn("_len", F.explode(lengths)), r.withColumn("_len", F.length("b").cast("long")), ["_b", "_len"]
     score = (indel_ratio_arrow if arrow else indel_ratio)(F.col("a"), F.col("b"))
-    return l.join(r, "_b").where("a <> b").select("a", "b", score.alias("score"))
+    out = l.join(r, keys).where("a <> b").select("a", "b", score.alias("score"))
+    return out.where(F.col("score") >= floor) if floor > 0 else out
 
 
 def top_similar(scores: DataFrame, k: int = 3) -> DataFrame:
@@ -140,3 +153,20 @@ def static_predictions(history: DataFrame, targets: DataFrame, level: str = "n4"
     pick = lambda f: F.when(stage == "raw_exact", F.col(f"_raw.{f}")).when(stage == "norm_exact", F.col(f"_key.{f}")).otherwise(F.col(f"_fuzzy.{f}"))
     known = F.when(stage == "raw_exact", F.coalesce("_seen_raw", F.lit(False))).when(stage == "norm_exact", F.coalesce("_seen_key", F.lit(False)))
     return t.select(*targets.columns, stage.alias("stage"), pick("mode").alias("pred"), F.when(stage == "fuzzy", F.col("_score")).when(stage != "none", 100.0).alias("score"), pick("hist_n").alias("hist_n"), rate(pick("mode_n"), pick("hist_n")).alias("agreement"), *([F.datediff("day", pick("last_day")).alias("days_since_last")] if "day" in targets.columns else []), known.alias("account_seen"))
+
+
+def raw_only(preds: DataFrame) -> DataFrame:
+    """Predictions by the raw text's own past alone: all others become none."""
+    other = F.col("stage") != "raw_exact"
+    return preds.withColumns({"pred": F.when(~other, F.col("pred")), "correct": F.when(~other, F.col("correct")), "stage": F.when(other, "none").otherwise(F.col("stage"))})
+
+
+def latest_texts(candidates: DataFrame, obs: DataFrame, level: str = "n4", ascii_only: bool = False) -> DataFrame:
+    """candidates (key, day, match, ...) with `content`, the masked text of the match's last observation before the day."""
+    o = _keyed(obs, level, ascii_only)
+    daily = o.groupBy(F.col("key").alias("match"), "day").agg(F.max_by("content", "id").alias("_text"))
+    asked = candidates.select("match", "day").distinct().withColumn("_asked", F.lit(True))
+    line = daily.join(asked, ["match", "day"], "full")
+    past = W.partitionBy("match").orderBy(F.unix_date("day")).rangeBetween(W.unboundedPreceding, -1)
+    line = line.withColumn("_last", F.last("_text", ignorenulls=True).over(past)).where("_asked").withColumn("content", F.when(F.col("_last").isNotNull(), sanitize(F.col("_last"))))
+    return candidates.join(line.select("match", "day", "content"), ["match", "day"], "left")

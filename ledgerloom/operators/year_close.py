@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import nfkc, normalize
+from ..functions.text import nfkc, normalize, value_range
 from . import checks as K
 from . import close as C
 from .ordering import numbered
@@ -236,3 +236,49 @@ def final_checks(rows: DataFrame, journals: DataFrame, start: str, end: str, pay
         K.check("the payable nets to zero in one sub-account", all_personal.join(bad.where("ok"), "journal_id", "left_anti")),
         K.check("one journal a line item", several),
     )
+
+
+def closing_warnings(rows: DataFrame, journals: DataFrame, history: DataFrame, overrides: DataFrame, deposit: str, days: int = 3, noise: str = "") -> DataFrame:
+    """Warnings of a close, one row each (check, level, result, count): they need a look, and don't stop it.
+
+    rows: closing_rows with content and sub_account; journals as in final_checks; history: (amount, content) of earlier years;
+    overrides: (transaction_id, action). A refund of an earlier purchase may be left out if an override says so.
+    """
+    own = journals.where((F.col("debit") == deposit) & (F.col("credit") == deposit)).select("transaction_id").distinct()
+    transfers = rows.join(own, "transaction_id", "left_semi").select("transaction_id", "amount", "date", "side", F.col("connected_account").alias("account"))
+    refunds = prior_refunds(rows.where((F.col("side") == "INCOME") & (F.col("funding") != BANK)), history, noise)
+    left_out = refunds.where(F.col("status") == EXCLUDED)
+    said = overrides.where("action = 'exclude'").select("transaction_id").distinct()
+    return K.report(
+        K.check("a transfer is journaled from both accounts", C.transfer_pairs(transfers, days), "warning"),
+        K.check("refunds of earlier years are left out", left_out.join(said, "transaction_id", "left_anti"), "warning"),
+        K.check("refunds of earlier years are left out as told", left_out.join(said, "transaction_id", "left_semi"), "info"),
+        K.check("refunds of earlier years are journaled", refunds.where(F.col("journal_status").isin("generated", "refund_review")), "warning"),
+        K.check("transfers need the bank book", rows.where("needs_bankbook_review"), "info"),
+    )
+
+
+def group_report(rows: DataFrame, past: DataFrame) -> DataFrame:
+    """What a person sees of each review group, one row a (routing, merchant, account): the texts with their counts, most frequent
+    first, sides, sources, layers, ranges of date, amount and confidence, the most past uses, and the representative's past.
+
+    rows: review_rows with merchant; past: (transaction_id, past_n, past_text). A group's texts are counted before they are joined;
+    the representative has the highest confidence, then the latest date, then the smallest id.
+    """
+    r = rows.join(past, "transaction_id", "left")
+    by = ["routing", "merchant", "account_id"]
+    texts = r.groupBy(*by, "content").agg(F.count("*").alias("n"), F.min(F.struct("date", "transaction_id")).alias("first"))
+    one = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "first", "content"))), lambda x: F.when(x["m"] < -1, F.concat(x["content"], F.lit(" x"), (-x["m"]).cast("string"))).otherwise(x["content"]))
+    texts = texts.groupBy(*by).agg(F.array_join(one, " | ").alias("descriptions"))
+    words = lambda c: F.array_join(F.array_sort(F.collect_set(c)), "/").alias(c)
+    rep = F.min(F.struct(-F.coalesce("confidence", F.lit(-1.0)), -F.unix_date("date"), "transaction_id", "content", "past_text"))
+    span = lambda c: value_range(F.min(c), F.max(c)).alias(f"{c}_range")
+    g = r.groupBy(*by).agg(
+        F.count("*").alias("size"), F.sum("amount").alias("total"), span("date"), span("amount"), span("confidence"), words("side"), words("source"), words("layer"),
+        F.coalesce(F.max("past_n"), F.lit(0)).alias("past_uses"), F.count_if("needs_review").alias("needs_review"), rep.alias("_r"),
+    )
+    other = g.groupBy("routing", "merchant").agg((F.count("*") - 1).alias("other_groups"))
+    same = lambda a, b: F.col(f"g.{a}").eqNullSafe(F.col(f"t.{b}"))
+    out = g.alias("g").join(texts.alias("t"), same("routing", "routing") & same("merchant", "merchant") & same("account_id", "account_id")).select("g.*", "t.descriptions")
+    out = out.join(other, ["routing", "merchant"])
+    return out.select(*by, "size", "total", "date_range", "amount_range", "confidence_range", "side", "source", "layer", "past_uses", "needs_review", "other_groups", "descriptions", F.col("_r.content").alias("representative"), F.col("_r.past_text").alias("past_text"))

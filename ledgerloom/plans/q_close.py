@@ -179,34 +179,15 @@ def legs(spark, d):
     return C.legs(lines(spark, d))
 
 
-#: Amounts of a few sizes on one branch a journal, so that equal journals exist.
-COARSE_SQL = f"""WITH {LINES_SQL.replace('lines AS (', 'all_lines AS (')}, lines AS (SELECT * REPLACE (value // 2000000 * 100 + 1 AS value, date_trunc('month', date)::DATE AS date) FROM all_lines WHERE branch_index = 1), {LEGS_SQL}"""
-
-
-def coarse(spark, d):
-    l = lines(spark, d).where("branch_index = 1")
-    return l.withColumns({"value": (F.expr("value div 2000000") * 100 + 1), "date": F.trunc("date", "month"), "remark": F.col("part") % 3})
-
-
-@query("q_internal_duplicates", f"""{COARSE_SQL}
-SELECT date::VARCHAR AS date, legs, remark, count(*) AS n, min(journal_id) AS first, max(journal_id) AS last FROM legs JOIN heads USING (journal_id) GROUP BY ALL HAVING count(*) > 1""")
-def internal_duplicates(spark, d):
-    return C.internal_duplicates(coarse(spark, d)).withColumn("date", F.col("date").cast("string"))
-
-
 #: Amounts of three sizes and years on every branch, so that equal journals of several branches exist.
 WHOLE_SQL = f"""WITH {LINES_SQL.replace('lines AS (', 'all_lines AS (')}, lines AS (SELECT * REPLACE (value // 5000000 * 100 + 1 AS value, date_trunc('year', date)::DATE AS date) FROM all_lines), {LEGS_SQL}"""
 
 
-def coarse_whole(spark, d):
-    return lines(spark, d).withColumns({"value": (F.expr("value div 5000000") * 100 + 1), "date": F.trunc("date", "year"), "remark": F.col("part") % 3})
-
-
-@query("q_internal_duplicates_whole", f"""{WHOLE_SQL}
+@query("q_internal_duplicates", f"""{WHOLE_SQL}
 SELECT date::VARCHAR AS date, legs, remark, count(*) AS n, min(journal_id) AS first, max(journal_id) AS last FROM legs JOIN heads USING (journal_id) GROUP BY ALL HAVING count(*) > 1""")
-def internal_duplicates_whole(spark, d):
-    """q_internal_duplicates over all branches of a journal; that one and its SQL look at the first branch only."""
-    return C.internal_duplicates(coarse_whole(spark, d)).withColumn("date", F.col("date").cast("string"))
+def internal_duplicates(spark, d):
+    l = lines(spark, d).withColumns({"value": (F.expr("value div 5000000") * 100 + 1), "date": F.trunc("date", "year"), "remark": F.col("part") % 3})
+    return C.internal_duplicates(l).withColumn("date", F.col("date").cast("string"))
 
 
 @query("q_duplicate_levels", f"""WITH {LINES_SQL.replace('lines AS (', 'all_lines AS (')}, lines AS (SELECT * REPLACE (value // 10000 AS value) FROM all_lines), {LEGS_SQL}, k AS (SELECT DISTINCT journal_id, account, value, date FROM sided JOIN heads USING (journal_id) WHERE value <> 0),

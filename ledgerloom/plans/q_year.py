@@ -12,11 +12,16 @@ from ..operators import close as C
 from ..operators import history as H
 from ..operators import import_format as I
 from ..operators import quality as U
+from ..operators import ledger as L
 from ..operators import reports as P
 from ..operators import routing as R
 from ..operators import scoring as O
+from ..operators import sets as S
+from ..operators import similarity as M
 from ..operators import year_close as Y
 from .adapters import LINES_SQL, OBS_SQL, TERMS_SQL, TX_SQL, lines, obs, table, terms, tx
+from .q_history import GRID_SQL
+from .q_ledger import CHAIN, LABEL_SQL, RESOLVED_SQL, linked, map_sql, resolved
 from .q_routing import ITEMS_SQL, items
 from .q_similarity import STAGED_SQL, staged
 
@@ -198,12 +203,16 @@ g AS (SELECT *, row_number() OVER (ORDER BY o, CASE WHEN aid = '' THEN '' ELSE '
 
 @query("q_review_rows", f"WITH {REVIEW_SQL} SELECT review_group, group_size, transaction_id, to_ AS routing, source, account_id FROM k JOIN g USING (o, aid, key)")
 def review_rows(spark, d):
+    return reviewed(spark, d).select(F.col("review_group").cast("long"), "group_size", "transaction_id", "routing", "source", "account_id")
+
+
+def reviewed(spark, d):
     o, i = obs(spark, d), F.col("id")
     routing = F.when(i % 3 == 0, "rule_candidate").when(i % 3 == 1, "model").otherwise("human_review")
     t = o.select(i.alias("transaction_id"), F.col("day").alias("date"), "content", F.col("value").alias("amount"), F.when(F.col("complex"), "INCOME").otherwise("EXPENSE").alias("side"), routing.alias("routing"), F.when(i % 4 > 0, F.col("label")).alias("pred"), F.when(i % 10 == 0, "E").otherwise("A").alias("layer"))
     r = o.where(i % 5 > 0).select(i.alias("transaction_id"), F.when(i % 17 > 0, F.col("label")).alias("account_id"), (i * 7919 % 1000 / 1000.0).alias("confidence"), (i % 11 == 0).alias("needs_review"), F.lit(False).alias("insufficient"))
     names = o.select(F.col("label").alias("account_id")).distinct().withColumn("name", F.concat(F.lit("n-"), "account_id"))
-    return Y.review_rows(t, r, names, ascii_only=True).select(F.col("review_group").cast("long"), "group_size", "transaction_id", "routing", "source", "account_id")
+    return Y.review_rows(t, r, names, ascii_only=True)
 
 
 @query("q_past_counter_accounts", f"""WITH {OBS_SQL}, n AS (SELECT account AS sub_account, content AS merchant, 'bank' || value % 3 AS counter_sub, count(*) AS n, max(day) AS last FROM obs WHERE label = 'purchase' AND value % 3 > 0 GROUP BY ALL)
@@ -536,3 +545,123 @@ def ensembles(spark, d):
     a = o.where(i % 3 > 0).select(i.alias("transaction_id"), F.when(i % 10 < 8, F.col("label")).otherwise("other").alias("choice"), (i * 7919 % 1000 / 1000.0).alias("confidence"))
     b = o.where(i % 4 > 0).select(i.alias("transaction_id"), F.when(i % 7 < 6, F.col("label")).otherwise("none").alias("choice"), (i * 6007 % 1000 / 1000.0).alias("confidence"))
     return R.ensembles(R.join_answers(a, b, o.select(i.alias("transaction_id"), "label")))
+
+
+@query("q_set_ops", "SELECT 'only_orders' AS kind, count(*) AS n FROM (SELECT o_custkey FROM orders EXCEPT SELECT user_id FROM events) UNION ALL SELECT 'both', count(*) FROM (SELECT o_custkey FROM orders INTERSECT SELECT user_id FROM events)")
+def set_ops(spark, d):
+    a, b = table(spark, d, "orders").select(F.col("o_custkey").alias("id")), table(spark, d, "events").select(F.col("user_id").alias("id"))
+    count = lambda x, kind: x.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
+    return count(S.only_in(a, b, "id"), "only_orders").unionByName(count(S.in_both(a, b, "id"), "both"))
+
+
+@query("q_first_source", "SELECT id, source FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY o, pos) AS r FROM (SELECT o_custkey AS id, 'orders' AS source, 0 AS o, o_orderkey AS pos FROM orders UNION ALL SELECT user_id, 'events', 1, event_id FROM events)) WHERE r = 1")
+def first_source(spark, d):
+    frames = [table(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.lit("orders").alias("source"), F.col("o_orderkey").alias("at")), table(spark, d, "events").select(F.col("user_id").alias("id"), F.lit("events").alias("source"), F.col("event_id").alias("at"))]
+    return S.first_source(frames, ["id"], ["at"]).select("id", "source")
+
+
+@query("q_reasons_fixed", f"""WITH {OBS_SQL}, r AS (SELECT id, CASE id % 4 WHEN 0 THEN '過去の履歴と一貫' WHEN 1 THEN '金額が不明' WHEN 2 THEN 'x' ELSE '類似の店' END AS t FROM obs),
+k(name, word) AS (VALUES {", ".join(f"('{n}', '{w}')" for n, ws in X.REASON_WORDS for w in ws)}), h AS (SELECT DISTINCT id, name FROM r JOIN k ON contains(t, word)) SELECT category, count(*) AS n FROM (SELECT name AS category FROM h UNION ALL SELECT '{X.REASON_NONE}' FROM r WHERE id NOT IN (SELECT id FROM h)) GROUP BY 1""")
+def reasons_fixed(spark, d):
+    i = F.col("id") % 4
+    t = F.when(i == 0, "過去の履歴と一貫").when(i == 1, "金額が不明").when(i == 2, "x").otherwise("類似の店")
+    return obs(spark, d).select(F.explode(X.reason_categories_fixed(t)).alias("category")).groupBy("category").agg(F.count("*").alias("n"))
+
+
+@query("q_raw_only", f"{STAGED_SQL} SELECT fy, count(*) FILTER (stage = 'raw_exact') AS covered, count(*) FILTER (stage = 'raw_exact' AND pred = label) AS correct FROM preds GROUP BY 1")
+def raw_only(spark, d):
+    p = M.raw_only(staged(spark, d))
+    return p.groupBy("fy").agg(F.count("pred").alias("covered"), F.count_if("correct").alias("correct"))
+
+
+@query("q_select_rules", f"""{GRID_SQL}, ok AS (SELECT * FROM grid WHERE fy IN (2002, 2003) AND accuracy >= 0.15 AND n >= 20) SELECT rule, round(sum(coverage), 6) AS coverage FROM ok GROUP BY rule HAVING count(DISTINCT fy) = 2 ORDER BY coverage DESC, rule LIMIT 6""")
+def select_rules(spark, d):
+    """A floor of 0.15 instead of 0.98: the events' labels are all but random."""
+    return P.select_rules(B.evaluate_rules(obs(spark, d)), (2002, 2003), 0.15)
+
+
+@query("q_best_coverage", f"""{GRID_SQL}, f AS (SELECT unnest([0.15, 0.2, 0.25])::DOUBLE AS floor), g AS (SELECT floor, rule, n, coverage, accuracy FROM grid JOIN f ON accuracy >= floor WHERE fy = 2004 AND n >= 20)
+SELECT floor, rule, coverage, n, accuracy FROM g QUALIFY row_number() OVER (PARTITION BY floor ORDER BY coverage DESC, rule) = 1""")
+def best_coverage(spark, d):
+    return P.best_coverage(B.evaluate_rules(obs(spark, d)), 2004, [0.15, 0.2, 0.25])
+
+
+@query("q_unanimous_compound", f"""WITH {OBS_SQL.replace('obs AS (', 'plain AS (')}, obs AS (SELECT * REPLACE ('a|' || CASE WHEN hash_ < 3 THEN 'same' ELSE label END AS label) FROM (SELECT *, len(content) % 5 AS hash_ FROM plain)),
+h AS (SELECT t.id, h.label, count(*) AS n, min((h.day, h.id)) AS first FROM obs t JOIN obs h ON h.content = t.content AND h.fy < t.fy GROUP BY ALL), b AS (SELECT id, count(*) AS kinds, any_value(label) AS pred FROM h GROUP BY 1)
+SELECT fy, count(*) FILTER (complex) AS test_complex, count(*) FILTER (kinds = 1) AS n, CASE WHEN count(*) FILTER (kinds = 1) > 0 THEN round(count(*) FILTER (kinds = 1 AND pred = label) / count(*) FILTER (kinds = 1), 4) END AS accuracy FROM obs LEFT JOIN b USING (id) GROUP BY fy""")
+def unanimous_compound(spark, d):
+    o = obs(spark, d)
+    return B.unanimous_compound(o.withColumn("label", F.concat(F.lit("a|"), F.when(F.length("content") % 5 < 3, "same").otherwise(F.col("label")))))
+
+
+@query("q_answer_report", f"""{STAGED_SQL}, {ITEMS_SQL}, f AS (
+  SELECT 'all' AS field, 'all' AS value, * FROM judged UNION ALL SELECT 'layer', layer, * FROM judged UNION ALL SELECT 'complex', complex::VARCHAR, * FROM judged UNION ALL SELECT 'confidence', CASE WHEN conf >= .9 THEN '0.90+' WHEN conf >= .8 THEN '0.80-0.89' WHEN conf >= .7 THEN '0.70-0.79' ELSE '<0.70' END, * FROM judged
+  UNION ALL SELECT 'needs_review', coalesce(needs_review::VARCHAR, 'None'), * FROM judged UNION ALL SELECT 'insufficient', insufficient::VARCHAR, * FROM judged)
+SELECT field, value, count(*) AS n, count(*) FILTER (model_ok) AS model_right, count(*) FILTER (rule_ok) AS rule_right, round(avg(conf), 4) AS mean_confidence, count(*) FILTER (needs_review) AS needs_review, count(*) FILTER (insufficient) AS insufficient FROM f GROUP BY ALL""")
+def answer_report(spark, d):
+    return P.answer_report(items(spark, d))
+
+
+@query("q_rule_against_model", f"""{STAGED_SQL}, {ITEMS_SQL} SELECT coalesce(layer, 'total') AS layer, count(*) FILTER (model_ok AND coalesce(rule_ok, false)) AS "both", count(*) FILTER (model_ok AND NOT coalesce(rule_ok, false)) AS model_only, count(*) FILTER (NOT model_ok AND coalesce(rule_ok, false)) AS rule_only, count(*) FILTER (NOT model_ok AND NOT coalesce(rule_ok, false)) AS neither FROM judged GROUP BY ROLLUP (layer)""")
+def rule_against_model(spark, d):
+    return P.rule_against_model(items(spark, d))
+
+
+@query("q_bank_methods", f"""{CHAIN}, {RESOLVED_SQL} SELECT coalesce(fiscal_year::VARCHAR, 'total') AS fiscal_year, count(*) AS n, {", ".join(f"count(*) FILTER (bank_method = '{w}') AS {w}" for w in ("fy_sub_account_map", "fy_service_map", "journal_amount", "current_master", "unresolved"))}, count(*) FILTER (value % 2 = 0) AS amount_match FROM resolved WHERE fiscal_year IS NOT NULL GROUP BY ROLLUP (fiscal_year)""")
+def bank_methods(spark, d):
+    r = resolved(spark, d)[0]
+    return P.bank_methods(r.select("fiscal_year", F.col("bank_method").alias("method"), (F.col("value") % 2 == 0).alias("amount_match")))
+
+
+@query("q_map_differences", f"""{CHAIN}, {map_sql('connected_sub_account_id')} SELECT count(*) AS maps, count(*) FILTER (account IS DISTINCT FROM 'A' OR sub IS DISTINCT FROM connected_sub_account_id % 3) AS differ FROM m WHERE support >= 3 AND account IS NOT NULL""")
+def map_differences(spark, d):
+    master = spark.range(20).select(F.col("id").alias("connected_sub_account_id"), F.lit("A").alias("account"), (F.col("id") % 3).alias("sub"))
+    ln, ls = linked(spark, d)
+    return P.map_differences(L.bank_map(ln, L.bank_candidates(ln, L.debit_nets(ls)), "connected_sub_account_id"), master)
+
+
+@query("q_label_report", f"""{CHAIN}, {RESOLVED_SQL}, {LABEL_SQL} SELECT coalesce(n, 0) AS counter_count, count(*) AS n, count(*) FILTER (neg) AS negative FROM resolved LEFT JOIN labels USING (transaction_id) WHERE bank_account IS NOT NULL AND label_account IS NOT NULL GROUP BY 1""")
+def label_report(spark, d):
+    l = L.counter_labels(*resolved(spark, d))
+    return P.label_report(l.select(F.col("label_account").alias("label"), "counter_count", F.col("has_negative_counter").alias("has_negative")))
+
+
+@query("q_closing_warnings", f"""WITH {JOURNALS_SQL}, t AS (SELECT transaction_id, amount // 1000000 AS amount, date, side, review_group % 4 AS account, funding, status, journal_status, act, account_id, transaction_id % 7 AS content FROM closing), hist AS (SELECT DISTINCT value // 1000000 AS amount, transaction_id % 7 AS content FROM tx WHERE transaction_id % 500 = 0),
+own AS (SELECT * FROM t WHERE transaction_id IN (SELECT transaction_id FROM branches WHERE debit = 'acct0' AND credit = 'bank')), rf AS (SELECT * FROM t WHERE side = 'INCOME' AND funding <> 'bank' AND (amount, content) IN (SELECT (amount, content) FROM hist)),
+c AS (SELECT 'a transfer is journaled from both accounts' AS "check", 'warning' AS level, (SELECT count(*) FROM own a WHERE EXISTS (SELECT 1 FROM own b WHERE a.amount = b.amount AND a.side <> b.side AND a.account <> b.account AND abs(date_diff('day', a.date, b.date)) <= 3)) AS count
+UNION ALL SELECT 'refunds of earlier years are left out', 'warning', count(*) FROM rf WHERE status = 'excluded' AND act <> 'exclude' UNION ALL SELECT 'refunds of earlier years are left out as told', 'info', count(*) FROM rf WHERE status = 'excluded' AND act = 'exclude'
+UNION ALL SELECT 'refunds of earlier years are journaled', 'warning', count(*) FROM rf WHERE journal_status IN ('generated', 'refund_review') UNION ALL SELECT 'transfers need the bank book', 'info', count(*) FROM closing WHERE journal_status = 'generated' AND funding = 'bank' AND account_id = 'acct0' AND override_sub_id IS NULL)
+SELECT "check", level, CASE WHEN count = 0 THEN 'pass' ELSE 'fail' END AS result, count FROM c""")
+def closing_warnings(spark, d):
+    r = closing(spark, d).withColumns({"amount": F.expr("amount div 1000000"), "content": (F.col("transaction_id") % 7).cast("string"), "connected_account": F.col("review_group") % 4})
+    j = final_branches(spark, d).withColumn("credit", F.when(F.col("credit") == "bank", "acct0").otherwise(F.col("credit")))
+    j = j.where(~((F.col("debit") == "acct0") & (F.col("credit") == "acct0") & (F.col("funding") != "bank")))
+    hist = tx(spark, d).where("transaction_id % 500 = 0").select(F.expr("value div 1000000").alias("amount"), (F.col("transaction_id") % 7).cast("string").alias("content"))
+    return Y.closing_warnings(r, j, hist, overrides(spark, d)[0].select("transaction_id", "action"), "acct0")
+
+
+@query("q_group_report", f"""WITH {REVIEW_SQL}, r2 AS (SELECT *, substr(content, 1, 7) AS merchant, CASE WHEN routing = 'model' THEN conf END AS confidence, CASE WHEN routing = 'model' THEN review END AS rev, transaction_id % 9 AS past_n FROM r LEFT JOIN results ON rid = transaction_id),
+tx_ AS (SELECT to_, merchant, account_id, content, count(*) AS n, min((date, transaction_id)) AS first FROM r2 GROUP BY ALL),
+d AS (SELECT to_, merchant, account_id, string_agg(CASE WHEN n > 1 THEN content || ' x' || n ELSE content END, ' | ' ORDER BY n DESC, first) AS descriptions FROM tx_ GROUP BY ALL),
+g2 AS (SELECT to_, merchant, account_id, count(*) AS size, CAST(sum(amount) AS BIGINT) AS total, max(past_n) AS past_uses, count(*) FILTER (rev) AS needs_review, string_agg(DISTINCT layer, '/' ORDER BY layer) AS layer, arg_min(content, (-coalesce(confidence, -1), -date_diff('day', DATE '1970-01-01', date), transaction_id)) AS representative FROM r2 GROUP BY ALL)
+SELECT g2.to_ AS routing, g2.merchant, g2.account_id, size, total, past_uses, needs_review, layer, descriptions, representative, count(*) OVER (PARTITION BY g2.to_, g2.merchant) - 1 AS other_groups FROM g2 JOIN d ON d.to_ = g2.to_ AND d.merchant = g2.merchant AND d.account_id IS NOT DISTINCT FROM g2.account_id""")
+def group_report(spark, d):
+    rows = reviewed(spark, d).withColumn("merchant", F.substring("content", 1, 7))
+    past = obs(spark, d).select(F.col("id").alias("transaction_id"), (F.col("id") % 9).alias("past_n"), F.lit("p").alias("past_text"))
+    return Y.group_report(rows, past).select("routing", "merchant", "account_id", "size", "total", "past_uses", "needs_review", "layer", "descriptions", "representative", "other_groups")
+
+
+@query("q_normal_journals", f"WITH {NESTED_SQL} SELECT journal_id FROM j WHERE NOT opening")
+def normal_journals(spark, d):
+    return L.without_openings(nested(spark, d)).select("journal_id")
+
+
+@query("q_latest_texts", f"""WITH {OBS_SQL}, q AS (SELECT DISTINCT content AS match, day FROM obs) SELECT match, q.day, arg_max(h.content || ' <EMAIL>', (h.day, h.id)) AS content FROM q JOIN obs h ON h.content = q.match AND h.day < q.day GROUP BY ALL""")
+def latest_texts(spark, d):
+    o = obs(spark, d)
+    asked = o.select(F.col("content").alias("match"), "day").distinct()
+    keyed = o.withColumn("content", F.concat("content", F.lit(" a@b.jp")))
+    norm = X.normalize(F.concat("match", F.lit(" a@b.jp")), "n4", True)
+    c = asked.select(F.col("match").alias("plain"), norm.alias("match"), "day")
+    out = M.latest_texts(c, keyed, ascii_only=True).where("content is not null")
+    return out.select(F.col("plain").alias("match"), "day", "content")
