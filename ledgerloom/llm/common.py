@@ -54,11 +54,18 @@ class Scratch:
         self.root = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
 
-    def write(self, df: DataFrame) -> DataFrame:
-        """df, written once and read back."""
+    def write(self, df: DataFrame, compact: bool = False) -> DataFrame:
+        """df, written once and read back. compact: in partitions of the advisory size, not as many as there are cores, for tables
+        that are cheap to make; each file costs a file system several requests, a local one several processes."""
         self.count += 1
-        path = f"{self.root}/{self.count}"
-        df.write.parquet(path)
+        path, name = f"{self.root}/{self.count}", "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+        before = self.spark.conf.get(name, "true")
+        if compact:
+            self.spark.conf.set(name, "false")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(name, before)
         table = self.spark.read.schema(df.schema).parquet(path)
         table._scratch_path = path
         return table
