@@ -1,8 +1,10 @@
 """License recognition by sentence rules.
 
-A text is normalised (letters lower-cased, everything but letters and digits one blank), so that line wraps and comment
-signs do not matter. Known licence sentences in it become identifiers, in their order; ordered rules then match runs of
-identifiers, each consuming what it matches, so that a full licence text is not also reported as its parts.
+A text is split into sentences, and each is normalised (letters A-Z lower-cased, everything but letters and digits one blank), so
+that line wraps and comment signs do not matter. Known licence sentences become identifiers, in their order; a sentence
+that speaks of a licence in words that are not known becomes `unknown`. Ordered rules then match runs of identifiers, some of them
+optional; each consumes what it matches and leaves a gap there, so that a full licence text is not also reported as its
+parts and the sentences on either side of it don't meet.
 """
 
 from __future__ import annotations
@@ -12,125 +14,177 @@ from pyspark.sql import functions as F
 
 from .common import read_table, text_or_empty
 
-#: Known sentences, normalised, by identifier. None is the start of another but for those listed after it.
+#: Known sentences by identifier, normalised: whatever stands around these words in their sentence may vary.
 SENTENCES = {
-    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
-    "mit-notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
-    "mit-as-is": "the software is provided as is without warranty of any kind express or implied",
-    "mit-named": "released under the mit license",
-    "mit-named-2": "licensed under the mit license",
-    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
-    "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software",
-    "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-    "bsd-source": "redistributions of source code must retain the above copyright notice",
-    "bsd-binary": "redistributions in binary form must reproduce the above copyright notice",
-    "bsd-names": "may be used to endorse or promote products derived from this software without specific prior written permission",
-    "bsd-as-is": "this software is provided by the copyright holders and contributors as is and any express or implied warranties",
-    "bsd-named": "licensed under the bsd license",
-    "apache-named": "licensed under the apache license version 2 0",
-    "apache-comply": "you may not use this file except in compliance with the license",
-    "apache-copy": "you may obtain a copy of the license at",
-    "apache-as-is": "distributed under the license is distributed on an as is basis without warranties or conditions of any kind",
-    "gpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
-    "gpl-2-later": "either version 2 of the license or at your option any later version",
-    "gpl-3-later": "either version 3 of the license or at your option any later version",
-    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty",
-    "gpl-copy": "you should have received a copy of the gnu general public license",
-    "gpl-3-named": "licensed under the gnu general public license version 3",
-    "gpl-2-named": "licensed under the gnu general public license version 2",
-    "lgpl-named": "licensed under the gnu lesser general public license",
-    "agpl-named": "licensed under the gnu affero general public license",
-    "mpl-terms": "this source code form is subject to the terms of the mozilla public license v 2 0",
-    "cc-by-nc": "licensed under cc by nc 4 0",
-    "cc-by-sa": "licensed under cc by sa 4 0",
-    "cc-by": "licensed under cc by 4 0",
-    "cc-by-long": "licensed under the creative commons attribution 4 0 international license",
-    "cc-by-nc-long": "licensed under the creative commons attribution noncommercial 4 0 international license",
-    "unlicense": "this is free and unencumbered software released into the public domain without copyright or license",
-    "spdx-mit": "spdx license identifier mit",
-    "spdx-apache": "spdx license identifier apache 2 0",
-    "spdx-gpl-2": "spdx license identifier gpl 2 0",
-    "spdx-gpl-3": "spdx license identifier gpl 3 0",
-    "spdx-bsd-3": "spdx license identifier bsd 3 clause",
-    "all-rights": "all rights reserved",
-}
-#: In order: the first rule that matches takes its identifiers. Runs of identifiers, each at least once in this order.
+    "mit-grant": ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"],
+    "mit-notice": ["the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software"],
+    "as-is": ["the software is provided as is without warranty of any kind express or implied"],
+    "no-liability": ["in no event shall the authors or copyright holders be liable for any claim damages or other liability"],
+    "isc-grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted"],
+    "isc-as-is": ["the software is provided as is and the author disclaims all warranties with regard to this software"],
+    "isc-liability": ["in no event shall the author be liable for any special direct indirect or consequential damages"],
+    "bsd-grant": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source and binary forms with or without modification are permitted"],
+    "bsd-source": ["redistributions of source code must retain the above copyright notice", "redistribution of source code must retain the above copyright notice"],
+    "bsd-binary": ["redistributions in binary form must reproduce the above copyright notice", "redistribution in binary form must reproduce the above copyright notice"],
+    "bsd-names": ["may be used to endorse or promote products derived from this software without specific prior written permission", "may not be used to endorse or promote products derived from this software without specific prior written permission"],
+    "bsd-as-is": ["this software is provided by the copyright holders and contributors as is and any express or implied warranties"],
+    "bsd-liability": ["in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages", "in no event shall the copyright owner or contributors be liable for any direct indirect incidental special exemplary or consequential damages"],
+    "apache-comply": ["you may not use this file except in compliance with the license"],
+    "apache-copy": ["you may obtain a copy of the license at"],
+    "apache-as-is": ["distributed under the license is distributed on an as is basis without warranties or conditions of any kind"],
+    "apache-limits": ["see the license for the specific language governing permissions and limitations under the license"],
+    "gpl-free": ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"],
+    "lgpl-free": ["you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"],
+    "agpl-free": ["you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation"],
+    "or-later-2": ["either version 2 of the license or at your option any later version", "either version 2 of the license or any later version"],
+    "or-later-2.1": ["either version 2 1 of the license or at your option any later version"],
+    "or-later-3": ["either version 3 of the license or at your option any later version", "either version 3 of the license or any later version"],
+    "gpl-hope": ["is distributed in the hope that it will be useful but without any warranty"],
+    "gpl-details": ["see the gnu general public license for more details", "see the gnu lesser general public license for more details", "see the gnu affero general public license for more details"],
+    "gpl-copy": ["you should have received a copy of the gnu general public license", "you should have received a copy of the gnu lesser general public license", "you should have received a copy of the gnu affero general public license"],
+    "mpl-terms": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
+    "mpl-copy": ["if a copy of the mpl was not distributed with this file you can obtain one at"],
+    "unlicense-free": ["this is free and unencumbered software released into the public domain"],
+    "unlicense-use": ["anyone is free to copy modify publish use compile sell or distribute this software"],
+    "public-domain": ["dedicated to the public domain", "released into the public domain", "placed in the public domain"],
+    "all-rights": ["all rights reserved"],
+}
+#: Names that a sentence may give a licence, normalised. "<verb> under [the terms of] [the] <name>", or its SPDX line, names it.
+NAMES = {
+    "MIT": ["mit license", "mit licence", "mit x11 license", "expat license", "mit"],
+    "ISC": ["isc license", "isc licence", "isc"],
+    "0BSD": ["zero clause bsd license", "0bsd"],
+    "BSD-2-Clause": ["bsd 2 clause license", "2 clause bsd license", "simplified bsd license", "bsd 2 clause"],
+    "BSD-3-Clause": ["bsd 3 clause license", "3 clause bsd license", "new bsd license", "modified bsd license", "bsd 3 clause"],
+    "BSD": ["bsd license", "bsd licence", "bsd style license"],
+    "Apache-2.0": ["apache license version 2 0", "apache license v2 0", "apache license 2 0", "apache 2 0 license", "apache 2 0"],
+    "Apache": ["apache license", "apache licence"],
+    "GPL-2.0-or-later": ["gnu general public license version 2 or later", "gnu general public license v2 or later", "gnu gpl v2 or later", "gpl 2 0 or later"],
+    "GPL-3.0-or-later": ["gnu general public license version 3 or later", "gnu general public license v3 or later", "gnu gpl v3 or later", "gpl 3 0 or later"],
+    "GPL-2.0": ["gnu general public license version 2", "gnu general public license v2 0", "gnu general public license v2", "gnu gpl version 2", "gnu gpl v2", "gplv2", "gpl 2 0 only", "gpl 2 0"],
+    "GPL-3.0": ["gnu general public license version 3", "gnu general public license v3 0", "gnu general public license v3", "gnu gpl version 3", "gnu gpl v3", "gplv3", "gpl 3 0 only", "gpl 3 0"],
+    "GPL": ["gnu general public license", "gnu gpl", "gpl"],
+    "LGPL-2.1": ["gnu lesser general public license version 2 1", "gnu lesser general public license v2 1", "lgpl 2 1 only", "lgpl 2 1 or later", "lgpl 2 1", "lgplv2 1"],
+    "LGPL-3.0": ["gnu lesser general public license version 3", "gnu lesser general public license v3", "lgpl 3 0 only", "lgpl 3 0 or later", "lgpl 3 0", "lgplv3"],
+    "LGPL": ["gnu lesser general public license", "lgpl"],
+    "AGPL-3.0": ["gnu affero general public license version 3", "gnu affero general public license v3", "agpl 3 0 only", "agpl 3 0 or later", "agpl 3 0", "agplv3"],
+    "AGPL": ["gnu affero general public license", "agpl"],
+    "MPL-2.0": ["mozilla public license version 2 0", "mozilla public license v 2 0", "mozilla public license 2 0", "mpl 2 0"],
+    "EPL-2.0": ["eclipse public license version 2 0", "eclipse public license 2 0", "epl 2 0"],
+    "CC0-1.0": ["creative commons zero license", "cc0 1 0", "cc0"],
+    "CC-BY-NC-SA-4.0": ["cc by nc sa 4 0", "creative commons attribution noncommercial sharealike 4 0 international license"],
+    "CC-BY-NC-ND-4.0": ["cc by nc nd 4 0", "creative commons attribution noncommercial noderivatives 4 0 international license"],
+    "CC-BY-NC-4.0": ["cc by nc 4 0", "creative commons attribution noncommercial 4 0 international license"],
+    "CC-BY-SA-4.0": ["cc by sa 4 0", "creative commons attribution sharealike 4 0 international license"],
+    "CC-BY-ND-4.0": ["cc by nd 4 0", "creative commons attribution noderivatives 4 0 international license"],
+    "CC-BY-4.0": ["cc by 4 0", "creative commons attribution 4 0 international license"],
+    "Unlicense": ["unlicense"],
+    "WTFPL": ["wtfpl"],
+    "Zlib": ["zlib license", "zlib"],
+    "BSL-1.0": ["boost software license version 1 0", "boost software license", "bsl 1 0"],
+}
+VERBS = ["licensed", "released", "available", "distributed", "published", "provided", "covered", "redistributed", "shared", "offered"]
+#: In order; the first rule that matches takes its run. An identifier with "?" may be missing; "|" stands between alternatives.
 RULES = [
-    ("MIT", ["mit-grant", "mit-notice", "mit-as-is"]),
-    ("MIT", ["mit-grant", "mit-notice"]),
-    ("ISC", ["isc-grant", "isc-as-is"]),
-    ("BSD-3-Clause", ["all-rights", "bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is"]),
-    ("BSD-2-Clause", ["all-rights", "bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is"]),
-    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is"]),
-    ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is"]),
-    ("Apache-2.0", ["apache-named", "apache-comply", "apache-copy", "apache-as-is"]),
-    ("GPL-3.0-or-later", ["gpl-free", "gpl-3-later", "gpl-hope", "gpl-copy"]),
-    ("GPL-2.0-or-later", ["gpl-free", "gpl-2-later", "gpl-hope", "gpl-copy"]),
-    ("GPL-3.0-or-later", ["gpl-free", "gpl-3-later"]),
-    ("GPL-2.0-or-later", ["gpl-free", "gpl-2-later"]),
-    ("Apache-2.0", ["apache-named"]),
-    ("MIT", ["mit-named"]),
-    ("MIT", ["mit-named-2"]),
-    ("BSD", ["bsd-named"]),
-    ("GPL-3.0", ["gpl-3-named"]),
-    ("GPL-2.0", ["gpl-2-named"]),
-    ("LGPL", ["lgpl-named"]),
-    ("AGPL", ["agpl-named"]),
-    ("MPL-2.0", ["mpl-terms"]),
-    ("CC-BY-NC-4.0", ["cc-by-nc"]),
-    ("CC-BY-SA-4.0", ["cc-by-sa"]),
-    ("CC-BY-4.0", ["cc-by"]),
-    ("CC-BY-4.0", ["cc-by-long"]),
-    ("CC-BY-NC-4.0", ["cc-by-nc-long"]),
-    ("Unlicense", ["unlicense"]),
-    ("MIT", ["spdx-mit"]),
-    ("Apache-2.0", ["spdx-apache"]),
-    ("GPL-2.0", ["spdx-gpl-2"]),
-    ("GPL-3.0", ["spdx-gpl-3"]),
-    ("BSD-3-Clause", ["spdx-bsd-3"]),
+    ("MIT", ["mit-grant", "mit-notice?", "as-is", "no-liability?"]), ("MIT", ["mit-grant", "mit-notice?"]),
+    ("ISC", ["isc-grant", "mit-notice?", "isc-as-is", "isc-liability?"]), ("ISC", ["isc-grant"]),
+    ("BSD-3-Clause", ["all-rights?", "bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is?", "bsd-liability?"]),
+    ("BSD-2-Clause", ["all-rights?", "bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is?", "bsd-liability?"]),
+    ("Apache-2.0", ["named-Apache-2.0", "apache-comply?", "apache-copy?", "apache-as-is?", "apache-limits?"]),
+    ("AGPL-3.0-or-later", ["agpl-free", "or-later-3", "gpl-hope?", "gpl-details?", "gpl-copy?"]), ("AGPL", ["agpl-free", "gpl-hope?", "gpl-details?", "gpl-copy?"]),
+    ("LGPL-3.0-or-later", ["lgpl-free", "or-later-3", "gpl-hope?", "gpl-details?", "gpl-copy?"]), ("LGPL-2.1-or-later", ["lgpl-free", "or-later-2.1", "gpl-hope?", "gpl-details?", "gpl-copy?"]),
+    ("LGPL", ["lgpl-free", "gpl-hope?", "gpl-details?", "gpl-copy?"]),
+    ("GPL-3.0-or-later", ["gpl-free", "or-later-3", "gpl-hope?", "gpl-details?", "gpl-copy?"]), ("GPL-2.0-or-later", ["gpl-free", "or-later-2", "gpl-hope?", "gpl-details?", "gpl-copy?"]),
+    ("GPL", ["gpl-free", "gpl-hope?", "gpl-details?", "gpl-copy?"]),
+    ("MPL-2.0", ["mpl-terms|named-MPL-2.0", "mpl-copy?"]),
+    ("Unlicense", ["unlicense-free", "unlicense-use?"]), ("PublicDomain", ["public-domain"]),
+    *((name, [f"named-{name}"]) for name in NAMES),
     ("LicenseRef-Proprietary", ["all-rights"]),
-]
-#: Every known sentence holds one of these, so that other texts need no normalising.
-TRIGGERS = ["licens", "permi", "warrant", "copyright", "redistribut", "as is", "reserved"]
+]
+#: Every known or unknown licence sentence holds one of these, so that other texts need no splitting.
+TRIGGERS = ["licens", "licenc", "permi", "warrant", "copyright", "redistribut", "as is", "reserved", "public domain", "liable", "received a copy", "gnu", "mpl was not", "anyone is free", "(?:" + "|".join(VERBS) + ") under"]
+#: A sentence that holds one of these and nothing known is an unknown licence sentence.
+CLAIMS = ["(?:" + "|".join(VERBS) + ") under (?:the |a |an )?(?:terms of )?(?:[a-z0-9]+ ){1,6}licen[cs]e", "spdx license identifier", "this license (?:applies|covers|grants)", "permission is hereby granted", "license agreement"]
+UNKNOWN = "unknown"
+
+_SPACE = r"[\x20\x09-\x0D]"
+_END = "\x1e"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: A text becomes sentences: short forms lose their point, then sentence ends and empty lines become _END.
+_SHORT = r"(?:^|[^A-Za-z0-9])((?:[vV]|[vV]er|[iI]nc|[cC]o|[nN]o|[vV]ol|e\.g|i\.e)\.)" + _SPACE
+_BREAK = rf"[.!?][\"')\]]*{_SPACE}+|\n{_SPACE}*\n"
+
+
+def _named() -> str:
+    names = "|".join(sorted({n for ns in NAMES.values() for n in ns}, key=lambda s: (-len(s), s)))
+    return rf"(?:(?:{'|'.join(VERBS)}) under (?:the terms of )?(?:the )?|spdx license identifier )({names})"
 
 
 def _pattern() -> str:
-    return r"\b(" + "|".join(sorted(SENTENCES.values(), key=lambda s: (-len(s), s))) + r")\b"
+    long = sorted((p for ps in SENTENCES.values() for p in ps), key=lambda s: (-len(s), s))
+    return rf"\b(?:{'|'.join(long)}|{_named()})\b"
 
 
 def _trigger() -> str:
     return "(?i)" + "|".join(t.replace(" ", "[^a-z0-9]+") for t in TRIGGERS)
 
 
+def _claims() -> str:
+    return rf"\b(?:{'|'.join(CLAIMS)})\b"
+
+
+def _known() -> dict[str, str]:
+    """What the pattern finds, a sentence or a name, to its identifier."""
+    return {p: i for i, ps in SENTENCES.items() for p in ps} | {n: f"named-{i}" for i, ns in NAMES.items() for n in ns}
+
+
+def _rule_pattern(run: list[str]) -> str:
+    """A rule as a pattern over ",<identifier>," parts."""
+    part = lambda s: "(?:" + "|".join("," + i.replace(".", r"\.") + "," for i in s.rstrip("?").split("|")) + ")" + "?" * s.endswith("?")
+    return "".join(map(part, run))
+
+
+def sentences(text: Column) -> Column:
+    """array<string>: the normalised sentences of a text, none empty."""
+    split = F.split(F.regexp_replace(F.regexp_replace(text, _SHORT, " $1"), _BREAK, _END), _END)
+    clean = F.transform(split, lambda s: F.trim(F.regexp_replace(F.translate(s, _UPPER, _LOWER), "[^a-z0-9]+", " ")))
+    return F.filter(clean, lambda s: s != "")
+
+
 def sentence_ids(text: Column) -> Column:
-    """array<string>: identifiers of the known sentences of a text, in order, repeats included."""
-    norm = F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
-    known = F.create_map(*(F.lit(x) for i, s in SENTENCES.items() for x in (s, i)))
-    found = F.regexp_extract_all(norm, F.lit(_pattern()), 1)
-    return F.when(text.rlike(_trigger()), F.transform(found, lambda s: known[s])).otherwise(F.array().cast("array<string>"))
+    """array<string>: identifiers of the licence sentences of a text, in order, repeats included."""
+    known = F.create_map(*(F.lit(x) for p, i in _known().items() for x in (p, i)))
+    name = lambda s: F.regexp_extract(s, "^" + _named() + "$", 1)
+    ids = lambda s: F.transform(F.regexp_extract_all(s, F.lit(_pattern()), F.lit(0)), lambda p: F.coalesce(known[p], known[name(p)]))
+    unknown = lambda s: F.when(s.rlike(_claims()), F.array(F.lit(UNKNOWN))).otherwise(F.array().cast("array<string>"))
+    found = F.flatten(F.transform(sentences(text), lambda s: F.when(s.rlike(_pattern()), ids(s)).otherwise(unknown(s))))
+    return F.when(text.rlike(_trigger()), found).otherwise(F.array().cast("array<string>"))
 
 
 def match_rules(ids: Column) -> Column:
     """struct(rest, found): licences of the rules that match, in rule order, and the identifiers that no rule took.
 
-    Both are texts of ",<item>," parts; the rules are tried one after the other on what the earlier ones left.
+    Both are texts of ",<item>," parts, and "|" where a run was taken; the rules are tried one after the other on what the
+    earlier ones left.
     """
-    rules = F.array(*(F.struct(F.lit(f",{name},").alias("name"), F.lit("," + ",,".join(run) + ",").alias("run")) for name, run in RULES))
+    rules = F.array(*(F.struct(F.lit(f",{name},").alias("name"), F.lit(_rule_pattern(run)).alias("run")) for name, run in RULES))
     start = F.struct(F.concat_ws("", F.transform(ids, lambda i: F.concat(F.lit(","), i, F.lit(",")))).alias("rest"), F.lit("").alias("found"))
-    return F.aggregate(rules, start, lambda s, r: F.when(F.contains(s["rest"], r["run"]), F.struct(F.replace(s["rest"], r["run"], F.lit("")).alias("rest"), F.concat(s["found"], r["name"]).alias("found"))).otherwise(s))
+    taken = lambda s, r: F.struct(F.regexp_replace(s["rest"], r["run"], F.lit("|")).alias("rest"), F.concat(s["found"], r["name"]).alias("found"))
+    return F.aggregate(rules, start, lambda s, r: F.when(F.regexp_like(s["rest"], r["run"]), taken(s, r)).otherwise(s))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_sentences, sentences, licenses, status.
 
     sentences and licenses are comma-separated, in order of the text and of the rules (each licence once). status is
-    `none` without known sentences, `known` if rules took them all, else `partial`. Null and empty texts have none; rows
-    that repeat are scanned each; an empty table gives an empty one. A map over the rows: nothing is shuffled.
+    `none` without licence sentences, `known` if rules took them all, `unknown` if no sentence is a known one, else `partial`. Null and empty texts
+    have none; rows that repeat are scanned each; other columns are not read; an empty table gives an empty one. A map over
+    the rows: nothing is shuffled.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), sentence_ids(text_or_empty(F.col(text_col))).alias("ids"))
     rows = rows.select("doc_id", "ids", F.when(F.size("ids") > 0, match_rules(F.col("ids"))).alias("m"))
     names = F.array_distinct(F.filter(F.split(F.coalesce("m.found", F.lit("")), ","), lambda x: x != ""))
-    status = F.when(F.size("ids") == 0, "none").when(F.col("m.rest") == "", "known").otherwise("partial")
+    status = F.when(F.size("ids") == 0, "none").when(F.forall("ids", lambda i: i == UNKNOWN), "unknown").when(F.replace(F.col("m.rest"), F.lit("|"), F.lit("")) == "", "known").otherwise("partial")
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", ",").alias("sentences"), F.array_join(names, ",").alias("licenses"), status.alias("status"))
 
 
@@ -139,25 +193,31 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    sentences = ", ".join(f"('{i}', '{s}')" for i, s in SENTENCES.items())
-    rules = ", ".join(f"({n}, '{name}', '{',' + ',,'.join(run) + ','}')" for n, (name, run) in enumerate(RULES))
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    known = ", ".join(f"({quoted(p)}, '{i}')" for p, i in _known().items())
+    rules = ", ".join(f"({n}, '{name}', {quoted(_rule_pattern(run))})" for n, (name, run) in enumerate(RULES))
     return rf"""
-WITH RECURSIVE known(id, sentence) AS (VALUES {sentences}),
+WITH RECURSIVE known(phrase, id) AS (VALUES {known}),
 rules(n, name, run) AS (VALUES {rules}),
-docs AS (
-  SELECT row_number() OVER () AS rid, doc_id,
-         regexp_extract_all(trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')), '{_pattern()}', 1) AS found
-  FROM documents),
-listed AS (
-  SELECT rid, string_agg(id, ',' ORDER BY i) AS sentences, string_agg(',' || id || ',', '' ORDER BY i) AS rest, count(*) AS n
-  FROM (SELECT rid, unnest(found) AS sentence, unnest(range(len(found))) AS i FROM docs) JOIN known USING (sentence) GROUP BY rid),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+split AS (
+  SELECT rid, unnest(parts) AS part, unnest(range(len(parts))) AS i FROM (
+    SELECT rid, string_split(regexp_replace(regexp_replace(text, {quoted(_SHORT)}, ' \1', 'g'), {quoted(_BREAK)}, chr(30), 'g'), chr(30)) AS parts
+    FROM docs WHERE regexp_matches(text, {quoted(_trigger())}))),
+clean AS (SELECT rid, i, trim(regexp_replace(translate(part, '{_UPPER}', '{_LOWER}'), '[^a-z0-9]+', ' ', 'g')) AS s FROM split),
+phrases AS (SELECT rid, i, unnest(p) AS p, unnest(range(len(p))) AS k FROM (SELECT rid, i, regexp_extract_all(s, {quoted(_pattern())}, 0) AS p FROM clean)),
+named AS (SELECT rid, i, k, CASE WHEN p IN (SELECT phrase FROM known) THEN p ELSE regexp_extract(p, {quoted('^' + _named() + '$')}, 1) END AS phrase FROM phrases),
+found AS (
+  SELECT rid, i, k, id FROM named JOIN known USING (phrase)
+  UNION ALL SELECT rid, i, 0, '{UNKNOWN}' FROM clean WHERE NOT regexp_matches(s, {quoted(_pattern())}) AND regexp_matches(s, {quoted(_claims())})),
+listed AS (SELECT rid, string_agg(id, ',' ORDER BY i, k) AS sentences, string_agg(',' || id || ',', '' ORDER BY i, k) AS rest, count(*) AS n, count(*) FILTER (id <> '{UNKNOWN}') AS known FROM found GROUP BY rid),
 steps AS (
   SELECT rid, 0 AS k, rest, []::VARCHAR[] AS names FROM listed
   UNION ALL
-  SELECT rid, k + 1, replace(rest, run, ''), CASE WHEN contains(rest, run) AND NOT list_contains(names, name) THEN list_append(names, name) ELSE names END
+  SELECT rid, k + 1, regexp_replace(rest, run, '|', 'g'), CASE WHEN regexp_matches(rest, run) AND NOT list_contains(names, name) THEN list_append(names, name) ELSE names END
   FROM steps JOIN rules ON n = k)
 SELECT doc_id, coalesce(listed.n, 0) AS n_sentences, coalesce(sentences, '') AS sentences, coalesce(array_to_string(names, ','), '') AS licenses,
-       CASE WHEN listed.n IS NULL THEN 'none' WHEN steps.rest = '' THEN 'known' ELSE 'partial' END AS status
+       CASE WHEN listed.n IS NULL THEN 'none' WHEN listed.known = 0 THEN 'unknown' WHEN replace(steps.rest, '|', '') = '' THEN 'known' ELSE 'partial' END AS status
 FROM docs LEFT JOIN listed USING (rid) LEFT JOIN steps ON steps.rid = docs.rid AND k = {len(RULES)}
 """
 
