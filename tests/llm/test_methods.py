@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from ledgerloom.llm import embedding_dedup, language_id, license_scan, packing, simhash_dedup, substring_dedup, suffix_dedup
+from ledgerloom.llm import embedding_dedup, language_id, license_scan, near_copies, packing, simhash_dedup, substring_dedup, suffix_dedup
 from ledgerloom.llm.common import Scratch, connected_components
 
 
@@ -63,6 +63,33 @@ def test_suffix_dedup(spark, hot):
         assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == (len(b), gone.sum(), runs, hashlib.sha256(kept).hexdigest())
 
 
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_suffix_dedup_tells_what_others_share(spark, hot):
+    """Windows of 20 bytes are removed; n_shared is about strings of 12 that another document has."""
+    rnd = random.Random(21)
+    texts = texts_for(rnd, ["ab", "ba", "aab", "c", "é ", "abab"], "")
+    rows = [*enumerate(texts), (3, texts[3]), (5, texts[9])]
+    k, w, where, at = 12, 20, collections.defaultdict(set), collections.Counter()
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    for i, b in raw:
+        at.update(b[j : j + w] for j in range(len(b) - w + 1))
+        for j in range(len(b) - k + 1):
+            where[b[j : j + k]].add((i, b))
+    want = []
+    for i, b in raw:
+        gone, shared = np.zeros(len(b), bool), np.zeros(len(b), bool)
+        for j in range(len(b) - w + 1):
+            gone[j : j + w] |= at[b[j : j + w]] > 1
+        for j in range(len(b) - k + 1):
+            shared[j : j + k] |= len(where[b[j : j + k]]) > 1
+        want.append((i, len(b), int(gone.sum()), hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest(), int(shared.sum())))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(df, Scratch(spark, "t"), window=w, shared=k, gram=5, shard_bytes=1500, hot_spans=hot)
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_bytes", "n_removed", "kept_sha256", "n_shared").collect()) == sorted(want)
+    whole = {(r.doc_id, r.kept_sha256): bytes(r.kept) for r in suffix_dedup.remove_repeats(df, Scratch(spark, "t"), window=w, shared=k, gram=5, with_text=True).collect()}
+    assert all(hashlib.sha256(v).hexdigest() == h for (_, h), v in whole.items()) and set(whole) == {(x[0], x[3]) for x in want}
+
+
 def test_suffix_order_is_sorted():
     rnd = random.Random(2)
     spans = [bytes(rnd.choice(b"ab\x00\xff") for _ in range(rnd.randint(6, 60))) for _ in range(40)]
@@ -121,8 +148,7 @@ def test_simhash_large_bucket_is_cut(spark, monkeypatch):
 
 @pytest.mark.parametrize("meeting", [1000, 8])
 def test_near_copies(spark, monkeypatch, meeting):
-    monkeypatch.setattr(simhash_dedup, "MEETING_WITH_SETS", 8)
-    monkeypatch.setattr(simhash_dedup, "MEETING", meeting)
+    monkeypatch.setattr(near_copies, "CHUNK", meeting)
     rnd = random.Random(9)
     vocab = [f"w{i}" for i in range(4000)]
     rows = []
@@ -133,10 +159,10 @@ def test_near_copies(spark, monkeypatch, meeting):
             for _ in range(rnd.randint(0, 8)):
                 copy[rnd.randrange(len(copy))] = rnd.choice(vocab)
             rows.append((len(rows), " ".join(copy)))
-    sets = [set(simhash_dedup.shingle_set(t).tolist()) for _, t in rows]
+    sets = [set(near_copies.shingle_set(t).tolist()) for _, t in rows]
     pairs = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = {r.doc_id for r in simhash_dedup.drop_near_copies(df, Scratch(spark, "t")).collect()}
+    kept = {r.doc_id for r in near_copies.drop_near_copies(df, Scratch(spark, "t")).collect()}
     assert kept == set(components(len(rows), pairs))
 
 
@@ -217,21 +243,20 @@ def test_near_copies_of_short_texts_are_all_found(spark):
     for _ in range(1500):
         words = [f"w{rnd.randrange(10**6)}" for _ in range(9)]
         rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:8]))]
-    kept = {r.doc_id for r in simhash_dedup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect()}
+    kept = {r.doc_id for r in near_copies.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect()}
     assert kept == set(range(0, len(rows), 2))
 
 
 def test_near_copies_without_a_common_least_hash(spark, monkeypatch):
-    """With one least hash only, every fifth pair at 0.8 meets in the rest of its prefix alone; long and short texts."""
-    monkeypatch.setattr(simhash_dedup, "MEETINGS", 1)
-    monkeypatch.setattr(simhash_dedup, "LONG", 150)
+    """Every fifth pair at 0.8 lacks a common least hash; long and short texts, with one least meeting told apart."""
+    monkeypatch.setattr(near_copies, "LEAST", 1)
     rnd = random.Random(12)
     rows = []
     for n in [60, 104, 154, 204, 304] * 12:
         words = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
         for cut in (0, (n - 4) // 5, (n - 4) // 5 + 1):
             rows.append((len(rows), " ".join(words[cut:])))
-    kept = {r.doc_id for r in simhash_dedup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect()}
+    kept = {r.doc_id for r in near_copies.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect()}
     assert kept == set(jaccard_components(rows))
 
 
@@ -240,8 +265,10 @@ def test_license_rules(spark):
     rows = [(1, mit), (2, "x\nReleased under the MIT License.\nLicensed under the Apache License, Version 2.0."), (3, "You may obtain a copy of the License at"), (4, "nothing")]
     r = {x.doc_id: (x.licenses, x.status) for x in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert r == {1: ("MIT", "known"), 2: ("Apache-2.0,MIT", "known"), 3: ("", "partial"), 4: ("", "none")}
-    assert all(re.search(license_scan._trigger(), s) for s in license_scan.SENTENCES.values())
-    assert {i for _, run in license_scan.RULES for i in run} <= set(license_scan.SENTENCES)
+    assert all(re.search(license_scan._trigger(), s) for ps in license_scan.SENTENCES.values() for s in ps)
+    named = {f"named-{n}" for n in license_scan.NAMES}
+    assert {i for _, run in license_scan.RULES for part in run for i in part.rstrip("?").split("|")} <= set(license_scan.SENTENCES) | named
+    assert set(license_scan._known().values()) == set(license_scan.SENTENCES) | named
 
 
 def test_every_license_line_of_the_documents(spark):
@@ -260,7 +287,112 @@ def test_every_license_line_of_the_documents(spark):
 
 def test_all_rights_reserved_belongs_to_the_license_that_follows(spark):
     bsd = ["bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is"]
-    text = "Copyright (c) X. All rights reserved. " + ". ".join(license_scan.SENTENCES[i] for i in bsd)
+    text = "Copyright (c) X. All rights reserved. " + ". ".join(license_scan.SENTENCES[i][0] for i in bsd)
     rows = [(1, text), (2, "all\n# RIGHTS reserved"), (3, "overall rights reserved")]
     r = {x.doc_id: (x.licenses, x.status) for x in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert r == {1: ("BSD-2-Clause", "known"), 2: ("LicenseRef-Proprietary", "known"), 3: ("", "none")}
+
+
+def test_licenses_by_name_and_by_sequence(spark):
+    say = lambda *ids: ".\n".join(license_scan.SENTENCES[i][0].capitalize() for i in ids) + "."
+    cases = {
+        "This tool is available under the terms of the MIT License.": ("MIT", "known"), "// SPDX-License-Identifier: BSD-2-Clause": ("BSD-2-Clause", "known"), say("isc-grant"): ("ISC", "known"),
+        say("isc-grant", "mit-grant", "mit-notice", "isc-as-is"): ("MIT,ISC", "partial"),  # what stands around a taken run doesn't meet
+        say("mit-grant", "isc-grant", "mit-notice", "isc-as-is"): ("MIT,ISC", "known"), "Licensed under the Mozilla Public License, v. 2.0. More.": ("MPL-2.0", "known"),
+        "Dual-licensed: licensed under the MIT license, or distributed under the Apache License, Version 2.0": ("Apache-2.0,MIT", "known"),
+        say("gpl-free") + " Either version 3 of the License, or (at your option) any later version.": ("GPL-3.0-or-later", "known"),
+        "It is licensed under the Frobnication Public License.": ("", "unknown"), "Licensed under the MIT License. Also covered under a very odd license.": ("MIT", "partial"),
+        "The committee granted a license to the shop.": ("", "none"), "": ("", "none"), None: ("", "none"), "He said e.g. nothing. " * 3000 + "Released under the ISC License!": ("ISC", "known"),
+    }
+    rows = list(enumerate(cases))
+    r = {x.doc_id: (x.licenses, x.status) for x in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {t: r[i] for i, t in rows} == cases
+
+
+def test_sentences_are_split(spark):
+    text = "One, v. 2.0 holds. Two (\"Three.\") Four\n# goes on! \n\n Five"
+    (r,) = spark.createDataFrame([(text,)], "t string").select(license_scan.sentences(license_scan.F.col("t")).alias("s")).collect()
+    assert r.s == ["one v 2 0 holds", "two three", "four goes on", "five"]
+
+
+def test_close_rows_and_wide_fingerprints():
+    rng = np.random.default_rng(5)
+    for n in (1, 63, 64, 65, 700):
+        a = rng.integers(0, 1 << 63, (n, 4), dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, (n, 4), dtype=np.uint64)
+        b = a.copy()
+        for k in range(n):
+            for bit in rng.choice(256, rng.integers(0, 200), replace=False):
+                b[k, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+        apart = np.bitwise_count(a ^ b).sum(axis=1)
+        for radius in (0, 5, 90, 255, 256):
+            assert simhash_dedup.close_rows(a, b, radius).tolist() == np.flatnonzero(apart <= radius).tolist()
+    i, j = simhash_dedup.close_pairs(a[:40], b, 90)
+    want = np.nonzero(np.bitwise_count(a[:40, None] ^ b[None]).sum(axis=2) <= 90)
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(zip(*(w.tolist() for w in want), strict=True))
+
+
+def plain_fingerprint(text, n=3):
+    import xxhash
+
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    grams = [" ".join(words[i : i + n]) for i in range(len(words) - n + 1)] if len(words) >= n else [" ".join(words)] if words else []
+    h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h))
+
+
+def test_simhash_query_rows_against_brute_force(spark):
+    rnd = random.Random(13)
+    words = ["Alpha", "beta", "GAMMA", "delta", "é", "Ⅷ", "x\x0by"]
+    texts = [None, "", " \n", "One", "one", "two words"] + [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 30))) for _ in range(120)]
+    texts += [t + " tail" for t in texts[6:60]] + [texts[10], "a " * 5000]
+    rows = list(enumerate(texts))
+    rnd.shuffle(rows)
+    fp = {i: plain_fingerprint(t) for i, t in rows}
+    ids = sorted(fp)
+    pairs = [(i, j) for i in ids for j in range(i) if (fp[i] ^ fp[j]).bit_count() <= 3]
+    root = components(len(ids), pairs)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash_dedup.near_components(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect()}
+    assert got == {i: (f"{fp[i]:016x}", root[i]) for i in ids} and len(set(root)) < len(ids)
+
+
+def test_language_predictions_against_brute_force(spark):
+    rnd = random.Random(14)
+    langs = {"x": ["ka", "to", "mi"], "y": ["schr", "ung", "ein"], "z": ["tion", "eau", "ille"]}
+    rows = [(i, " ".join("".join(rnd.choice(langs[l]) for _ in range(2)) for _ in range(rnd.randint(1, 12))), l) for i in range(150) for l in [rnd.choice("xyz")]]
+    got = {r.doc_id: r for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), size=60).collect()}
+
+    def ranked(texts):
+        n = collections.Counter()
+        for t in texts:
+            k, c = language_id.ngram_counts(t)
+            n.update(dict(zip(k.view(np.int64).tolist(), c.tolist(), strict=True)))
+        return n
+
+    import zlib
+
+    out = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    profile = {}
+    for l in langs:
+        n = ranked(t for i, t, k in rows if k == l and not out(i))
+        profile[l] = {g: r for r, (g, _) in enumerate(sorted(n.items(), key=lambda x: (-x[1], x[0]))[:60])}
+    for i, t, _ in rows:
+        unsigned = lambda g: g % (1 << 64)
+        top = [g for g, _ in sorted(ranked([t]).items(), key=lambda x: (-x[1], unsigned(x[0])))[:60]]
+        away = {l: sum(abs(p[g] - r) if g in p else 60 for r, g in enumerate(top)) for l, p in profile.items()}
+        best = min(sorted(away), key=away.get)
+        assert (got[i].held_out, got[i].lang_pred) == (out(i), best) and got[i].score == pytest.approx(1 - away[best] / (60 * len(top)))
+
+
+def test_part_boundaries(spark, monkeypatch):
+    """Long texts in parts give what they give as a whole."""
+    from ledgerloom.llm import anchors
+
+    rnd = random.Random(15)
+    text = " ".join("".join(rnd.choice("abcé") for _ in range(rnd.randint(1, 9))) for _ in range(900)) + " " + "z" * 700
+    whole = near_copies.shingle_set(text)
+    spans = anchors.spans(np.frombuffer(text.encode(), np.uint8).astype(np.uint64) + np.uint64(1), 60, 12)
+    monkeypatch.setattr(anchors, "PART", 256)
+    assert (near_copies.shingle_set(text) == whole).all() and len(whole) > 800
+    parts = anchors.spans(np.frombuffer(text.encode(), np.uint8).astype(np.uint64) + np.uint64(1), 60, 12)
+    windows = lambda s: [(k, f) for k, _, a, b, _ in zip(*s, strict=True) for f in range(a, b)]
+    assert windows(parts) == windows(spans)
