@@ -9,6 +9,8 @@ parts and the sentences on either side of it don't meet.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,7 +104,9 @@ RULES = [
     ("LicenseRef-Proprietary", ["all-rights"]),
 ]
 #: Every known or unknown licence sentence holds one of these, so that other texts need no splitting.
-TRIGGERS = ["licens", "licenc", "permi", "warrant", "copyright", "redistribut", "as is", "reserved", "public domain", "liable", "received a copy", "gnu", "mpl was not", "anyone is free", "(?:" + "|".join(VERBS) + ") under"]
+TRIGGERS = ["licens", "licenc", "permi", "warrant", "copyright", "redistribut", "reserved", "public domain", "liable", "gnu", "mpl was not", "anyone is free", "(?:" + "|".join(VERBS) + ") under"]
+#: And every trigger one of these, which are looked for first, as plain text.
+STEMS = ["licen", "permi", "warrant", "copyright", "redistribut", "reserved", "domain", "liable", "gnu", "mpl", "anyone", "under"]
 #: A sentence that holds one of these and nothing known is an unknown licence sentence.
 CLAIMS = ["(?:" + "|".join(VERBS) + ") under (?:the |a |an )?(?:terms of )?(?:[a-z0-9]+ ){1,6}licen[cs]e", "spdx license identifier", "this license (?:applies|covers|grants)", "permission is hereby granted", "license agreement"]
 UNKNOWN = "unknown"
@@ -158,7 +162,9 @@ def sentence_ids(text: Column) -> Column:
     ids = lambda s: F.transform(F.regexp_extract_all(s, F.lit(_pattern()), F.lit(0)), lambda p: F.coalesce(known[p], known[name(p)]))
     unknown = lambda s: F.when(s.rlike(_claims()), F.array(F.lit(UNKNOWN))).otherwise(F.array().cast("array<string>"))
     found = F.flatten(F.transform(sentences(text), lambda s: F.when(s.rlike(_pattern()), ids(s)).otherwise(unknown(s))))
-    return F.when(text.rlike(_trigger()), found).otherwise(F.array().cast("array<string>"))
+    low = F.lower(text)
+    stem = reduce(Column.__or__, (F.contains(low, F.lit(x)) for x in STEMS))
+    return F.when(F.when(stem, text.rlike(_trigger())).otherwise(False), found).otherwise(F.array().cast("array<string>"))
 
 
 def match_rules(ids: Column) -> Column:

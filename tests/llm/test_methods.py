@@ -266,6 +266,7 @@ def test_license_rules(spark):
     r = {x.doc_id: (x.licenses, x.status) for x in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert r == {1: ("MIT", "known"), 2: ("Apache-2.0,MIT", "known"), 3: ("", "partial"), 4: ("", "none")}
     assert all(re.search(license_scan._trigger(), s) for ps in license_scan.SENTENCES.values() for s in ps)
+    assert all(any(x in t for x in license_scan.STEMS) for t in license_scan.TRIGGERS)
     named = {f"named-{n}" for n in license_scan.NAMES}
     assert {i for _, run in license_scan.RULES for part in run for i in part.rstrip("?").split("|")} <= set(license_scan.SENTENCES) | named
     assert set(license_scan._known().values()) == set(license_scan.SENTENCES) | named
