@@ -23,7 +23,7 @@ from .adapters import LINES_SQL, OBS_SQL, TERMS_SQL, TX_SQL, lines, obs, table,
 from .q_history import GRID_SQL
 from .q_ledger import CHAIN, LABEL_SQL, RESOLVED_SQL, linked, map_sql, resolved
 from .q_routing import ITEMS_SQL, items
-from .q_similarity import STAGED_SQL, staged
+from .q_similarity import STAGED_SQL, norm_sql, staged, varied
 
 Q, SQL = {}, {}
 
@@ -665,3 +665,16 @@ def latest_texts(spark, d):
     c = asked.select(F.col("match").alias("plain"), norm.alias("match"), "day")
     out = M.latest_texts(c, keyed, ascii_only=True).where("content is not null")
     return out.select(F.col("plain").alias("match"), "day", "content")
+
+
+#: The n1 form, lower case with single blanks, in the place of the n4 form of the staged predictions' SQL.
+N1_SQL = r"trim(regexp_replace(lower(content), '\s+', ' ', 'g'))"
+_RIGHT_SQL = "SELECT count(*) FILTER (pred = label) FROM preds WHERE fy IN (2002, 2003) AND stage <> 'none' AND NOT (stage = 'fuzzy' AND score < 90)"
+
+
+@query("q_best_normalizer", f"""SELECT normalizer, correct FROM (SELECT 'n1' AS normalizer, 0 AS place, ({STAGED_SQL.replace(norm_sql('content'), N1_SQL)} {_RIGHT_SQL}) AS correct
+UNION ALL SELECT 'n4', 1, ({STAGED_SQL} {_RIGHT_SQL})) ORDER BY correct DESC, place LIMIT 1""")
+def best_normalizer(spark, d):
+    o = varied(spark, d)
+    scored = {level: M.apply_threshold(M.staged_predictions(o, level, ascii_only=True), 90.0) for level in ("n1", "n4")}
+    return P.best_normalizer(scored, [2002, 2003])
