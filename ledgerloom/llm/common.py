@@ -50,17 +50,17 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         bound_batches(spark)
-        self.spark = spark
+        self.spark, self.compact = spark, False
         self.root = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
 
-    def write(self, df: DataFrame, compact: bool = False) -> DataFrame:
+    def write(self, df: DataFrame, compact: bool | None = None) -> DataFrame:
         """df, written once and read back. compact: in partitions of the advisory size, not as many as there are cores, for tables
         that are cheap to make; each file costs a file system several requests, a local one several processes."""
         self.count += 1
         path, name = f"{self.root}/{self.count}", "spark.sql.adaptive.coalescePartitions.parallelismFirst"
         before = self.spark.conf.get(name, "true")
-        if compact:
+        if self.compact if compact is None else compact:
             self.spark.conf.set(name, "false")
         try:
             df.write.parquet(path)
@@ -70,9 +70,10 @@ class Scratch:
         table._scratch_path = path
         return table
 
-    def part(self) -> Scratch:
-        """A folder below this one, to be closed on its own."""
+    def part(self, compact: bool = False) -> Scratch:
+        """A folder below this one, to be closed on its own; compact: what its writes do if they don't say."""
         out = Scratch.__new__(Scratch)
+        out.compact = compact
         self.parts = getattr(self, "parts", 0) + 1
         out.spark, out.root, out.count = self.spark, f"{self.root}/part-{self.parts}", 0
         return out

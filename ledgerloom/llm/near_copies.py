@@ -415,7 +415,7 @@ def similar_groups(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
     gives an empty one. No similar pair is lost, but for equal 64-bit hashes and the chance that RADIUS states.
     """
     corpus = _Corpus(docs, id_col, text_col)
-    sc, own = scratch.spark.sparkContext, scratch.part()
+    sc, own = scratch.spark.sparkContext, scratch.part(compact=True)
     classes = sc.broadcast(frequency_classes(corpus.rows.select("text"), own, shingle))
     sketches = corpus.rows.mapInArrow(_sketches(shingle, similarity, classes, corpus.kind), f"doc {corpus.kind}, h long, n long, fp binary, prefix array<long>")
     sketches = own.write(sketches.where("n > 0").withColumn("rid", F.monotonically_increasing_id()))
@@ -455,7 +455,7 @@ def similar_groups(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
         firsts = firsts.join(others.select("a", "chunk").distinct(), ["a", "chunk"])
         shard = F.pmod(F.xxhash64("a", "chunk"), F.lit(max(1, math.ceil(total / SHARD_SHINGLES))))
         dealt = others.union(firsts.select("a", "chunk", "rid", "head")).withColumn("shard", shard).join(texts, "rid")
-        links = own.write(dealt.groupBy("shard").applyInArrow(whole_group(_verify(shingle, similarity)), "a long, b long"))
+        links = own.write(dealt.groupBy("shard").applyInArrow(whole_group(_verify(shingle, similarity)), "a long, b long"), compact=False)
         own.drop(texts)
         return links
 
@@ -476,16 +476,16 @@ def similar_groups(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
     small = named.where(few).select("rid", "meeting").join(least, "rid")
     groups = max(1, math.ceil(named.count() / 8192))
     small = small.withColumn("group", F.pmod(F.xxhash64("meeting"), F.lit(groups))).groupBy("group")
-    pairs = own.write(small.applyInArrow(whole_group(_list_pairs(radius, similarity)), "a long, b long").distinct())
+    pairs = own.write(small.applyInArrow(whole_group(_list_pairs(radius, similarity)), "a long, b long").distinct(), compact=False)
     more = verified(pairs)
     large = named.where(~few).select("rid", "meeting").join(least.drop("fp"), "rid")
     if not large.isEmpty():
         prints = labels.select("rid", "fp")
         tiles = _across(large, own).join(prints, "rid").groupBy("meeting", "x", "y")
-        partners = own.write(tiles.applyInArrow(whole_group(_partners(radius, similarity)), "rid long, meeting long").distinct())
+        partners = own.write(tiles.applyInArrow(whole_group(_partners(radius, similarity)), "rid long, meeting long").distinct(), compact=False)
         texts = corpus.texts(known.join(partners.select("rid").distinct(), "rid").select("rid", "doc", "h"), own)
         tiles = _across(partners.join(least.drop("fp"), "rid"), own).join(prints, "rid").join(texts, "rid").groupBy("meeting", "x", "y")
-        more = own.write(more.union(tiles.applyInArrow(whole_group(_similar(shingle, radius, similarity)), "a long, b long")))
+        more = own.write(more.union(tiles.applyInArrow(whole_group(_similar(shingle, radius, similarity)), "a long, b long")), compact=False)
     if not more.isEmpty():
         roots = connected_components(links.union(more), own)
     members = own.write(roots.withColumnRenamed("node", "rid").join(known.select("rid", "doc", "h"), "rid").select("root", "doc", "h"))
