@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import embedding_dedup, exact_dedup, language_id, license_scan, mixing, packing, sharding, simhash_dedup, substring_dedup, suffix_dedup
+from . import embedding_dedup, exact_dedup, language_id, license_scan, mixing, packing, sharding, simhash_dedup, spelling_variants, substring_dedup, suffix_dedup
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_simhash_dedup": simhash_dedup.op10_simhash_dedup,
+    "op11_spelling_variants": spelling_variants.op11_spelling_variants,
 }
 
 ORACLE_SQL = {
@@ -26,6 +27,7 @@ ORACLE_SQL = {
     "op5_sharding": sharding.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
+    "op11_spelling_variants": spelling_variants.ORACLE,
 }
 
 if corpus_pipeline.ORACLE_SQL:
