@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import embedding_dedup, exact_dedup, language_id, license_scan, mixing, packing, sharding, simhash_dedup, spelling_variants, substring_dedup, suffix_dedup
+from . import embedding_dedup, exact_dedup, hard_negatives, language_id, license_scan, mixing, packing, quality_classifier, sharding, simhash_dedup, spelling_variants, substring_dedup, suffix_dedup
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -19,6 +19,8 @@ QUERIES = {
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_simhash_dedup": simhash_dedup.op10_simhash_dedup,
     "op11_spelling_variants": spelling_variants.op11_spelling_variants,
+    "op12_quality_classifier": quality_classifier.op12_quality_classifier,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -28,6 +30,7 @@ ORACLE_SQL = {
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
     "op11_spelling_variants": spelling_variants.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
 
 if corpus_pipeline.ORACLE_SQL:
