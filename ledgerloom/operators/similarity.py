@@ -13,8 +13,59 @@ from . import history as H
 FUZZY_FLOOR = 70.0
 
 
-#: Keys of the right side that a left key meets in one task, about.
-KEYS_PER_BLOCK = 2000
+#: Keys of the right side that a left key meets in one task, about, and left keys that meet them there.
+KEYS_PER_BLOCK, ASKED_PER_BLOCK = 2000, 128
+
+
+def _blocks(keys: DataFrame, size: int):
+    """How many blocks of about `size` the rows of keys make, as a column that is computed when the plan runs."""
+    return keys.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / size)).cast("int").alias("n")).scalar()
+
+
+def nearest(asked: DataFrame, pool: DataFrame, k: int) -> DataFrame:
+    """(a, before, rank, b, score, since, tie): for each (a, before) of asked the k most similar other keys of pool (b, since, tie) with since < before.
+
+    Equal scores go to the least (since, tie, b). before and since are whole numbers, days for instance. b is unique in pool. The keys of either side
+    are dealt into blocks, and each pair of blocks is one group: within it a bound from character counts leaves few pairs to be scored, 128 at a time,
+    and the block's k best go on. A null or absent key neither looks nor matches.
+    """
+    parts = int(pool.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = asked.where("a is not null and before is not null").groupBy("a").agg(F.array_sort(F.collect_set("before")).alias("before"))
+    right = pool.where("b is not null").select("b", "since", "tie")
+    n_left, n_right = _blocks(left, ASKED_PER_BLOCK), _blocks(right, KEYS_PER_BLOCK)
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = left.withColumn("_l", F.pmod(F.xxhash64("a"), n_left).cast("int")).withColumn("_r", each(n_right))
+    right = right.withColumn("_r", F.pmod(F.xxhash64("b"), n_right).cast("int")).withColumn("_l", each(n_left))
+    # A fixed number of partitions, as the work is in the pairs: the sizes of the rows would make one task of all blocks.
+    left, right = (x.repartition(parts, "_l", "_r").groupBy("_l", "_r") for x in (left, right))
+    tie = pool.schema["tie"].dataType.simpleString()
+    found = left.cogroup(right).applyInArrow(_nearest_in_block(k), f"a string, before long, b string, since long, tie {tie}, score double")
+    w = W.partitionBy("a", "before").orderBy(F.desc("score"), "since", "tie", "b")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _nearest_in_block(k: int):
+    def run(left, right):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        from ..functions.block_similarity import TextBlock
+
+        right = right.take(pc.sort_indices(right, sort_keys=[("since", "ascending"), ("tie", "ascending"), ("b", "ascending")], null_placement="at_start"))
+        block, since = TextBlock(right.column("b").to_pylist()), right.column("since").to_numpy()
+        rows, days, places, scores = [], [], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for i, (text, before) in enumerate(zip(left.column("a").to_pylist(), left.column("before").to_pylist(), strict=True)):
+            for day, (at, score) in zip(before, block.nearest(text, k, np.searchsorted(since, before).tolist()), strict=True):
+                rows += [i] * len(at)
+                days += [day] * len(at)
+                places.append(at)
+                scores.append(score)
+        at = pa.array(np.concatenate(places))
+        there = [right.column(c).take(at) for c in ("b", "since", "tie")]
+        return pa.table([left.column("a").take(pa.array(rows, pa.int64())), pa.array(days, pa.int64()), *there, pa.array(np.concatenate(scores))], names=["a", "before", "b", "since", "tie", "score"])
+
+    return run
 
 
 def pair_scores(left: DataFrame, right: DataFrame, arrow: bool = False, floor: float = 0.0) -> DataFrame:
@@ -37,28 +88,30 @@ def pair_scores(left: DataFrame, right: DataFrame, arrow: bool = False, floor: f
     return out.where(F.col("score") >= floor) if floor > 0 else out
 
 
-def top_similar(scores: DataFrame, k: int = 3) -> DataFrame:
-    """The k most similar b of each a; equal scores by b."""
-    w = W.partitionBy("a").orderBy(F.desc("score"), "b")
-    return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+#: After any day.
+ALWAYS = 1 << 40
+
+
+def top_similar(left: DataFrame, right: DataFrame, k: int = 3) -> DataFrame:
+    """(a, b, score, rank): the k most similar keys b of right for each key a of left; equal scores by b."""
+    pool = right.select("b").distinct().select("b", F.lit(0).cast("long").alias("since"), F.lit(0).cast("long").alias("tie"))
+    return nearest(left.select("a", F.lit(ALWAYS).alias("before")), pool, k).select("a", "b", "score", "rank")
 
 
 def _keyed(obs: DataFrame, level: str, ascii_only: bool) -> DataFrame:
     return H.usable(obs).withColumn("raw", strip(F.col("content"))).withColumn("key", normalize(F.col("content"), level, ascii_only))
 
 
-def fuzzy_before(targets: DataFrame, keys: DataFrame, k: int, arrow: bool = True) -> DataFrame:
+def fuzzy_before(targets: DataFrame, keys: DataFrame, k: int) -> DataFrame:
     """(key, day, match, score, rank): for each distinct (key, day) the k most similar keys first seen before the day.
 
     keys has (key, seen) with seen = struct(day, id) of its first use; equal scores go to the key seen first. Empty keys
     neither look nor match.
     """
-    t = targets.where("key <> ''").select("key", "day").distinct()
-    pool = keys.where("key <> ''")
-    scores = pair_scores(t.select(F.col("key").alias("a")), pool.select(F.col("key").alias("b")), arrow=arrow)
-    found = t.join(scores, F.col("key") == F.col("a")).join(pool.select(F.col("key").alias("b"), "seen"), "b").where(F.col("seen.day") < F.col("day"))
-    w = W.partitionBy("key", "day").orderBy(F.desc("score"), "seen")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("key", "day", F.col("b").alias("match"), "score", "rank")
+    days = lambda c: F.unix_date(c).cast("long")
+    asked = targets.where("key <> ''").select(F.col("key").alias("a"), days("day").alias("before"))
+    pool = keys.where("key <> ''").select(F.col("key").alias("b"), days("seen.day").alias("since"), F.col("seen.id").alias("tie"))
+    return nearest(asked, pool, k).select(F.col("a").alias("key"), F.date_from_unix_date(F.col("before").cast("int")).alias("day"), F.col("b").alias("match"), "score", "rank")
 
 
 def staged_predictions(obs: DataFrame, level: str = "n4", ascii_only: bool = False, fuzzy: bool = True) -> DataFrame:
@@ -145,8 +198,8 @@ def static_predictions(history: DataFrame, targets: DataFrame, level: str = "n4"
         t = t.join(h.select(by, "account").distinct().withColumn(f"_seen_{by}", F.lit(True)), [by, "account"], "left")
     seen = h.where("key <> ''").groupBy("key").agg(F.min(F.struct("day", "id")).alias("seen"))
     open_ = targets.select(normalize(F.col("content"), level, ascii_only).alias("a")).where("a <> ''").distinct().join(seen.withColumnRenamed("key", "a"), "a", "left_anti")
-    near = pair_scores(open_, seen.select(F.col("key").alias("b")), arrow=True).join(seen.withColumnRenamed("key", "b"), "b")
-    best = near.groupBy("a").agg(F.min(F.struct((-F.col("score")).alias("m"), "seen", "b")).alias("_n")).select(F.col("a").alias("key"), F.col("_n.b").alias("_match"), (-F.col("_n.m")).alias("_score"))
+    pool = seen.select(F.col("key").alias("b"), F.unix_date("seen.day").cast("long").alias("since"), F.col("seen.id").alias("tie"))
+    best = nearest(open_.withColumn("before", F.lit(ALWAYS)), pool, 1).select(F.col("a").alias("key"), F.col("b").alias("_match"), F.col("score").alias("_score"))
     best = best.join(_modes(h, "key").withColumnsRenamed({"key": "_match", "_key": "_fuzzy"}), "_match")
     t = t.join(best, "key", "left")
     stage = F.when(F.col("_raw").isNotNull(), "raw_exact").when(F.col("_key").isNotNull(), "norm_exact").when(F.col("_fuzzy").isNotNull(), "fuzzy").otherwise("none")

@@ -31,26 +31,26 @@ NAMES_SQL = f"""names AS (SELECT DISTINCT p_name AS k FROM part),
 scores AS (SELECT a.k AS a, b.k AS b, {ratio_sql('a.k', 'b.k')} AS score FROM names a JOIN names b ON a.k <> b.k)"""
 
 
-def name_scores(spark, d):
-    n = table(spark, d, "part").select(F.col("p_name").alias("a")).distinct()
-    return S.pair_scores(n, n.withColumnRenamed("a", "b"))
+def names(spark, d):
+    return table(spark, d, "part").select(F.col("p_name").alias("a")).distinct()
 
 
-@query("q_indel_ratio", f"WITH {NAMES_SQL} SELECT a, b, round(score, 4) AS score FROM scores")
+@query("q_indel_ratio", f"WITH {NAMES_SQL} SELECT a, b, round(score, 4) AS score FROM scores WHERE score >= {S.FUZZY_FLOOR}")
 def indel(spark, d):
-    return name_scores(spark, d).select("a", "b", F.round("score", 4).alias("score"))
+    n = names(spark, d)
+    return S.pair_scores(n, n.withColumnRenamed("a", "b"), floor=S.FUZZY_FLOOR).select("a", "b", F.round("score", 4).alias("score"))
 
 
 @query("q_fuzzy_top3", f"WITH {NAMES_SQL} SELECT a, b, round(score, 4) AS score, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS rank FROM scores QUALIFY rank <= 3")
 def fuzzy_top3(spark, d):
-    return S.top_similar(name_scores(spark, d)).select("a", "b", F.round("score", 4).alias("score"), "rank")
+    return S.top_similar(names(spark, d), names(spark, d).withColumnRenamed("a", "b")).select("a", "b", F.round("score", 4).alias("score"), "rank")
 
 
 @query("q_fuzzy_threshold", f"""
 WITH {NAMES_SQL}, best AS (SELECT a, max(score) AS score FROM scores GROUP BY a), th AS (SELECT unnest([70, 80, 90]) AS threshold)
 SELECT threshold, count(*) FILTER (score >= threshold) AS n, round(count(*) FILTER (score >= threshold) / count(*), 4) AS share FROM best CROSS JOIN th GROUP BY 1""")
 def fuzzy_threshold(spark, d):
-    best = name_scores(spark, d).groupBy("a").agg(F.max("score").alias("score")).withColumn("threshold", F.explode(F.array(F.lit(70), F.lit(80), F.lit(90))))
+    best = S.top_similar(names(spark, d), names(spark, d).withColumnRenamed("a", "b"), 1).withColumn("threshold", F.explode(F.array(F.lit(70), F.lit(80), F.lit(90))))
     n = F.count_if(F.col("score") >= F.col("threshold"))
     return best.groupBy("threshold").agg(n.alias("n"), rate(n, F.count("*")).alias("share"))
 
