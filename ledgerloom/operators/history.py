@@ -65,6 +65,37 @@ def modes_before(obs: DataFrame, block: str = "day", years: list[int] | None = N
     return counts.groupBy("content", "block").agg(F.max_by("label", order(F.col("n"))).alias("mode"), F.sum("n").alias("hist_n"), F.max("n").alias("mode_n"), F.count("*").alias("labels"), *weighted)
 
 
+def _stretch_start():
+    """What the last stretch of one label began with, if it began on the row's day: a turn within the day, or at its first row."""
+    inner = F.struct((F.col("_n") + F.col("turn_at")).alias("at"), F.col("day"), F.col("turn_from").alias("before"))
+    first = F.struct((F.col("_n") + 1).alias("at"), F.col("day"), F.col("_label").alias("before"))
+    return F.when(F.col("turn_at").isNotNull(), inner).when((F.col("_n") == 0) | F.coalesce(F.col("_label") != F.col("first_label"), F.lit(False)), first)
+
+
+def _within_days(b: DataFrame, with_account: bool) -> DataFrame:
+    """(content, day, block, id, ...): the day's observations up to the last one of each block, the first pass of a segmented scan.
+
+    n, label, first_label, turn_at and turn_from (place of the last turn to another label and the label before it), complex_at (place of the last complex one),
+    any_complex, all_complex, tail (the last five labels, null ones too), fy. Places count from 1 within the day.
+    """
+    seq = W.partitionBy("content", "day").orderBy("id")
+    upto = seq.rowsBetween(W.unboundedPreceding, 0)
+    s = b.withColumn("n", F.row_number().over(seq)).withColumn("_from", F.lag("label").over(seq))
+    turn = F.last(F.when(F.col("_from") != F.col("label"), F.struct(F.col("n").alias("at"), F.col("_from").alias("before"))), ignorenulls=True).over(upto)
+    state = {
+        "n": F.col("n").cast("long"), "label": F.col("label"), "first_label": F.first("label").over(upto), "turn": turn, "complex_at": F.max(F.when(F.col("complex"), F.col("n"))).over(upto),
+        "any_complex": F.bool_or("complex").over(upto), "all_complex": F.bool_and("complex").over(upto), "fy": F.col("fy"),
+        "tail": F.slice(F.array(*(F.lag("label", k).over(seq) if k else F.col("label") for k in (4, 3, 2, 1, 0))), F.greatest(6 - F.col("n"), F.lit(1)), F.least("n", F.lit(5))),
+    }
+    if with_account:
+        from ..functions.text import amount_band
+
+        state |= {"last_account": F.col("account"), "last_band": amount_band(F.col("value"))}
+    s = s.select("content", "day", "block", "id", F.struct(*(c.alias(k) for k, c in state.items())).alias("_s"))
+    s = s.groupBy("content", "day", "block").agg(F.max("id").alias("id"), F.max_by("_s", "id").alias("_s")).select("content", "day", "block", "id", "_s.*")
+    return s.withColumns({"turn_at": F.col("turn.at"), "turn_from": F.col("turn.before")}).drop("turn")
+
+
 def snapshots_before(obs: DataFrame, block: str = "day") -> DataFrame:
     """(content, block, ...): the state of each content's history just before each of its blocks.
 
@@ -72,29 +103,40 @@ def snapshots_before(obs: DataFrame, block: str = "day") -> DataFrame:
     (observations since the last complex one, n if none), any_complex, all_complex, distinct_labels, tail (last five labels),
     first_day, last_account and last_band where obs has account and value. See year_modes_before for the years of a history, and
     seen_before for what it has seen.
-    """
+
+    A segmented scan: the observations of a content's day are folded into one state, on their own, then the states are scanned over days,
+    and a day's own part is put behind what was before it. So a content with a third of all rows spreads over as many tasks as it has days.
+        """
     b = obs.withColumn("block", _block(block))
-    seq = W.partitionBy("content").orderBy("day", "id")
-    upto = seq.rowsBetween(W.unboundedPreceding, 0)
-    s = b.withColumn("n", F.row_number().over(seq)).withColumn("_turn", F.coalesce((F.lag("label").over(seq) != F.col("label")).cast("int"), F.lit(0)))
-    s = s.withColumn("_island", F.sum("_turn").over(upto))
-    # What a stretch began with: the row number, day and preceding label at the last turn.
-    begin = F.when((F.col("_turn") == 1) | (F.col("n") == 1), F.struct("n", "day", F.lag("label").over(seq).alias("before")))
-    s = s.withColumn("_begin", begin).withColumn("_start", F.last("_begin", ignorenulls=True).over(upto))
-    tail = F.array_compact(F.array(*(F.lag("label", k).over(seq) if k else F.col("label") for k in (4, 3, 2, 1, 0))))
+    ends = _within_days(b, {"account", "value"} <= set(obs.columns))
+    # The last row of a content's day closes it; its scan over days has no more rows than there are days.
+    past = W.partitionBy("content").orderBy("day").rowsBetween(W.unboundedPreceding, -1)
+    closing = ends if block == "day" else ends.withColumn("_last", F.max("id").over(W.partitionBy("content", "day"))).where("id = _last").drop("_last")
+    scan = closing.withColumn("_n", F.coalesce(F.sum("n").over(past), F.lit(0))).withColumn("_label", F.lag("label").over(W.partitionBy("content").orderBy("day")))
+    scan = scan.withColumn("_start", _stretch_start())
+    lags = [F.coalesce(F.lag("tail", k).over(W.partitionBy("content").orderBy("day")), F.expr("cast(array() as array<string>)")) for k in (5, 4, 3, 2, 1)]
+    before_day = {
+        "_begin": F.last("_start", ignorenulls=True).over(past), "_complex": F.max(F.col("_n") + F.col("complex_at")).over(past), "_any": F.bool_or("any_complex").over(past),
+        "_all": F.bool_and("all_complex").over(past), "_tail": F.concat(*lags), "_first": F.min("day").over(past),
+    }
+    scan = scan.withColumns(before_day)
+    if block != "day":
+        known = ["_n", "_label", *before_day]
+        scan = ends.join(scan.select("content", "day", *known), ["content", "day"]).withColumn("_start", _stretch_start())
+    n = F.col("_n") + F.col("n")
+    start = F.coalesce("_start", "_begin")
+    five = F.concat("_tail", "tail")
+    both = lambda f, x, y: F.when(F.col(x).isNull(), F.col(y)).when(F.col(y).isNull(), F.col(x)).otherwise(f(F.col(x), F.col(y)))
     state = {
-        "n": F.col("n").cast("long"), "last_label": F.col("label"), "last_day": F.col("day"), "last_fy": F.col("fy"), "run": (F.col("n") - F.col("_start.n") + 1).cast("long"),
-        "previous": F.col("_start.before"), "change_day": F.when(F.col("_island") > 0, F.col("_start.day")),
-        "since_complex": (F.col("n") - F.coalesce(F.max(F.when(F.col("complex"), F.col("n"))).over(upto), F.lit(0))).cast("long"),
-        "any_complex": F.bool_or("complex").over(upto), "all_complex": F.bool_and("complex").over(upto),
-        "tail": tail, "first_day": F.min("day").over(upto),
+        "n": n.cast("long"), "last_label": F.col("label"), "last_day": F.col("day"), "last_fy": F.col("fy"), "run": (n - start["at"] + 1).cast("long"),
+        "previous": start["before"], "change_day": F.when(start["before"].isNotNull(), start["day"]),
+        "since_complex": (n - F.coalesce(F.col("_n") + F.col("complex_at"), F.col("_complex"), F.lit(0))).cast("long"),
+        "any_complex": both(lambda x, y: x | y, "_any", "any_complex"), "all_complex": both(lambda x, y: x & y, "_all", "all_complex"),
+        "tail": F.array_compact(F.slice(five, F.greatest(F.size(five) - 4, F.lit(1)), 5)), "first_day": F.coalesce("_first", "day"),
     }
-    if {"account", "value"} <= set(obs.columns):
-        from ..functions.text import amount_band
-
-        state |= {"last_account": F.col("account"), "last_band": amount_band(F.col("value"))}
-    s = s.select("content", "block", "day", "id", F.struct(*(c.alias(k) for k, c in state.items())).alias("state"))
-    ends = s.groupBy("content", "block").agg(F.max_by("state", F.struct("day", "id")).alias("state"))
+    state |= {c: F.col(c) for c in ("last_account", "last_band") if c in ends.columns}
+    s = scan.select("content", "block", "day", "id", F.struct(*(c.alias(k) for k, c in state.items())).alias("state"))
+    ends = s if block == "day" else s.groupBy("content", "block").agg(F.max_by("state", F.struct("day", "id")).alias("state"))
     # Labels that a content has by a block: how many began before it.
     began = b.groupBy("content", "label").agg(F.min("block").alias("block")).groupBy("content", "block").agg(F.count("*").alias("_began"))
     blocks = W.partitionBy("content").orderBy("block")

@@ -98,3 +98,31 @@ def test_stages(spark):
 def test_empty(spark):
     e = obs(spark, [("2024-01-01", "", "A", False)])
     assert H.before(H.usable(e)).count() == 0 and B.evaluate_rules(e).count() == 0
+
+
+def test_snapshots_of_a_hot_key_against_a_plain_loop(spark):
+    """Half of all rows share a content, many a day; years may interleave within a day."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(400):
+        day = dt.date(2022, 12, 20) + dt.timedelta(days=rnd.randrange(25))
+        rows.append((i, day, rnd.choice(["hot", "hot", "hot", "a", "b"]), rnd.choice("AAAB"), rnd.random() < 0.1, rnd.choice([2022, 2023]) if day.day == 31 else day.year, rnd.randrange(3), rnd.randrange(9000)))
+    df = spark.createDataFrame(rows, SCHEMA)
+    for block in ("day", "fy"):
+        of = (lambda r: (r[1] - dt.date(1970, 1, 1)).days) if block == "day" else lambda r: r[5]
+        got = {(r.content, r.block): r for r in H.snapshots_before(df, block).collect()}
+        want = 0
+        for content in ("hot", "a", "b"):
+            mine = sorted((r for r in rows if r[2] == content), key=lambda r: (r[1], r[0]))
+            blocks = sorted({of(r) for r in mine})
+            for prior, block_now in zip(blocks, blocks[1:]):
+                want += 1
+                past = mine[: max(i for i, r in enumerate(mine) if of(r) == prior) + 1]
+                labels = [r[3] for r in past]
+                run = next((j for j, x in enumerate(reversed(labels)) if x != labels[-1]), len(labels))
+                r = got[content, block_now]
+                since = next((j for j, x in enumerate(reversed(past)) if x[4]), len(past))
+                changed = len(labels) > run
+                assert (r.n, r.last_label, r.run, r.previous, r.change_day) == (len(past), labels[-1], run, labels[-run - 1] if changed else None, past[-run][1] if changed else None)
+                assert (r.since_complex, r.any_complex, r.all_complex, r.tail, r.first_day, r.last_account) == (since, any(x[4] for x in past), all(x[4] for x in past), labels[-5:], past[0][1], past[-1][6])
+        assert want == len(got)
