@@ -98,3 +98,51 @@ def test_budget(spark):
     assert (b.items, b.counted, b.problem) == (2, 2000, None) and b.cost_cached == pytest.approx((800 * 2 + 600 * 2.5 + 600 * 0.2 + 2000) / 1e6)
     assert O.budget(t, 600, 100, (2.0, 10.0, 0.2), 0.001).first().problem == "cost above the limit"
     assert O.budget(t.withColumn("estimated", F.lit(1)), 0, 0, (1.0, 1.0, 1.0), 1.0).first().problem == "more tokens than estimated"
+
+
+def test_answers_outlive_a_failing_scorer(spark, tmp_path):
+    """Item 7 of 10 fails: 6 paid answers stay, and the next run asks for the rest only."""
+    items = spark.createDataFrame([(f"t{i:02d}",) for i in range(1, 11)], "transaction_id string")
+    asked, path, schema = tmp_path / "asked", f"file://{tmp_path}/answers", "transaction_id string, text string"
+
+    def scorer(fails_at):
+        def run(xs):
+            with open(asked, "a") as f:
+                f.write(xs[0]["transaction_id"] + "\n")
+            if xs[0]["transaction_id"] == fails_at:
+                raise ValueError("no answer")
+            return [{"transaction_id": xs[0]["transaction_id"], "text": "ok"}]
+
+        return run
+
+    with pytest.raises(PermissionError):
+        O.score_durably(items, scorer(None), path, schema)
+    with pytest.raises(RuntimeError, match="no answer"):
+        O.score_durably(items, scorer("t07"), path, schema, approved=True, price=lambda a: 0.5)
+    assert sorted(r.transaction_id for r in O.scored(spark, path, schema).collect()) == [f"t{i:02d}" for i in range(1, 7)]
+    first = asked.read_text().split()
+    got = O.score_durably(items, scorer(None), path, schema, approved=True, price=lambda a: 0.5, batch=3)
+    assert sorted(r.transaction_id for r in got.collect()) == [f"t{i:02d}" for i in range(1, 11)] and got.agg(F.sum("_cost")).first()[0] == 5.0
+    assert first == [f"t{i:02d}" for i in range(1, 8)] and sorted(asked.read_text().split()[7:]) == ["t07", "t08", "t09", "t10"]
+    assert O.score_durably(items, scorer("t01"), path, schema, approved=True).count() == 10  # nothing is left to ask
+    assert not [p for p in tmp_path.iterdir() if "queue" in p.name]
+
+
+def test_the_limit_is_held_against_all_runs(spark, tmp_path):
+    items = spark.createDataFrame([(f"t{i}",) for i in range(6)], "transaction_id string")
+    path, schema, scorer = f"file://{tmp_path}/answers", "transaction_id string", lambda xs: [{"transaction_id": xs[0]["transaction_id"]}]
+    for limit, there in ((1.5, 2), (1.5, 2), (3.0, 4)):
+        with pytest.raises(RuntimeError, match="more than its limit"):
+            O.score_durably(items, scorer, path, schema, approved=True, price=lambda a: 1.0, max_cost=limit, batch=2)
+        assert O.scored(spark, path, schema).count() == there
+    assert O.score_durably(items, scorer, path, schema, approved=True, price=lambda a: 1.0, max_cost=9.0).count() == 6
+    with pytest.raises(Exception, match="without a key"):
+        O.score_durably(spark.createDataFrame([(None,)], "transaction_id string"), scorer, path, schema, approved=True)
+
+
+def test_the_schema_of_an_answer_is_what_is_read():
+    shape = O.answer_schema(["B", "A"])
+    assert shape["required"] == list(shape["properties"]) == [f.name for f in O.ANSWER][:5] and shape["additionalProperties"] is False
+    assert shape["properties"]["primary_account_code"] == {"anyOf": [{"type": "string", "enum": ["A", "B"]}, {"type": "null"}]}
+    assert [shape["properties"][n]["type"] for n in shape["required"][1:]] == ["number", "string", "boolean", "boolean"]
+    assert O.answer_schema([], True)["properties"]["reason_category"] == {"type": "string", "enum": O.REASON_CATEGORIES}
