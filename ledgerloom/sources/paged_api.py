@@ -6,10 +6,15 @@
 The page count comes from the first page; `readers` partitions share the others, and the pace that a token allows. Requests are
 retried, and only https GETs under the base path are ever made, redirects included. `max_items` is a limit that is pushed
 down to pages, `param.<name>` goes into the query of every request.
+
+With `date_column` or `id_column` filters on that column become requests: a closed range of days, in spans that the service allows,
+and lists of ids, in lists that it allows. `spark.sql.python.filterPushdown.enabled` must be true for it; Spark still applies
+every filter to what comes back.
 """
 
 from __future__ import annotations
 
+import datetime
 import importlib
 import json
 import time
@@ -239,7 +244,7 @@ class _Reader(DataSourceReader):
 
 
 def _cast(value, kind):
-    """JSON values in the shape Spark's rows take: nested objects as tuples of their schema's fields."""
+    """JSON values in the shape Spark's rows take: dates from their texts, nested objects as tuples of their schema's fields."""
     name = kind.typeName()
     if value is None:
         return None
@@ -247,9 +252,88 @@ def _cast(value, kind):
         return tuple(_cast(value.get(f.name), f.dataType) for f in kind.fields)
     if name == "array":
         return [_cast(v, kind.elementType) for v in value]
+    if name == "date":
+        return datetime.date.fromisoformat(value[:10])
     return value if name != "string" or isinstance(value, str) else json.dumps(value)
 
 
+class Scans(InputPartition):
+    """Requests by their parameters, each walked page by page."""
+
+    def __init__(self, params: list[dict], slots: int):
+        self.params, self.slots = params, slots
+
+
+class _FilteredReader(_Reader):
+    """A reader whose requests follow the filters on a date and an id column.
+
+    Days count if both ends are known, by filters or by options; without them the service sees no dates. Each span of days meets each list of ids in one request of
+    its own, so that a row comes once. A limit on items is a limit on what the options ask for, so that with one nothing is pushed.
+    """
+
+    def __init__(self, schema, options):
+        super().__init__(schema, options)
+        self.date_column, self.id_column = options.get("date_column"), options.get("id_column")
+        self.id_param = options.get("id_param", "transaction_ids")
+        self.first, self.last, self.ids = self.params.get("start_date"), self.params.get("end_date"), None
+
+    def pushFilters(self, filters):
+        day = lambda v: v.isoformat()[:10] if isinstance(v, datetime.date) else v if isinstance(v, str) and len(v) == 10 else None
+        for f in filters if self.most is None else ():
+            kind, value = type(f).__name__, getattr(f, "value", None)
+            column = ".".join(getattr(f, "attribute", ()))
+            if column == self.date_column and (d := day(value)) and kind in ("EqualTo", "EqualNullSafe", "GreaterThan", "GreaterThanOrEqual", "LessThan", "LessThanOrEqual"):
+                # Days after or before a day are asked for with it: the filter that stays takes it out again.
+                if not kind.startswith("Less"):
+                    self.first = max(self.first or d, d)
+                if not kind.startswith("Greater"):
+                    self.last = min(self.last or d, d)
+            elif column == self.id_column and kind in ("EqualTo", "EqualNullSafe", "In"):
+                values = {str(v) for v in (value if kind == "In" else (value,)) if v is not None}
+                self.ids = values if self.ids is None else self.ids & values
+        return list(filters)
+
+    def requests(self) -> list[dict]:
+        """The parameters of each scan."""
+        fixed = {k: v for k, v in self.params.items() if k not in ("start_date", "end_date")}
+        spans = [{"start_date": a, "end_date": b} for a, b in year_spans(self.first, self.last)] if self.first and self.last else [{k: v for k, v in self.params.items() if k not in fixed}]
+        lists = [{}] if self.ids is None else [{self.id_param: ",".join(part)} for part in id_batches(sorted(self.ids))]
+        return [fixed | span | ids for span in spans for ids in lists]
+
+    def partitions(self):
+        """One scan goes page by page to the readers; several go to them whole, so that planning asks for nothing."""
+        scans = self.requests()
+        if len(scans) == 1:
+            self.params = scans[0]
+            return super().partitions()
+        slots = max(1, min(self.readers, len(scans)))
+        return [Scans(scans[i::slots], slots) for i in range(slots)] if scans else [Page(0)]
+
+    def read(self, partition):
+        if not isinstance(partition, Scans):
+            yield from super().read(partition)
+            return
+        client = self._client(partition.slots)
+        for params in partition.params:
+            page, pages = 0, 1
+            while page < pages:
+                page += 1
+                body = client.get(self.path, params | {"page": page, "per_page": self.per_page})
+                got = body.get(self.key) or []
+                yield from (tuple(_cast(item.get(n), t) for n, t in self.columns) for item in got)
+                pages = int(body.get("metadata", {}).get("total_pages") or 0) if got else 0
+
+
+def year_spans(first: str, last: str, days: int = LONGEST_SPAN_DAYS) -> list[tuple[str, str]]:
+    """Closed spans of at most `days` days from end to end, one after the other, that make up first to last; none if last is before first."""
+    at, end, out = datetime.date.fromisoformat(first), datetime.date.fromisoformat(last), []
+    while at <= end:
+        to = min(end, at + datetime.timedelta(days=days))
+        out.append((at.isoformat(), to.isoformat()))
+        at = to + datetime.timedelta(days=1)
+    return out
+
+
 class LedgerPages(DataSource):
     @classmethod
     def name(cls):
@@ -259,7 +343,7 @@ class LedgerPages(DataSource):
         raise ValueError("a schema must be given")
 
     def reader(self, schema):
-        return _Reader(schema, self.options)
+        return (_FilteredReader if {"date_column", "id_column"} & set(self.options) else _Reader)(schema, self.options)
 
 
 def id_batches(ids: list[str], size: int = IDS_PER_REQUEST) -> list[list[str]]:
@@ -270,8 +354,6 @@ def id_batches(ids: list[str], size: int = IDS_PER_REQUEST) -> list[list[str]]:
 
 def range_params(start: str, end: str, ids: list[str] | None = None) -> dict:
     """The query of a scan by date, at most LONGEST_SPAN_DAYS long, and of at most IDS_PER_REQUEST link ids, sent decoded."""
-    import datetime
-
     if (datetime.date.fromisoformat(end) - datetime.date.fromisoformat(start)).days > LONGEST_SPAN_DAYS:
         raise ValueError("a scan spans at most a year")
     if ids and len(ids) > IDS_PER_REQUEST:

@@ -15,6 +15,70 @@ def pages(url, headers, base):
     return 200, {}, json.dumps({"transactions": DATA[(n - 1) * size : n * size], "metadata": {"total_pages": -(-len(DATA) // size)}}).encode()
 
 
+DATED = [{"id": f"t{i}", "date": f"{2020 + i % 5}-0{1 + i % 9}-11", "value": i} for i in range(120)]
+
+
+def dated(url, headers, base):
+    """A service that answers by dates and ids, refuses what it doesn't allow, and keeps a list of what it was asked."""
+    import datetime
+
+    q = dict(urllib.parse.parse_qsl(urllib.parse.urlsplit(url).query))
+    with open(q["asked"], "a") as f:
+        f.write(json.dumps(q) + "\n")
+    rows, ids = DATED, q.get("transaction_ids", "").split(",") if "transaction_ids" in q else None
+    if "start_date" in q:
+        if (datetime.date.fromisoformat(q["end_date"]) - datetime.date.fromisoformat(q["start_date"])).days > 366:
+            return 400, {}, b""
+        rows = [r for r in rows if q["start_date"] <= r["date"] <= q["end_date"]]
+    if ids is not None:
+        if len(ids) > 50:
+            return 400, {}, b""
+        rows = [r for r in rows if r["id"] in ids]
+    n, size = int(q["page"]), int(q["per_page"])
+    return 200, {}, json.dumps({"transactions": rows[(n - 1) * size : n * size], "metadata": {"total_pages": -(-len(rows) // size)}}).encode()
+
+
+def test_filters_become_requests(spark, tmp_path):
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(P.LedgerPages)
+    options = {"base": BASE, "path": "transactions", "key": "transactions", "per_page": 20, "transport": "tests.test_paged_api:dated", "date_column": "date", "id_column": "id", "param.asked": str(tmp_path / "asked")}
+    table = lambda **more: spark.read.format("ledger_pages").schema("id string, date date, value long").options(**options, **more).load()
+    asked_file = tmp_path / "asked"
+
+    def ask(where, **more):
+        asked_file.write_text("")
+        got = sorted(r.id for r in table(**more).where(where).collect())
+        asked = [json.loads(line) for line in asked_file.read_text().split("\n") if line]
+        return got, asked
+
+    want = lambda f: sorted(r["id"] for r in DATED if f(r))
+    try:
+        got, asked = ask("date >= '2021-03-01' and date <= '2021-06-30' and value > 10")
+        assert got == want(lambda r: "2021-03-01" <= r["date"] <= "2021-06-30" and r["value"] > 10)
+        assert {(q["start_date"], q["end_date"]) for q in asked} == {("2021-03-01", "2021-06-30")}
+        got, asked = ask("date > '2020-02-11' and date < '2023-07-11'")
+        assert got == want(lambda r: "2020-02-11" < r["date"] < "2023-07-11")
+        assert sorted({(q["start_date"], q["end_date"]) for q in asked}) == P.year_spans("2020-02-11", "2023-07-11") and len({q["start_date"] for q in asked}) == 4
+        some = [f"t{i}" for i in range(0, 120, 2)]
+        got, asked = ask(f"id in ({','.join(repr(x) for x in some)}) and date = '2022-03-11'")
+        assert got == want(lambda r: r["id"] in some and r["date"] == "2022-03-11")
+        assert sorted(len(q["transaction_ids"].split(",")) for q in asked if q["page"] == "1") == [10, 50] and {q["start_date"] for q in asked} == {"2022-03-11"}
+        got, asked = ask("date >= '2021-03-01'")  # one end only: nothing the service could be asked for
+        assert got == want(lambda r: r["date"] >= "2021-03-01") and not any("start_date" in q for q in asked)
+        got, asked = ask("date >= '2021-03-01'", **{"param.start_date": "2021-01-01", "param.end_date": "2021-12-31"})
+        assert got == want(lambda r: "2021-03-01" <= r["date"] <= "2021-12-31") and {(q["start_date"], q["end_date"]) for q in asked} == {("2021-03-01", "2021-12-31")}
+        assert ask("date > '2022-01-01' and date < '2021-01-01'") == ([], [])
+        assert len(table(max_items=25).where("value >= 0").collect()) == 25
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+
+
+def test_spans():
+    assert P.year_spans("2020-01-01", "2021-01-01") == [("2020-01-01", "2021-01-01")]
+    assert P.year_spans("2020-01-01", "2021-01-02") == [("2020-01-01", "2021-01-01"), ("2021-01-02", "2021-01-02")]
+    assert P.year_spans("2020-01-02", "2020-01-01") == []
+
+
 def test_source_reads_all_pages(spark):
     from ledgerloom.sources.snapshots import LINE_ITEM
 
