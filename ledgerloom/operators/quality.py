@@ -202,6 +202,52 @@ def _profile_level(df: DataFrame, leaves: list, date_field: str | None) -> DataF
     return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
+#: What a JSON value is, by the name that Spark gives the schema of a variant.
+KINDS = {"OBJECT": "object", "ARRAY": "array", "STRING": "string", "VOID": "null", "BOOLEAN": "boolean"}
+
+
+def json_depth(text: Column) -> Column:
+    """How many objects and arrays lie within each other at most, by the brackets outside of texts."""
+    brackets = F.regexp_replace(text, r'"(?:[^"\\\\]|\\\\.)*+"|[^\[\]{}]', "")
+    step = lambda acc, c: F.struct((acc["now"] + F.when(c.isin("{", "["), 1).otherwise(-1)).alias("now"), F.greatest(acc["most"], acc["now"] + F.when(c.isin("{", "["), 1).otherwise(0)).alias("most"))
+    return F.when(F.length(brackets) > 0, F.aggregate(F.split(brackets, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda a: a["most"])).otherwise(0)
+
+
+def profile_json(df: DataFrame, text: str, date_field: str | None = None) -> DataFrame:
+    """By field of JSON texts without a known schema: types (its kinds, joined by |), present, non_empty, how many texts hold an e-mail, a phone number
+    or 7 digits, and for date_field the first and last date.
+
+    Texts are parsed into variants and entered level by level, as deep as the deepest one; objects' fields follow after a dot, elements after []. A field
+    may be another kind in any row. null, "", [] and {} are empty. Null texts and texts that are no JSON have no fields.
+    """
+    known = df.select(F.col(text).cast("string").alias("_json")).where("_json is not null")
+    level = known.select(F.lit("").alias("field"), F.try_parse_json("_json").alias("value")).where("value is not null")
+    depth = known.agg(F.max(json_depth(F.col("_json")))).first()[0] or 0
+    spark, out = df.sparkSession, None
+    for _ in range(depth):
+        level = spark.sql("SELECT field, e.key AS key, e.value AS inner FROM {level}, LATERAL variant_explode(whole) AS e", level=level.withColumnRenamed("value", "whole"))
+        key = F.col("key")
+        level = level.select(F.when(key.isNull(), F.concat("field", F.lit("[]"))).when(F.col("field") == "", key).otherwise(F.concat("field", F.lit("."), key)).alias("field"), F.col("inner").alias("value"))
+        found = level.select("field", *_judged(F.col("value"), F.col("field") == date_field if date_field else F.lit(False)))
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        out = level.where(F.lit(False)).select("field", *_judged(F.col("value"), F.lit(False)))
+    types = F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("types")
+    flags = [F.count_if(c).alias(c) for c in ("non_empty", "email", "phone", "digits")]
+    return out.groupBy("field").agg(types, F.count("*").alias("present"), *flags, F.min("day").alias("first"), F.max("day").alias("last"))
+
+
+def _judged(value: Column, dated: Column) -> list[Column]:
+    """kind, non_empty, email, phone, digits and day of a variant."""
+    name = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    kinds = F.create_map(*(F.lit(x) for kv in KINDS.items() for x in kv))
+    kind = F.when(F.is_variant_null(value), "null").otherwise(F.coalesce(F.try_element_at(kinds, name), F.lit("number")))
+    text = F.when(kind == "string", F.try_variant_get(value, "$", "string"))
+    empty = (kind == "null") | (F.to_json(value).isin('""', "[]", "{}"))
+    hits = [F.coalesce(text.rlike("(?U)" + r), F.lit(False)).alias(n) for n, r in (("email", EMAIL), ("phone", PHONE_LOOSE), ("digits", LONG_DIGITS))]
+    return [kind.alias("kind"), (~empty).alias("non_empty"), *hits, F.when(dated, F.substring(text, 1, 10)).alias("day")]
+
+
 def summary_text(profiled: DataFrame) -> str:
     """A profile, one line a field, as text; it holds counts and dates only."""
     return "\n".join(f"{r.field}: {r.type}, {r.non_empty}/{r.present}" + (f", {r['first']} to {r['last']}" if r["first"] else "") for r in profiled.orderBy("field").collect())

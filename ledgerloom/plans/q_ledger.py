@@ -66,21 +66,30 @@ def term_interval(spark, d):
     return L.with_term(tx(spark, d), terms(spark)).select("transaction_id", F.col("date").cast("string").alias("date"), "fiscal_year", "tax_method")
 
 
+#: Each year's terms run from its first order to its last one.
+ORDER_TERMS_SQL = "terms AS (SELECT year(o_orderdate) AS fiscal_year, min(o_orderdate)::DATE AS start_date, max(o_orderdate)::DATE AS end_date FROM orders GROUP BY 1)"
+
+
+def order_terms(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
+    return o.groupBy(F.year("day").cast("long").alias("fiscal_year")).agg(F.min("day").alias("start_date"), F.max("day").alias("end_date"))
+
+
 @query("q_date_split", f"""
-WITH {TERMS_SQL}
+WITH {ORDER_TERMS_SQL}
 SELECT fiscal_year, s::DATE::VARCHAR AS window_start, least(s::DATE + 99, end_date)::DATE::VARCHAR AS window_end
 FROM (SELECT *, unnest(generate_series(start_date::TIMESTAMP, end_date::TIMESTAMP, INTERVAL 100 DAY)) AS s FROM terms)""")
 def date_split(spark, d):
-    return L.date_windows(terms(spark), 99).select("fiscal_year", F.col("window_start").cast("string"), F.col("window_end").cast("string"))
+    return L.date_windows(order_terms(spark, d), 99).select("fiscal_year", F.col("window_start").cast("string"), F.col("window_end").cast("string"))
 
 
 @query("q_period_clip", f"""
-WITH {TERMS_SQL}
+WITH {ORDER_TERMS_SQL}
 SELECT fiscal_year, greatest(start_date, DATE '1996-03-01')::VARCHAR AS start_date, least(end_date, DATE '1999-12-31')::VARCHAR AS end_date
 FROM terms WHERE end_date >= DATE '1996-03-01' AND start_date <= DATE '1999-12-31'""")
 def period_clip(spark, d):
-    out = L.clip_periods(terms(spark).union(terms(spark)), "1996-03-01", "1999-12-31")
-    return out.select("fiscal_year", F.col("start_date").cast("string"), F.col("end_date").cast("string"))
+    t = order_terms(spark, d)
+    return L.clip_periods(t.union(t), "1996-03-01", "1999-12-31").select("fiscal_year", F.col("start_date").cast("string"), F.col("end_date").cast("string"))
 
 
 @query("q_tx_enriched", f"""

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import AMOUNT_BANDS, AMOUNT_NONE, AMOUNT_TOP, amount_band, confidence_band, estimate_tokens, rate, reason_categories, sanitize
+from ..operators import history as H
 from ..operators import routing as R
 from ..operators import similarity as S
+from ..operators import year_close as Y
 from .adapters import OBS_SQL, obs, table
-from .q_similarity import STAGED_SQL, staged
+from .q_similarity import STAGED_SQL, STATIC_SQL, staged, varied
 
 Q, SQL = {}, {}
 
@@ -56,6 +58,19 @@ def classify_layers(spark, d):
     return R.classify(staged(spark, d)).select("id", F.coalesce("high_confidence", F.lit(False)).alias("high_confidence"), F.coalesce("model_target", F.lit(False)).alias("model_target"), "layer")
 
 
+#: Accounts of one family count as one on both sides.
+LINEAGE_SQL = "CASE WHEN account IN (1, 2) THEN 'lineage:shop' ELSE account::VARCHAR END AS account"
+
+
+@query("q_close_layers", f"""{STATIC_SQL.replace('h AS (SELECT * FROM', f'h AS (SELECT * REPLACE ({LINEAGE_SQL}) FROM').replace('t AS (SELECT * FROM', f't AS (SELECT * REPLACE ({LINEAGE_SQL}) FROM')}, preds AS (SELECT * FROM s), {LAYER_SQL}
+SELECT id, layer, account_seen, CASE WHEN high AND coalesce(account_seen, false) THEN '{Y.RULE}' WHEN high THEN '{Y.HUMAN}' WHEN layer IN ({", ".join(repr(x) for x in R.MODEL_LAYERS)}) THEN 'model' ELSE '{Y.HUMAN}' END AS routing FROM classified""")
+def close_layers(spark, d):
+    """A year's rows against everything before it, as its close sees them."""
+    o = varied(spark, d)
+    o = o.withColumn("account", Y.lineage(F.col("account"), F.when(F.col("account").isin(1, 2), "service"), {"shop": "service"}))
+    return Y.classify_targets(H.in_years(o, 0, 2003), H.target_rows(o, 2004), ascii_only=True).select("id", "layer", "account_seen", "routing")
+
+
 ITEMS_SQL = f"""{LAYER_SQL}, {FEATURES_SQL.format(obs='keyed')},
 items AS (
   SELECT c.*, account_seen, CASE WHEN id % 17 = 0 THEN NULL WHEN id % 10 < 8 THEN label ELSE 'other' END AS model_label, (id * 7919 % 1000) / 1000.0 AS conf,

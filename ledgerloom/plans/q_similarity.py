@@ -172,12 +172,14 @@ def normalize_nfkc(spark, d):
 
 STATIC_SQL = f"""WITH {VARIED_SQL}, h AS (SELECT * FROM keyed WHERE fy < 2004), t AS (SELECT * FROM keyed WHERE fy = 2004),
 ru AS (SELECT raw, label, count(*) AS n, max((day, id)) AS last FROM h GROUP BY ALL), ku AS (SELECT key, label, count(*) AS n, max((day, id)) AS last FROM h GROUP BY ALL),
-rm AS (SELECT raw, arg_max(label, (n, last)) AS mode, CAST(sum(n) AS BIGINT) AS hist_n, max(n) AS mode_n FROM ru GROUP BY raw), km AS (SELECT key, arg_max(label, (n, last)) AS mode, CAST(sum(n) AS BIGINT) AS hist_n, max(n) AS mode_n FROM ku GROUP BY key),
+rm AS (SELECT raw, arg_max(label, (n, last)) AS mode, CAST(sum(n) AS BIGINT) AS hist_n, max(n) AS mode_n, max(last)[1] AS last_day FROM ru GROUP BY raw), km AS (SELECT key, arg_max(label, (n, last)) AS mode, CAST(sum(n) AS BIGINT) AS hist_n, max(n) AS mode_n, max(last)[1] AS last_day FROM ku GROUP BY key),
 seen AS (SELECT key, min((day, id)) AS seen FROM h GROUP BY key), open_ AS (SELECT DISTINCT key FROM t WHERE key NOT IN (SELECT key FROM seen)),
 near AS (SELECT a.key AS a, b.key AS b, {ratio_sql('a.key', 'b.key')} AS score, seen FROM open_ a JOIN seen b ON true QUALIFY row_number() OVER (PARTITION BY a.key ORDER BY score DESC, seen) = 1),
 s AS (SELECT t.*, CASE WHEN rm.raw IS NOT NULL THEN 'raw_exact' WHEN km.key IS NOT NULL THEN 'norm_exact' WHEN near.a IS NOT NULL THEN 'fuzzy' ELSE 'none' END AS stage,
   CASE WHEN rm.raw IS NOT NULL THEN rm.mode WHEN km.key IS NOT NULL THEN km.mode ELSE f.mode END AS pred, CASE WHEN km.key IS NOT NULL THEN 100.0::DOUBLE ELSE near.score END AS score,
   CASE WHEN rm.raw IS NOT NULL THEN rm.hist_n WHEN km.key IS NOT NULL THEN km.hist_n ELSE f.hist_n END AS hist_n,
+  round(CASE WHEN rm.raw IS NOT NULL THEN rm.mode_n / rm.hist_n WHEN km.key IS NOT NULL THEN km.mode_n / km.hist_n ELSE f.mode_n / f.hist_n END, 4) AS agreement,
+  date_diff('day', CASE WHEN rm.raw IS NOT NULL THEN rm.last_day WHEN km.key IS NOT NULL THEN km.last_day ELSE f.last_day END, t.day) AS days_since_last,
   CASE WHEN rm.raw IS NOT NULL THEN EXISTS (SELECT 1 FROM h WHERE h.raw = t.raw AND h.account = t.account) WHEN km.key IS NOT NULL THEN EXISTS (SELECT 1 FROM h WHERE h.key = t.key AND h.account = t.account) END AS account_seen
   FROM t LEFT JOIN rm ON rm.raw = t.raw LEFT JOIN km ON km.key = t.key LEFT JOIN near ON near.a = t.key LEFT JOIN km f ON f.key = near.b)"""
 

@@ -406,11 +406,25 @@ def quality_counts(spark, d):
     return U.year_counts(j, "entered_by", "entered_by").unionByName(U.year_counts(t, "side", "side"))
 
 
-@query("q_nested_profile", f"""WITH {NESTED_SQL}, s AS (SELECT * FROM b) SELECT 'transaction_date' AS field, (SELECT count(*) FROM j) AS present, (SELECT count(*) FROM j) AS non_empty, (SELECT min(CASE WHEN journal_id % 55 = 0 THEN 'none' ELSE date::VARCHAR END) FROM j) AS first, (SELECT max(CASE WHEN journal_id % 55 = 0 THEN 'none' ELSE date::VARCHAR END) FROM j) AS last
-UNION ALL SELECT 'branches', (SELECT count(*) FROM j), (SELECT count(*) FROM j), NULL, NULL UNION ALL SELECT 'branches[].remark', count(*), count(*) FILTER (part % 3 <> 0), NULL, NULL FROM s UNION ALL SELECT 'branches[].debitor.value', count(*), count(*) FILTER (NOT no_d), NULL, NULL FROM s""")
+#: The nested journals as JSON text whose types differ from row to row: numbers that are texts, a null, an object or a list in another's place.
+RAW_SQL = f"""WITH {LINES_SQL}, e AS (SELECT journal_id, branch_index, journal_id % 11 = 0 AS texts, part, value, debit_sub, date FROM lines),
+raw AS (SELECT journal_id, to_json({{'id': journal_id, 'date': min(date)::VARCHAR, 'note': CASE journal_id % 4 WHEN 0 THEN '""' WHEN 1 THEN 'null' WHEN 2 THEN '"a' || journal_id || '@b.jp 090-1111-2222"' ELSE '{{"text": "1234567", "tags": []}}' END::JSON,
+  'branches': list({{'value': CASE WHEN texts THEN to_json(value::VARCHAR) ELSE to_json(value) END, 'debitor': CASE WHEN part % 50 = 0 THEN 'null'::JSON ELSE to_json({{'sub_account_id': debit_sub::VARCHAR}}) END}} ORDER BY branch_index)}})::JSON AS json FROM e GROUP BY journal_id),
+tree AS (SELECT trim(regexp_replace(regexp_replace(fullkey, '\\[\\d+\\]', '[]', 'g'), '^\\$\\.?', '')) AS field, type, atom, value, atom ->> '$' AS text FROM raw, json_tree(raw.json))"""
+
+
+@query("q_nested_profile", f"""{RAW_SQL}, k AS (SELECT field, CASE type WHEN 'VARCHAR' THEN 'string' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN 'null' WHEN 'BOOLEAN' THEN 'boolean' ELSE 'number' END AS kind, value::VARCHAR AS value, CASE WHEN type = 'VARCHAR' THEN text END AS text FROM tree WHERE field <> '')
+SELECT field, string_agg(DISTINCT kind, '|' ORDER BY kind) AS types, count(*) AS present, count(*) FILTER (kind <> 'null' AND value NOT IN ('""', '[]', '{{}}')) AS non_empty, count(*) FILTER (regexp_matches(text, '{X.EMAIL}')) AS email, count(*) FILTER (regexp_matches(text, '{X.PHONE_LOOSE}')) AS phone, count(*) FILTER (regexp_matches(text, '{X.LONG_DIGITS}')) AS digits,
+  min(CASE WHEN field = 'date' THEN substr(text, 1, 10) END) AS first, max(CASE WHEN field = 'date' THEN substr(text, 1, 10) END) AS last FROM k GROUP BY field""")
 def nested_profile(spark, d):
-    p = U.profile(nested(spark, d).select("transaction_date", "branches"), "transaction_date")
-    return p.where(F.col("field").isin("transaction_date", "branches", "branches[].remark", "branches[].debitor.value")).select("field", "present", "non_empty", "first", "last")
+    i, l = F.col("journal_id"), lines(spark, d)
+    raw_value = F.when(i % 11 == 0, F.concat(F.lit('"'), F.col("value").cast("string"), F.lit('"'))).otherwise(F.col("value").cast("string"))
+    debitor = F.when(F.col("part") % 50 == 0, "null").otherwise(F.concat(F.lit('{"sub_account_id": "'), F.col("debit_sub").cast("string"), F.lit('"}')))
+    b = F.struct("branch_index", F.concat(F.lit('{"value": '), raw_value, F.lit(', "debitor": '), debitor, F.lit("}")).alias("b"))
+    j = l.groupBy(i).agg(F.array_join(F.transform(F.array_sort(F.collect_list(b)), lambda x: x["b"]), ", ").alias("branches"), F.min("date").cast("string").alias("date"))
+    note = F.when(i % 4 == 0, '""').when(i % 4 == 1, "null").when(i % 4 == 2, F.concat(F.lit('"a'), i.cast("string"), F.lit('@b.jp 090-1111-2222"'))).otherwise('{"text": "1234567", "tags": []}')
+    raw = j.select(F.concat(F.lit('{"id": '), i.cast("string"), F.lit(', "date": "'), "date", F.lit('", "note": '), note, F.lit(', "branches": ['), "branches", F.lit("]}")).alias("json"))
+    return U.profile_json(raw, "json", "date")
 
 
 # Answers, payloads and reports.
@@ -455,17 +469,16 @@ def budget(spark, d):
 
 
 @query("q_year_features", f"""WITH {OBS_SQL}, y AS (SELECT t.id, h.fy, h.label, count(*) AS n, min((h.day, h.id)) AS first FROM obs t JOIN obs h ON h.content = t.content AND h.day < t.day GROUP BY ALL),
-top AS (SELECT id, fy, arg_min(label, (-n, first)) AS label FROM y GROUP BY ALL) SELECT id, count(*) AS hist_fy_count, count(DISTINCT label) > 1 AS fy_label_change FROM top GROUP BY id""")
+top AS (SELECT id, fy, arg_min(label, (-n, first)) AS label FROM y GROUP BY ALL) SELECT obs.id, CASE WHEN count(top.id) > 0 THEN count(top.id) END AS hist_fy_count, CASE WHEN count(top.id) > 0 THEN count(DISTINCT top.label) > 1 END AS fy_label_change FROM obs LEFT JOIN top ON top.id = obs.id GROUP BY obs.id""")
 def year_features(spark, d):
     o = obs(spark, d)
-    f = R.history_features(o).where("hist_n > 0")
-    return f.select("id", "hist_fy_count", "fy_label_change")
+    return R.history_features(o).select("id", "hist_fy_count", "fy_label_change")
 
 
-@query("q_side_seen", f"""WITH {OBS_SQL}, s AS (SELECT *, CASE WHEN value % 3 = 0 THEN 'INCOME' ELSE 'EXPENSE' END AS side FROM obs) SELECT t.id, bool_or(h.side = t.side) AS side_seen FROM s t JOIN s h ON h.content = t.content AND h.day < t.day GROUP BY t.id""")
+@query("q_side_seen", f"""WITH {OBS_SQL}, s AS (SELECT *, CASE WHEN value % 3 = 0 THEN 'INCOME' ELSE 'EXPENSE' END AS side FROM obs) SELECT t.id, bool_or(h.side = t.side) AS side_seen FROM s t LEFT JOIN s h ON h.content = t.content AND h.day < t.day GROUP BY t.id""")
 def side_seen(spark, d):
     o = obs(spark, d).withColumn("side", F.when(F.col("value") % 3 == 0, "INCOME").otherwise("EXPENSE"))
-    return R.history_features(o).where("hist_n > 0").select("id", "side_seen")
+    return R.history_features(o).select("id", "side_seen")
 
 
 @query("q_window_report", f"""WITH {OBS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY day DESC, id DESC) AS r, count(*) OVER (PARTITION BY content) AS total FROM obs WHERE fy < 2004), w(w) AS (VALUES (0), (10), (5), (3), (2)),
@@ -626,7 +639,11 @@ def label_report(spark, d):
     return P.label_report(l.select(F.col("label_account").alias("label"), "counter_count", F.col("has_negative_counter").alias("has_negative")))
 
 
-@query("q_closing_warnings", f"""WITH {JOURNALS_SQL}, t AS (SELECT transaction_id, amount // 1000000 AS amount, date, side, review_group % 4 AS account, funding, status, journal_status, act, account_id, transaction_id % 7 AS content FROM closing), hist AS (SELECT DISTINCT value // 1000000 AS amount, transaction_id % 7 AS content FROM tx WHERE transaction_id % 500 = 0),
+#: Line items before it are the earlier years, whose refunds come back.
+PAST_BEFORE = "1996-01-01"
+
+
+@query("q_closing_warnings", f"""WITH {JOURNALS_SQL}, t AS (SELECT transaction_id, amount // 1000000 AS amount, date, side, review_group % 4 AS account, funding, status, journal_status, act, account_id, transaction_id % 7 AS content FROM closing), hist AS (SELECT DISTINCT value // 1000000 AS amount, transaction_id % 7 AS content FROM tx WHERE date < DATE '{PAST_BEFORE}'),
 own AS (SELECT * FROM t WHERE transaction_id IN (SELECT transaction_id FROM branches WHERE debit = 'acct0' AND credit = 'bank')), rf AS (SELECT * FROM t WHERE side = 'INCOME' AND funding <> 'bank' AND (amount, content) IN (SELECT (amount, content) FROM hist)),
 c AS (SELECT 'a transfer is journaled from both accounts' AS "check", 'warning' AS level, (SELECT count(*) FROM own a WHERE EXISTS (SELECT 1 FROM own b WHERE a.amount = b.amount AND a.side <> b.side AND a.account <> b.account AND abs(date_diff('day', a.date, b.date)) <= 3)) AS count
 UNION ALL SELECT 'refunds of earlier years are left out', 'warning', count(*) FROM rf WHERE status = 'excluded' AND act <> 'exclude' UNION ALL SELECT 'refunds of earlier years are left out as told', 'info', count(*) FROM rf WHERE status = 'excluded' AND act = 'exclude'
@@ -636,7 +653,7 @@ def closing_warnings(spark, d):
     r = closing(spark, d).withColumns({"amount": F.expr("amount div 1000000"), "content": (F.col("transaction_id") % 7).cast("string"), "connected_account": F.col("review_group") % 4})
     j = final_branches(spark, d).withColumn("credit", F.when(F.col("credit") == "bank", "acct0").otherwise(F.col("credit")))
     j = j.where(~((F.col("debit") == "acct0") & (F.col("credit") == "acct0") & (F.col("funding") != "bank")))
-    hist = tx(spark, d).where("transaction_id % 500 = 0").select(F.expr("value div 1000000").alias("amount"), (F.col("transaction_id") % 7).cast("string").alias("content"))
+    hist = tx(spark, d).where(f"date < date'{PAST_BEFORE}'").select(F.expr("value div 1000000").alias("amount"), (F.col("transaction_id") % 7).cast("string").alias("content"))
     return Y.closing_warnings(r, j, hist, overrides(spark, d)[0].select("transaction_id", "action"), "acct0")
 
 

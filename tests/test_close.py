@@ -106,3 +106,14 @@ def test_internal_duplicates_over_all_branches(spark):
     want = {(k[0], k[1], len(v), min(v), max(v)) for k, v in groups.items() if len(v) > 1}
     got = {(r.date, r.remark, r.n, r["first"], r["last"]) for r in catalogue.QUERIES["q_internal_duplicates"](spark, d).collect()}
     assert got == want and any(len(journals[r[3]]) > 1 for r in got)
+
+
+def test_profile_of_json_without_a_schema(spark):
+    from ledgerloom.operators import quality as U
+
+    texts = ['{"a": {"b": [1, "x", {"c": null}]}, "d": "2024-05-06 a@b.jp"}', '{"a": 5, "d": "2023-01-02"}', '{"a": [], "d": {}, "e\\"[{": true}', "no json", None, "[[1.5], []]", '"}{"', "null"]
+    got = {r.field: tuple(r)[1:] for r in U.profile_json(spark.createDataFrame([(t,) for t in texts], "j string"), "j", "d").collect()}
+    assert got["a"] == ("array|number|object", 3, 2, 0, 0, 0, None, None) and got["a.b"][:3] == ("array", 1, 1) and got["a.b[]"][:3] == ("number|object|string", 3, 3)
+    assert got["a.b[].c"][:3] == ("null", 1, 0) and got["d"] == ("object|string", 3, 2, 1, 0, 0, "2023-01-02", "2024-05-06") and got['e"[{'][:3] == ("boolean", 1, 1)
+    assert got["[]"][:3] == ("array", 2, 1) and got["[][]"][:3] == ("number", 1, 1) and len(got) == 8
+    assert U.profile_json(spark.createDataFrame([], "j string"), "j").count() == 0
