@@ -114,43 +114,73 @@ def file_checks(spark: SparkSession, path: str) -> DataFrame:
     return K.report(K.check("columns in order", bad.where("header")), K.check("UTF-8 without mark, LF", bad.where("mark or cr")))
 
 
+def _totals(back: DataFrame, source: DataFrame) -> DataFrame:
+    """(check, count) of what sums over all lines tell: one pass over either side."""
+    amounts = lambda lines: [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("debit_amount", "credit_amount")]
+    flags = {"blank columns are blank": F.size("filled_blanks") > 0, "dates have slashes": ~F.col("written_date").rlike(r"^\d{4}/\d{2}/\d{2}$")}
+    one = back.agg(*amounts(back), *(F.count_if(c).alias(k) for k, c in flags.items()), F.lit(1).alias("side"))
+    both = one.unionByName(source.agg(*amounts(source), F.lit(-1).alias("side")), allowMissingColumns=True)
+    apart = {f"{c.removesuffix('_amount')}s as in the source": F.sum(F.col("side") * F.col(c)) != 0 for c in ("debit_amount", "credit_amount")}
+    uneven = {"debits equal credits": F.sum(F.when(F.col("side") == 1, F.col("debit_amount") - F.col("credit_amount"))) != 0}
+    n = both.agg(*(c.cast("long").alias(k) for k, c in (apart | uneven).items()), *(F.sum(f"`{k}`").alias(k) for k in flags))
+    return _long(n, [*apart, *uneven, *flags])
+
+
+def _long(counts: DataFrame, names: list[str]) -> DataFrame:
+    """One row of counts as rows (check, count)."""
+    return counts.select(F.explode(F.array(*(F.struct(F.lit(k).alias("check"), F.coalesce(F.col(f"`{k}`"), F.lit(0)).cast("long").alias("count")) for k in names))).alias("_c")).select("_c.*")
+
+
+def _by_journal(back: DataFrame, index: DataFrame) -> DataFrame:
+    """(check, count) of what each journal's own lines tell, against the journals that are expected: one pass over the lines."""
+    gap = (F.col("date") == "") | ((F.col("debit_amount") == 0) & (F.col("credit_amount") == 0)) | ((F.col("branch") == 1) & (F.trim("remark") == ""))
+    mine = back.groupBy("no").agg((F.sum("debit_amount") != F.sum("credit_amount")).alias("uneven"), F.max(gap).alias("gap"), F.lit(1).alias("there"))
+    expected = index.groupBy(F.col("no").alias("_no")).agg(F.count("*").alias("n"))
+    both = mine.join(expected, F.col("no").eqNullSafe(F.col("_no")), "full")
+    counts = {
+        "every journal is there": F.sum(F.abs(F.coalesce("there", F.lit(0)) - F.coalesce("n", F.lit(0)))), "debits equal credits": F.count_if("uneven"),
+        "date, amount and remark are there": F.count_if("gap"),
+    }
+    return _long(both.agg(*(c.alias(k) for k, c in counts.items())), [*counts])
+
+
+def _by_account(back: DataFrame, source: DataFrame, accounts: DataFrame, subs: DataFrame, tax: str) -> DataFrame:
+    """(check, count) of what the sides tell, by account and sub-account: one pass over the lines, and one over the source's."""
+    side = lambda s, sign: F.struct(F.col(f"{s}_account").alias("account"), F.col(f"{s}_sub").alias("sub"), F.col(f"{s}_tax").alias("tax"), F.col(f"{s}_tax_value").alias("tax_value"), F.col(f"{s}_amount").cast("long").alias("amount"), F.lit(sign).alias("sign"))
+    sides = back.select(F.explode(F.array(side("debit", 1), side("credit", -1))).alias("_s")).select("_s.*").where("account <> ''")
+    mine = sides.groupBy("account", F.coalesce("sub", F.lit("")).alias("sub")).agg(
+        F.sum(F.col("sign") * F.col("amount")).alias("a"), F.count_if((F.coalesce("tax", F.lit("")) != tax) | (F.col("tax_value") != 0)).alias("taxed"), F.count_if(F.col("amount") <= 0).alias("empty"), F.lit(True).alias("used"),
+    )
+    theirs = net_by(source, ["account", "sub"]).groupBy("account", F.coalesce("sub", F.lit("")).alias("sub")).agg(F.sum("net").alias("b"))
+    known = accounts.groupBy(F.col("name").alias("account")).agg(F.min("account_id").alias("account_id"))
+    named = subs.groupBy("account_id", F.col("name").alias("sub")).agg(F.count("*").alias("n"))
+    pairs = mine.join(theirs, ["account", "sub"], "full").fillna(0, ["a", "b"]).join(known, "account", "left").join(named, ["account_id", "sub"], "left")
+    wrong = F.col("used") & (F.col("account_id").isNull() | ((F.col("sub") != "") & (F.coalesce("n", F.lit(0)) != 1)))
+    by = pairs.groupBy("account").agg((F.sum("a") != F.sum("b")).alias("apart"), F.count_if(F.col("a") != F.col("b")).alias("subs_apart"), F.count_if(wrong).alias("wrong"), F.sum("taxed").alias("taxed"), F.sum("empty").alias("empty"))
+    counts = {
+        "accounts net as in the source": F.count_if("apart"), "sub-accounts net as in the source": F.sum("subs_apart"), "accounts exist, sub-accounts are unique": F.sum("wrong"),
+        "no tax": F.sum("taxed"), "no side without an amount": F.sum("empty"),
+    }
+    return _long(by.agg(*(c.alias(k) for k, c in counts.items())), [*counts])
+
+
 def import_checks(back: DataFrame, source: DataFrame, index: DataFrame, accounts: DataFrame, subs: DataFrame, tx: DataFrame, tax: str = NO_TAX) -> DataFrame:
     """Checks of lines read back (parse_rows) against the source's lines, one row each (check, level, result, count).
 
-    accounts: (account_id, name); subs: (sub_account_id, account_id, name); tx: (transaction_id, status, merged_into).
+    accounts: (account_id, name); subs: (sub_account_id, account_id, name); tx: (transaction_id, status, merged_into). The lines are read three times:
+    over all of them, by journal and by account; checks that share a grouping are conditional sums of one aggregate.
     """
-    def per(lines: DataFrame, key: str) -> DataFrame:
-        return lines.groupBy(key).agg(F.sum("debit_amount").alias("d"), F.sum("credit_amount").alias("c"))
-
-    def differ(*parts) -> DataFrame:
-        """A row if the parts, sums of columns of frames with their signs, don't add up to nothing."""
-        rows = reduce(DataFrame.union, (d.agg(F.coalesce(F.sum(c), F.lit(0)).alias("v")).select((F.lit(sign) * F.col("v")).cast("long").alias("no")) for d, c, sign in parts))
-        return rows.agg(F.sum("no").alias("no")).where("no <> 0")
-
-    side = lambda s: F.struct(F.col(f"{s}_account").alias("account"), F.col(f"{s}_sub").alias("sub"), F.col(f"{s}_tax").alias("tax"), F.col(f"{s}_tax_value").alias("tax_value"), F.col(f"{s}_amount").alias("amount"))
-    sides = back.select("no", F.explode(F.array(side("debit"), side("credit"))).alias("_s")).select("no", "_s.*").where("account <> ''")
-    known = accounts.groupBy(F.col("name").alias("account")).agg(F.min("account_id").alias("account_id"))
-    named = subs.groupBy("account_id", F.col("name").alias("sub")).agg(F.count("*").alias("n"))
-    used = sides.select("account", "sub").distinct().join(known, "account", "left").join(named, ["account_id", "sub"], "left")
-    first = back.where("branch = 1")
-    gaps = back.where((F.col("date") == "") | ((F.col("debit_amount") == 0) & (F.col("credit_amount") == 0))).select("no").union(first.where(F.trim("remark") == "").select("no")).distinct()
     ids = index.select("transaction_id").distinct()
     merged = tx.where("status = 'merged'")
-    journals_differ = back.select("no").distinct().exceptAll(index.select("no")).union(index.select("no").exceptAll(back.select("no").distinct()))
-    return K.report(
-        K.check("blank columns are blank", back.where(F.size("filled_blanks") > 0)),
-        K.check("dates have slashes", back.where(~F.col("written_date").rlike(r"^\d{4}/\d{2}/\d{2}$"))),
-        K.check("every journal is there", journals_differ.union(source.select("transaction_id").distinct().join(ids, "transaction_id", "left_anti").select(F.lit(0).cast("long").alias("no")))),
-        *(K.check(f"{s}s as in the source", differ((back, f"{s}_amount", 1), (source, f"{s}_amount", -1))) for s in ("debit", "credit")),
-        K.check("debits equal credits", per(back, "no").where("d <> c").select("no").union(differ((back, "debit_amount", 1), (back, "credit_amount", -1)))),
-        K.check("accounts net as in the source", net_differences(back, source, ["account"])), K.check("sub-accounts net as in the source", net_differences(back, source, ["account", "sub"])),
-        K.check("date, amount and remark are there", gaps),
-        K.check("accounts exist, sub-accounts are unique", used.where(F.col("account_id").isNull() | ((F.col("sub") != "") & (F.coalesce("n", F.lit(0)) != 1)))),
-        K.check("no tax", sides.where((F.coalesce("tax", F.lit("")) != tax) | (F.col("tax_value") != 0))), K.check("no side without an amount", sides.where("amount <= 0")),
-        K.check("one journal a line item", index.groupBy("transaction_id").agg(F.count("*").alias("n")).where("n > 1")),
-        K.check("excluded items are not there", tx.where("status = 'excluded'").join(ids, "transaction_id", "left_semi")),
-        K.check("merged items are not there, their targets are", merged.select("transaction_id").join(ids, "transaction_id", "left_semi").union(merged.select(F.col("merged_into").alias("transaction_id")).join(ids, "transaction_id", "left_anti"))),
-    )
+    others = {
+        "every journal is there": source.select("transaction_id").distinct().join(ids, "transaction_id", "left_anti"),
+        "one journal a line item": index.groupBy("transaction_id").agg(F.count("*").alias("n")).where("n > 1"),
+        "excluded items are not there": tx.where("status = 'excluded'").join(ids, "transaction_id", "left_semi"),
+        "merged items are not there, their targets are": merged.select("transaction_id").join(ids, "transaction_id", "left_semi").union(merged.select(F.col("merged_into").alias("transaction_id")).join(ids, "transaction_id", "left_anti")),
+    }
+    parts = [_totals(back, source), _by_journal(back, index), _by_account(back, source, accounts, subs, tax), *(bad.agg(F.count("*").alias("count")).select(F.lit(k).alias("check"), "count") for k, bad in others.items())]
+    n = reduce(DataFrame.unionByName, parts).groupBy("check").agg(F.sum("count").alias("count"))
+    return n.select("check", F.lit("error").alias("level"), F.when(F.col("count") == 0, "pass").otherwise("fail").alias("result"), "count")
 
 
 def expected_legs(lines: DataFrame, expected: DataFrame) -> DataFrame:

@@ -146,3 +146,12 @@ def test_the_schema_of_an_answer_is_what_is_read():
     assert shape["properties"]["primary_account_code"] == {"anyOf": [{"type": "string", "enum": ["A", "B"]}, {"type": "null"}]}
     assert [shape["properties"][n]["type"] for n in shape["required"][1:]] == ["number", "string", "boolean", "boolean"]
     assert O.answer_schema([], True)["properties"]["reason_category"] == {"type": "string", "enum": O.REASON_CATEGORIES}
+
+
+def test_import_checks_read_the_lines_three_times(spark, tmp_path):
+    l = lines(spark)
+    path = f"file://{tmp_path}/back"
+    I.parse_rows(I.import_rows(l).withColumn("position", F.monotonically_increasing_id())).write.parquet(path)
+    back = spark.read.parquet(path)
+    plan = I.import_checks(back, whole(l), I.journal_index(l), *masters(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("filled_blanks") and len([x for x in plan.split("\n") if "parquet" in x and "Relation" in x]) <= 3
