@@ -91,12 +91,12 @@ def normalize(c: Column, level: str = "n4", ascii_only: bool = False) -> Column:
     return n3 if level == "n3" else F.regexp_replace(n3, r"(?U)\d{6,}", "#")
 
 
-def merchant_key(c: Column, noise: tuple[str, ...] = ()) -> Column:
-    """n4 of the text without the given noise patterns."""
-    t = nfkc(c)
+def merchant_key(c: Column, noise: tuple[str, ...] = (), ascii_only: bool = False) -> Column:
+    """n4 of the text without the given noise patterns, which see it after NFKC."""
+    t = c if ascii_only else nfkc(c)
     for pattern in noise:
         t = F.regexp_replace(t, pattern, "")
-    return normalize(t, "n4")
+    return normalize(t, "n4", ascii_only)
 
 
 def is_truncated(c: Column, marker: str, ascii_only: bool = False) -> Column:

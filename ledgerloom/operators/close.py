@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import value_range
+from ..functions.text import is_truncated, merchant_key, value_range
 from .ordering import dense_numbers, numbered
 
 
@@ -23,6 +23,16 @@ def prefix_repair(keys: DataFrame, truncated: Column, least: int = 4) -> DataFra
     return k.select("key").join(hit.select("key", "full"), "key", "left").select("key", F.coalesce("full", "key").alias("merchant"))
 
 
+def with_merchants(rows: DataFrame, marker: str, noise: tuple[str, ...] = (), ascii_only: bool = False) -> DataFrame:
+    """rows (content, ...) with `merchant`: the key of their text without noise, or the one full key that a cut-off text's key begins.
+
+    marker tells a cut-off text. A null text has the empty key. Keys are repaired once each, not row by row.
+    """
+    keyed = rows.withColumn("_key", merchant_key(F.coalesce("content", F.lit("")), noise, ascii_only))
+    repaired = prefix_repair(keyed.select(F.col("_key").alias("key"), is_truncated(F.col("content"), marker, ascii_only).alias("_cut")), F.col("_cut"))
+    return keyed.join(repaired.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
+
+
 def review_groups(rows: DataFrame) -> DataFrame:
     """Groups of (routing, merchant, account) with sizes, ranges, totals, a representative, and rank in the review order.
 

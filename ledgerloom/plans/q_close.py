@@ -12,6 +12,7 @@ from ..operators import quality as U
 from ..operators import sets as S
 from ..operators import year_close as Y
 from .adapters import LINE_ORDER, LINES_SQL, OBS_SQL, TERMS_SQL, TX_SQL, lines, obs, table, terms, tx
+from .q_similarity import norm_sql
 
 Q, SQL = {}, {}
 
@@ -50,6 +51,20 @@ def prefix_merge(spark, d):
     return C.prefix_repair(keys, F.col("_cut"))
 
 
+#: Contents with a reference number at the end of some, and others cut off with a bracket.
+CUT_SQL = f"""{OBS_SQL.replace('obs AS (', 'plain AS (')}, cut_ AS (SELECT * REPLACE (CASE WHEN id % 5 = 1 THEN upper(content) || ' TOKYO no.' || id WHEN id % 7 = 3 THEN content || ' Tok(' WHEN id % 7 = 4 THEN substr(content, 1, 2) || ' (' ELSE content || ' Tokyo' END AS content) FROM plain)"""
+
+
+@query("q_merchant_keys", f"""WITH {CUT_SQL}, k AS (SELECT id, {norm_sql("regexp_replace(content, ' no[.][0-9]+$', '')")} AS key, content LIKE '%(' AS cut FROM cut_),
+kinds AS (SELECT key, bool_and(cut) AS cut FROM k GROUP BY key),
+hit AS (SELECT c.key, min(f.key) AS full_key FROM kinds c JOIN kinds f ON c.cut AND NOT f.cut AND len(c.key) >= 4 AND starts_with(f.key, c.key) GROUP BY c.key HAVING count(*) = 1)
+SELECT id, coalesce(full_key, key) AS merchant FROM k LEFT JOIN hit USING (key)""")
+def merchant_keys(spark, d):
+    i, c = F.col("id"), F.col("content")
+    cut = F.when(i % 5 == 1, F.concat(F.upper(c), F.lit(" TOKYO no."), i.cast("string"))).when(i % 7 == 3, F.concat(c, F.lit(" Tok("))).when(i % 7 == 4, F.concat(F.substring(c, 1, 2), F.lit(" ("))).otherwise(F.concat(c, F.lit(" Tokyo")))
+    return C.with_merchants(obs(spark, d).withColumn("content", cut), r"\($", (" no[.][0-9]+$",), ascii_only=True).select("id", "merchant")
+
+
 ROWS_SQL = f"""{OBS_SQL}, rows_ AS (SELECT id AS transaction_id, CASE WHEN complex THEN 'human' ELSE 'model' END AS routing, content AS merchant, label AS account, value AS amount, day AS date, (id * 7919 % 1000) / 1000.0 AS confidence FROM obs)"""
 
 
