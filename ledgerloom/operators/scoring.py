@@ -40,6 +40,17 @@ def payload(content: Column, side: Column, value: Column, date: Column, kind: Co
     return F.to_json(F.struct(candidates.alias("past_similar_transactions"), item.alias("transaction")), {"ignoreNullFields": "false"})
 
 
+def system_text(catalog: DataFrame, instructions: str) -> DataFrame:
+    """One row (text): the instructions and a line a code of the catalogue (code, name, group, category), in the order of codes.
+
+    A catalogue has some hundred rows; missing values are empty.
+    """
+    fields = ["code", "name", "group", "category"]
+    line = F.struct("code", F.concat_ws("\t", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in fields)).alias("line"))
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]), "\n")
+    return catalog.agg(F.concat(F.lit(instructions), lines).alias("text"))
+
+
 def prompt(body: Column, request: str) -> Column:
     """The request line and the payload."""
     return F.concat(F.lit(request + "\n"), body)

@@ -23,7 +23,7 @@ from .adapters import LINES_SQL, OBS_SQL, TERMS_SQL, TX_SQL, lines, obs, table,
 from .q_history import GRID_SQL
 from .q_ledger import CHAIN, LABEL_SQL, RESOLVED_SQL, linked, map_sql, resolved
 from .q_routing import ITEMS_SQL, items
-from .q_similarity import STAGED_SQL, norm_sql, staged, varied
+from .q_similarity import CANDIDATES_SQL, STAGED_SQL, norm_sql, staged, varied
 
 Q, SQL = {}, {}
 
@@ -453,6 +453,26 @@ def payloads(spark, d):
     return obs(spark, d).select("id", O.payload(F.concat("label", F.lit(" 12345678")), side, F.col("value"), F.col("day"), kind, cands).alias("payload"))
 
 
+CATALOGUE_SQL = "catalogue AS (SELECT p_brand AS code, min(p_name) AS name, min(p_type) AS grp, count(*)::VARCHAR AS category FROM part GROUP BY p_brand)"
+
+
+@query("q_prompts", f"""WITH {OBS_SQL}, {CATALOGUE_SQL}, system_ AS (SELECT 'Codes:' || chr(10) || string_agg(concat_ws(chr(9), code, name, grp, category), chr(10) ORDER BY code) AS text FROM catalogue)
+SELECT id, md5(text || chr(10) || 'Account?' || chr(10) || '{{"content":' || to_json(content)::VARCHAR || ',"value":' || value || '}}') AS prompt, length(text)::BIGINT AS system_length FROM obs CROSS JOIN system_""")
+def prompts(spark, d):
+    """The system text is one row of a bounded catalogue, the request one a line item."""
+    catalogue = table(spark, d, "part").groupBy(F.col("p_brand").alias("code")).agg(F.min("p_name").alias("name"), F.min("p_type").alias("group"), F.count("*").cast("string").alias("category"))
+    system = O.system_text(catalogue, "Codes:\n").scalar()
+    asked = obs(spark, d).select("id", O.prompt(F.to_json(F.struct("content", "value")), "Account?").alias("request")).withColumn("system", system)
+    return asked.select("id", F.md5(F.concat("system", F.lit("\n"), "request")).alias("prompt"), F.length("system").cast("long").alias("system_length"))
+
+
+@query("q_past_summary", f"""{CANDIDATES_SQL}, c AS (SELECT near.key, near.day, rank, match, CAST(round_even(score, 0) AS BIGINT) AS similarity, occurrences, labels FROM near JOIN tops ON tops.match = near.match AND tops.day = near.day),
+best AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY key, day ORDER BY similarity <> 100, rank) = 1)
+SELECT key, day::VARCHAR AS day, CASE WHEN similarity = 100 THEN occurrences ELSE 0 END AS n, CASE WHEN similarity = 100 THEN 'exact: ' || labels ELSE 'similar ' || similarity || ' ' || match || ': ' || labels END AS text FROM best""".replace("SELECT near.key, near.day, rank, match,", "SELECT near.key, near.day, rank, near.match,"))
+def past_summary(spark, d):
+    return Y.past_summary(M.candidates_before(varied(spark, d), ascii_only=True)).withColumn("day", F.col("day").cast("string"))
+
+
 @query("q_usage_cost", f"""WITH {OBS_SQL} SELECT CASE id % 2 WHEN 0 THEN 'm' ELSE 's' END AS model, round(sum(((id % 900) * p + (id % 50) * p * 1.25 + (id % 70) * c + (id % 30) * o) / 1e6), 6) AS cost FROM obs JOIN (VALUES (0, 2.0, 10.0, 0.2), (1, 1.0, 5.0, 0.1)) AS v(k, p, o, c) ON id % 2 = k GROUP BY 1""")
 def usage_cost(spark, d):
     i = F.col("id")
