@@ -254,16 +254,19 @@ def bank_resolved(spark, d):
     return resolved(spark, d)[0].select("transaction_id", "bank_method", "bank_account", "bank_sub")
 
 
-LABEL_SQL = """counters AS (
-  SELECT r.transaction_id, n.account, n.sub, CASE WHEN side = 'EXPENSE' THEN net ELSE -net END AS c FROM resolved r JOIN nets n USING (journal_id)
-  WHERE bank_account IS NOT NULL AND NOT (n.account = bank_account AND n.sub = bank_sub) AND net <> 0),
-labels AS (
-  SELECT transaction_id, count(*) AS n, bool_or(c < 0) AS neg,
-    list_aggregate(list_sort(list_distinct(list(CASE WHEN c < 0 THEN '-' ELSE '' END || account))), 'string_agg', '|') AS label_account,
-    list_aggregate(list_sort(list(CASE WHEN c < 0 THEN '-' ELSE '' END || account || '/' || coalesce(sub::VARCHAR, 'None'))), 'string_agg', '|') AS label_account_sub,
-    arg_min(account, (CASE WHEN c > 0 THEN 0 ELSE 1 END, -abs(c), account, sub)) AS primary_account,
-    arg_min(sub, (CASE WHEN c > 0 THEN 0 ELSE 1 END, -abs(c), account, sub)) AS primary_sub
-  FROM counters GROUP BY 1)"""
+#: Each step is computed once, from the counters on: a key and its place in the order of primaries, then plain aggregates over the line item.
+LABEL_SQL = """counters AS MATERIALIZED (
+  SELECT transaction_id, account, sub, c, CASE WHEN c < 0 THEN '-' ELSE '' END || account AS label, CASE WHEN c < 0 THEN '-' ELSE '' END || account || '/' || coalesce(sub::VARCHAR, 'None') AS full_label
+  FROM (SELECT r.transaction_id, n.account, n.sub, CASE WHEN r.side = 'EXPENSE' THEN n.net ELSE -n.net END AS c
+    FROM (SELECT transaction_id, journal_id, side, bank_account, bank_sub FROM resolved WHERE bank_account IS NOT NULL) r JOIN nets n ON n.journal_id = r.journal_id
+    WHERE n.net <> 0 AND (n.account <> r.bank_account OR n.sub <> r.bank_sub))),
+primaries AS MATERIALIZED (
+  SELECT transaction_id, account AS primary_account, sub AS primary_sub FROM counters
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY CASE WHEN c > 0 THEN 0 ELSE 1 END, -abs(c), account, sub) = 1),
+texts AS MATERIALIZED (
+  SELECT transaction_id, count(*) AS n, bool_or(c < 0) AS neg, string_agg(DISTINCT label, '|' ORDER BY label) AS label_account, string_agg(DISTINCT full_label, '|' ORDER BY full_label) AS label_account_sub
+  FROM counters GROUP BY transaction_id),
+labels AS MATERIALIZED (SELECT texts.*, primary_account, primary_sub FROM texts JOIN primaries USING (transaction_id))"""
 
 
 @query("q_counter_label", f"""{CHAIN}, {RESOLVED_SQL}, {LABEL_SQL}
