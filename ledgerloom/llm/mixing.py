@@ -23,8 +23,8 @@ WEIGHTS = (1, 2, 3)
 #: Newton steps; a source that has not stopped by then, within TOLERANCE of its target, is finished by bisection of its bracket.
 STEPS = 60
 TOLERANCE = 1e-7
-#: Passes that make up what rounding left; they end once no source comes closer.
-PASSES = 8
+#: Passes that make up what rounding left, of either kind; they end once no source comes closer.
+PASSES = 12
 #: Rows of one source and size that are ranked together, so many on average.
 RANKED = 2000
 
@@ -101,31 +101,78 @@ def _solve(histogram: DataFrame, sources: DataFrame, scratch: Scratch, most: int
 def _round(histogram: DataFrame, scratch: Scratch, most: int) -> DataFrame:
     """Adds copies, the whole number that the n documents of a (source, size) get together.
 
-    Rates are accumulated from the longest size down and rounded, so that errors of neighbouring sizes cancel; what a
-    source still lacks, or has too much, is then made up at the one size that fits it best, again and again, until no
-    source comes closer or PASSES are made. What remains is less than what any one more or fewer copy could mend.
+    Rates are accumulated from the longest size down and rounded, so that errors of neighbouring sizes cancel. What a source
+    still lacks, or has too much, is made up at the one size that fits it best, again and again; where no one size helps, at
+    the two sizes, each with a copy more or less, that come nearest to it. It ends when neither helps any source, or after PASSES.
     """
     wanted = F.col("n") * _rate(F.col("tilt"), F.col("size") / F.col("unit"), most)
     down = W.partitionBy("source_key").orderBy(F.desc("size"))
     h = histogram.withColumn("sum", F.floor(F.sum(wanted).over(down) + 0.5))
     h = h.withColumn("copies", F.col("sum") - F.coalesce(F.lag("sum").over(down), F.lit(0)))
     h = scratch.write(h.withColumn("copies", F.least(F.greatest("copies", F.lit(0)), F.col("n") * most).cast("long")).drop("sum"))
+    off, kinds = _off(h), [_one_size, _two_sizes]
     for _ in range(PASSES):
-        lacks = h.groupBy("source_key").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("lack"))
-        fit = h.where("size > 0").join(lacks, "source_key")
-        more = F.least(F.greatest(F.round(F.col("lack") / F.col("size")), -F.col("copies")), F.col("n") * most - F.col("copies")).cast("long")
-        fit = fit.where(more != 0).select("source_key", F.struct(F.abs(F.col("lack") - more * F.col("size")).alias("off"), F.col("size").alias("at"), more.alias("more")).alias("fit"), F.abs("lack").alias("was"))
-        best = scratch.write(fit.groupBy("source_key").agg(F.min("fit").alias("fit"), F.first("was").alias("was")).where("fit.off < was").select("source_key", "fit.at", "fit.more"))
-        if best.isEmpty():
+        if not off or not kinds:
             break
-        following = h.join(best, "source_key", "left")
-        following = following.withColumn("copies", F.col("copies") + F.when(F.col("size") == F.col("at"), F.col("more")).otherwise(0)).drop("at", "more")
-        following = scratch.write(following)
+        moves = kinds[0](h, most).select(F.col("source_key").alias("of"), F.explode("moves").alias("move"))
+        moves = moves.groupBy("of", F.col("move.at").alias("at")).agg(F.sum("move.more").alias("more"))
+        following = h.join(moves, (F.col("source_key") == F.col("of")) & (F.col("size") == F.col("at")), "left")
+        following = scratch.write(following.withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0))).drop("of", "at", "more"))
         scratch.drop(h)
-        h = following
+        h, before, off = following, off, _off(following)
+        if not off < before:
+            kinds = kinds[1:]
+        elif kinds[0] is _two_sizes:
+            kinds = [_one_size, _two_sizes]
     return h
 
 
+def _off(h: DataFrame) -> float:
+    """By how many words all sources together miss their targets."""
+    return h.groupBy("source_key").agg(F.abs(F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("off")).agg(F.sum("off")).first()[0] or 0.0
+
+
+def _lacking(h: DataFrame) -> DataFrame:
+    lacks = h.groupBy("source_key").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("lack"))
+    return h.where("size > 0").select("source_key", "size", "n", "copies").join(lacks.where("lack <> 0"), "source_key")
+
+
+def _one_size(h: DataFrame, most: int) -> DataFrame:
+    """(source_key, moves): for each source that comes closer by it, copies more or less of the one size that brings it closest."""
+    fit = _lacking(h)
+    more = F.least(F.greatest(F.round(F.col("lack") / F.col("size")), -F.col("copies")), F.col("n") * most - F.col("copies")).cast("long")
+    off = F.struct(F.abs(F.col("lack") - more * F.col("size")).alias("off"), F.col("size").alias("at"), more.alias("more"))
+    best = fit.where(more != 0).groupBy("source_key").agg(F.min(off).alias("best"), F.first(F.abs("lack")).alias("was")).where("best.off < was")
+    return best.select("source_key", F.array(F.struct("best.at", "best.more")).alias("moves"))
+
+
+def _two_sizes(h: DataFrame, most: int) -> DataFrame:
+    """(source_key, moves): for each source that comes closer by it, one copy more or less of each of two sizes that bring it closest.
+
+    With a copy more or less of the one size, the other one's wanted size is known; wanted sizes and the source's own meet in one line, where each
+    looks for its neighbours. A source has no more rows there than a few for each of its sizes.
+    """
+    fit = _lacking(h)
+    can = {1: F.col("copies") < F.col("n") * most, -1: F.col("copies") > 0}
+    have = fit.select("source_key", "lack", F.col("size").cast("double").alias("value"), *(F.when(c, F.col("size")).alias(f"have{k}") for k, c in can.items()))
+    pairs = [(a, b) for a in (1, -1) for b in (1, -1)]
+    ask = F.array_compact(F.array(*(F.when(can[a], F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), ((F.col("lack") - a * F.col("size")) * b).alias("value"))) for a, b in pairs)))
+    asked = fit.select("source_key", "lack", F.col("size").alias("at"), F.explode(ask).alias("ask")).select("source_key", "lack", "at", "ask.*")
+    line = have.unionByName(asked, allowMissingColumns=True)
+    by = W.partitionBy("source_key").orderBy("value", F.col("at").isNotNull())
+    near = {}
+    for k in can:
+        near[f"low{k}"] = F.last(f"have{k}", ignorenulls=True).over(by.rowsBetween(W.unboundedPreceding, 0))
+        near[f"high{k}"] = F.first(f"have{k}", ignorenulls=True).over(by.rowsBetween(0, W.unboundedFollowing))
+    found = line.withColumns(near).where("at is not null")
+    others = F.array(*(F.when(F.col("b") == k, F.col(f"{side}{k}")) for k in can for side in ("low", "high")))
+    found = found.withColumn("other", F.explode(F.array_compact(others))).where("other <> at")
+    off = F.struct(F.abs(F.col("lack") - F.col("a") * F.col("at") - F.col("b") * F.col("other")).alias("off"), "at", "other", "a", "b")
+    best = found.groupBy("source_key").agg(F.min(off).alias("best"), F.first(F.abs("lack")).alias("was")).where("best.off < was")
+    move = lambda at, more: F.struct(F.col(f"best.{at}").alias("at"), F.col(f"best.{more}").cast("long").alias("more"))
+    return best.select("source_key", F.array(move("at", "a"), move("other", "b")).alias("moves"))
+
+
 def _copies(rows: DataFrame, plan: DataFrame, widest: int, key: str, size: str, order: list[str], out: str) -> DataFrame:
     """rows with the column `out`: how many copies each row gets. plan: (source_key, size, n, copies).
 

@@ -151,8 +151,8 @@ def pack(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: st
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Documents are cut into full windows from their start; what is left of each is packed best-fit decreasing. Null text
-    counts as empty and still has its closing id. Pieces are dealt into groups by the hash of id, start and content, each
-    small enough for one task; rows that repeat are packed each. An empty table gives an empty one. vocabulary is a
+    counts as empty and still has its closing id. Pieces are dealt into groups by a hash of id, start, content and place, each
+    small enough for one task; rows that repeat, in any number, are packed each. An empty table gives an empty one. vocabulary is a
     byte-level BPE file, the installed default if None, and is read on the executors.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -160,7 +160,8 @@ def pack(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: st
     pieces = rows.mapInArrow(_pieces(vocabulary, window), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
     pieces = scratch.write(pieces)
     groups = max(1, math.ceil(pieces.count() / GROUP))
-    deal = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups))
+    # The place in the written table parts pieces that repeat, so that any number of copies spreads over the groups.
+    deal = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups))
     packed = pieces.withColumn("pack", deal).groupBy("pack").applyInPandas(
         _pack_group(groups, window), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, offset long, sequence_id long"
     )

@@ -269,3 +269,21 @@ def test_mix_against_brute_force(spark):
         lack = goal[s] - taken[s]
         if x and (sum(v) < 3 * len(v) if lack > 0 else sum(v) > 0):
             assert abs(lack) <= x / 2 + 1e-6
+
+
+def test_sources_come_within_a_few_words(spark):
+    """Where no one size helps, two sizes do: twelve long documents a source come within one in a hundred of a document."""
+    rnd = random.Random(12)
+    rows = [(10 * s + i, " ".join(["w"] * rnd.randint(80, 900)), f"s{s:02d}") for s in range(9) for i in range(12)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), Scratch(spark, "t"))
+    got = out.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max(F.col("taken") - 3 * F.col("size")).alias("over")).collect()
+    assert len(got) == 9 and all(abs(r.taken - r.target) <= 8 and r.over <= 0 for r in got)
+
+
+def test_a_row_repeated_past_a_group_spreads(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 50)
+    out = packing.pack(spark.range(400).select(F.lit(7).cast("long").alias("doc_id"), F.lit("the same words again").alias("text")).repartition(4), Scratch(spark, "t")).collect()
+    groups = {}
+    for r in out:
+        groups.setdefault(r.sequence_id % 8, []).append(r.length)
+    assert len(out) == 400 and len(groups) == 8 and max(map(len, groups.values())) < 120
