@@ -14,6 +14,56 @@ def _codes(texts: list[str]):
     return [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) for t in texts]
 
 
+def common_lengths(masks, columns, own: int):
+    """Lengths of the longest common subsequences of one text of `own` characters with many others at once.
+
+    masks: for each word of 64 places and each character the places of the text that hold it. columns: the others' characters, first ones first; one without
+    places stands for none. Carries go from word to word, so that texts may be of any length.
+    """
+    count = columns.shape[1]
+    rows = np.full((len(masks), count), np.uint64(0xFFFFFFFFFFFFFFFF))
+    for column in columns:
+        carry = np.zeros(count, dtype=np.uint64)
+        for w, mask in enumerate(masks):
+            row, here = rows[w], mask[column]
+            total = row + (row & here)
+            over = total < row
+            total += carry
+            carry = (over | (total < carry)).astype(np.uint64)
+            rows[w] = total | (row & ~here)
+    common = np.zeros(count, dtype=np.int64)
+    for w, row in enumerate(rows):
+        used = min(64, own - 64 * w)
+        if used > 0:
+            common += used - np.bitwise_count(row & np.uint64((1 << used) - 1)).astype(np.int64)
+    return common
+
+
+def partial_ratio(a: str, b: str) -> float:
+    """The best ratio of the shorter text with any stretch of the longer one of its length, or cut off at either end; of two as long, either way."""
+    if len(a) == len(b):
+        return max(_best_stretch(a, b), _best_stretch(b, a))
+    return _best_stretch(*sorted((a, b), key=len))
+
+
+def _best_stretch(short: str, long: str) -> float:
+    """All stretches in one pass."""
+    if not short:
+        return 0.0 if long else 100.0
+    n, (own, other) = len(short), _codes([short, long])
+    alphabet, ids = np.unique(own, return_inverse=True)
+    masks = np.zeros((-(-n // 64), len(alphabet) + 1), dtype=np.uint64)
+    for i, c in enumerate(ids.tolist()):
+        masks[i // 64, c] |= np.uint64(1 << (i % 64))
+    at = np.minimum(np.searchsorted(alphabet, other), len(alphabet) - 1)
+    known = np.where(alphabet[at] == other, at, len(alphabet))
+    padded = np.concatenate((np.full(n - 1, len(alphabet)), known, np.full(n - 1, len(alphabet))))
+    columns = np.lib.stride_tricks.sliding_window_view(padded, n).T
+    starts = np.arange(1 - n, len(long))
+    lengths = np.minimum(starts + n, len(long)) - np.maximum(starts, 0)
+    return float((200.0 * common_lengths(masks, columns, n) / (n + lengths)).max())
+
+
 class TextBlock:
     """A block of texts in an order of preference: of equal scores the earlier one is the better."""
 
@@ -60,22 +110,7 @@ class TextBlock:
         if not len(which):
             return np.zeros(0)
         chars = self.chars[which, : int(self.length[which].max())].T
-        rows = np.full((len(masks), len(which)), np.uint64(0xFFFFFFFFFFFFFFFF))
-        for column in chars:
-            carry = np.zeros(len(which), dtype=np.uint64)
-            for w in range(len(masks)):
-                row = rows[w]
-                hit = row & masks[w][column]
-                total = row + hit
-                over = total < row
-                total += carry
-                carry = (over | (total < carry)).astype(np.uint64)
-                rows[w] = total | (row & ~masks[w][column])
-        common = np.zeros(len(which), dtype=np.int64)
-        for w in range(len(masks)):
-            used = min(64, len(text) - 64 * w)
-            if used > 0:
-                common += used - np.bitwise_count(rows[w] & np.uint64((1 << used) - 1)).astype(np.int64)
+        common = common_lengths(masks, chars, len(text))
         return self._ratio(common, len(text), self.length[which])
 
     def nearest(self, text: str, k: int, prefixes):

@@ -242,15 +242,6 @@ def _ratio(a: str, b: str) -> float:
     return 100.0 if not a and not b else 200.0 * lcs_length(a, b) / (len(a) + len(b))
 
 
-def _partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter text with any stretch of the longer one of its length, or cut off at either end."""
-    short, long = sorted((a, b), key=len)
-    if not short:
-        return 0.0 if long else 100.0
-    n = len(short)
-    return max(_ratio(short, long[max(0, i) : i + n]) for i in range(1 - n, len(long)))
-
-
 def _token_ratio(a: str, b: str, of) -> float:
     """The best of sorted words, and of what is common to both sets of words with the rest of either."""
     x, y = set(a.split()), set(b.split())
@@ -269,11 +260,13 @@ def weighted_ratio(a: str, b: str) -> float:
     more) are compared in parts, at 0.9, or 0.6 if one is more than eight times as long."""
     if not a or not b:
         return 0.0
+    from .block_similarity import partial_ratio
+
     best, unlike = _ratio(a, b), max(len(a), len(b)) / min(len(a), len(b))
     if unlike < 1.5:
         return max(best, 0.95 * _token_ratio(a, b, _ratio))
     scale = 0.9 if unlike <= 8 else 0.6
-    return max(best, scale * _partial_ratio(a, b), 0.95 * scale * _token_ratio(a, b, _partial_ratio))
+    return max(best, scale * partial_ratio(a, b), 0.95 * scale * _token_ratio(a, b, partial_ratio))
 
 
 def _weighted_ratios(a: pd.Series, b: pd.Series) -> pd.Series:

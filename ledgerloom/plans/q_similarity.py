@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize, rate
+from ..functions.text import normalize, rate, weighted_ratio_arrow
 from ..operators import similarity as S
 from .adapters import OBS_SQL, obs, table
 
@@ -41,6 +41,22 @@ def indel(spark, d):
     return S.pair_scores(n, n.withColumnRenamed("a", "b"), floor=S.FUZZY_FLOOR).select("a", "b", F.round("score", 4).alias("score"))
 
 
+def _or_sql(a: str, b: str) -> str:
+    return f"CASE WHEN len({a}) + len({b}) = 0 THEN 100.0 WHEN len({a}) * len({b}) = 0 THEN 0.0 ELSE {ratio_sql(a, b)} END"
+
+
+#: Pairs of like lengths: whole texts, sorted words, and what both sets of words share with the rest of either.
+@query("q_weighted_ratio", f"""WITH {NAMES_SQL}, w AS (SELECT a, b, score, list_sort(string_split(a, ' ')) AS x, list_sort(string_split(b, ' ')) AS y FROM scores WHERE score >= {S.FUZZY_FLOOR} AND greatest(len(a), len(b)) < 1.5 * least(len(a), len(b))),
+s AS (SELECT a, b, score, array_to_string(x, ' ') AS sx, array_to_string(y, ' ') AS sy, array_to_string(list_filter(list_distinct(x), lambda v: list_contains(y, v)).list_sort(), ' ') AS both_,
+  array_to_string(list_filter(list_distinct(x), lambda v: NOT list_contains(y, v)).list_sort(), ' ') AS l, array_to_string(list_filter(list_distinct(y), lambda v: NOT list_contains(x, v)).list_sort(), ' ') AS r FROM w),
+j AS (SELECT *, both_ || ' ' || l AS one, both_ || ' ' || r AS other FROM s)
+SELECT a, b, round(greatest(score, 0.95 * greatest({_or_sql('sx', 'sy')}, CASE WHEN both_ = '' THEN 0.0 WHEN l = '' OR r = '' THEN 100.0 ELSE greatest({_or_sql('one', 'other')}, {_or_sql('both_', 'one')}, {_or_sql('both_', 'other')}) END)), 4) AS score FROM j""")
+def weighted(spark, d):
+    n = names(spark, d)
+    pairs = S.pair_scores(n, n.withColumnRenamed("a", "b"), floor=S.FUZZY_FLOOR).where("greatest(length(a), length(b)) < 1.5 * least(length(a), length(b))")
+    return pairs.select("a", "b", F.round(weighted_ratio_arrow(F.col("a"), F.col("b")), 4).alias("score"))
+
+
 @query("q_fuzzy_top3", f"WITH {NAMES_SQL} SELECT a, b, round(score, 4) AS score, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS rank FROM scores QUALIFY rank <= 3")
 def fuzzy_top3(spark, d):
     return S.top_similar(names(spark, d), names(spark, d).withColumnRenamed("a", "b")).select("a", "b", F.round("score", 4).alias("score"), "rank")

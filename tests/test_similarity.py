@@ -65,3 +65,16 @@ def test_nearest_before_across_blocks(spark, monkeypatch):
             want[a, day] = [(i + 1, b, -s) for i, (s, _, _, b) in enumerate(best)]
     assert {k: sorted(v) for k, v in got.items()} == want
     assert S.nearest(ask.limit(0), pool, 3).count() == 0 and S.nearest(ask, pool.limit(0), 3).count() == 0
+
+
+def test_partial_ratios_see_all_stretches_at_once():
+    from ledgerloom.functions.block_similarity import partial_ratio
+
+    rnd = random.Random(5)
+    for most in (4, 20, 150):
+        for _ in range(60):
+            a, b = ("".join(rnd.choice("abcé漢") for _ in range(rnd.randint(0, most))) for _ in "xy")
+            best = lambda s, t: (0.0 if t else 100.0) if not s else max(ratio(s, t[max(0, i) : i + len(s)]) for i in range(1 - len(s), len(t)))
+            want = max(best(a, b), best(b, a)) if len(a) == len(b) else best(*sorted((a, b), key=len))
+            assert partial_ratio(a, b) == want == partial_ratio(b, a)
+    assert partial_ratio("abcd", "xxabcdxx") == 100.0 and partial_ratio("abcd", "xxabxx") == 200 * 2 / 6
