@@ -50,6 +50,11 @@ SENTENCES = {
     "unlicense-use": ["anyone is free to copy modify publish use compile sell or distribute this software"],
     "public-domain": ["dedicated to the public domain", "released into the public domain", "placed in the public domain"],
     "all-rights": ["all rights reserved"],
+    "apache-title": ["apache license version 2 0 january 2004"],
+    "apache-definitions": ["license shall mean the terms and conditions for use reproduction and distribution as defined by sections 1 through 9 of this document"],
+    "gpl-2-title": ["gnu general public license version 2 june 1991"], "gpl-3-title": ["gnu general public license version 3 29 june 2007"],
+    "gpl-verbatim": ["everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"],
+    "gpl-preamble": ["the gnu general public license is a free copyleft license for software and other kinds of works", "the licenses for most software are designed to take away your freedom to share and change it"],
 }
 #: Names that a sentence may give a licence, normalised. "<verb> under [the terms of] [the] <name>", or its SPDX line, names it.
 NAMES = {
@@ -84,7 +89,23 @@ NAMES = {
     "WTFPL": ["wtfpl"],
     "Zlib": ["zlib license", "zlib"],
     "BSL-1.0": ["boost software license version 1 0", "boost software license", "bsl 1 0"],
+    "EUPL-1.2": ["eupl version 1 2", "eupl v 1 2", "eupl v1 2", "eupl 1 2", "european union public licence version 1 2", "european union public licence v 1 2"],
+    "Artistic-2.0": ["artistic license version 2 0", "artistic license 2 0", "artistic 2 0"],
+    "Artistic": ["artistic license"],
 }
+#: How a name goes on where any later version will do.
+LATER = ["or later", "or any later version", "or at your option any later version", "or newer"]
+for _kind, _names in (("GPL", ["gnu general public license", "gnu gpl", "gpl"]), ("LGPL", ["gnu lesser general public license", "lgpl"]), ("AGPL", ["gnu affero general public license", "agpl"])):
+    for _version in ("2.0", "2.1", "3.0"):
+        _short_version = _version.removesuffix(".0").replace(".", " ")
+        _forms = [f"{n} {v}" for n in _names for v in (f"version {_short_version}", f"v{_short_version}", _version.replace(".", " "), _short_version)] + [f"{_names[-1]}v{_short_version}"]
+        NAMES[f"{_kind}-{_version}-or-later"] = sorted({f"{f} {later}" for f in _forms for later in LATER} | set(NAMES.get(f"{_kind}-{_version}-or-later", [])))
+for _terms in ("by-nc-sa", "by-nc-nd", "by-nc", "by-sa", "by-nd", "by"):
+    SENTENCES[f"named-CC-{_terms.upper()}-4.0"] = [f"creativecommons org licenses {_terms.replace('-', ' ')} 4 0"]
+SENTENCES["named-CC0-1.0"] = ["creativecommons org publicdomain zero 1 0"]
+for _i, _ns in NAMES.items():  # a name belongs to one licence: the later version's forms are no forms of the version alone
+    if not _i.endswith("-or-later"):
+        NAMES[_i] = [n for n in _ns if not n.endswith("or later")]
 VERBS = ["licensed", "released", "available", "distributed", "published", "provided", "covered", "redistributed", "shared", "offered"]
 #: In order; the first rule that matches takes its run. An identifier with "?" may be missing; "|" stands between alternatives.
 RULES = [
@@ -92,6 +113,8 @@ RULES = [
     ("ISC", ["isc-grant", "mit-notice?", "isc-as-is", "isc-liability?"]), ("ISC", ["isc-grant"]),
     ("BSD-3-Clause", ["all-rights?", "bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is?", "bsd-liability?"]),
     ("BSD-2-Clause", ["all-rights?", "bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is?", "bsd-liability?"]),
+    ("Apache-2.0", ["apache-title", "apache-definitions?", "named-Apache-2.0?", "apache-comply?", "apache-copy?", "apache-as-is?", "apache-limits?"]),
+    ("GPL-3.0", ["gpl-3-title", "gpl-verbatim?", "gpl-preamble?"]), ("GPL-2.0", ["gpl-2-title", "gpl-verbatim?", "gpl-preamble?"]),
     ("Apache-2.0", ["named-Apache-2.0", "apache-comply?", "apache-copy?", "apache-as-is?", "apache-limits?"]),
     ("AGPL-3.0-or-later", ["agpl-free", "or-later-3", "gpl-hope?", "gpl-details?", "gpl-copy?"]), ("AGPL", ["agpl-free", "gpl-hope?", "gpl-details?", "gpl-copy?"]),
     ("LGPL-3.0-or-later", ["lgpl-free", "or-later-3", "gpl-hope?", "gpl-details?", "gpl-copy?"]), ("LGPL-2.1-or-later", ["lgpl-free", "or-later-2.1", "gpl-hope?", "gpl-details?", "gpl-copy?"]),
@@ -104,12 +127,14 @@ RULES = [
     ("LicenseRef-Proprietary", ["all-rights"]),
 ]
 #: Every known or unknown licence sentence holds one of these, so that other texts need no splitting.
-TRIGGERS = ["licens", "licenc", "permi", "warrant", "copyright", "redistribut", "reserved", "public domain", "liable", "gnu", "mpl was not", "anyone is free", "(?:" + "|".join(VERBS) + ") under"]
+TRIGGERS = ["licens", "licenc", "permi", "warrant", "copyright", "redistribut", "reserved", "public domain", "publicdomain", "liable", "gnu", "mpl was not", "anyone is free", "(?:" + "|".join(VERBS) + ") under"]
 #: And every trigger one of these, which are looked for first, as plain text.
 STEMS = ["licen", "permi", "warrant", "copyright", "redistribut", "reserved", "domain", "liable", "gnu", "mpl", "anyone", "under"]
 #: A sentence that holds one of these and nothing known is an unknown licence sentence.
 CLAIMS = ["(?:" + "|".join(VERBS) + ") under (?:the |a |an )?(?:terms of )?(?:[a-z0-9]+ ){1,6}licen[cs]e", "spdx license identifier", "this license (?:applies|covers|grants)", "permission is hereby granted", "license agreement"]
 UNKNOWN = "unknown"
+#: Before a claim they deny it: the sentence speaks of a licence, but gives none.
+DENIALS = "(?:not|never|no longer|neither)"
 
 _SPACE = r"[\x20\x09-\x0D]"
 _END = "\x1e"
@@ -119,9 +144,15 @@ _SHORT = r"(?:^|[^A-Za-z0-9])((?:[vV]|[vV]er|[iI]nc|[cC]o|[nN]o|[vV]ol|e\.g|i\.e
 _BREAK = rf"[.!?][\"')\]]*{_SPACE}+|\n{_SPACE}*\n"
 
 
+def _any_name() -> str:
+    return "|".join(sorted({n for ns in NAMES.values() for n in ns}, key=lambda s: (-len(s), s)))
+
+
 def _named() -> str:
-    names = "|".join(sorted({n for ns in NAMES.values() for n in ns}, key=lambda s: (-len(s), s)))
-    return rf"(?:(?:{'|'.join(VERBS)}) under (?:the terms of )?(?:the )?|spdx license identifier )({names})"
+    """A sentence's claim of one licence, or of several with "or" and "and" between them. A denial reads the same, with a word before."""
+    verbs, the = "|".join(VERBS), "(?:the terms of )?(?:the |a |an )?"
+    more = rf"(?: (?:or|and) (?:under )?{the}(?:{_any_name()}))*"
+    return rf"(?:{DENIALS} )?(?:(?:{verbs}) under {the}|spdx license identifier )(?:{_any_name()}){more}"
 
 
 def _pattern() -> str:
@@ -158,8 +189,9 @@ def sentences(text: Column) -> Column:
 def sentence_ids(text: Column) -> Column:
     """array<string>: identifiers of the licence sentences of a text, in order, repeats included."""
     known = F.create_map(*(F.lit(x) for p, i in _known().items() for x in (p, i)))
-    name = lambda s: F.regexp_extract(s, "^" + _named() + "$", 1)
-    ids = lambda s: F.transform(F.regexp_extract_all(s, F.lit(_pattern()), F.lit(0)), lambda p: F.coalesce(known[p], known[name(p)]))
+    names = lambda p: F.transform(F.regexp_extract_all(p, F.lit(rf"\b(?:{_any_name()})\b"), F.lit(0)), lambda n: known[n])
+    one = lambda p: F.when(p.rlike(f"^{DENIALS} "), F.array(F.lit(UNKNOWN))).when(known[p].isNotNull(), F.array(known[p])).otherwise(names(p))
+    ids = lambda s: F.flatten(F.transform(F.regexp_extract_all(s, F.lit(_pattern()), F.lit(0)), one))
     unknown = lambda s: F.when(s.rlike(_claims()), F.array(F.lit(UNKNOWN))).otherwise(F.array().cast("array<string>"))
     found = F.flatten(F.transform(sentences(text), lambda s: F.when(s.rlike(_pattern()), ids(s)).otherwise(unknown(s))))
     low = F.lower(text)
@@ -212,9 +244,10 @@ split AS (
     FROM docs WHERE regexp_matches(text, {quoted(_trigger())}))),
 clean AS (SELECT rid, i, trim(regexp_replace(translate(part, '{_UPPER}', '{_LOWER}'), '[^a-z0-9]+', ' ', 'g')) AS s FROM split),
 phrases AS (SELECT rid, i, unnest(p) AS p, unnest(range(len(p))) AS k FROM (SELECT rid, i, regexp_extract_all(s, {quoted(_pattern())}, 0) AS p FROM clean)),
-named AS (SELECT rid, i, k, CASE WHEN p IN (SELECT phrase FROM known) THEN p ELSE regexp_extract(p, {quoted('^' + _named() + '$')}, 1) END AS phrase FROM phrases),
+parted AS (SELECT rid, i, k, CASE WHEN regexp_matches(p, '^{DENIALS} ') THEN ['{UNKNOWN}'] WHEN p IN (SELECT phrase FROM known) THEN [p] ELSE regexp_extract_all(p, {quoted(rf"\b(?:{_any_name()})\b")}, 0) END AS ps FROM phrases),
+named AS (SELECT rid, i, k * 1000 + unnest(range(len(ps))) AS k, unnest(ps) AS phrase FROM parted),
 found AS (
-  SELECT rid, i, k, id FROM named JOIN known USING (phrase)
+  SELECT rid, i, k, CASE WHEN phrase = '{UNKNOWN}' THEN phrase ELSE id END AS id FROM named LEFT JOIN known USING (phrase)
   UNION ALL SELECT rid, i, 0, '{UNKNOWN}' FROM clean WHERE NOT regexp_matches(s, {quoted(_pattern())}) AND regexp_matches(s, {quoted(_claims())})),
 listed AS (SELECT rid, string_agg(id, ',' ORDER BY i, k) AS sentences, string_agg(',' || id || ',', '' ORDER BY i, k) AS rest, count(*) AS n, count(*) FILTER (id <> '{UNKNOWN}') AS known FROM found GROUP BY rid),
 steps AS (
