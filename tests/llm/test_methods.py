@@ -397,3 +397,24 @@ def test_part_boundaries(spark, monkeypatch):
     parts = anchors.spans(np.frombuffer(text.encode(), np.uint8).astype(np.uint64) + np.uint64(1), 60, 12)
     windows = lambda s: [(k, f) for k, _, a, b, _ in zip(*s, strict=True) for f in range(a, b)]
     assert windows(parts) == windows(spans)
+
+
+#: Written by hand from the licences' own words, not from the tables of the scan.
+BY_HAND = [
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0", "known"),
+    ("Released under the GNU General Public License v2 or any later version.", "GPL-2.0-or-later", "known"),
+    ("licensed under GPLv3 or later", "GPL-3.0-or-later", "known"), ("Licensed under the GNU GPL version 2", "GPL-2.0", "known"),
+    ("// SPDX-License-Identifier: Apache-2.0 OR MIT", "Apache-2.0,MIT", "known"), ("# SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1-or-later", "known"),
+    ("Licensed under the MIT license or the Apache License, Version 2.0, at your option.", "Apache-2.0,MIT", "known"),
+    ("This is not licensed under the MIT License.", "", "unknown"), ("It is no longer available under the Apache License.", "", "unknown"),
+    ('Apache License\nVersion 2.0, January 2004\n\n1. Definitions.\n\n"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document.', "Apache-2.0", "known"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nEveryone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.\n\nPreamble\n\nThe GNU General Public License is a free, copyleft license for software and other kinds of works.", "GPL-3.0", "known"),
+    ("See https://creativecommons.org/licenses/by-sa/4.0/ for it", "CC-BY-SA-4.0", "known"), ("https://creativecommons.org/publicdomain/zero/1.0/", "CC0-1.0", "known"),
+    ("Licensed under the EUPL, Version 1.2", "EUPL-1.2", "known"), ("Distributed under the Artistic License 2.0.", "Artistic-2.0", "known"),
+    ("Licensed under the Frobnicate Public License.", "", "unknown"), ("We permit you to go under the bridge.", "", "none"), ("Plain prose, no terms.", "", "none"), (None, "", "none"),
+]
+
+
+def test_licences_by_hand(spark):
+    got = license_scan.scan(spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(BY_HAND)], "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.licenses, r.status) for r in got} == {i: (names, status) for i, (_, names, status) in enumerate(BY_HAND)}
