@@ -46,11 +46,11 @@ def has_partner(branches: Column) -> Column:
 def bank_side_net(journals: DataFrame, tx: DataFrame) -> DataFrame:
     """(transaction_id, net): what all journals of a line item move on its bank side, null-safe in the sub-account.
 
-    journals: (transaction_id, branches); tx: (transaction_id, side, bank_sub). Spending counts credit less debit, income the other way.
+    Journals without any side move nothing: a line item that has no others gets no row. journals: (transaction_id, branches); tx: (transaction_id, side, bank_sub). Spending counts credit less debit, income the other way.
     """
     b = journals.where("transaction_id is not null").select("transaction_id", F.explode("branches").alias("b"))
-    side = lambda s, sign: F.struct(F.col(f"b.{s}.sub_account_id").alias("sub"), (F.lit(sign) * F.coalesce(F.col(f"b.{s}.value"), F.lit(0))).alias("v"))
-    legs = b.select("transaction_id", F.explode(F.array(side("debitor", 1), side("creditor", -1))).alias("l")).groupBy("transaction_id", "l.sub").agg(F.sum("l.v").alias("v"))
+    side = lambda s, sign: F.when(F.col(f"b.{s}").isNotNull(), F.struct(F.col(f"b.{s}.sub_account_id").alias("sub"), (F.lit(sign) * F.coalesce(F.col(f"b.{s}.value"), F.lit(0))).alias("v")))
+    legs = b.select("transaction_id", F.explode(F.array_compact(F.array(side("debitor", 1), side("creditor", -1)))).alias("l")).groupBy("transaction_id", "l.sub").agg(F.sum("l.v").alias("v"))
     t = tx.select("transaction_id", "side", "bank_sub").join(legs, "transaction_id")
     signed = F.when(F.col("side") == "EXPENSE", -F.col("v")).otherwise(F.col("v"))
     return t.groupBy("transaction_id").agg(F.sum(F.when(F.col("sub").eqNullSafe(F.col("bank_sub")), signed).otherwise(0)).alias("net"))
