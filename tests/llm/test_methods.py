@@ -418,3 +418,25 @@ BY_HAND = [
 def test_licences_by_hand(spark):
     got = license_scan.scan(spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(BY_HAND)], "doc_id long, text string")).collect()
     assert {r.doc_id: (r.licenses, r.status) for r in got} == {i: (names, status) for i, (_, names, status) in enumerate(BY_HAND)}
+
+
+def crowded(spark, n=900):
+    """Texts that another text shares words with, once each, among so many short copies that a bitmap of copies is dense."""
+    rnd = random.Random(9)
+    make = lambda k: " ".join(f"{rnd.randrange(1 << 30):x}" for _ in range(k))
+    shared = [make(30) for _ in range(n // 2)]
+    rows = [(i, f"{make(3)} {t} {make(3)}") for i, t in enumerate(t for s in shared for t in (s, s))]
+    rows += [(n + i, f"copy {i // 2}") for i in range(4000)]
+    return rows, shared, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_suffix_dedup_loses_no_text_among_many_copies(spark):
+    rows, shared, df = crowded(spark)
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(df, Scratch(spark, "t"), window=60, gram=16).collect()}
+    assert all(got[i] >= len(shared[i // 2]) for i in range(2 * len(shared)))
+
+
+def test_substring_dedup_loses_no_text_among_many_copies(spark):
+    rows, shared, df = crowded(spark)
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_earlier(df, Scratch(spark, "t"), window=20, gram=5).collect()}
+    assert all(got[i] == (30 if i % 2 else 0) for i in range(2 * len(shared)))
