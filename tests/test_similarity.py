@@ -78,3 +78,12 @@ def test_partial_ratios_see_all_stretches_at_once():
             want = max(best(a, b), best(b, a)) if len(a) == len(b) else best(*sorted((a, b), key=len))
             assert partial_ratio(a, b) == want == partial_ratio(b, a)
     assert partial_ratio("abcd", "xxabcdxx") == 100.0 and partial_ratio("abcd", "xxabxx") == 50.0 and partial_ratio("abcd", "cdxx") == partial_ratio("cdxx", "abcd")
+
+
+def test_every_pair_of_names_has_a_ratio(spark, tmp_path):
+    from ledgerloom.plans.catalogue import QUERIES
+
+    names = ["abc", "abd", "xyz", "q"]
+    spark.createDataFrame([(n,) for n in names], "p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {(r.a, r.b): r.score for r in QUERIES["q_indel_ratio"](spark, str(tmp_path)).collect()}
+    assert set(got) == {(a, b) for a in names for b in names if a != b} and got["abc", "abd"] == 66.6667 and got["abc", "q"] == 0.0
