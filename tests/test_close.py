@@ -117,3 +117,12 @@ def test_profile_of_json_without_a_schema(spark):
     assert got["a.b[].c"][:3] == ("null", 1, 0) and got["d"] == ("object|string", 3, 2, 1, 0, 0, "2023-01-02", "2024-05-06") and got['e"[{'][:3] == ("boolean", 1, 1)
     assert got["[]"][:3] == ("array", 2, 1) and got["[][]"][:3] == ("number", 1, 1) and len(got) == 8
     assert U.profile_json(spark.createDataFrame([], "j string"), "j").count() == 0
+
+
+def test_duplicates_that_share_several_amounts_are_told_once_after_the_last_join(spark):
+    new = spark.createDataFrame([line(1, 1, "X", "B", 10), line(1, 2, "Y", "B", 20)], L)
+    old = spark.createDataFrame([line(9, 1, "X", "B", 10), line(9, 2, "Y", "B", 20), line(8, 1, "Y", "Q", 20), line(8, 2, "X", "Q", 10)], L)
+    found = C.duplicate_candidates(new, old)
+    assert sorted((r.new_id, r.old_id, r.level) for r in found.collect()) == [(1, 8, "medium"), (1, 9, "high")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lstrip().startswith("Project") and plan.splitlines()[1].strip().startswith("+- Join Inner")  # nothing comes after the pairs
