@@ -87,3 +87,36 @@ def test_every_pair_of_names_has_a_ratio(spark, tmp_path):
     spark.createDataFrame([(n,) for n in names], "p_name string").write.parquet(f"{tmp_path}/part.parquet")
     got = {(r.a, r.b): r.score for r in QUERIES["q_indel_ratio"](spark, str(tmp_path)).collect()}
     assert set(got) == {(a, b) for a in names for b in names if a != b} and got["abc", "abd"] == 66.6667 and got["abc", "q"] == 0.0
+
+
+LEAVES = ("LogicalRDD", "Relation [", "LocalRelation", "Range (")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
+def normalized_by_row(df):
+    """Steps of the plan that normalize texts of rows as they are read, not of groups."""
+    plan, found = plan_of(df), 0
+    for i, line in enumerate(plan):
+        steps = line.split("], [")[0] if "Aggregate [" in line else line
+        if "regexp_replace" in steps:
+            below = next(x for x in plan[i + 1 :] if "Aggregate" in x or any(leaf in x for leaf in LEAVES))
+            found += "Aggregate" not in below
+    return found
+
+
+def dated(spark):
+    rows = [(1, 1, "A b", "x"), (2, 1, "A b", "y"), (3, 2, "a B!", "x"), (4, 2, "A b", "x"), (5, 3, "A c", "z"), (6, None, "A b", "x"), (7, 3, None, "x"), (8, 4, "", "x"), (9, 4, "a b", "y"), (10, 5, "A b", "y")]
+    o = spark.createDataFrame([(i, d, c, x, i % 4, 100) for i, d, c, x in rows], "id long, d int, content string, label string, account long, value long")
+    return o.selectExpr("id", "date_add(date'2024-01-01', d) AS day", "content", "label", "account", "value", "id % 3 = 0 AS complex", "2000 + CAST(id / 6 AS int) AS fy")
+
+
+def test_texts_are_normalized_by_group(spark):
+    o = dated(spark)
+    for df in (S.staged_predictions(o, ascii_only=True), S.candidates_before(o, ascii_only=True)):
+        assert normalized_by_row(df) == 0
+    got = {r.id: (r.stage, r.pred, r.hist_n, r.days_since_last) for r in S.staged_predictions(o, ascii_only=True).collect()}
+    assert got[2] == ("none", None, None, None) and got[6] == ("none", None, None, None) and set(got) == {1, 2, 3, 4, 5, 6, 9, 10}
+    assert got[3] == ("norm_exact", "y", 2, 1) and got[4] == ("raw_exact", "y", 2, 1) and got[5][0] == "fuzzy" and got[9] == ("norm_exact", "x", 4, 2) and got[10] == ("raw_exact", "x", 3, 3)
