@@ -120,3 +120,11 @@ def test_texts_are_normalized_by_group(spark):
     got = {r.id: (r.stage, r.pred, r.hist_n, r.days_since_last) for r in S.staged_predictions(o, ascii_only=True).collect()}
     assert got[2] == ("none", None, None, None) and got[6] == ("none", None, None, None) and set(got) == {1, 2, 3, 4, 5, 6, 9, 10}
     assert got[3] == ("norm_exact", "y", 2, 1) and got[4] == ("raw_exact", "y", 2, 1) and got[5][0] == "fuzzy" and got[9] == ("norm_exact", "x", 4, 2) and got[10] == ("raw_exact", "x", 3, 3)
+
+
+def test_static_texts_are_normalized_by_group(spark):
+    o = dated(spark)
+    df = S.static_predictions(o.where("id < 5"), o.where("id >= 5"), ascii_only=True)
+    assert normalized_by_row(df) == 0
+    got = {r.id: (r.stage, r.pred, r.hist_n, r.days_since_last, r.account_seen) for r in df.collect()}
+    assert got == {5: ("fuzzy", "x", 4, 1, None), 6: ("raw_exact", "x", 3, None, True), 7: ("none", None, None, None, None), 8: ("none", None, None, None, None), 9: ("norm_exact", "x", 4, 2, True), 10: ("raw_exact", "x", 3, 3, True)}
