@@ -34,6 +34,14 @@ def history_features(obs: DataFrame) -> DataFrame:
     )
 
 
+def accounts_seen(obs: DataFrame) -> DataFrame:
+    """(id, account_seen) as history_features tells it, null without a history, from the first days of contents and accounts alone."""
+    o = H.usable(obs)
+    first = o.groupBy("content").agg(F.min(F.unix_date("day")).alias("_first"))
+    t = H.seen_before(obs.withColumn("block", F.unix_date("day")), o, {"account_seen": F.col("account")}).join(first, "content", "left")
+    return t.select("id", F.when(F.col("_first") < F.col("block"), F.col("account_seen")).alias("account_seen"))
+
+
 def classify(preds: DataFrame) -> DataFrame:
     """Adds high_confidence, model_target, categories (array) and layer (their letters) to staged predictions."""
     exact = F.col("stage").isin("raw_exact", "norm_exact")

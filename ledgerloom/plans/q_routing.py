@@ -80,14 +80,12 @@ judged AS (SELECT *, rule_valid AND pred = label AS rule_ok, model_label IS NOT
 
 
 def items(spark, d):
-    p = R.classify(staged(spark, d))
-    h = R.history_features(p.select("id", "day", "content", "label", "account", "value", "complex", "fy"))
-    i = F.col("id")
+    p, i = R.classify(staged(spark, d)), F.col("id")
     results = obs(spark, d).select(
         i, F.when(i % 17 != 0, F.when(i % 10 < 8, F.col("label")).otherwise("other")).alias("model_label"), (i * 7919 % 1000 / 1000.0).alias("conf"),
         F.when(i % 13 != 0, i % 11 == 0).alias("needs_review"), (i % 19 == 0).alias("insufficient"),
     )
-    return R.build_items(p, h, results)
+    return R.build_items(p, R.accounts_seen(varied(spark, d)), results)
 
 
 PLAN_SQL = """plans(plan, least) AS (VALUES ('Aggressive', 0.80), ('Balanced', 0.90), ('Conservative', 0.95)),

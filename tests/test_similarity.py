@@ -7,7 +7,9 @@ import pytest
 
 from ledgerloom.functions.block_similarity import TextBlock
 from ledgerloom.functions.text import lcs_length
+from ledgerloom.operators import routing as R
 from ledgerloom.operators import similarity as S
+from ledgerloom.plans import q_routing as QR
 
 
 def ratio(a, b):
@@ -128,3 +130,12 @@ def test_static_texts_are_normalized_by_group(spark):
     assert normalized_by_row(df) == 0
     got = {r.id: (r.stage, r.pred, r.hist_n, r.days_since_last, r.account_seen) for r in df.collect()}
     assert got == {5: ("fuzzy", "x", 4, 1, None), 6: ("raw_exact", "x", 3, None, True), 7: ("none", None, None, None, None), 8: ("none", None, None, None, None), 9: ("norm_exact", "x", 4, 2, True), 10: ("raw_exact", "x", 3, 3, True)}
+
+
+def test_seen_accounts_need_no_histories(spark):
+    o = dated(spark).where("day is not null")
+    plain = {r.id: r.account_seen for r in R.history_features(o).collect()}
+    assert {r.id: r.account_seen for r in R.accounts_seen(o).collect()} == plain and set(plain.values()) == {None, True, False}
+    windows = lambda df: sum("Window [" in x for x in plan_of(df))
+    sf = "/root/testdata/sf0.001"
+    assert windows(QR.items(spark, sf)) == windows(QR.staged(spark, sf))
