@@ -202,50 +202,61 @@ def _profile_level(df: DataFrame, leaves: list, date_field: str | None) -> DataF
     return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
-#: What a JSON value is, by the name that Spark gives the schema of a variant.
-KINDS = {"OBJECT": "object", "ARRAY": "array", "STRING": "string", "VOID": "null", "BOOLEAN": "boolean"}
+#: What a JSON value is, by the first character of its text; anything else is a number.
+KINDS = {"{": "object", "[": "array", '"': "string", "n": "null", "t": "boolean", "f": "boolean"}
 
 
-def json_depth(text: Column) -> Column:
+def json_depth(brackets: Column) -> Column:
     """How many objects and arrays lie within each other at most, by the brackets outside of texts."""
-    brackets = F.regexp_replace(text, r'"(?:[^"\\\\]|\\\\.)*+"|[^\[\]{}]', "")
     step = lambda acc, c: F.struct((acc["now"] + F.when(c.isin("{", "["), 1).otherwise(-1)).alias("now"), F.greatest(acc["most"], acc["now"] + F.when(c.isin("{", "["), 1).otherwise(0)).alias("most"))
     return F.when(F.length(brackets) > 0, F.aggregate(F.split(brackets, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda a: a["most"])).otherwise(0)
 
 
+def json_brackets(text: Column) -> Column:
+    """The brackets of a JSON text outside of its texts, in which a backslash escapes what follows."""
+    return F.regexp_replace(text, r'(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\[\]{}"]++)++|"', "")
+
+
 def profile_json(df: DataFrame, text: str, date_field: str | None = None) -> DataFrame:
     """By field of JSON texts without a known schema: types (its kinds, joined by |), present, non_empty, how many texts hold an e-mail, a phone number
     or 7 digits, and for date_field the first and last date.
 
-    Texts are parsed into variants and entered level by level, as deep as the deepest one; objects' fields follow after a dot, elements after []. A field
-    may be another kind in any row. null, "", [] and {} are empty. Null texts and texts that are no JSON have no fields.
+    Texts are parsed into variants once and entered level by level in the same pass, as deep as the deepest one; objects' fields follow after a dot,
+    elements after []. A field may be another kind in any row. null, "", [] and {} are empty. Null texts and texts that are no JSON have no fields.
     """
     known = df.select(F.col(text).cast("string").alias("_json")).where("_json is not null")
-    level = known.select(F.lit("").alias("field"), F.try_parse_json("_json").alias("value")).where("value is not null")
-    depth = known.agg(F.max(json_depth(F.col("_json")))).first()[0] or 0
-    spark, out = df.sparkSession, None
-    for _ in range(depth):
-        level = spark.sql("SELECT field, e.key AS key, e.value AS inner FROM {level}, LATERAL variant_explode(whole) AS e", level=level.withColumnRenamed("value", "whole"))
-        key = F.col("key")
-        level = level.select(F.when(key.isNull(), F.concat("field", F.lit("[]"))).when(F.col("field") == "", key).otherwise(F.concat("field", F.lit("."), key)).alias("field"), F.col("inner").alias("value"))
-        found = level.select("field", *_judged(F.col("value"), F.col("field") == date_field if date_field else F.lit(False)))
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = level.where(F.lit(False)).select("field", *_judged(F.col("value"), F.lit(False)))
+    # Equal skeletons are walked once.
+    depth = known.select(json_brackets(F.col("_json")).alias("_b")).distinct().agg(F.max(json_depth(F.col("_b")))).first()[0] or 0
+    spark, rows = df.sparkSession, known.select(F.lit("").alias("field"), F.try_parse_json("_json").alias("whole"))
+    path = F.when(F.col("key").isNull(), F.concat("field", F.lit("[]"))).when(F.col("field") == "", F.col("key")).otherwise(F.concat("field", F.lit("."), "key"))
+    rows = spark.sql("SELECT field, e.key AS key, e.value AS value FROM {rows}, LATERAL variant_explode(whole) AS e", rows=rows).select(path.alias("field"), "value")
+    rows = rows.withColumn("_text", F.to_json("value")).select("field", *_judged(F.col("value"), F.col("_text")), "value")
+    for _ in range(depth - 1):
+        # What is found stays as a row without a value; what has fields of its own is there once more, to be entered.
+        enter = F.explode(F.when(F.col("value").isNotNull() & F.col("kind").isin("object", "array"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
+        rows = rows.withColumn("enter", enter)
+        rows = spark.sql("SELECT t.*, e.pos AS pos, e.key AS key, e.value AS inner FROM {rows} AS t, LATERAL variant_explode_outer(CASE WHEN enter THEN value END) AS e", rows=rows)
+        rows = rows.where("NOT enter OR pos IS NOT NULL").withColumn("_text", F.when(F.col("enter"), F.to_json("inner")))
+        fresh = zip(("kind", "non_empty", "text"), _judged(F.col("inner"), F.col("_text")), strict=True)
+        rows = rows.select(F.when(F.col("enter"), path).otherwise(F.col("field")).alias("field"), *(F.when(F.col("enter"), c).otherwise(F.col(n)).alias(n) for n, c in fresh), F.when(F.col("enter"), F.col("inner")).alias("value"))
+    t = F.col("text")
+    # The shortest e-mail has an @, the shortest phone number and run of digits 7 characters.
+    hits = [(t.contains("@") if n == "email" else F.length(t) >= 7) & t.rlike("(?U)" + r) for n, r in (("email", EMAIL), ("phone", PHONE_LOOSE), ("digits", LONG_DIGITS))]
+    day = F.when(F.col("field") == date_field, F.substring(t, 1, 10)) if date_field else F.lit(None).cast("string")
+    # Rows are counted by what is asked of them first: plain counts by few different keys.
+    flags = ("non_empty", "email", "phone", "digits")
+    alike = rows.select("field", "kind", *(F.coalesce(c, F.lit(False)).alias(n) for n, c in zip(flags, (F.col("non_empty"), *hits), strict=True)), day.alias("day"))
+    alike = alike.groupBy(*alike.columns).agg(F.count("*").alias("n"))
     types = F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("types")
-    flags = [F.count_if(c).alias(c) for c in ("non_empty", "email", "phone", "digits")]
-    return out.groupBy("field").agg(types, F.count("*").alias("present"), *flags, F.min("day").alias("first"), F.max("day").alias("last"))
+    counts = [F.sum(F.when(F.col(n), F.col("n")).otherwise(0)).alias(n) for n in flags]
+    return alike.groupBy("field").agg(types, F.sum("n").alias("present"), *counts, F.min("day").alias("first"), F.max("day").alias("last"))
 
 
-def _judged(value: Column, dated: Column) -> list[Column]:
-    """kind, non_empty, email, phone, digits and day of a variant."""
-    name = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+def _judged(value: Column, text: Column) -> list[Column]:
+    """kind, non_empty and, of strings, the text of a variant that reads `text` as JSON."""
     kinds = F.create_map(*(F.lit(x) for kv in KINDS.items() for x in kv))
-    kind = F.when(F.is_variant_null(value), "null").otherwise(F.coalesce(F.try_element_at(kinds, name), F.lit("number")))
-    text = F.when(kind == "string", F.try_variant_get(value, "$", "string"))
-    empty = (kind == "null") | (F.to_json(value).isin('""', "[]", "{}"))
-    hits = [F.coalesce(text.rlike("(?U)" + r), F.lit(False)).alias(n) for n, r in (("email", EMAIL), ("phone", PHONE_LOOSE), ("digits", LONG_DIGITS))]
-    return [kind.alias("kind"), (~empty).alias("non_empty"), *hits, F.when(dated, F.substring(text, 1, 10)).alias("day")]
+    kind = F.coalesce(F.try_element_at(kinds, F.substring(text, 1, 1)), F.lit("number"))
+    return [kind.alias("kind"), (~text.isin("null", '""', "[]", "{}")).alias("non_empty"), F.when(text.startswith('"'), F.try_variant_get(value, "$", "string")).alias("text")]
 
 
 def summary_text(profiled: DataFrame) -> str:
