@@ -436,6 +436,28 @@ def test_suffix_dedup_loses_no_text_among_many_copies(spark):
     assert all(got[i] >= len(shared[i // 2]) for i in range(2 * len(shared)))
 
 
+def test_suffix_dedup_deals_each_span_once(spark, monkeypatch):
+    """A passage that thousands of texts have goes to its shard once, not as often as the filter lets its occurrences through."""
+    rows, spans = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counted(run):
+        def wrapped(table):
+            rows.add(table.num_rows)
+            spans.add(len(set(zip(*(table.column(c).to_pylist() for c in suffix_dedup.SPAN), strict=True))))
+            return run(table)
+
+        return wrapped
+
+    monkeypatch.setattr(suffix_dedup, "whole_group", counted)
+    rnd = random.Random(4)
+    make = lambda k: "".join(rnd.choice("abcdefgh") for _ in range(k))
+    passage = make(200)
+    df = spark.createDataFrame([(i, make(20) + passage + make(20)) for i in range(1500)], "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(df, Scratch(spark, "t"), window=60, gram=16).collect()
+    assert len(got) == 1500 and all(r.n_removed >= len(passage) for r in got)
+    assert rows.value == spans.value > 0
+
+
 def test_substring_dedup_loses_no_text_among_many_copies(spark):
     rows, shared, df = crowded(spark)
     got = {r.doc_id: r.n_removed for r in substring_dedup.remove_earlier(df, Scratch(spark, "t"), window=20, gram=5).collect()}
