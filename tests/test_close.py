@@ -126,3 +126,70 @@ def test_duplicates_that_share_several_amounts_are_told_once_after_the_last_join
     assert sorted((r.new_id, r.old_id, r.level) for r in found.collect()) == [(1, 8, "medium"), (1, 9, "high")]
     plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert not [x for x in plan if "Aggregate" in x and "new_id" in x and "old_id" in x]  # pairs of journals are not made distinct
+
+
+def shuffled(spark, run):
+    """Bytes that run() writes to shuffles."""
+    sc = spark.sparkContext
+    gw = sc._gateway
+
+    def written():
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, gw.new_array(gw.jvm.double, 0), gw.jvm.java.util.ArrayList())
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in (stages.apply(i) for i in range(stages.size()))}
+
+    before = written()
+    run()
+    return sum(n for k, n in written().items() if k not in before)
+
+
+def test_duplicate_levels_send_lines_once_and_narrowly(spark):
+    from ledgerloom.plans import catalogue
+
+    q = catalogue.QUERIES["q_duplicate_levels"](spark, "/root/testdata/sf0.01")
+    n = shuffled(spark, lambda: q.write.format("noop").mode("overwrite").save())
+    assert n < 60_000 * 90, n  # 60,000 lines
+
+
+def test_journal_lines_travel_narrowly_without_a_change(spark, tmp_path):
+    import random
+
+    from ledgerloom.plans.adapters import journal_lines, lines
+
+    draw = random.Random(4)
+    pick = lambda *x: draw.choice(x)
+    rows = [
+        (draw.randrange(400), pick(1, 1, 2, 300, None), pick(1, 2**40, -3), pick(5, 2**33), pick(1.0, 2.5, 200.0, -0.0, 0.0, float("nan")), pick(100.0, 100.001, 100.0011, 3e9, 0.005), pick(0.07, 0.070001, None, float("inf")), pick(0.1, 0.1 + 1e-17, 0.29), pick("A", "", None), pick("F", "O"), dt.datetime(1969, 12, 30) + dt.timedelta(draw.randrange(6)) if draw.random() < 0.95 else None)
+        for _ in range(3000)
+    ]
+    names = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(rows, names).repartition(5).write.parquet(f"{tmp_path}/lineitem.parquet")
+    a, b = lines(spark, str(tmp_path)), journal_lines(spark, str(tmp_path))
+    cols = ["journal_id", "debit_account", "debit_sub", "credit_account", "credit_sub", "value", "date"]
+    assert sorted(map(str, a.select(cols).collect())) == sorted(map(str, b.select(cols).collect()))
+    head = lambda x: {r.journal_id: r.h for r in x.groupBy("journal_id").agg(F.min(F.struct("branch_index", "date"))["date"].alias("h")).collect()}
+    assert head(a) == head(b)
+    found = lambda x: sorted(map(tuple, C.duplicate_candidates(x.where("journal_id % 2 = 0"), x.where("journal_id % 2 = 1")).collect()))
+    assert found(a) == found(b) and found(a)
+
+
+def test_duplicate_levels_equal_brute_force_over_days_and_shared_pairs(spark):
+    import random
+
+    draw = random.Random(9)
+    rows = [line(j, b, draw.choice("XYZ"), draw.choice(["B", "C", None]), draw.choice([0, 10, 20, 30]), day) for j in range(240) for day in [dt.date(1969, 12, 20) + dt.timedelta(draw.randrange(30))] for b in range(draw.choice([1, 1, 2, 4]))]
+    df = spark.createDataFrame(rows, L)
+    journals = {}
+    for j, _, day, _, da, ds, ca, cs, v in rows:
+        x = journals.setdefault(j, (day, set(), []))
+        for side, account, sub in (("D", da, ds), ("C", ca, cs)):
+            if account and v:
+                x[1].add((account, v))
+                x[2].append((side, account, sub, v))
+    want = []
+    for i, (d, p, l) in journals.items():
+        for k, (e, q, m) in journals.items():
+            if i % 2 == 0 and k % 2 == 1 and p & q and abs((d - e).days) <= 3:
+                want.append((i, k, "low" if d != e else "high" if sorted(l) == sorted(m) else "medium"))
+    got = C.duplicate_candidates(df.where("journal_id % 2 = 0"), df.where("journal_id % 2 = 1")).collect()
+    assert sorted(map(tuple, got)) == sorted(want) and {x[2] for x in want} == {"low", "medium", "high"}
